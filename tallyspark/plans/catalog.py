@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.dates import window_start
+from ..operators import changes as chg
 from ..operators import features as feat
+from ..schemas import TRANSACTION_ROW
 from . import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +36,62 @@ def q_backfill_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_table(spark, sf_dir)
 
 
+ROW_COLS = [f.name for f in TRANSACTION_ROW.fields]
+
+
+def parsed_changes(spark: SparkSession, sf_dir: str, row_as_text: bool = False) -> DataFrame:
+    return chg.parse_changes(I.change_messages(spark, sf_dir, row_as_text), row_as_text=row_as_text)
+
+
+def _flat_changes(parsed: DataFrame) -> DataFrame:
+    row = F.coalesce(F.col("after"), F.col("before"))
+    return parsed.select(
+        *[row[c].alias(c) for c in ROW_COLS[:1]], "op",
+        F.col("source.ts_ms").alias("ts_ms"), F.col("source.lsn").alias("lsn"),
+        *[row[c].alias(c) for c in ROW_COLS[1:]])
+
+
+def q_cdc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_changes(parsed_changes(spark, sf_dir))
+
+
+def q_cdc_parse_two_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_changes(parsed_changes(spark, sf_dir, row_as_text=True))
+
+
+def q_cdc_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.upserts(parsed_changes(spark, sf_dir))
+
+
+def q_cdc_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.deletes(parsed_changes(spark, sf_dir))
+
+
+def q_cdc_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.latest_changes(chg.upserts(parsed_changes(spark, sf_dir)))
+
+
+def q_cdc_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.current_rows(parsed_changes(spark, sf_dir))
+
+
+def q_cdc_current_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.current_rows(parsed_changes(spark, sf_dir), deletes_mode="latest")
+
+
+def q_cdc_ingest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.ingest_day(parsed_changes(spark, sf_dir), I.RUN_DATE)
+
+
 QUERIES: dict[str, Query] = {
+    "cdc_parse": q_cdc_parse,
+    "cdc_parse_two_step": q_cdc_parse_two_step,
+    "cdc_upserts": q_cdc_upserts,
+    "cdc_deletes": q_cdc_deletes,
+    "cdc_latest": q_cdc_latest,
+    "cdc_anti_join": q_cdc_anti_join,
+    "cdc_current_latest": q_cdc_current_latest,
+    "cdc_ingest_day": q_cdc_ingest_day,
     "weekly_features": q_weekly_features,
     "backfill_features": q_backfill_features,
 }

@@ -22,7 +22,7 @@ TX = """tx AS (
 CH = """ch AS (
   SELECT CAST(event_id % 5003 AS INTEGER) AS id,
          CASE WHEN event_id % 10 = 0 THEN 'd' WHEN event_id % 10 < 3 THEN 'u' ELSE 'c' END AS op,
-         epoch_ms(ts) AS ts_ms,
+         epoch_us(ts) // 1000 AS ts_ms,
          event_id AS lsn,
          CAST(user_id AS VARCHAR) AS "User ID",
          CAST(event_id AS VARCHAR) AS "Transaction ID",
@@ -56,7 +56,27 @@ SELECT {feature_select()}, runs.run AS date
 FROM tx JOIN runs ON tx.date BETWEEN runs.run - 7 AND runs.run
 GROUP BY "User ID", runs.run"""
 
+ROW = '"User ID", "Transaction ID", "Amount", "Vendor", "Sources", "Time"'
+LATEST_UP = f"""WITH {CH},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, lsn DESC) AS rk
+           FROM ch WHERE op IN ('c', 'u', 'r'))"""
+CURRENT = f"""{LATEST_UP}
+SELECT op, id, {ROW}, ts_ms, lsn FROM ranked
+WHERE rk = 1 AND id NOT IN (SELECT id FROM ch WHERE op = 'd')"""
+
 SQL: dict[str, str] = {
+    "cdc_parse": f"WITH {CH} SELECT id, op, ts_ms, lsn, {ROW} FROM ch",
+    "cdc_parse_two_step": f"WITH {CH} SELECT id, op, ts_ms, lsn, {ROW} FROM ch",
+    "cdc_upserts": f"WITH {CH} SELECT op, id, {ROW}, ts_ms, lsn FROM ch WHERE op IN ('c', 'u', 'r')",
+    "cdc_deletes": f"WITH {CH} SELECT id FROM ch WHERE op = 'd'",
+    "cdc_latest": f"{LATEST_UP} SELECT op, id, {ROW}, ts_ms, lsn FROM ranked WHERE rk = 1",
+    "cdc_anti_join": CURRENT,
+    "cdc_current_latest": f"""WITH {CH},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, lsn DESC) AS rk FROM ch)
+SELECT op, id, {ROW}, ts_ms, lsn FROM ranked WHERE rk = 1 AND op <> 'd'""",
+    "cdc_ingest_day": f"""WITH cur AS ({CURRENT})
+SELECT op, {ROW}, CAST(strptime("Time", '%Y-%m-%d %H:%M:%S') AS DATE) AS date FROM cur
+WHERE CAST(strptime("Time", '%Y-%m-%d %H:%M:%S') AS DATE) = DATE '2024-01-20'""",
     "weekly_features": WEEKLY,
     "backfill_features": BACKFILL,
 }
