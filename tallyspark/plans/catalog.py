@@ -7,6 +7,7 @@ the SQL twin in ``oracle.py``.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import window_start
 from ..operators import changes as chg
 from ..operators import features as feat
+from ..operators import store
 from ..schemas import TRANSACTION_ROW
 from . import inputs as I
+from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,7 +86,76 @@ def q_cdc_ingest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chg.ingest_day(parsed_changes(spark, sf_dir), I.RUN_DATE)
 
 
+FEATURES_END = I.BACKFILL_END
+MID = datetime.date(2024, 1, 20)
+
+
+def q_feature_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.CUSTOMER_FEATURES.project(feature_table(spark, sf_dir))
+
+
+def q_feature_schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.CUSTOMER_FEATURES.validate(feature_table(spark, sf_dir))
+
+
+def q_latest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.latest_per_key(feature_table(spark, sf_dir), ["user_id"], "date",
+                               start=datetime.date(2024, 1, 15), end=datetime.date(2024, 1, 25))
+
+
+def online_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.online_rows(V.CUSTOMER_FEATURES, feature_table(spark, sf_dir), end=FEATURES_END)
+
+
+def q_materialize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_table(spark, sf_dir)
+
+
+def q_materialize_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ft = feature_table(spark, sf_dir)
+    view = V.CUSTOMER_FEATURES
+    first = store.online_rows(view, ft, end=MID)
+    second = store.online_rows(view, ft, start=MID, end=FEATURES_END)
+    return store.merge_online(first, second, view.join_keys, view.ts_field)
+
+
+def q_online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.get_online_features({"customer_features": online_table(spark, sf_dir)},
+                                     V.online_keys(spark, sf_dir), V.REFS, [V.CUSTOMER_FEATURES])
+
+
+def q_asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.get_historical_features(
+        V.entity_rows(spark, sf_dir), V.REFS,
+        {"customer_features": feature_table(spark, sf_dir)}, [V.CUSTOMER_FEATURES])
+
+
+def q_asof_features_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = [r.replace("customer_features:", "customer_features_ttl:") for r in V.REFS]
+    return store.get_historical_features(
+        V.entity_rows(spark, sf_dir), refs,
+        {"customer_features_ttl": feature_table(spark, sf_dir)}, [V.CUSTOMER_FEATURES_TTL])
+
+
+def q_multi_view_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = V.REFS + ["customer_demographics:location", "customer_demographics:occupation"]
+    return store.get_historical_features(
+        V.entity_rows(spark, sf_dir), refs,
+        {"customer_features": feature_table(spark, sf_dir),
+         "customer_demographics": V.demographics(spark, sf_dir)},
+        [V.CUSTOMER_FEATURES, V.DEMOGRAPHICS])
+
+
 QUERIES: dict[str, Query] = {
+    "feature_projection": q_feature_projection,
+    "feature_schema_check": q_feature_schema_check,
+    "latest_features": q_latest_features,
+    "materialize_full": q_materialize_full,
+    "materialize_incremental": q_materialize_incremental,
+    "online_lookup": q_online_lookup,
+    "asof_features": q_asof_features,
+    "asof_features_ttl": q_asof_features_ttl,
+    "multi_view_features": q_multi_view_features,
     "cdc_parse": q_cdc_parse,
     "cdc_parse_two_step": q_cdc_parse_two_step,
     "cdc_upserts": q_cdc_upserts,

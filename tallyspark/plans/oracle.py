@@ -49,12 +49,49 @@ SELECT {feature_select()}, DATE '2024-01-20' AS date
 FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'
 GROUP BY "User ID" """
 
-# Backfilled feature table (mirrors plans: backfill over 2024-01-08..30).
-BACKFILL = f"""WITH {TX},
-runs AS (SELECT CAST(r AS DATE) AS run FROM range(DATE '2024-01-08', DATE '2024-01-31', INTERVAL 1 DAY) t(r))
-SELECT {feature_select()}, runs.run AS date
-FROM tx JOIN runs ON tx.date BETWEEN runs.run - 7 AND runs.run
-GROUP BY "User ID", runs.run"""
+# Backfilled feature table (mirrors catalog.feature_table: 2024-01-08..30).
+FT = f"""{TX},
+runs AS (SELECT CAST(r AS DATE) AS run FROM range(DATE '2024-01-08', DATE '2024-01-31', INTERVAL 1 DAY) t(r)),
+ft AS (SELECT {feature_select()}, runs.run AS date
+       FROM tx JOIN runs ON tx.date BETWEEN runs.run - 7 AND runs.run
+       GROUP BY "User ID", runs.run)"""
+BACKFILL = f"WITH {FT} SELECT * FROM ft"
+
+FEATS = ("num_transactions_l1w", "total_amount_l1w", "avg_amount_l1w", "min_amount_l1w",
+         "max_amount_l1w", "num_vendors_l1w", "num_sources_l1w")
+VIEW_TYPES = ("BIGINT", "FLOAT", "FLOAT", "FLOAT", "FLOAT", "BIGINT", "BIGINT")
+PROJECTED = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in zip(FEATS, VIEW_TYPES))
+
+# View projection of the feature table, newest row per user up to a date.
+PROJ = f"""{FT}, proj AS (SELECT user_id, date, {PROJECTED} FROM ft)"""
+ONLINE = f"""{PROJ},
+online AS (SELECT * EXCLUDE (rk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS rk
+  FROM proj WHERE date <= DATE '2024-01-30') WHERE rk = 1)"""
+
+# Entity rows and the as-of join (DuckDB ASOF: newest f.fts <= event time).
+ASOF_BASE = f"""{PROJ},
+f AS (SELECT user_id, CAST(date AS TIMESTAMP) AS fts, num_transactions_l1w, total_amount_l1w,
+             num_vendors_l1w FROM proj),
+e AS (SELECT CAST(user_id AS VARCHAR) AS user_id, ts AS event_timestamp FROM events
+      WHERE event_type = 'purchase')"""
+ASOF = f"""WITH {ASOF_BASE}
+SELECT e.user_id, e.event_timestamp, f.num_transactions_l1w, f.total_amount_l1w, f.num_vendors_l1w
+FROM e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.event_timestamp >= f.fts"""
+_TTL_OK = "f.fts >= e.event_timestamp - INTERVAL 12 HOUR"
+ASOF_TTL = f"""WITH {ASOF_BASE}
+SELECT e.user_id, e.event_timestamp,
+  CASE WHEN {_TTL_OK} THEN f.num_transactions_l1w END AS num_transactions_l1w,
+  CASE WHEN {_TTL_OK} THEN f.total_amount_l1w END AS total_amount_l1w,
+  CASE WHEN {_TTL_OK} THEN f.num_vendors_l1w END AS num_vendors_l1w
+FROM e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.event_timestamp >= f.fts"""
+MULTI_VIEW = f"""WITH {ASOF_BASE},
+demo AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, n_name AS location, c_mktsegment AS occupation
+         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT e.user_id, e.event_timestamp, f.num_transactions_l1w, f.total_amount_l1w, f.num_vendors_l1w,
+       demo.location, demo.occupation
+FROM e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.event_timestamp >= f.fts
+LEFT JOIN demo ON e.user_id = demo.user_id"""
 
 ROW = '"User ID", "Transaction ID", "Amount", "Vendor", "Sources", "Time"'
 LATEST_UP = f"""WITH {CH},
@@ -65,6 +102,20 @@ SELECT op, id, {ROW}, ts_ms, lsn FROM ranked
 WHERE rk = 1 AND id NOT IN (SELECT id FROM ch WHERE op = 'd')"""
 
 SQL: dict[str, str] = {
+    "feature_projection": f"WITH {PROJ} SELECT * FROM proj",
+    "latest_features": f"""WITH {FT}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS rk FROM ft
+  WHERE date > DATE '2024-01-15' AND date <= DATE '2024-01-25')
+SELECT * EXCLUDE (rk) FROM r WHERE rk = 1""",
+    "materialize_full": f"WITH {ONLINE} SELECT * FROM online",
+    "materialize_incremental": f"WITH {ONLINE} SELECT * FROM online",
+    "online_lookup": f"""WITH {ONLINE}
+SELECT CAST(c_custkey AS VARCHAR) AS user_id, online.num_transactions_l1w, online.total_amount_l1w,
+       online.num_vendors_l1w
+FROM customer LEFT JOIN online ON CAST(c_custkey AS VARCHAR) = online.user_id""",
+    "asof_features": ASOF,
+    "asof_features_ttl": ASOF_TTL,
+    "multi_view_features": MULTI_VIEW,
     "cdc_parse": f"WITH {CH} SELECT id, op, ts_ms, lsn, {ROW} FROM ch",
     "cdc_parse_two_step": f"WITH {CH} SELECT id, op, ts_ms, lsn, {ROW} FROM ch",
     "cdc_upserts": f"WITH {CH} SELECT op, id, {ROW}, ts_ms, lsn FROM ch WHERE op IN ('c', 'u', 'r')",
