@@ -139,11 +139,26 @@ def calendar_features(df: DataFrame, key: str, date_col: str, unit: str = "week"
         bcol = F.month(d).cast("bigint").alias("month")
     else:
         raise ValueError(f"unknown unit {unit!r}")
-    fns = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
-    aggs = [fns[fn](F.col(c)).alias(name) for name, (fn, c) in measures.items()]
+    aggs = [_calendar_measure(fn, F.col(c)).alias(name) for name, (fn, c) in measures.items()]
     return df.groupBy(F.col(key), bcol).agg(*aggs)
 
 
+def _calendar_measure(fn: str, c):
+    # Sums and means come out as double; the mean is sum / count of non-null
+    # values (= avg), which stays exact when the input is a decimal.
+    if fn == "sum":
+        return F.sum(c).cast("double")
+    if fn == "avg":
+        return F.sum(c).cast("double") / F.count(c)
+    if fn == "count":
+        return F.count(c)
+    if fn == "min":
+        return F.min(c)
+    if fn == "max":
+        return F.max(c)
+    raise ValueError(f"unknown measure {fn!r}")
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple.
 

@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import window_start
 from ..operators import changes as chg
 from ..operators import features as feat
+from ..operators import filters as flt
+from ..operators import quality as dq
+from ..operators import records as rec
+from ..operators import rows as rw
 from ..operators import store
+from ..functions.dates import local_date, parse_date, parse_time
+from ..schemas import SOURCE_COL, TIME_COL, TIME_FORMAT, USER_COL, VENDOR_COL
 from ..schemas import TRANSACTION_ROW
 from . import inputs as I
 from . import views as V
@@ -146,7 +152,188 @@ def q_multi_view_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         [V.CUSTOMER_FEATURES, V.DEMOGRAPHICS])
 
 
+def tx_double(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    return I.transactions(spark, sf_dir, start, end, exact_amount=False)
+
+
+def purchase_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with a purchase on the run date (derived, grows with the data)."""
+    tx = flt.on_date(tx_double(spark, sf_dir, I.RUN_DATE, I.RUN_DATE), I.RUN_DATE)
+    return tx.where(F.col(VENDOR_COL) == "purchase").select(
+        F.col(f"`{USER_COL}`").alias("user_id")).distinct()
+
+
+def q_distinct_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.distinct_dates(tx_double(spark, sf_dir))
+
+
+def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.row_count(tx_double(spark, sf_dir))
+
+
+def q_filter_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flt.on_date(tx_double(spark, sf_dir, I.RUN_DATE, I.RUN_DATE), I.RUN_DATE)
+
+
+def q_filter_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = window_start(I.RUN_DATE, 7)
+    return flt.in_range(tx_double(spark, sf_dir, start, I.RUN_DATE), start, I.RUN_DATE)
+
+
+def q_filter_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flt.with_keys(tx_double(spark, sf_dir), purchase_keys(spark, sf_dir), USER_COL)
+
+
+def q_inner_join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ft = flt.on_date(feature_table(spark, sf_dir), I.RUN_DATE)
+    return ft.join(purchase_keys(spark, sf_dir), on="user_id", how="inner")
+
+
+def q_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rw.first_rows(V.demographics(spark, sf_dir), 10, ["user_id"])
+
+
+def q_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rw.top_n(I.table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 5)
+
+
+def q_compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [f"{n}_l1w" for n in ("num_transactions", "total_amount", "min_amount",
+                                  "max_amount", "num_vendors", "num_sources")]
+    stored = flt.on_date(feature_table(spark, sf_dir), I.RUN_DATE)
+    return dq.compare_features(q_weekly_features(spark, sf_dir), stored, ["user_id"],
+                               exact=names, approx=["avg_amount_l1w"], tol=1e-3)
+
+
+FEED_DAYS = (datetime.date(2024, 1, 10), datetime.date(2024, 1, 20))
+SNAPSHOT_DAYS = (datetime.date(2024, 1, 15), datetime.date(2024, 1, 25))
+
+
+def q_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.union_feeds(I.tx_slice(spark, sf_dir, *FEED_DAYS),
+                           I.tx_slice(spark, sf_dir, *SNAPSHOT_DAYS, with_id=True))
+
+
+def q_union_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chg.combine(I.tx_slice(spark, sf_dir, *FEED_DAYS),
+                       I.tx_slice(spark, sf_dir, *SNAPSHOT_DAYS, with_id=True),
+                       key="Transaction ID", order=("timestamp", "id"))
+
+
+def q_update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cond = (F.col(VENDOR_COL) == "click") & (F.col(SOURCE_COL) == "1")
+    return rw.update_where(tx_double(spark, sf_dir), cond, {SOURCE_COL: "0"})
+
+
+def q_rows_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo = V.demographics(spark, sf_dir)
+    msgs = rec.to_messages(demo, key="user_id")
+    back = F.from_json("value", demo.schema)
+    return msgs.select("key", back.alias("r")).select("key", "r.*")
+
+
+def q_scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = I.table(spark, sf_dir, "events")
+    text = F.date_format("ts", TIME_FORMAT)
+    parsed = parse_time(text)
+    day = F.to_date(parsed)
+    ms = F.unix_millis(parsed)
+    return ev.select(
+        "event_id",
+        day.alias("day"),
+        parse_date(F.date_format("ts", "yyyy-MM-dd")).alias("day2"),
+        F.date_sub(day, 7).alias("week_ago"),
+        F.weekofyear(day).alias("week_number"),
+        F.month(day).alias("month"),
+        F.hour(parsed).alias("hour"),
+        ms.alias("epoch_ms"),
+        F.date_format(F.timestamp_millis(ms), TIME_FORMAT).alias("back_text"),
+        F.date_format(day, "yyyyMMdd").alias("day_compact"),
+        F.regexp_replace(day.cast("string"), "-", "").alias("day_compact2"),
+        local_date("ts", "Asia/Ho_Chi_Minh").alias("local_day"),
+    )
+
+
+def q_scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = I.table(spark, sf_dir, "part")
+    words = F.split("p_name", " ")
+    m = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type"))
+    size_text = F.col("p_size").cast("string")
+    return p.select(
+        "p_partkey",
+        F.lower("p_name").alias("name_lower"),
+        F.lower("p_name").endswith("bolt").alias("is_bolt"),
+        F.col("p_name").contains("red").alias("has_red"),
+        F.get(words, 0).alias("first_word"),
+        F.get(words, 1).alias("second_word"),
+        F.regexp_replace("p_brand", "#", "-").alias("brand_code"),
+        size_text.alias("size_text"),
+        (size_text - 1).alias("size_minus_one"),
+        F.col("p_retailprice").cast("float").alias("price_f32"),
+        F.element_at(m, F.lit("type")).alias("type_from_map"),
+        F.map_contains_key(m, "size").alias("has_size"),
+    )
+
+
+def q_filter_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flt.with_suffix(I.table(spark, sf_dir, "part"), "p_name", "BOLT")
+
+
+CAL_MEASURES = {"avg_price": ("avg", "price"), "total_volume": ("sum", "price"),
+                "total_trades": ("count", "price")}
+
+
+def q_weekofyear_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.calendar_features(I.calendar_input(spark, sf_dir), "symbol", "agg_date",
+                                  "week", CAL_MEASURES)
+
+
+def q_week_trunc_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.calendar_features(I.calendar_input(spark, sf_dir), "symbol", "agg_date",
+                                  "week", CAL_MEASURES, bucket="trunc")
+
+
+def q_month_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.calendar_features(I.calendar_input(spark, sf_dir), "symbol", "agg_date",
+                                  "month", CAL_MEASURES)
+
+
+def q_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.keep_last(I.table(spark, sf_dir, "orders"), ["o_custkey"],
+                          ["o_orderdate", "o_orderkey"])
+
+
+def q_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rec.parse_records(rec.to_messages(I.record_messages(spark, sf_dir)))
+
+
+def q_candle_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rec.shape_candles(I.candle_arrays(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "distinct_dates": q_distinct_dates,
+    "row_count": q_row_count,
+    "filter_date": q_filter_date,
+    "filter_range": q_filter_range,
+    "filter_keys": q_filter_keys,
+    "inner_join_keys": q_inner_join_keys,
+    "first_rows": q_first_rows,
+    "top_n": q_top_n,
+    "compare_features": q_compare_features,
+    "union_by_name": q_union_by_name,
+    "union_dedup": q_union_dedup,
+    "update_where": q_update_where,
+    "rows_to_json": q_rows_to_json,
+    "scalar_dates": q_scalar_dates,
+    "scalar_strings": q_scalar_strings,
+    "filter_suffix": q_filter_suffix,
+    "weekofyear_agg": q_weekofyear_agg,
+    "week_trunc_agg": q_week_trunc_agg,
+    "month_agg": q_month_agg,
+    "keep_last": q_keep_last,
+    "json_records": q_json_records,
+    "candle_shape": q_candle_shape,
     "feature_projection": q_feature_projection,
     "feature_schema_check": q_feature_schema_check,
     "latest_features": q_latest_features,

@@ -124,3 +124,47 @@ def change_messages(spark: SparkSession, sf_dir: str, row_as_text: bool = False)
         F.col("id").cast("string").alias("key"),
         F.when(F.col("lsn") % 7 == 0, bare).otherwise(wrapped).alias("value"),
     )
+
+
+def tx_slice(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date,
+             with_id: bool = False) -> DataFrame:
+    """Transactions of ``[start, end]`` with a parsed ``timestamp``; with
+    ``with_id`` also the numeric row ``id`` (the table-snapshot shape)."""
+    tx = transactions(spark, sf_dir, start, end, exact_amount=False)
+    tx = tx.where(F.col("date").between(F.lit(start), F.lit(end)))
+    cols = [F.col(f"`{c}`") for c in tx.columns]
+    if with_id:
+        cols = [F.col(f"`{TXN_COL}`").cast("int").alias("id")] + cols
+    return tx.select(*cols, F.try_to_timestamp(F.col(f"`{TIME_COL}`"), F.lit(TIME_FORMAT))
+                     .alias("timestamp"))
+
+
+def calendar_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily price series from orders: symbol, agg_date, price (exact)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderpriority").alias("symbol"),
+                    F.to_date("o_orderdate").alias("agg_date"),
+                    F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+
+
+def record_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat daily records from orders as rows for JSON messages."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderpriority").alias("symbol"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+                    F.col("o_totalprice").alias("price_daily"),
+                    (F.col("o_totalprice") * 2).alias("volume_daily"),
+                    F.col("o_custkey").cast("int").alias("trades_daily"))
+
+
+def candle_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders packed as exchange candles: ``symbol`` + 12-element string array
+    (open time ms, open, high, low, close, volume, close time ms, quote
+    volume, trades, taker base, taker quote, unused)."""
+    o = table(spark, sf_dir, "orders")
+    p = F.col("o_totalprice")
+    open_ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    parts = [open_ms, p, p + 10, p - 10, p + 1, F.col("o_custkey"), open_ms + 3599999, p * 2,
+             F.col("o_custkey"), p / 4, p / 8, F.lit(0)]
+    symbol = F.concat(F.regexp_replace(F.upper("o_orderpriority"), "[^A-Z]", ""), F.lit("USDT"))
+    return o.select(symbol.alias("symbol"), F.array(*[x.cast("string") for x in parts]).alias("candle"))

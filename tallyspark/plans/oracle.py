@@ -33,6 +33,28 @@ CH = """ch AS (
   FROM events)"""
 
 
+# The same with the amount as double (row-level queries).
+TXD = TX.replace('CAST(value AS DECIMAL(18,2)) AS "Amount"', 'value AS "Amount"')
+
+PURCHASE_KEYS = """SELECT DISTINCT "User ID" AS user_id FROM tx
+  WHERE date = DATE '2024-01-20' AND "Vendor" = 'purchase'"""
+
+DEMO = """demo AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, n_name AS location,
+                        c_mktsegment AS occupation, c_acctbal AS balance
+                 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+
+_TS = """CAST(strptime("Time", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)"""
+SLICES = f"""{TXD},
+feed AS (SELECT *, {_TS} AS timestamp FROM tx WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'),
+snap AS (SELECT CAST("Transaction ID" AS INTEGER) AS id, *, {_TS} AS timestamp FROM tx
+         WHERE date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25')"""
+
+CAL = """cal AS (SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS agg_date,
+                       CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders)"""
+CAL_MEASURES = """CAST(SUM(price) AS DOUBLE) / COUNT(price) AS avg_price,
+  CAST(SUM(price) AS DOUBLE) AS total_volume, COUNT(price) AS total_trades"""
+
+
 def feature_select(key: str = '"User ID"', label: str = "l1w") -> str:
     return f"""{key} AS user_id,
   COUNT("Transaction ID") AS num_transactions_{label},
@@ -101,7 +123,89 @@ CURRENT = f"""{LATEST_UP}
 SELECT op, id, {ROW}, ts_ms, lsn FROM ranked
 WHERE rk = 1 AND id NOT IN (SELECT id FROM ch WHERE op = 'd')"""
 
+_EXACT = ("num_transactions_l1w", "total_amount_l1w", "min_amount_l1w", "max_amount_l1w",
+          "num_vendors_l1w", "num_sources_l1w")
+_BAD = " + ".join([f"(CASE WHEN w.{c} IS NOT DISTINCT FROM s.{c} THEN 0 ELSE 1 END)" for c in _EXACT]
+                  + ["(CASE WHEN (w.avg_amount_l1w IS NULL AND s.avg_amount_l1w IS NULL) OR "
+                     "abs(w.avg_amount_l1w - s.avg_amount_l1w) <= 0.001 THEN 0 ELSE 1 END)"])
+COMPARE = f"""WITH {FT},
+w AS ({WEEKLY.replace('WITH ' + TX, '', 1)}),
+s AS (SELECT * FROM ft WHERE date = DATE '2024-01-20')
+SELECT COALESCE(w.user_id, s.user_id) AS user_id,
+       w.user_id IS NOT NULL AS in_left, s.user_id IS NOT NULL AS in_right,
+       CAST({_BAD} AS BIGINT) AS n_mismatch,
+       (w.user_id IS NOT NULL AND s.user_id IS NOT NULL AND ({_BAD}) = 0) AS matches
+FROM w FULL OUTER JOIN s ON w.user_id = s.user_id"""
+
 SQL: dict[str, str] = {
+    "distinct_dates": f"WITH {TXD} SELECT DISTINCT date FROM tx WHERE date IS NOT NULL",
+    "row_count": "SELECT COUNT(*) AS n_rows FROM events",
+    "filter_date": f"WITH {TXD} SELECT * FROM tx WHERE date = DATE '2024-01-20'",
+    "filter_range": f"WITH {TXD} SELECT * FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'",
+    "filter_keys": f"""WITH {TXD} SELECT * FROM tx WHERE "User ID" IN ({PURCHASE_KEYS})""",
+    "inner_join_keys": f"""WITH {FT}, k AS ({PURCHASE_KEYS})
+SELECT ft.* FROM ft JOIN k ON ft.user_id = k.user_id WHERE ft.date = DATE '2024-01-20'""",
+    "first_rows": f"WITH {DEMO} SELECT * FROM demo ORDER BY user_id LIMIT 10",
+    "top_n": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 5",
+    "compare_features": COMPARE,
+    "union_by_name": f"WITH {SLICES} SELECT * FROM feed UNION ALL BY NAME SELECT * FROM snap",
+    "union_dedup": f"""WITH {SLICES},
+u AS (SELECT * FROM feed UNION ALL BY NAME SELECT * FROM snap),
+r AS (SELECT *, row_number() OVER (PARTITION BY "Transaction ID"
+                                   ORDER BY timestamp DESC NULLS LAST, id DESC NULLS LAST) AS rk FROM u)
+SELECT * EXCLUDE (rk) FROM r WHERE rk = 1""",
+    "update_where": f"""WITH {TXD}
+SELECT * REPLACE (CASE WHEN "Vendor" = 'click' AND "Sources" = '1' THEN '0' ELSE "Sources" END AS "Sources")
+FROM tx""",
+    "rows_to_json": f"WITH {DEMO} SELECT user_id AS key, * FROM demo",
+    "scalar_dates": """SELECT event_id,
+  CAST(date_trunc('second', ts) AS DATE) AS day,
+  CAST(ts AS DATE) AS day2,
+  CAST(ts AS DATE) - 7 AS week_ago,
+  CAST(weekofyear(ts) AS INTEGER) AS week_number,
+  CAST(month(ts) AS INTEGER) AS month,
+  CAST(hour(ts) AS INTEGER) AS hour,
+  epoch_us(date_trunc('second', ts)) // 1000 AS epoch_ms,
+  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS back_text,
+  strftime(ts, '%Y%m%d') AS day_compact,
+  replace(CAST(CAST(ts AS DATE) AS VARCHAR), '-', '') AS day_compact2,
+  CAST(ts + INTERVAL 7 HOUR AS DATE) AS local_day
+FROM events""",
+    "scalar_strings": """SELECT p_partkey,
+  lower(p_name) AS name_lower,
+  ends_with(lower(p_name), 'bolt') AS is_bolt,
+  contains(p_name, 'red') AS has_red,
+  string_split(p_name, ' ')[1] AS first_word,
+  string_split(p_name, ' ')[2] AS second_word,
+  regexp_replace(p_brand, '#', '-', 'g') AS brand_code,
+  CAST(p_size AS VARCHAR) AS size_text,
+  CAST(p_size AS BIGINT) - 1 AS size_minus_one,
+  CAST(p_retailprice AS FLOAT) AS price_f32,
+  p_type AS type_from_map,
+  false AS has_size
+FROM part""",
+    "filter_suffix": "SELECT * FROM part WHERE ends_with(lower(p_name), 'bolt')",
+    "weekofyear_agg": f"""WITH {CAL}
+SELECT symbol, CAST(weekofyear(agg_date) AS BIGINT) AS week_number, {CAL_MEASURES}
+FROM cal GROUP BY ALL""",
+    "week_trunc_agg": f"""WITH {CAL}
+SELECT symbol, CAST(date_trunc('week', agg_date) AS DATE) AS week_start, {CAL_MEASURES}
+FROM cal GROUP BY ALL""",
+    "month_agg": f"""WITH {CAL}
+SELECT symbol, CAST(month(agg_date) AS BIGINT) AS month, {CAL_MEASURES}
+FROM cal GROUP BY ALL""",
+    "keep_last": """SELECT * EXCLUDE (rk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rk
+  FROM orders) WHERE rk = 1""",
+    "json_records": """SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
+  o_totalprice AS price_daily, o_totalprice * 2 AS volume_daily, CAST(o_custkey AS INTEGER) AS trades_daily
+FROM orders""",
+    "candle_shape": """SELECT regexp_replace(upper(o_orderpriority), '[^A-Z]', '', 'g') || 'USDT' AS symbols,
+  o_totalprice + 1 AS lastPrice, o_totalprice + 10 AS highPrice, o_totalprice - 10 AS lowPrice,
+  o_totalprice * 2 AS quoteVolume, CAST(o_custkey AS INTEGER) AS count,
+  strftime(o_orderdate + INTERVAL 3599999 MILLISECOND, '%Y-%m-%d') AS date,
+  CAST(hour(o_orderdate + INTERVAL 3599999 MILLISECOND) AS INTEGER) AS hour
+FROM orders""",
     "feature_projection": f"WITH {PROJ} SELECT * FROM proj",
     "latest_features": f"""WITH {FT}, r AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS rk FROM ft
