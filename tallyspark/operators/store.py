@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.dates import as_timestamp
+from ..sources.versioned import commit_version, read_current
 
 # Feature value types a view can declare, and their Spark types.
 DTYPES = {
@@ -321,35 +322,21 @@ def materialize(spark: SparkSession, view: FeatureView, source: DataFrame, onlin
 
     Rows with ``last_end < ts <= end`` (``last_end=None``: from the start)
     are reduced to the newest per key, merged with the current version
-    and written as a new version folder ``v=<end>``; the previous version
-    is never overwritten while it may be read.  Returns the new version
-    path.  Views with ``online=False`` are skipped (returns '').
+    and committed as a new version; the version being read is never
+    overwritten.  Returns the new version path.  Views with
+    ``online=False`` are skipped (returns '').
     """
     if not view.online:
         return ""
-    current = read_online(spark, online_path)
+    current = read_current(spark, online_path)
     fresh = online_rows(view, source, end=end, start=last_end)
     merged = merge_online(current, fresh, view.join_keys, view.ts_field)
     tag = str(end).replace(" ", "T").replace(":", "")
-    path = f"{online_path}/v={tag}"
-    merged.write.mode("overwrite").parquet(path)
-    # Switch readers to the new version only after it is fully written.
-    spark.createDataFrame([(path,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(f"{online_path}/_CURRENT")
-    return path
-
-
-def current_version(spark: SparkSession, online_path: str) -> str | None:
-    try:
-        row = spark.read.text(f"{online_path}/_CURRENT").first()
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-    return row[0] if row else None
+    return commit_version(merged, online_path, tag)
 
 
 def read_online(spark: SparkSession, online_path: str) -> DataFrame | None:
-    path = current_version(spark, online_path)
-    return spark.read.parquet(path) if path else None
+    return read_current(spark, online_path)
 
 
 def get_online_features(online: dict[str, DataFrame], entity_keys: DataFrame, refs: list[str],

@@ -22,6 +22,9 @@ from ..operators import records as rec
 from ..operators import rows as rw
 from ..operators import store
 from ..functions.dates import local_date, parse_date, parse_time
+from ..session import shared_path
+from ..sources.versioned import current_version
+from ..streaming import streams as st
 from ..schemas import SOURCE_COL, TIME_COL, TIME_FORMAT, USER_COL, VENDOR_COL
 from ..schemas import TRANSACTION_ROW
 from . import inputs as I
@@ -311,7 +314,46 @@ def q_candle_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.shape_candles(I.candle_arrays(spark, sf_dir))
 
 
+def q_stream_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions land as files; the stream computes trailing features per
+    closed window (watermark 1 day) into an append-only table."""
+    src, sink = shared_path(spark, "tx-files"), shared_path(spark, "stream-features")
+    tx = I.transactions(spark, sf_dir).withColumn("ts", parse_time(F.col(f"`{TIME_COL}`")))
+    tx.write.parquet(src)
+    stream = st.stream_files(spark, src, tx.schema)
+    q = st.start_append(st.stream_window_features(stream, "ts", watermark="1 day"),
+                        sink, shared_path(spark, "ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change messages land as files (several micro-batches); the state table
+    keeps the newest version per id with sticky deletes."""
+    src, state = shared_path(spark, "change-files"), shared_path(spark, "state")
+    I.change_messages(spark, sf_dir).select("value").repartition(4).write.text(src)
+    stream = st.stream_changes(spark, src, max_files_per_trigger=1)
+    st.start_current_state(stream, state, shared_path(spark, "ckpt")).awaitTermination()
+    return st.current_from_state(st.read_state(spark, state))
+
+
+def q_stream_calendar_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records land as files; weekly per-symbol aggregates in complete
+    mode, each trigger committing a new version of the result table."""
+    src, out = shared_path(spark, "record-files"), shared_path(spark, "weekly")
+    rec.to_messages(I.record_messages(spark, sf_dir)).select("value").repartition(3).write.text(src)
+    records = rec.parse_records(st.stream_changes(spark, src, max_files_per_trigger=1))
+    cal = records.select("symbol", F.col("date").alias("agg_date"),
+                         F.col("price_daily").cast("decimal(18,2)").alias("price"))
+    agg = st.stream_calendar_features(cal, "symbol", "agg_date", "week", CAL_MEASURES)
+    st.start_complete(agg, out, shared_path(spark, "ckpt")).awaitTermination()
+    return spark.read.parquet(current_version(spark, out))
+
+
 QUERIES: dict[str, Query] = {
+    "stream_window_features": q_stream_window_features,
+    "stream_current_state": q_stream_current_state,
+    "stream_calendar_weekly": q_stream_calendar_weekly,
     "distinct_dates": q_distinct_dates,
     "row_count": q_row_count,
     "filter_date": q_filter_date,

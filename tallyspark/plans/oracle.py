@@ -137,7 +137,19 @@ SELECT COALESCE(w.user_id, s.user_id) AS user_id,
        (w.user_id IS NOT NULL AND s.user_id IS NOT NULL AND ({_BAD}) = 0) AS matches
 FROM w FULL OUTER JOIN s ON w.user_id = s.user_id"""
 
+# Stream windows closed by the watermark (max event second - 1 day):
+# run dates whose window end (run + 1 day) is at or before it.
+STREAM_FT = f"""WITH {TX},
+wm AS (SELECT date_trunc('second', max(ts)) - INTERVAL 1 DAY AS w FROM events),
+runs AS (SELECT CAST(r AS DATE) AS run FROM range(DATE '2023-12-20', DATE '2024-02-10', INTERVAL 1 DAY) t(r)
+         WHERE CAST(r AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT w FROM wm))
+SELECT {feature_select()}, runs.run AS date
+FROM tx JOIN runs ON tx.date BETWEEN runs.run - 7 AND runs.run
+GROUP BY "User ID", runs.run"""
+
 SQL: dict[str, str] = {
+    "stream_window_features": STREAM_FT,
+    "stream_current_state": CURRENT,
     "distinct_dates": f"WITH {TXD} SELECT DISTINCT date FROM tx WHERE date IS NOT NULL",
     "row_count": "SELECT COUNT(*) AS n_rows FROM events",
     "filter_date": f"WITH {TXD} SELECT * FROM tx WHERE date = DATE '2024-01-20'",
@@ -185,6 +197,9 @@ FROM events""",
   false AS has_size
 FROM part""",
     "filter_suffix": "SELECT * FROM part WHERE ends_with(lower(p_name), 'bolt')",
+    "stream_calendar_weekly": f"""WITH {CAL}
+SELECT symbol, CAST(weekofyear(agg_date) AS BIGINT) AS week_number, {CAL_MEASURES}
+FROM cal GROUP BY ALL""",
     "weekofyear_agg": f"""WITH {CAL}
 SELECT symbol, CAST(weekofyear(agg_date) AS BIGINT) AS week_number, {CAL_MEASURES}
 FROM cal GROUP BY ALL""",

@@ -1,0 +1,41 @@
+"""Versioned tables on plain files: each write goes to a new version folder
+and a one-line pointer file names the current one.
+
+Used where a table is rebuilt from itself (online table, streaming state)
+and no MERGE-capable format is present: the version being read is never
+overwritten, so a failed or retried job leaves the last good version in
+place, and each version cuts the lineage of the next job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+POINTER = "_CURRENT"
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the current version, or None when nothing was committed."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    row = spark.read.text(f"{root}/{POINTER}").first()
+    return row[0] if row else None
+
+
+def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
+    path = current_version(spark, root)
+    return spark.read.format(fmt).load(path) if path else None
+
+
+def commit_version(df: DataFrame, root: str, tag: str, fmt: str = "parquet") -> str:
+    """Write ``df`` as version ``tag`` and make it current; returns its path."""
+    spark = df.sparkSession
+    path = f"{root}/v={tag}"
+    df.write.format(fmt).mode("overwrite").save(path)
+    # The pointer moves only after the version is completely written.
+    spark.createDataFrame([(path,)], "path string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root}/{POINTER}")
+    return path
