@@ -9,18 +9,19 @@ The textbook plan - union entity and feature rows, then a window per key
 carrying the last feature row forward - puts every row of a key in one
 task.  A key holding a third of the rows would make one straggler task
 sort a third of the data.  ``asof_join`` splits time into buckets
-(default: one day) and works in two levels:
-
-1. per (key, bucket): union + ``last(..., ignorenulls)`` window finds the
-   newest feature row at or before each entity row *within its bucket*;
-2. per key, over bucket summaries only: the newest feature row of every
-   earlier bucket is carried forward to each bucket that has entity rows
-   (rows per key = number of buckets, bounded by the time span), then
-   joined back on (key, bucket) - an equi-join where every entity row
-   matches exactly one summary row, so nothing multiplies.
-
-No pair of rows within a key is ever formed, and entity rows (including
-duplicates) pass through untouched.
+(default: one day) and partitions by (key, bucket):
+
+1. small step: per (key, bucket) the newest feature row (an aggregate,
+   combined map-side) and the buckets that hold entity rows; per key,
+   ordered by bucket, each entity bucket gets the newest feature row of
+   the strictly earlier buckets (rows per key = number of buckets, bounded
+   by the time span, not by the key's row count);
+2. one shuffle of entity rows, feature rows and those carried-in rows by
+   (key, bucket); a ``last(..., ignorenulls)`` window in time order gives
+   each entity row its newest feature row at or before its time.
+
+No pair of rows within a key is ever formed, nothing is joined back, and
+entity rows (including duplicates) pass through untouched.
 """
 
 from __future__ import annotations
@@ -214,34 +215,39 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
                  F.struct(F.col("__fts").alias("__fts"), *[F.col(c) for c in columns]).alias("__f"))
     kcols = [f"__k{i}" for i in range(len(keys))]
 
-    # Level 1: within (key, bucket).  Feature rows sort before entity rows at
-    # the same instant, so feature_ts == entity_ts is a match.
-    e1 = e.select(*[F.col(f"`{c}`") for c in ecols], "__ts", "__b",
-                  *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
-                  F.lit(1).alias("__side"), F.lit(None).cast(f.schema["__f"].dataType).alias("__f"))
-    f1 = f.select(*kcols, "__b", F.col("__f.__fts").alias("__ts"),
-                  F.lit(0).alias("__side"), "__f")
-    u = e1.unionByName(f1, allowMissingColumns=True)
-    w1 = (Window.partitionBy(*kcols, "__b").orderBy("__ts", "__side", "__f")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = (u.withColumn("__hit", F.last("__f", ignorenulls=True).over(w1))
-           .where(F.col("__side") == 1))
+    ftype = f.schema["__f"].dataType
 
-    # Level 2: newest feature row of each earlier bucket, per (key, bucket)
-    # that has entity rows.  Entity markers sort before the feature summary
-    # of their own bucket, so only strictly earlier buckets are carried.
+    # Level 2 first, on small data: per (key, bucket) the newest feature row
+    # (combined map-side), and the buckets that hold entity rows.  Per key,
+    # ordered by bucket, each entity bucket receives the newest feature row
+    # of the strictly earlier buckets (entity markers sort first in a bucket).
     summary = f.groupBy(*kcols, "__b").agg(F.max("__f").alias("__f")) \
         .withColumn("__side", F.lit(1))
-    need = e1.select(*kcols, "__b").where(F.col("__b").isNotNull()).distinct() \
-        .withColumn("__side", F.lit(0)).withColumn("__f", F.lit(None).cast(f.schema["__f"].dataType))
+    need = (e.where(F.col("__b").isNotNull())
+            .select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], "__b").distinct()
+            .withColumn("__side", F.lit(0)).withColumn("__f", F.lit(None).cast(ftype)))
     w2 = (Window.partitionBy(*kcols).orderBy("__b", "__side")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carry = (need.unionByName(summary)
-             .withColumn("__carry", F.last("__f", ignorenulls=True).over(w2))
-             .where(F.col("__side") == 0).select(*kcols, "__b", "__carry"))
-
-    joined = hit.join(carry, on=kcols + ["__b"], how="left")
-    best = F.coalesce(F.col("__hit"), F.col("__carry"))
+             .withColumn("__f", F.last("__f", ignorenulls=True).over(w2))
+             .where((F.col("__side") == 0) & F.col("__f").isNotNull())
+             .select(*kcols, "__b", F.lit(None).cast("timestamp").alias("__ts"),
+                     F.lit(0).alias("__side"), "__f"))
+
+    # Level 1: one window per (key, bucket) over the carried-in row (first),
+    # the bucket's feature rows and its entity rows in time order; feature
+    # rows sort before entity rows at the same instant (feature_ts ==
+    # entity_ts is a match).  The last non-null feature row is the answer.
+    e1 = e.select(*[F.col(f"`{c}`") for c in ecols], "__ts", "__b",
+                  *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+                  F.lit(2).alias("__side"), F.lit(None).cast(ftype).alias("__f"))
+    f1 = f.select(*kcols, "__b", F.col("__f.__fts").alias("__ts"), F.lit(1).alias("__side"), "__f")
+    u = e1.unionByName(f1, allowMissingColumns=True).unionByName(carry, allowMissingColumns=True)
+    w1 = (Window.partitionBy(*kcols, "__b").orderBy(F.col("__ts").asc_nulls_first(), "__side", "__f")
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = (u.withColumn("__hit", F.last("__f", ignorenulls=True).over(w1))
+              .where(F.col("__side") == 2))
+    best = F.col("__hit")
     if ttl is not None:
         ttl_us = int(ttl.total_seconds() * 1_000_000)
         lo = F.unix_micros(F.col("__ts")) - F.lit(ttl_us)

@@ -24,6 +24,17 @@ BACKFILL_END = dt.date(2024, 1, 30)
 CDC_ID_MODULUS = 5003
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition when the scan plans fewer partitions than the
+    cluster has cores (a file with one row group is one task however large
+    the cluster).  On large inputs the scan already has enough splits and
+    this returns ``df`` unchanged, so no shuffle is added at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,7 +67,7 @@ def transactions(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
     ``exact_amount`` keeps the amount as ``decimal(18,2)`` so sums are
     exact and equal DuckDB's to the last bit; features come out as double.
     """
-    ev = events(spark, sf_dir, start, end)
+    ev = spread(events(spark, sf_dir, start, end))
     amount = F.col("value").cast("decimal(18,2)") if exact_amount else F.col("value")
     return ev.select(
         F.col("user_id").cast("string").alias(USER_COL),
@@ -78,7 +89,7 @@ def change_ops(event_id: Column) -> Column:
 
 def change_rows(spark: SparkSession, sf_dir: str, exact_amount: bool = False) -> DataFrame:
     """Flat change rows: id, op, ts_ms, lsn and the transaction fields."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     amount = F.col("value").cast("decimal(18,2)").cast("double") if exact_amount else F.col("value")
     return ev.select(
         (F.col("event_id") % CDC_ID_MODULUS).cast("int").alias("id"),
