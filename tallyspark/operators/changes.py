@@ -102,14 +102,15 @@ def current_rows(changes: DataFrame, ops=UPSERT_OPS, key: str = "id",
     ``deletes_mode="any"``: a row is gone if a delete was ever seen for its
     id, even one older than a later insert (the daily job's rule).
     ``"latest"``: deletes and upserts are ranked together and a row is gone
-    only when its newest change is a delete.
+    only when its newest change is a delete.  Changes without an id are
+    dropped: they cannot be the current version of any row.
     """
+    up = upserts(changes, ops).where(F.col(f"`{key}`").isNotNull())
     if deletes_mode == "any":
-        newest = latest_changes(upserts(changes, ops), key, order)
+        newest = latest_changes(up, key, order)
         return drop_deleted(newest, deletes(changes, key), key)
     if deletes_mode != "latest":
         raise ValueError(f"unknown deletes_mode {deletes_mode!r}")
-    up = upserts(changes, ops)
     d = deletes(changes, key, with_order=True).withColumn("op", F.lit("d"))
     both = up.unionByName(d, allowMissingColumns=True)
     return latest_changes(both, key, order).where(F.col("op") != "d")

@@ -34,9 +34,12 @@ RECORD_SCHEMA = T.StructType([
 def parse_records(df: DataFrame, schema: T.StructType = RECORD_SCHEMA, value_col: str = "value",
                   date_cols: tuple = ("date",), date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Parse one flat JSON record per message; date text to ``date``
-    (unparsable dates become null)."""
-    parsed = df.select(F.from_json(F.col(value_col).cast("string"), schema).alias("r")) \
-        .where(F.col("r").isNotNull()).select("r.*")
+    (unparsable dates become null).  Messages that are not JSON objects, or
+    carry none of the fields, are dropped."""
+    parsed = df.select(F.inline(F.array(
+        F.from_json(F.col(value_col).cast("string"), schema))))
+    parsed = parsed.where(F.coalesce(*[F.col(f"`{f.name}`").cast("string")
+                                       for f in schema.fields]).isNotNull())
     for c in date_cols:
         parsed = parsed.withColumn(c, parse_date(F.col(c), date_format))
     return parsed
