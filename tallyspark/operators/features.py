@@ -73,6 +73,13 @@ def window_features(df: DataFrame, run_date: str | dt.date, label: str = "l1w",
     return aggregate_features(rows, label, **kw).withColumn("date", F.lit(run))
 
 
+def with_feature_timestamp(df: DataFrame, at=None, col: str = "feature_timestamp") -> DataFrame:
+    """Stamp rows with the time they were computed (``current_timestamp()``,
+    one value per query), or with a given time (tests, replays)."""
+    value = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    return df.withColumn(col, value)
+
+
 def backfill_features(df: DataFrame, start: str | dt.date, end: str | dt.date,
                       label: str = "l1w", days_back: int = 7, date_col: str = "date",
                       key: str = USER_COL, count_col: str = TXN_COL, amount: str = AMOUNT_COL,

@@ -21,7 +21,7 @@ from ..schemas import (AMOUNT_COL, SOURCE_COL, TIME_COL, TIME_FORMAT, TXN_COL,
 RUN_DATE = dt.date(2024, 1, 20)
 BACKFILL_START = dt.date(2024, 1, 8)
 BACKFILL_END = dt.date(2024, 1, 30)
-CDC_ID_MODULUS = 5003
+CDC_EVENTS_PER_ROW = 3
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -92,7 +92,8 @@ def change_rows(spark: SparkSession, sf_dir: str, exact_amount: bool = False) ->
     ev = spread(table(spark, sf_dir, "events"))
     amount = F.col("value").cast("decimal(18,2)").cast("double") if exact_amount else F.col("value")
     return ev.select(
-        (F.col("event_id") % CDC_ID_MODULUS).cast("int").alias("id"),
+        # consecutive events are successive changes of one source row
+        F.expr(f"event_id div {CDC_EVENTS_PER_ROW}").cast("int").alias("id"),
         change_ops(F.col("event_id")).alias("op"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
         F.col("event_id").alias("lsn"),

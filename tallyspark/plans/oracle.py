@@ -20,7 +20,7 @@ TX = """tx AS (
 
 # Flat change rows (mirrors inputs.change_rows).
 CH = """ch AS (
-  SELECT CAST(event_id % 5003 AS INTEGER) AS id,
+  SELECT CAST(event_id // 3 AS INTEGER) AS id,
          CASE WHEN event_id % 10 = 0 THEN 'd' WHEN event_id % 10 < 3 THEN 'u' ELSE 'c' END AS op,
          epoch_us(ts) // 1000 AS ts_ms,
          event_id AS lsn,
@@ -95,8 +95,7 @@ online AS (SELECT * EXCLUDE (rk) FROM (
 ASOF_BASE = f"""{PROJ},
 f AS (SELECT user_id, CAST(date AS TIMESTAMP) AS fts, num_transactions_l1w, total_amount_l1w,
              num_vendors_l1w FROM proj),
-e AS (SELECT CAST(user_id AS VARCHAR) AS user_id, ts AS event_timestamp FROM events
-      WHERE event_type = 'purchase')"""
+e AS (SELECT CAST(user_id AS VARCHAR) AS user_id, ts AS event_timestamp FROM events)"""
 ASOF = f"""WITH {ASOF_BASE}
 SELECT e.user_id, e.event_timestamp, f.num_transactions_l1w, f.total_amount_l1w, f.num_vendors_l1w
 FROM e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.event_timestamp >= f.fts"""

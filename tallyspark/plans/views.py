@@ -56,9 +56,9 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training entity rows: every purchase event, keyed by user, at its time."""
+    """Training entity rows: every event, keyed by user, at its time."""
     ev = I.table(spark, sf_dir, "events")
-    return ev.where(F.col("event_type") == "purchase").select(
+    return ev.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("ts").alias("event_timestamp"))
 

@@ -134,3 +134,22 @@ def table_history(spark: SparkSession, path: str, n: int = 5, operations=("WRITE
             .select("version", "timestamp", "operation", "operationParameters",
                     F.element_at("operationParameters", F.lit("partitionBy")).alias("partition_by"),
                     F.map_contains_key("operationParameters", "predicate").alias("has_predicate")))
+
+
+class ResultTooLarge(RuntimeError):
+    """Raised instead of pulling an unbounded result into the driver."""
+
+
+def to_pandas(df: DataFrame, max_rows: int = 100_000):
+    """``toPandas`` for results that are known to be small (online reads,
+    previews).  The row count is checked first with a bounded job
+    (``limit(max_rows + 1)``), so a large result fails fast instead of
+    exhausting the driver."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ResultTooLarge(f"result has more than {max_rows} rows; write it to a table instead")
+    return df.toPandas()
+
+
+def from_pandas(spark: SparkSession, pdf, schema=None) -> DataFrame:
+    """pandas frame to Spark (Arrow transfer when enabled on the session)."""
+    return spark.createDataFrame(pdf, schema=schema)

@@ -107,3 +107,16 @@ def test_stream_calendar_complete(spark, tmp_dir):
                                       {"avg_price": ("avg", "price_daily")})
     st.start_complete(agg, f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
     assert rows(read_current(spark, f"{tmp_dir}/out")) == [("BTC", 2, 20.0)]
+
+
+def test_duplicate_delivery_dropped(spark, tmp_dir):
+    src = f"{tmp_dir}/tx"
+    df = spark.createDataFrame([("u1", "1", 1.0, "v", "s", dt.datetime(2025, 3, 10)),
+                                ("u1", "1", 1.0, "v", "s", dt.datetime(2025, 3, 10)),
+                                ("u1", "2", 2.0, "v", "s", dt.datetime(2025, 3, 12))], TX_SCHEMA)
+    df.write.parquet(src)
+    out = st.stream_window_features(st.stream_files(spark, src, df.schema), "ts",
+                                    watermark="0 seconds", dedupe_key="Transaction ID")
+    st.start_append(out, f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out")
+    assert got.where("date = DATE'2025-03-10'").first()["num_transactions_l1w"] == 1
