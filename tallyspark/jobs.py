@@ -14,25 +14,54 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.dates import parse_run_date, window_start
 from .operators import changes as chg
 from .operators import features as feat
 from .operators import quality as dq
 from .operators.filters import in_range
-from .sources.tables import read_table, write_partitions
+from .sources.tables import drop_partition, read_table, write_partitions
+
+
+def _write_days(day_rows: DataFrame, days: list[dt.date], out_path: str, fmt: str) -> None:
+    """Overwrite the given days' partitions with ``day_rows``; days that end
+    up with no rows (every row deleted or moved away) are removed, which a
+    dynamic overwrite alone would leave in place.  The per-day row counts
+    are observed during the write itself, so no extra job runs."""
+    obs = Observation("written_days")
+    counted = day_rows.observe(obs, F.collect_set("date").alias("dates"))
+    write_partitions(counted, out_path, "date", fmt)
+    present = set(obs.get.get("dates") or [])
+    spark = day_rows.sparkSession
+    for d in days:
+        if d not in present:
+            drop_partition(spark, out_path, "date", d)
 
 
 def daily_ingest(messages: DataFrame, run_date: str | dt.date, out_path: str,
                  fmt: str = "parquet", deletes_mode: str = "any") -> DataFrame:
     """Write the run date's current rows; returns the frame that was written."""
-    day = chg.ingest_day(chg.parse_changes(messages), parse_run_date(run_date),
-                         deletes_mode=deletes_mode)
-    write_partitions(day, out_path, "date", fmt)
+    run = parse_run_date(run_date)
+    day = chg.ingest_day(chg.parse_changes(messages), run, deletes_mode=deletes_mode)
+    _write_days(day, [run], out_path, fmt)
     return day
 
 
+def backfill_ingest(messages: DataFrame, start: str | dt.date, end: str | dt.date,
+                    out_path: str, fmt: str = "parquet", deletes_mode: str = "any") -> DataFrame:
+    """Rebuild every day of ``[start, end]`` in one job.  A row whose newest
+    version moved to another day disappears from its old day as long as both
+    days are in the range (single-day runs cannot remove it)."""
+    s, e = parse_run_date(start), parse_run_date(end)
+    rows = chg.with_event_date(chg.current_rows(chg.parse_changes(messages),
+                                                deletes_mode=deletes_mode))
+    days = rows.where(F.col("date").between(F.lit(s), F.lit(e))).drop("id", "ts_ms", "lsn")
+    _write_days(days, [s + dt.timedelta(days=i) for i in range((e - s).days + 1)], out_path, fmt)
+    return days
+
+
 def daily_features(spark: SparkSession, raw_path: str, run_date: str | dt.date, out_path: str,
                    fmt: str = "parquet", days_back: int = 7, min_dates: int = 7,
                    label: str = "l1w") -> DataFrame:

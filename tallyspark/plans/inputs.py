@@ -161,7 +161,7 @@ def calendar_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat daily records from orders as rows for JSON messages."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     return o.select(F.col("o_orderpriority").alias("symbol"),
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
                     F.col("o_totalprice").alias("price_daily"),
@@ -173,7 +173,7 @@ def candle_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders packed as exchange candles: ``symbol`` + 12-element string array
     (open time ms, open, high, low, close, volume, close time ms, quote
     volume, trades, taker base, taker quote, unused)."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     p = F.col("o_totalprice")
     open_ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     parts = [open_ms, p, p + 10, p - 10, p + 1, F.col("o_custkey"), open_ms + 3599999, p * 2,

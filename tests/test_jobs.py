@@ -51,3 +51,35 @@ def test_feature_timestamp_and_to_pandas(spark):
     with pytest.raises(tb.ResultTooLarge):
         tb.to_pandas(spark.range(10), max_rows=5)
     assert tb.from_pandas(spark, tb.to_pandas(df)).count() == 1
+
+
+def _m(i, day, op="c", ts=None):
+    return _msg(i, day, op) if ts is None else json.dumps({"payload": {
+        "before": None, "after": json.loads(_msg(i, day))["payload"]["after"], "op": op,
+        "source": {"ts_ms": ts, "lsn": ts}}})
+
+
+def test_empty_day_is_removed(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    day = dt.date(2025, 3, 10)
+    first = spark.createDataFrame([(_msg(1, day),)], "value string")
+    jobs.daily_ingest(first, day, raw)
+    assert spark.read.parquet(raw).count() == 1
+    # the only row of the day is deleted: the re-run leaves no stale partition
+    both = spark.createDataFrame([(_msg(1, day),), (_msg(1, day, "d"),)], "value string")
+    jobs.daily_ingest(both, day, raw)
+    import os
+    assert not any(p.startswith("date=") for p in os.listdir(raw))
+
+
+def test_backfill_ingest_moves_rows(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    d1, d2 = dt.date(2025, 3, 10), dt.date(2025, 3, 11)
+    before = spark.createDataFrame([(_m(1, d1, ts=1),), (_m(2, d1, ts=2),)], "value string")
+    jobs.backfill_ingest(before, d1, d2, raw)
+    assert rows(spark.read.parquet(raw), "Transaction ID", "date") == [("1", d1), ("2", d1)]
+    # row 1 is updated and now belongs to the next day
+    after = spark.createDataFrame([(_m(1, d1, ts=1),), (_m(2, d1, ts=2),), (_m(1, d2, "u", ts=3),)],
+                                  "value string")
+    jobs.backfill_ingest(after, d1, d2, raw)
+    assert rows(spark.read.parquet(raw), "Transaction ID", "date") == [("1", d2), ("2", d1)]
