@@ -328,10 +328,10 @@ def q_stream_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change messages land as files (several micro-batches); the state table
+    """Change messages land as files (two micro-batches); the state table
     keeps the newest version per id with sticky deletes."""
     src, state = shared_path(spark, "change-files"), shared_path(spark, "state")
-    I.change_messages(spark, sf_dir).select("value").repartition(4).write.text(src)
+    I.change_messages(spark, sf_dir).select("value").repartition(2).write.text(src)
     stream = st.stream_changes(spark, src, max_files_per_trigger=1)
     st.start_current_state(stream, state, shared_path(spark, "ckpt")).awaitTermination()
     return st.current_from_state(st.read_state(spark, state))
@@ -341,7 +341,7 @@ def q_stream_calendar_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON records land as files; weekly per-symbol aggregates in complete
     mode, each trigger committing a new version of the result table."""
     src, out = shared_path(spark, "record-files"), shared_path(spark, "weekly")
-    rec.to_messages(I.record_messages(spark, sf_dir)).select("value").repartition(3).write.text(src)
+    rec.to_messages(I.record_messages(spark, sf_dir)).select("value").repartition(2).write.text(src)
     records = rec.parse_records(st.stream_changes(spark, src, max_files_per_trigger=1))
     cal = records.select("symbol", F.col("date").alias("agg_date"),
                          F.col("price_daily").cast("decimal(18,2)").alias("price"))

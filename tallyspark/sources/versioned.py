@@ -1,28 +1,38 @@
 """Versioned tables on plain files: each write goes to a new version folder
-and a one-line pointer file names the current one.
+``v=<tag>`` (tags sort in time order) and the current version is the
+greatest tag whose folder carries the writer's ``_SUCCESS`` commit marker.
 
 Used where a table is rebuilt from itself (online table, streaming state)
 and no MERGE-capable format is present: the version being read is never
-overwritten, so a failed or retried job leaves the last good version in
-place, and each version cuts the lineage of the next job.
+overwritten, a failed or half-written version is never picked up (it has
+no marker), and each version cuts the lineage of the next job.  Finding
+the current version is one directory listing; no Spark job runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+MARKER = "_SUCCESS"
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Path of the current version, or None when nothing was committed."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    fs, jroot = _fs(spark, root)
+    if not fs.exists(jroot):
         return None
-    row = spark.read.text(f"{root}/{POINTER}").first()
-    return row[0] if row else None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(jroot)
+                   if s.isDirectory() and s.getPath().getName().startswith("v="))
+    for name in reversed(names):
+        _, marker = _fs(spark, f"{root}/{name}/{MARKER}")
+        if fs.exists(marker):
+            return f"{root}/{name}"
+    return None
 
 
 def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
@@ -31,11 +41,8 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
 
 
 def commit_version(df: DataFrame, root: str, tag: str, fmt: str = "parquet") -> str:
-    """Write ``df`` as version ``tag`` and make it current; returns its path."""
-    spark = df.sparkSession
+    """Write ``df`` as version ``tag``; it becomes current when the write
+    commits (marker written last by the output committer)."""
     path = f"{root}/v={tag}"
     df.write.format(fmt).mode("overwrite").save(path)
-    # The pointer moves only after the version is completely written.
-    spark.createDataFrame([(path,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(f"{root}/{POINTER}")
     return path
