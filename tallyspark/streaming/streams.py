@@ -10,10 +10,11 @@
   is dropped.
 * ``stream_calendar_features``: week / month buckets in complete mode; every
   trigger commits the whole result as a new table version.
-* ``start_current_state``: newest version of every row id kept in a table,
-  fed by ``foreachBatch``.  Deleted ids stay in the state as markers so a
-  late, older change cannot bring a row back.  Uses Delta ``MERGE`` when
-  Delta is present, else a versioned rewrite of the state.
+* ``start_current_state``: newest version of every row id, kept in Spark's
+  state store; each micro-batch emits only the ids it changed (merged with
+  Delta ``MERGE`` when present, else appended to a change log that
+  ``read_state`` reduces and ``compact_state`` folds).  Deleted ids stay as
+  markers so a late, older change cannot bring a row back.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from ..schemas import (AMOUNT_COL, SOURCE_COL, TRANSACTION_ROW, TXN_COL, USER_CO
                        VENDOR_COL)
 from ..sources.connectors import TopicConfig, kafka_read_options
 from ..sources.tables import delta_available
-from ..sources.versioned import commit_version, current_version, read_current
+from ..sources.versioned import _fs as _versioned_fs
+from ..sources.versioned import commit_version, current_version
 
 
 def stream_changes(spark: SparkSession, path: str | None = None, cfg: TopicConfig | None = None,
@@ -118,12 +120,11 @@ def start_complete(df: DataFrame, root: str, checkpoint: str,
     return w.start()
 
 
-def _state_rows(batch: DataFrame, row_schema: T.StructType, ops, key: str) -> DataFrame:
-    """A micro-batch of messages as state rows: upserts, plus delete markers."""
-    parsed = chg.parse_changes(batch, row_schema)
+def _state_rows(parsed: DataFrame, ops, key: str) -> DataFrame:
+    """Parsed changes as state rows: upserts, plus delete markers."""
     up = chg.upserts(parsed, ops, key)
     dl = chg.deletes(parsed, key, with_order=True).withColumn("op", F.lit("d"))
-    return up.unionByName(dl, allowMissingColumns=True)
+    return up.unionByName(dl, allowMissingColumns=True).where(F.col(key).isNotNull())
 
 
 def reduce_state(rows: DataFrame, key: str = "id", order=("ts_ms", "lsn"),
@@ -136,6 +137,18 @@ def reduce_state(rows: DataFrame, key: str = "id", order=("ts_ms", "lsn"),
     return chg.latest_changes(rows, key, order)
 
 
+def _newest_agg(rows: DataFrame, key: str, order, deletes_mode: str) -> DataFrame:
+    """Streaming form of ``reduce_state``: one ``max_by`` per id, kept in the
+    state store (window ranking is refused on streams)."""
+    rest = [c for c in rows.columns if c != key]
+    packed = F.struct(*[F.col(f"`{c}`") for c in rest])
+    rank = [F.col(c) for c in order]
+    if deletes_mode == "any":
+        rank = [(F.col("op") == "d").cast("int")] + rank
+    agg = rows.groupBy(key).agg(F.max_by(packed, F.struct(*rank)).alias("__r"))
+    return agg.select(key, *[F.col("__r")[c].alias(c) for c in rest])
+
+
 def current_from_state(state: DataFrame) -> DataFrame:
     """Live rows of a state table (delete markers removed)."""
     return state.where(F.col("op") != "d")
@@ -145,29 +158,73 @@ def start_current_state(messages: DataFrame, state_root: str, checkpoint: str,
                         row_schema: T.StructType = TRANSACTION_ROW, ops=chg.UPSERT_OPS,
                         key: str = "id", order=("ts_ms", "lsn"), deletes_mode: str = "any",
                         available_now: bool = True) -> StreamingQuery:
-    """Keep the current version of every row id from a change stream."""
+    """Keep the current version of every row id from a change stream.
+
+    The newest version per id lives in Spark's state store (a streaming
+    ``max_by`` aggregation in update mode, fault tolerant through the
+    checkpoint; use the RocksDB provider for large states).  Each
+    micro-batch emits only the ids it changed: with Delta they are merged
+    into the table, otherwise appended to ``<root>/log/batch=<id>`` (a
+    replayed batch rewrites its own folder).  Work per batch is bounded by
+    the batch, not by the table.  Read with ``read_state``; fold the log
+    with ``compact_state``.
+    """
     spark = messages.sparkSession
     use_merge = delta_available(spark)
+    rows = _state_rows(chg.parse_changes(messages, row_schema), ops, key)
+    newest = _newest_agg(rows, key, order, deletes_mode)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        fresh = reduce_state(_state_rows(batch, row_schema, ops, key), key, order, deletes_mode)
-        tag = f"{batch_id:012d}"
         if use_merge:
-            _merge_delta(spark, fresh, state_root, key, order, deletes_mode)
-            return
-        cur_path = current_version(spark, state_root)
-        if cur_path and cur_path.endswith(f"v={tag}"):
-            return  # this batch was committed before a restart; replay is a no-op
-        current = read_current(spark, state_root)
-        merged = fresh if current is None else reduce_state(
-            current.unionByName(fresh, allowMissingColumns=True), key, order, deletes_mode)
-        commit_version(merged, state_root, tag)
-
-    w = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
+            _merge_delta(spark, batch, state_root, key, order, deletes_mode)
+        else:
+            batch.write.mode("overwrite").parquet(f"{state_root}/log/batch={batch_id:012d}")
+
+    w = (newest.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(apply))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+def _base_and_log(spark: SparkSession, state_root: str):
+    base_path = current_version(spark, f"{state_root}/base")
+    upto = int(base_path.rsplit("=", 1)[1]) if base_path else -1
+    fs, jlog = _versioned_fs(spark, f"{state_root}/log")
+    log = None
+    if fs.exists(jlog):
+        log = spark.read.parquet(f"{state_root}/log").where(F.col("batch") > F.lit(upto)).drop("batch")
+    base = spark.read.parquet(base_path) if base_path else None
+    return base, log
+
+
+def read_state(spark: SparkSession, state_root: str, key: str = "id", order=("ts_ms", "lsn"),
+               deletes_mode: str = "any") -> DataFrame | None:
+    """The state table: newest entry per id over the compacted base and the
+    log written since (delete markers included)."""
+    if delta_available(spark):
+        return spark.read.format("delta").load(f"{state_root}/delta")
+    base, log = _base_and_log(spark, state_root)
+    parts = [p for p in (base, log) if p is not None]
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reduce_state(rows, key, order, deletes_mode)
+
+
+def compact_state(spark: SparkSession, state_root: str, key: str = "id",
+                  order=("ts_ms", "lsn"), deletes_mode: str = "any") -> str | None:
+    """Fold the log into a new base version tagged with the last batch id
+    included; later reads only combine the base with newer log batches."""
+    fs, jlog = _versioned_fs(spark, f"{state_root}/log")
+    if not fs.exists(jlog):
+        return None
+    last = spark.read.parquet(f"{state_root}/log").agg(F.max("batch")).first()[0]
+    if last is None:
+        return None
+    state = read_state(spark, state_root, key, order, deletes_mode)
+    return commit_version(state, f"{state_root}/base", f"{int(last):012d}")
+
+
 def _merge_delta(spark: SparkSession, fresh: DataFrame, root: str, key: str, order,
                  deletes_mode: str) -> None:  # pragma: no cover - needs the Delta jar
     from delta.tables import DeltaTable  # type: ignore
@@ -187,7 +244,3 @@ def _merge_delta(spark: SparkSession, fresh: DataFrame, root: str, key: str, ord
      .whenMatchedUpdateAll(condition=cond).whenNotMatchedInsertAll().execute())
 
 
-def read_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    if delta_available(spark):
-        return spark.read.format("delta").load(f"{state_root}/delta")
-    return read_current(spark, state_root)

@@ -120,3 +120,28 @@ def test_duplicate_delivery_dropped(spark, tmp_dir):
     st.start_append(out, f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
     got = spark.read.parquet(f"{tmp_dir}/out")
     assert got.where("date = DATE'2025-03-10'").first()["num_transactions_l1w"] == 1
+
+
+def test_state_log_and_compaction(spark, tmp_dir):
+    src = f"{tmp_dir}/msgs"
+    os.makedirs(src)
+    batches = [[_msg("c", 1, 1.0, 10, 1), _msg("c", 2, 2.0, 10, 2)],
+               [_msg("u", 1, 5.0, 20, 3)],
+               [_msg("d", 2, None, 30, 4), _msg("c", 3, 3.0, 30, 5)]]
+    root, ckpt = f"{tmp_dir}/state", f"{tmp_dir}/ckpt"
+    with open(f"{src}/part-0.json", "w") as fh:
+        fh.write("\n".join(batches[0]) + "\n")
+    st.start_current_state(st.stream_changes(spark, src, max_files_per_trigger=1), root,
+                           ckpt).awaitTermination()
+    assert st.compact_state(spark, root) is not None
+    for i in (1, 2):
+        with open(f"{src}/part-{i}.json", "w") as fh:
+            fh.write("\n".join(batches[i]) + "\n")
+    st.start_current_state(st.stream_changes(spark, src, max_files_per_trigger=1), root,
+                           ckpt).awaitTermination()
+    # later batches emit only the ids they changed (1; 2 and 3), not the table
+    assert spark.read.parquet(f"{root}/log").where("batch > 0").count() == 3
+    got = st.current_from_state(st.read_state(spark, root))
+    assert rows(got, "id", "Amount") == [(1, 5.0), (3, 3.0)]
+    st.compact_state(spark, root)
+    assert rows(st.current_from_state(st.read_state(spark, root)), "id", "Amount") == [(1, 5.0), (3, 3.0)]
