@@ -91,8 +91,10 @@ def latest_changes(df: DataFrame, key: str = "id", order=("ts_ms", "lsn")) -> Da
 
 
 def drop_deleted(rows: DataFrame, deleted: DataFrame, key: str = "id") -> DataFrame:
-    """Left anti join: rows whose id was never deleted."""
-    return rows.join(deleted.select(key), on=[key], how="left_anti")
+    """Left anti join: rows whose id was never deleted.  Delete ids are
+    de-duplicated first (combined map-side), so an id deleted many times
+    does not pile up in one task of the join."""
+    return rows.join(deleted.select(key).distinct(), on=[key], how="left_anti")
 
 
 def current_rows(changes: DataFrame, ops=UPSERT_OPS, key: str = "id",
