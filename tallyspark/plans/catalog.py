@@ -170,6 +170,13 @@ def q_distinct_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.distinct_dates(tx_double(spark, sf_dir))
 
 
+def q_date_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The completeness gate's measure for the run date's window."""
+    start = window_start(I.RUN_DATE, 7)
+    tx = flt.in_range(tx_double(spark, sf_dir, start, I.RUN_DATE), start, I.RUN_DATE)
+    return dq.count_distinct_dates(tx)
+
+
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.row_count(tx_double(spark, sf_dir))
 
@@ -355,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "stream_current_state": q_stream_current_state,
     "stream_calendar_weekly": q_stream_calendar_weekly,
     "distinct_dates": q_distinct_dates,
+    "date_gate": q_date_gate,
     "row_count": q_row_count,
     "filter_date": q_filter_date,
     "filter_range": q_filter_range,

@@ -150,6 +150,8 @@ SQL: dict[str, str] = {
     "stream_window_features": STREAM_FT,
     "stream_current_state": CURRENT,
     "distinct_dates": f"WITH {TXD} SELECT DISTINCT date FROM tx WHERE date IS NOT NULL",
+    "date_gate": f"""WITH {TXD} SELECT COUNT(DISTINCT date) AS n_dates FROM tx
+WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20' AND date IS NOT NULL""",
     "row_count": "SELECT COUNT(*) AS n_rows FROM events",
     "filter_date": f"WITH {TXD} SELECT * FROM tx WHERE date = DATE '2024-01-20'",
     "filter_range": f"WITH {TXD} SELECT * FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'",
