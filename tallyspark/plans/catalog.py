@@ -40,7 +40,8 @@ def q_weekly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfilled daily feature table (2024-01-08 .. 2024-01-30)."""
-    tx = I.transactions(spark, sf_dir, window_start(I.BACKFILL_START, 7), I.BACKFILL_END)
+    tx = I.transactions(spark, sf_dir, window_start(I.BACKFILL_START, 7), I.BACKFILL_END,
+                        spread_rows=True)
     return feat.backfill_features(tx, I.BACKFILL_START, I.BACKFILL_END, "l1w", days_back=7)
 
 

@@ -61,13 +61,16 @@ def source_of(props: Column) -> Column:
 
 
 def transactions(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
-                 end: dt.date | None = None, exact_amount: bool = True) -> DataFrame:
+                 end: dt.date | None = None, exact_amount: bool = True,
+                 spread_rows: bool = False) -> DataFrame:
     """Raw transaction rows (``User ID`` … ``Time``, ``date``) from ``events``.
 
     ``exact_amount`` keeps the amount as ``decimal(18,2)`` so sums are
     exact and equal DuckDB's to the last bit; features come out as double.
+    ``spread_rows`` is for CPU-heavy consumers only (see ``spread``).
     """
-    ev = spread(events(spark, sf_dir, start, end))
+    ev = events(spark, sf_dir, start, end)
+    ev = spread(ev) if spread_rows else ev
     amount = F.col("value").cast("decimal(18,2)") if exact_amount else F.col("value")
     return ev.select(
         F.col("user_id").cast("string").alias(USER_COL),
