@@ -257,6 +257,18 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
                       *[F.col("__best")[c].alias(prefix + c) for c in columns])
 
 
+def _as_frame(rows, frames: dict) -> DataFrame:
+    """Entity rows as given by callers - a DataFrame, a pandas frame or a
+    list of dicts (a handful of keys for an online read) - as a DataFrame."""
+    if isinstance(rows, DataFrame):
+        return rows
+    spark = next(iter(frames.values())).sparkSession
+    if isinstance(rows, list):
+        import pandas as pd
+        rows = pd.DataFrame(rows)
+    return spark.createDataFrame(rows)
+
+
 def get_historical_features(entity_df: DataFrame, refs: list[str],
                             sources: dict[str, DataFrame], views: list[FeatureView],
                             entity_ts: str = ENTITY_TS, full_feature_names: bool = False,
@@ -269,6 +281,7 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
     Output: entity columns, then the features in request order.
     """
     plan = resolve(refs, views)
+    entity_df = _as_frame(entity_df, sources)
     out = entity_df
     if isinstance(entity_df.schema[entity_ts].dataType, T.StringType):
         out = out.withColumn(entity_ts, as_timestamp(F.col(entity_ts)))
@@ -354,6 +367,7 @@ def get_online_features(online: dict[str, DataFrame], entity_keys: DataFrame, re
     the matched rows are left-joined back to the keys.
     """
     plan = resolve(refs, views)
+    entity_keys = _as_frame(entity_keys, online)
     out = entity_keys
     vmap = {v.name: v for v in views}
     by_view: dict[str, list[str]] = {}

@@ -169,3 +169,15 @@ def test_online_lookup_unknown_key(spark):
                                      "customer_features:num_transactions_l1w"], [VIEW])
     assert out.columns == ["user_id", "total_amount_l1w", "num_transactions_l1w"]
     assert rows(out) == [("u1", 30.0, 3), ("u1", 30.0, 3), ("u9", None, None)]
+
+
+def test_entity_rows_as_list_and_pandas(spark):
+    import pandas as pd
+    online = store.online_rows(VIEW, asof_features(spark))
+    out = store.get_online_features({"customer_features": online}, [{"user_id": "u2"}],
+                                    ["customer_features:num_transactions_l1w"], [VIEW])
+    assert rows(out) == [("u2", 7)]
+    pdf = pd.DataFrame([{"user_id": "u1", "event_timestamp": "2025-03-18"}])
+    hist = store.get_historical_features(pdf, ["customer_features:num_transactions_l1w"],
+                                         {"customer_features": asof_features(spark)}, [VIEW])
+    assert [r["num_transactions_l1w"] for r in hist.collect()] == [2]
