@@ -8,6 +8,7 @@ runtime statistics.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -50,6 +51,29 @@ def get_session(master: str | None = None, app: str = "tallyspark",
     return spark
 
 
+MB = 1 << 20
+
+
+def cluster_settings(total_cores: int, largest_shuffle_bytes: int,
+                     partition_bytes: int = 256 * MB, max_partitions: int = 100_000) -> dict:
+    """Shuffle and scan sizing for a large cluster.
+
+    AQE can merge small shuffle partitions but only splits them for skewed
+    joins, so the initial count must be fine enough for the largest shuffle:
+    about ``partition_bytes`` each (at least three tasks per core), which
+    AQE then coalesces toward the same advisory size.  Pass the result as
+    ``conf`` to ``get_session`` (or ``spark-submit --conf``).
+    """
+    parts = max(total_cores * 3, math.ceil(largest_shuffle_bytes / partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(parts, max_partitions)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

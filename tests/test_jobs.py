@@ -83,3 +83,12 @@ def test_backfill_ingest_moves_rows(spark, tmp_dir):
                                   "value string")
     jobs.backfill_ingest(after, d1, d2, raw)
     assert rows(spark.read.parquet(raw), "Transaction ID", "date") == [("1", d2), ("2", d1)]
+
+
+def test_cluster_settings():
+    from tallyspark.session import cluster_settings
+    big = cluster_settings(8000, 20 * (1 << 40))          # 20 TB largest shuffle
+    assert big["spark.sql.shuffle.partitions"] == str(20 * (1 << 40) // (256 << 20))
+    small = cluster_settings(8, 1 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert cluster_settings(8000, 1 << 50)["spark.sql.shuffle.partitions"] == "100000"
