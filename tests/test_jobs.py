@@ -92,3 +92,18 @@ def test_cluster_settings():
     small = cluster_settings(8, 1 << 20)
     assert small["spark.sql.shuffle.partitions"] == "24"
     assert cluster_settings(8000, 1 << 50)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_window_prunes_date_partitions(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    days = [dt.date(2025, 3, 1) + dt.timedelta(days=k) for k in range(20)]
+    data = [(f"u{i % 3}", str(i), float(i), "v", "s", days[i % 20]) for i in range(100)]
+    df = spark.createDataFrame(data, "`User ID` string, `Transaction ID` string, Amount double, "
+                                     "Vendor string, Sources string, date date")
+    tb.write_partitions(df, raw)
+    out = feat.window_features(spark.read.parquet(raw), dt.date(2025, 3, 15))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert "PartitionFilters: [isnotnull(date" in scan and "2025-03-08" in scan
+    assert "Transaction ID" in scan and "Time" not in scan
+    assert out.count() == 3
