@@ -93,6 +93,9 @@ class FeatureView:
     ttl: dt.timedelta | None = None
     online: bool = True
     timestamp_field: str | None = field(default=None)
+    # A row stamped t is treated as visible from t + availability_delay (a
+    # daily feature dated d is computed from data through the end of d).
+    availability_delay: dt.timedelta | None = None
 
     @property
     def join_keys(self) -> list[str]:
@@ -124,6 +127,14 @@ class FeatureView:
         cols += [F.col(n).cast(self.field(n).spark_type).alias(n) for n in names]
         return df.select(*cols)
 
+    def visible(self, df: DataFrame) -> DataFrame:
+        """The timestamp column as the time the row became visible."""
+        if not self.availability_delay or not self.ts_field:
+            return df
+        delay_us = int(self.availability_delay.total_seconds() * 1_000_000)
+        ts = F.timestamp_micros(F.unix_micros(as_timestamp(F.col(self.ts_field))) + F.lit(delay_us))
+        return df.withColumn(self.ts_field, ts)
+
     def validate(self, df: DataFrame) -> DataFrame:
         """One row per required column: present, actual type, castable."""
         return validate_schema(df, self)
@@ -293,7 +304,7 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
     vmap = {v.name: v for v in views}
     for vname, fnames in by_view.items():
         view = vmap[vname]
-        src = view.project(sources[vname], fnames)
+        src = view.visible(view.project(sources[vname], fnames))
         prefix = f"{vname}__" if full_feature_names else ""
         if view.ts_field:
             out = asof_join(out, src, view.join_keys, entity_ts, view.ts_field, fnames,
@@ -319,7 +330,7 @@ def newest_rows(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 def online_rows(view: FeatureView, source: DataFrame, end=None, start=None) -> DataFrame:
     """Newest projected row per key with ``start < ts <= end``."""
     ts = view.ts_field
-    rows = view.project(source)
+    rows = view.visible(view.project(source))
     if start is not None:
         rows = rows.where(F.col(ts) > F.lit(start))
     if end is not None:

@@ -181,3 +181,20 @@ def test_entity_rows_as_list_and_pandas(spark):
     hist = store.get_historical_features(pdf, ["customer_features:num_transactions_l1w"],
                                          {"customer_features": asof_features(spark)}, [VIEW])
     assert [r["num_transactions_l1w"] for r in hist.collect()] == [2]
+
+
+def test_availability_delay(spark):
+    entity = spark.createDataFrame([("u1", "2025-03-12 12:00:00"), ("u1", "2025-03-13 00:00:00")],
+                                   "user_id string, event_timestamp string")
+    refs = ["customer_features:num_transactions_l1w"]
+    srcs = {"customer_features": asof_features(spark)}
+    plain = store.get_historical_features(entity, refs, srcs, [VIEW])
+    assert rows(plain, "num_transactions_l1w") == [(2,), (2,)]
+    delayed = FeatureView("customer_features", (CUSTOMER,), FIELDS, SRC,
+                          availability_delay=dt.timedelta(days=1))
+    out = store.get_historical_features(entity, refs, srcs, [delayed])
+    # the row dated 03-12 is visible from 03-13 00:00 only
+    got = sorted((str(r[1]), r[2]) for r in out.collect())
+    assert got == [("2025-03-12 12:00:00", 1), ("2025-03-13 00:00:00", 2)]
+    online = store.online_rows(delayed, asof_features(spark), end=dt.datetime(2025, 3, 20, 12))
+    assert rows(online, "user_id", "num_transactions_l1w") == [("u1", 2), ("u2", 7)]
