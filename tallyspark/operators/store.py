@@ -218,7 +218,11 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
     e = entity.select(*[F.col(f"`{c}`") for c in ecols],
                       as_timestamp(F.col(entity_ts)).alias("__ts"))
     e = e.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
-    f = (features.where(F.col(feature_ts).isNotNull())
+    # Null keys never match (as in a join): such feature rows are dropped.
+    present = F.col(feature_ts).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    f = (features.where(present)
          .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                  as_timestamp(F.col(feature_ts)).alias("__fts"), *fcols))
     f = f.select(*[f"__k{i}" for i in range(len(keys))],

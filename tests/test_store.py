@@ -198,3 +198,13 @@ def test_availability_delay(spark):
     assert got == [("2025-03-12 12:00:00", 1), ("2025-03-13 00:00:00", 2)]
     online = store.online_rows(delayed, asof_features(spark), end=dt.datetime(2025, 3, 20, 12))
     assert rows(online, "user_id", "num_transactions_l1w") == [("u1", 2), ("u2", 7)]
+
+
+def test_null_keys_never_match(spark):
+    feats = asof_features(spark).unionByName(spark.createDataFrame(
+        [(None, 5, 1.0, 1.0, 1.0, 1.0, 1, 1, dt.date(2025, 3, 1))], FT_SCHEMA))
+    entity = spark.createDataFrame([(None, "2025-03-15 00:00:00"), ("u2", "2025-03-15 00:00:00")],
+                                   "user_id string, event_timestamp string")
+    out = store.get_historical_features(entity, ["customer_features:num_transactions_l1w"],
+                                        {"customer_features": feats}, [VIEW])
+    assert rows(out, "user_id", "num_transactions_l1w") == [(None, None), ("u2", 7)]
