@@ -292,7 +292,8 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
 
     ``sources`` maps view name -> the view's source DataFrame.  A string
     ``event_timestamp`` is cast to timestamp.  Views without a timestamp
-    column are joined on the keys alone (one row per key expected).
+    column are joined on the keys alone, one row per key (the greatest when
+    the source repeats a key), so entity rows are never multiplied.
     Output: entity columns, then the features in request order.
     """
     plan = resolve(refs, views)
@@ -314,7 +315,12 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
             out = asof_join(out, src, view.join_keys, entity_ts, view.ts_field, fnames,
                             ttl=view.ttl, bucket_seconds=bucket_seconds, prefix=prefix)
         else:
-            right = src.select(*view.join_keys, *[F.col(n).alias(prefix + n) for n in fnames])
+            # One row per key, so entity rows are never multiplied: a source
+            # with several rows for a key contributes its greatest row.
+            packed = F.struct(*[F.col(n) for n in fnames])
+            right = (src.where(F.col(view.join_keys[0]).isNotNull())
+                     .groupBy(*view.join_keys).agg(F.max(packed).alias("__r"))
+                     .select(*view.join_keys, *[F.col("__r")[n].alias(prefix + n) for n in fnames]))
             out = out.join(right, on=view.join_keys, how="left")
     base = [c for c in out.columns if c not in order]
     return out.select(*[F.col(f"`{c}`") for c in base], *order)

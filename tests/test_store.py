@@ -208,3 +208,14 @@ def test_null_keys_never_match(spark):
     out = store.get_historical_features(entity, ["customer_features:num_transactions_l1w"],
                                         {"customer_features": feats}, [VIEW])
     assert rows(out, "user_id", "num_transactions_l1w") == [(None, None), ("u2", 7)]
+
+
+def test_untimed_view_never_multiplies_entity_rows(spark):
+    demo = FeatureView("demo", (CUSTOMER,), (Field("location", "String"),),
+                       FeatureSource("demo_src", None, "parquet", None), online=False)
+    demo_df = spark.createDataFrame([("u1", "Hanoi"), ("u1", "Hue"), (None, "x")],
+                                    "user_id string, location string")
+    entity = spark.createDataFrame([("u1", "2025-03-11 00:00:00")] * 3,
+                                   "user_id string, event_timestamp string")
+    out = store.get_historical_features(entity, ["demo:location"], {"demo": demo_df}, [demo])
+    assert rows(out, "user_id", "location") == [("u1", "Hue")] * 3
