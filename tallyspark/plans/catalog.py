@@ -279,7 +279,9 @@ def q_scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(words, 1).alias("second_word"),
         F.regexp_replace("p_brand", "#", "-").alias("brand_code"),
         size_text.alias("size_text"),
-        (size_text - 1).alias("size_minus_one"),
+        # text minus a number; the type is fixed so the result does not
+        # depend on the session's ANSI setting
+        (size_text - 1).cast("bigint").alias("size_minus_one"),
         F.col("p_retailprice").cast("float").alias("price_f32"),
         F.element_at(m, F.lit("type")).alias("type_from_map"),
         F.map_contains_key(m, "size").alias("has_size"),
