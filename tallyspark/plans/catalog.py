@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import window_start
+from ..functions.dates import local_date, parse_date, parse_time, window_start
 from ..operators import changes as chg
 from ..operators import features as feat
 from ..operators import filters as flt
@@ -21,12 +21,11 @@ from ..operators import quality as dq
 from ..operators import records as rec
 from ..operators import rows as rw
 from ..operators import store
-from ..functions.dates import local_date, parse_date, parse_time
+from ..schemas import (SOURCE_COL, TIME_COL, TIME_FORMAT, TRANSACTION_ROW, USER_COL,
+                       VENDOR_COL)
 from ..session import shared_path
 from ..sources.versioned import current_version
 from ..streaming import streams as st
-from ..schemas import SOURCE_COL, TIME_COL, TIME_FORMAT, USER_COL, VENDOR_COL
-from ..schemas import TRANSACTION_ROW
 from . import inputs as I
 from . import views as V
 
@@ -361,32 +360,39 @@ def q_stream_calendar_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "stream_window_features": q_stream_window_features,
-    "stream_current_state": q_stream_current_state,
-    "stream_calendar_weekly": q_stream_calendar_weekly,
-    "distinct_dates": q_distinct_dates,
+    "weekly_features": q_weekly_features,
+    "backfill_features": q_backfill_features,
     "date_gate": q_date_gate,
+    "distinct_dates": q_distinct_dates,
     "row_count": q_row_count,
     "filter_date": q_filter_date,
     "filter_range": q_filter_range,
     "filter_keys": q_filter_keys,
+    "filter_suffix": q_filter_suffix,
     "inner_join_keys": q_inner_join_keys,
     "first_rows": q_first_rows,
     "top_n": q_top_n,
     "compare_features": q_compare_features,
+    "cdc_parse": q_cdc_parse,
+    "cdc_parse_two_step": q_cdc_parse_two_step,
+    "cdc_upserts": q_cdc_upserts,
+    "cdc_deletes": q_cdc_deletes,
+    "cdc_latest": q_cdc_latest,
+    "cdc_anti_join": q_cdc_anti_join,
+    "cdc_current_latest": q_cdc_current_latest,
+    "cdc_ingest_day": q_cdc_ingest_day,
     "union_by_name": q_union_by_name,
     "union_dedup": q_union_dedup,
     "update_where": q_update_where,
     "rows_to_json": q_rows_to_json,
+    "json_records": q_json_records,
+    "candle_shape": q_candle_shape,
     "scalar_dates": q_scalar_dates,
     "scalar_strings": q_scalar_strings,
-    "filter_suffix": q_filter_suffix,
     "weekofyear_agg": q_weekofyear_agg,
     "week_trunc_agg": q_week_trunc_agg,
     "month_agg": q_month_agg,
     "keep_last": q_keep_last,
-    "json_records": q_json_records,
-    "candle_shape": q_candle_shape,
     "feature_projection": q_feature_projection,
     "feature_schema_check": q_feature_schema_check,
     "latest_features": q_latest_features,
@@ -396,14 +402,7 @@ QUERIES: dict[str, Query] = {
     "asof_features": q_asof_features,
     "asof_features_ttl": q_asof_features_ttl,
     "multi_view_features": q_multi_view_features,
-    "cdc_parse": q_cdc_parse,
-    "cdc_parse_two_step": q_cdc_parse_two_step,
-    "cdc_upserts": q_cdc_upserts,
-    "cdc_deletes": q_cdc_deletes,
-    "cdc_latest": q_cdc_latest,
-    "cdc_anti_join": q_cdc_anti_join,
-    "cdc_current_latest": q_cdc_current_latest,
-    "cdc_ingest_day": q_cdc_ingest_day,
-    "weekly_features": q_weekly_features,
-    "backfill_features": q_backfill_features,
+    "stream_window_features": q_stream_window_features,
+    "stream_current_state": q_stream_current_state,
+    "stream_calendar_weekly": q_stream_calendar_weekly,
 }
