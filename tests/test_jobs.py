@@ -107,3 +107,25 @@ def test_window_prunes_date_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(date" in scan and "2025-03-08" in scan
     assert "Transaction ID" in scan and "Time" not in scan
     assert out.count() == 3
+
+
+def test_command_line(spark, tmp_dir):
+    import os
+
+    from tallyspark.__main__ import main
+    days = [dt.date(2025, 3, 10) + dt.timedelta(days=k) for k in range(8)]
+    msgs = f"{tmp_dir}/msgs"
+    os.makedirs(msgs)
+    with open(f"{msgs}/m.json", "w") as fh:
+        fh.write("\n".join(_msg(i, days[i % 8]) for i in range(24)) + "\n")
+    raw, out, back = f"{tmp_dir}/raw", f"{tmp_dir}/features", f"{tmp_dir}/backfill"
+    for d in days:
+        assert main(["ingest", "--messages", msgs, "--date", str(d), "--out", raw], spark) == 0
+    assert main(["features", "--raw", raw, "--date", str(days[-1]), "--out", out], spark) == 0
+    assert main(["features", "--raw", raw, "--date", str(days[1]), "--out", out], spark) == 1
+    assert main(["features", "--raw", raw, "--date", "2025-3-1", "--out", out], spark) == 1
+    assert main(["backfill", "--raw", raw, "--start", str(days[-2]), "--end", str(days[-1]),
+                 "--out", back], spark) == 0
+    stored = spark.read.parquet(back)
+    assert rows(stored.where(f"date = DATE'{days[-1]}'"), "user_id", "num_transactions_l1w") == \
+        rows(spark.read.parquet(out), "user_id", "num_transactions_l1w")
