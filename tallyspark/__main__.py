@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from .operators.filters import in_range
     from .operators.quality import IncompleteInputError
     from .session import get_session
+    from .sources.connectors import read_messages
     from .sources.tables import read_table, write_partitions
 
     args = parser().parse_args(argv)
@@ -66,7 +67,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or get_session(app=f"tallyspark-{args.cmd}")
     try:
         if args.cmd == "ingest":
-            messages = spark.read.text(args.messages)
+            messages = read_messages(spark, args.messages)
             jobs.daily_ingest(messages, args.date, args.out, args.format, args.deletes)
         elif args.cmd == "features":
             jobs.daily_features(spark, args.raw, args.date, args.out, args.format,

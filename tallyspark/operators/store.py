@@ -340,6 +340,9 @@ def newest_rows(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 def online_rows(view: FeatureView, source: DataFrame, end=None, start=None) -> DataFrame:
     """Newest projected row per key with ``start < ts <= end``."""
     ts = view.ts_field
+    if ts is None:
+        raise ValueError(f"view {view.name!r} has no timestamp column; it cannot be "
+                         "materialized (mark it online=False)")
     rows = view.visible(view.project(source))
     if start is not None:
         rows = rows.where(F.col(ts) > F.lit(start))

@@ -49,6 +49,14 @@ def read_changes(spark: SparkSession, cfg: TopicConfig) -> DataFrame:
     return spark.read.format("kafka").options(**kafka_read_options(cfg)).load()
 
 
+def read_messages(spark: SparkSession, source: TopicConfig | str) -> DataFrame:
+    """Change messages as a ``value`` column, from a topic or from files with
+    one message per line (exported topics, tests)."""
+    if isinstance(source, TopicConfig):
+        return read_changes(spark, source).select("value")
+    return spark.read.text(source)
+
+
 # Producer settings of the message sink (all replicas
 # acknowledge, three retries, gzip batches).
 PRODUCER_DEFAULTS = {

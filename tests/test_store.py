@@ -219,3 +219,10 @@ def test_untimed_view_never_multiplies_entity_rows(spark):
                                    "user_id string, event_timestamp string")
     out = store.get_historical_features(entity, ["demo:location"], {"demo": demo_df}, [demo])
     assert rows(out, "user_id", "location") == [("u1", "Hue")] * 3
+
+
+def test_untimed_view_cannot_be_materialized(spark):
+    demo = FeatureView("demo", (CUSTOMER,), (Field("location", "String"),),
+                       FeatureSource("demo_src", None, "parquet", None))
+    with pytest.raises(ValueError):
+        store.online_rows(demo, spark.createDataFrame([("u1", "x")], "user_id string, location string"))
