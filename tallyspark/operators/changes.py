@@ -69,14 +69,20 @@ def upserts(changes: DataFrame, ops=UPSERT_OPS, key: str = "id") -> DataFrame:
     row_cols = [f.name for f in changes.schema["after"].dataType.fields]
     return changes.where(F.col("op").isin(list(ops))).select(
         "op", *[F.col("after")[c].alias(c) for c in row_cols],
-        F.col("source.ts_ms").alias("ts_ms"), F.col("source.lsn").alias("lsn"))
+        change_time().alias("ts_ms"), F.col("source.lsn").alias("lsn"))
+
+
+def change_time():
+    """Ordering time of a change: the source's commit time, else the
+    envelope's own ``ts_ms`` (messages without a ``source`` block)."""
+    return F.coalesce(F.col("source.ts_ms"), F.col("ts_ms"))
 
 
 def deletes(changes: DataFrame, key: str = "id", with_order: bool = False) -> DataFrame:
     """Ids of deleted rows (from ``before``; only the key is relied on)."""
     cols = [F.col("before")[key].alias(key)]
     if with_order:
-        cols += [F.col("source.ts_ms").alias("ts_ms"), F.col("source.lsn").alias("lsn")]
+        cols += [change_time().alias("ts_ms"), F.col("source.lsn").alias("lsn")]
     return changes.where(F.col("op") == "d").select(*cols).where(F.col(key).isNotNull())
 
 

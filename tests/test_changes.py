@@ -156,3 +156,11 @@ def test_combine_feed_and_snapshot(spark):
     assert union.count() == 3 and "id" in union.columns
     out = chg.combine(feed, snap, "Transaction ID")
     assert rows(out, "Transaction ID", "Amount") == [("t1", 2.0), ("t2", 3.0)]
+
+
+def test_envelope_time_when_source_is_missing(spark):
+    def bare(op, id_, amount, ts):
+        return json.dumps({"payload": {"before": None, "after": row(id_, amount=amount), "op": op,
+                                       "ts_ms": ts}})
+    ch = chg.parse_changes(frame(spark, [bare("c", 40, 1.0, 100), bare("u", 40, 2.0, 200)]))
+    assert rows(chg.current_rows(ch), "id", "Amount") == [(40, 2.0)]
