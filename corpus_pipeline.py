@@ -13,18 +13,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import minhash
-from tallyspark.llm.frames import keep, table
+from tallyspark.llm import lineruns, minhash, mixing, wumanber
+from tallyspark.llm.frames import WORD, keep, table
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each near-duplicate class stays, that of the smallest
+    id; documents without an id stay."""
+    copies = (minhash.near_duplicates(docs).where("not kept and doc_id is not null")
+              .select(F.col("doc_id").alias("__copy")))
+    return docs.join(copies, F.col("doc_id").cast("long") == F.col("__copy"), "left_anti")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go.  A document that had words and
+    is left without any goes as a whole; all others stay."""
+    whole = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("__doc"), "doc_id", "text")
+    cut = lineruns.dedup_lines(whole)
+    left = cut.where((F.col("n_removed") == 0) | F.col("kept_text").rlike(WORD))
+    return left.select(*[F.col("kept_text").alias("text") if c == "text" else F.col(f"__doc.`{c}`")
+                         for c in docs.columns])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with words inside a passage of the benchmark go."""
+    rest = docs.select(F.struct(*[f"`{c}`" for c in docs.columns if c != "text"]).alias("__doc"), "doc_id", "text")
+    found = wumanber.find_items(rest, table(spark, sf_dir, "benchmark"), carried="__doc")
+    return found.where("n_hit = 0").select(*["text" if c == "text" else F.col(f"__doc.`{c}`") for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, with size, source_size, target and taken:
+    the words the mix takes of the document, repeats counted."""
+    return mixing.mix(docs, keep_columns=True).where("taken > 0")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("line_dedup", line_dedup),
     ("minhash_near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
 ]
 
 #: The learned and set-similarity stages have no SQL twin; the tests hold

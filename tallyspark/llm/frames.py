@@ -40,7 +40,7 @@ def _ship(spark: SparkSession) -> None:
     sc._tallyspark_sent = True
 
 
-def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with this package at hand in the tasks."""
     _ship(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspark.llm import minhash
+from tallyspark.llm import bpe, lineruns, minhash, mixing, wumanber
 from tallyspark.llm.frames import table
 
 
@@ -19,8 +21,39 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150 % of all words takes of each document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items in all documents."""
+    found = wumanber.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated line runs removed from all documents."""
+    cut = lineruns.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text under the 32,000-piece vocabulary."""
+    return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_mixing": op2_mixing,
+    "op6_decontamination": op6_decontamination,
+    "op8_line_dedup": op8_line_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE,
+    "op8_line_dedup": lineruns.ORACLE,
+}
