@@ -18,7 +18,10 @@ Nothing is dropped to escape large groups:
 * the second pass takes the buckets whose members are not yet in one
   component and compares the members outside the bucket's largest component
   with all others of the bucket; all pairs of a bucket are then either
-  compared or already connected.
+  compared or already connected.  Such buckets hold groups of documents just
+  below the threshold, so their members get a longer signature first
+  (``FINE`` minima, one bit each): its error is a third, and the pairs that
+  need their full sets are those within ``FINE_MARGIN`` of the threshold.
 
 With 32 bands of 4 rows a pair of similarity 0.75 shares no bucket with
 probability (1 - 0.75^4)^32 = 5e-6.
@@ -43,10 +46,9 @@ from tallyspark.llm.links import components
 
 BANDS, ROWS, BITS = 32, 4, 2
 MARGIN = 0.25
-LANES = 64 // BITS
-PACKED = BANDS * ROWS // LANES
-_MUL = (A.seeds(BANDS * ROWS, 21) >> A.U64(32)).astype(np.uint32) | np.uint32(1)
-_ADD = (A.seeds(BANDS * ROWS, 22) >> A.U64(32)).astype(np.uint32)
+FINE, FINE_MARGIN = 2048, 0.07
+_MUL = (A.seeds(FINE, 21) >> A.U64(32)).astype(np.uint32) | np.uint32(1)
+_ADD = (A.seeds(FINE, 22) >> A.U64(32)).astype(np.uint32)
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int):
@@ -59,12 +61,12 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int):
     return (np.concatenate(sets) if sets else grams), bounds
 
 
-def _minima(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _minima(values: np.ndarray, bounds: np.ndarray, functions: int) -> np.ndarray:
     """(documents, hash functions) minima; every document has a value."""
     x = (values >> A.U64(32)).astype(np.uint32)
-    out = np.empty((len(bounds) - 1, len(_MUL)), dtype=np.uint32)
+    out = np.empty((len(bounds) - 1, functions), dtype=np.uint32)
     h = np.empty_like(x)
-    for k, (m, c) in enumerate(zip(_MUL, _ADD, strict=True)):
+    for k, (m, c) in enumerate(zip(_MUL[:functions], _ADD[:functions], strict=True)):
         np.multiply(x, m, out=h)
         np.add(h, c, out=h)
         out[:, k] = np.minimum.reduceat(h, bounds[:-1])
@@ -80,11 +82,12 @@ def _bucket_keys(minima: np.ndarray) -> np.ndarray:
     return key
 
 
-def _packed(minima: np.ndarray) -> np.ndarray:
+def _packed(minima: np.ndarray, bits: int) -> np.ndarray:
     """The low bits of the (avalanched) minima, packed into longs."""
-    low = A.mix(minima.astype(np.uint64)) & A.U64((1 << BITS) - 1)
-    shift = (np.arange(LANES, dtype=np.uint64) * A.U64(BITS))
-    return (low.reshape(len(minima), PACKED, LANES) << shift).sum(axis=2, dtype=np.uint64)
+    lanes = 64 // bits
+    low = A.mix(minima.astype(np.uint64)) & A.U64((1 << bits) - 1)
+    shift = np.arange(lanes, dtype=np.uint64) * A.U64(bits)
+    return (low.reshape(len(minima), -1, lanes) << shift).sum(axis=2, dtype=np.uint64)
 
 
 _SIG_FIELDS = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
@@ -106,8 +109,8 @@ def _signatures(width: int):
                 values, bounds = shingle_sets(data, offs, width)
                 size = np.diff(bounds)
                 full = size > 0
-                minima = _minima(values, np.append(bounds[:-1][full], bounds[-1])) if full.any() \
-                    else np.zeros((0, len(_MUL)), np.uint32)
+                minima = _minima(values, np.append(bounds[:-1][full], bounds[-1]), BANDS * ROWS) if full.any() \
+                    else np.zeros((0, BANDS * ROWS), np.uint32)
                 digest = []
                 for salt in (31, 32):
                     total = np.zeros(len(values) + 1, dtype=np.uint64)
@@ -115,11 +118,25 @@ def _signatures(width: int):
                     digest.append(pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(size), *digest,
-                     _lists(_bucket_keys(minima), full), _lists(_packed(minima), full)],
+                     _lists(_bucket_keys(minima), full), _lists(_packed(minima, BITS), full)],
                     schema=pa.schema(_SIG_FIELDS))
     return run
 
 
+def _fine(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offs in A.chunks(batch, limit=A.CHUNK // 4):
+                values, bounds = shingle_sets(data, offs, width)
+                full = np.diff(bounds) > 0
+                minima = _minima(values, np.append(bounds[:-1][full], bounds[-1]), FINE) if full.any() \
+                    else np.zeros((0, FINE), np.uint32)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), _lists(_packed(minima, 1), full)],
+                                                 schema=pa.schema([("doc_id", pa.int64()),
+                                                                   ("bits", pa.list_(pa.int64()))]))
+    return run
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,24 +155,26 @@ def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
     return arrow_map(texts(docs), _signatures(width), SIG_SCHEMA)
 
 
-def estimate(x: str, y: str) -> Column:
+def estimate(x: str, y: str, functions: int, bits: int) -> Column:
     """Similarity estimated from two packed signatures, corrected for the
-    chance that b bits agree."""
-    odd = sum(1 << (BITS * i) for i in range(LANES))
-    unequal = F.lit(0)
-    for i in range(PACKED):
-        diff = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        for s in range(1, BITS):
+    chance that ``bits`` bits agree.  A lambda over the longs keeps the
+    generated code of a join condition small enough to be compiled."""
+    groups = sum(1 << (bits * i) for i in range(64 // bits))
+    groups -= (groups >> 63) << 64  # as a signed long
+
+    def unequal(a: Column, b: Column) -> Column:
+        diff = a.bitwiseXOR(b)
+        for s in range(1, bits):
             diff = diff.bitwiseOR(F.shiftrightunsigned(diff, s))
-        unequal = unequal + F.bit_count(diff.bitwiseAND(F.lit(odd).cast("long")))
-    agree = 1 - unequal / F.lit(float(PACKED * LANES))
-    chance = 1.0 / (1 << BITS)
-    return (agree - chance) / (1 - chance)
+        return F.bit_count(diff if bits == 1 else diff.bitwiseAND(F.lit(groups).cast("long")))
+
+    total = F.aggregate(F.zip_with(x, y, unequal), F.lit(0), lambda s, v: s + v)
+    chance = 1.0 / (1 << bits)
+    return (1 - total / F.lit(float(functions)) - chance) / (1 - chance)
 
 
-def _hopeful(threshold: float, n1: str = "n1", n2: str = "n2") -> Column:
-    size_fits = F.least(n1, n2) >= threshold * F.greatest(n1, n2)
-    return size_fits & (estimate("bits1", "bits2") >= threshold - MARGIN)
+def _size_fits(threshold: float) -> Column:
+    return F.least("n1", "n2") >= threshold * F.greatest("n1", "n2")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +216,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("bits1"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("bits2"))
     first = keep(star.select(F.col("head").alias("a"), F.col("node").alias("b"))
-                 .join(two, "b").join(one, "a").where(_hopeful(threshold)).select("a", "b"), "pairs")
+                 .join(two, "b").join(one, "a")
+                 .where(_size_fits(threshold) & (estimate("bits1", "bits2", BANDS * ROWS, BITS) >= threshold - MARGIN))
+                 .select("a", "b"), "pairs")
     sets = _sets_of(plain, first, width)
     links = keep(_confirmed(first, sets, percent), "confirmed")
     part = keep(components(links), "parts")
@@ -211,14 +232,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
                  .where("parts > 1").select("key", "largest"), "mixed")
     again = mixed.select(other_key(F.col("key")).alias("k"), "largest")
     full = keep(placed.withColumn("k", other_key(F.col("key"))).join(again, "k")
-                .join(nodes.select("node", "n", "bits"), "node")
-                .select("key", "node", "part", "largest", "n", "bits"), "mixed_entries")
-    rest = full.where("part <> largest").select("key", F.col("node").alias("x"), F.col("part").alias("part1"),
-                                                F.col("n").alias("n1"), F.col("bits").alias("bits1"))
-    every = full.select("key", F.col("node").alias("y"), F.col("part").alias("part2"),
-                        F.col("n").alias("n2"), F.col("bits").alias("bits2"))
-    met = rest.join(every, (rest["key"] == every["key"]) & (F.col("part1") != F.col("part2"))
-                    & _hopeful(threshold))
+                .select("key", "node", "part", "largest"), "mixed_entries")
+    ids = full.select(F.col("node").alias("doc_id")).distinct()
+    fine = keep(arrow_map(plain.join(ids, "doc_id", "left_semi"), _fine(width), "doc_id long, bits array<long>")
+                .withColumnRenamed("doc_id", "node"), "fine_signatures")
+    signed = nodes.select("node", "n", "bits").join(fine.withColumnRenamed("bits", "fine"), "node")
+    full = full.join(signed, "node")
+    rest = full.where("part <> largest").select(
+        "key", F.col("node").alias("x"), F.col("part").alias("part1"), F.col("n").alias("n1"),
+        F.col("bits").alias("bits1"), F.col("fine").alias("fine1"))
+    every = full.select("key", F.col("node").alias("y"), F.col("part").alias("part2"), F.col("n").alias("n2"),
+                        F.col("bits").alias("bits2"), F.col("fine").alias("fine2"))
+    met = rest.join(every, (rest["key"] == every["key"]) & (F.col("part1") != F.col("part2")) & _size_fits(threshold)
+                    & (estimate("bits1", "bits2", BANDS * ROWS, BITS) >= threshold - MARGIN)
+                    & (estimate("fine1", "fine2", FINE, 1) >= threshold - FINE_MARGIN))
     second = keep(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
                   .join(first, ["a", "b"], "left_anti"), "pairs")
     more = _confirmed(second, _sets_of(plain, second, width), percent)
