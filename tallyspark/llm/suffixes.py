@@ -49,7 +49,9 @@ from tallyspark.llm.frames import arrow_map, keep
 from tallyspark.session import shared_path
 
 GRAM = 48
-CLASS = 1024
+CLASS = 1 << 15
+#: Windows of a row that a task compares at a time: memory is CLASS rows times this.
+STRIPE = 16
 FILTER_BITS = 1 << 26
 BATCHES = 4
 
@@ -247,38 +249,55 @@ def _placed(width: int, doubled, edges):
     return run
 
 
-def _windows(rows: pa.RecordBatch, width: int):
-    """(row, first byte in the row, fingerprint) of each window; windows are
-    equal only at the same distance from equal anchors."""
-    raw = rows.column("bytes").cast(pa.large_binary())
-    _, off_buf, data_buf = raw.buffers()
-    offs = np.frombuffer(off_buf, np.int64)[raw.offset:raw.offset + len(raw) + 1]
-    data = np.frombuffer(data_buf, np.uint8)[offs[0]:offs[-1]]
-    offs = offs - offs[0]
-    up, down = A.powers(len(data))
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(A.BYTE_VALUES[data] * up[:len(data)], out=total[1:])
-    each = np.diff(offs) - width + 1
-    row = np.repeat(np.arange(len(each)), each)
-    start = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-    at = offs[row] + start
-    left = rows.column("left").to_numpy()[row].astype(np.int64) - start
-    anchor = rows.column("anchor").to_numpy().view(np.uint64)[row]
-    print_ = A.mix((total[at + width] - total[at]) * down[at])
-    return row, start, A.mix(A.mix(print_ + left.astype(np.uint64)) ^ anchor)
+class _Spans:
+    """The bytes of some entries, and the windows in them."""
+
+    def __init__(self, rows: pa.RecordBatch, width: int):
+        raw = rows.column("bytes").cast(pa.large_binary())
+        _, off_buf, data_buf = raw.buffers()
+        offs = np.frombuffer(off_buf, np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        data = np.frombuffer(data_buf, np.uint8)[offs[0]:offs[-1]]
+        self.width, self.offs = width, offs - offs[0]
+        up, self.down = A.powers(len(data))
+        self.total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(A.BYTE_VALUES[data] * up[:len(data)], out=self.total[1:])
+        self.left = rows.column("left").to_numpy().astype(np.int64)
+        self.anchor = rows.column("anchor").to_numpy().view(np.uint64)
+
+    def windows(self, near: int = 0, far: int | None = None):
+        """(row, first byte in the row, fingerprint) of the windows that begin
+        ``near`` to ``far`` bytes before the anchor.  Windows are equal only
+        at the same distance from equal anchors."""
+        last = np.diff(self.offs) - self.width
+        begin = np.zeros(len(last), np.int64) if far is None else np.maximum(self.left - far + 1, 0)
+        each = np.maximum(np.minimum(last, self.left - near) - begin + 1, 0)
+        row = np.repeat(np.arange(len(each)), each)
+        start = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each) + begin[row]
+        at = self.offs[row] + start
+        text = A.mix((self.total[at + self.width] - self.total[at]) * self.down[at])
+        distance = (self.left[row] - start).astype(np.uint64)
+        return row, start, A.mix(A.mix(text + distance) ^ self.anchor[row])
 
 
 def _repeated_windows(width: int):
     """Rows in order of the anchor -> windows that occur twice, in runs."""
     def intervals(rows: pa.RecordBatch) -> pa.RecordBatch:
-        row, start, key = _windows(rows, width)
-        _, back, times = np.unique(key, return_inverse=True, return_counts=True)
-        hit = np.flatnonzero(times[back] > 1)
-        row, start = row[hit], start[hit]
-        new = np.ones(len(hit), dtype=bool)
-        new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+        spans = _Spans(rows, width)
+        hits = []
+        for near in range(0, int(spans.left.max()) + 1, STRIPE):
+            row, start, key = spans.windows(near, near + STRIPE)
+            order = np.argsort(key)
+            same = key[order][1:] == key[order][:-1]
+            twice = np.zeros(len(key), dtype=bool)
+            twice[order[1:][same]] = True
+            twice[order[:-1][same]] = True
+            hits.append((row[twice] << 32) | start[twice])
+        found = np.sort(np.concatenate(hits))
+        row, start = found >> 32, found & ((1 << 32) - 1)
+        new = np.ones(len(found), dtype=bool)
+        new[1:] = found[1:] != found[:-1] + 1
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(hit)) - 1 if len(hit) else first
+        last = np.append(first[1:], len(found)) - 1 if len(found) else first
         base = rows.column("begin").to_numpy()[row[first]]
         return pa.RecordBatch.from_arrays(
             [rows.column("id0").take(pa.array(row[first])), rows.column("th").take(pa.array(row[first])),
@@ -311,7 +330,7 @@ def _window_rows(width: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 rows = batch.slice(at, 2048)
-                row, start, key = _windows(rows, width)
+                row, start, key = _Spans(rows, width).windows()
                 begin = rows.column("begin").to_numpy()[row] + start
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("id0").take(pa.array(row)), rows.column("th").take(pa.array(row)),
