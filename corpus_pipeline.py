@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import lineruns, minhash, mixing, wumanber
+from tallyspark.llm import lineruns, minhash, mixing, quality, wumanber
 from tallyspark.llm.frames import WORD, keep, table
 
 
@@ -25,6 +25,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(copies, F.col("doc_id").cast("long") == F.col("__copy"), "left_anti")
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for low quality go."""
+    whole = docs.select(F.struct(*[f"`{c}`" for c in docs.columns if c != "text"]).alias("__doc"), "doc_id", "text")
+    scored = quality.score(whole, table(spark, sf_dir, "labels"), rest=("__doc", "text"))
+    return scored.where("predicted = 1").select(
+        *["text" if c == "text" else F.col(f"__doc.`{c}`") for c in docs.columns])
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go.  A document that had words and
     is left without any goes as a whole; all others stay."""
@@ -49,6 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_filter", quality_filter),
     ("line_dedup", line_dedup),
     ("minhash_near_dedup", near_dedup),
     ("decontaminate", decontaminate),

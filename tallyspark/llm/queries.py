@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, lineruns, minhash, mixing, suffixes, wumanber
+from tallyspark.llm import bpe, lineruns, minhash, mixing, quality, suffixes, wumanber
 from tallyspark.llm.frames import table
 
 
@@ -26,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its nearest labelled documents."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents inside repeated strings of 200 bytes."""
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
@@ -53,6 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_mixing": op2_mixing,
+    "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
     "op8_line_dedup": op8_line_dedup,
