@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, lineruns, minhash, mixing, quality, suffixes, toxicity, wumanber
+from tallyspark.llm import bpe, hmm, lineruns, minhash, mixing, quality, suffixes, toxicity, wumanber
 from tallyspark.llm.frames import table
 
 
@@ -44,6 +44,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log likelihood of every document under the hidden Markov model."""
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated line runs removed from all documents."""
     cut = lineruns.dedup_lines(table(spark, sf_dir, "documents"))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_hmm_scores": op7_hmm_scores,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
