@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, hmm, lineruns, minhash, mixing, quality, suffixes, toxicity, wumanber
+from tallyspark.llm import ann, bpe, hmm, lineruns, minhash, mixing, quality, suffixes, toxicity, wumanber
 from tallyspark.llm.frames import table
 
 
@@ -26,6 +26,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by its nearest labelled documents."""
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -68,6 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_mixing": op2_mixing,
+    "op3_nearest_vectors": op3_nearest_vectors,
     "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
