@@ -37,10 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
+from tallyspark.llm.bloom import bloom, maybe
 from tallyspark.llm.frames import arrow_map, keep, other_key, texts
 from tallyspark.llm.links import components
 
@@ -123,10 +125,17 @@ def _signatures(width: int):
     return run
 
 
-def _fine(width: int):
+def _wanted(batch: pa.RecordBatch, ids: np.ndarray) -> pa.RecordBatch:
+    """The rows whose id may be in the filter."""
+    known = pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)
+    own = batch.column("doc_id").fill_null(0).to_numpy().view(np.uint64)
+    return batch.filter(pa.array(known & maybe(ids, own)))
+
+
+def _fine(width: int, ids):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offs in A.chunks(batch, limit=A.CHUNK // 4):
+            for rows, data, offs in A.chunks(_wanted(batch, ids.value), limit=A.CHUNK // 4):
                 values, bounds = shingle_sets(data, offs, width)
                 full = np.diff(bounds) > 0
                 minima = _minima(values, np.append(bounds[:-1][full], bounds[-1]), FINE) if full.any() \
@@ -137,10 +146,10 @@ def _fine(width: int):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, ids):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offs in A.chunks(batch):
+            for rows, data, offs in A.chunks(_wanted(batch, ids.value)):
                 values, bounds = shingle_sets(data, offs, width)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"),
@@ -204,14 +213,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
                             ["doc_id", "d1", "d2"], "left_semi")
                  .dropDuplicates(["doc_id", "d1", "d2"])
                  .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "keys", "bits"), "nodes")
-    buckets = nodes.select("node", F.explode("keys").alias("key"))
+    buckets = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     heads = keep(buckets.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("members"))
                  .where("members > 1").select("key", "head"), "buckets")
 
     # First pass: every member against the smallest vertex of its buckets.
     again = heads.select(other_key(F.col("key")).alias("k"), "key", "head")
     entries = keep(buckets.withColumn("k", other_key(F.col("key"))).drop("key")
-                   .join(again, "k").select("key", "head", "node"), "entries")
+                   .join(again, "k").select("key", "head", "node", "band"), "entries")
     star = entries.where("node <> head").select("head", "node").distinct()
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("bits1"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("bits2"))
@@ -225,25 +234,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
 
     # Second pass: buckets that hold several components.
     placed = (entries.join(part, "node", "left")
-              .select("key", "node", F.coalesce("component", "node").alias("part")))
+              .select("key", "node", "band", F.coalesce("component", "node").alias("part")))
     by_part = keep(placed.groupBy("key", "part").agg(F.count("*").alias("members")), "bucket_parts")
     mixed = keep(by_part.groupBy("key").agg(F.count("*").alias("parts"),
                                             F.max_by("part", F.struct("members", "part")).alias("largest"))
                  .where("parts > 1").select("key", "largest"), "mixed")
     again = mixed.select(other_key(F.col("key")).alias("k"), "largest")
     full = keep(placed.withColumn("k", other_key(F.col("key"))).join(again, "k")
-                .select("key", "node", "part", "largest"), "mixed_entries")
-    ids = full.select(F.col("node").alias("doc_id")).distinct()
-    fine = keep(arrow_map(plain.join(ids, "doc_id", "left_semi"), _fine(width), "doc_id long, bits array<long>")
-                .withColumnRenamed("doc_id", "node"), "fine_signatures")
-    signed = nodes.select("node", "n", "bits").join(fine.withColumnRenamed("bits", "fine"), "node")
-    full = full.join(signed, "node")
+                .select("key", "node", "band", "part", "largest"), "mixed_entries")
+    ids = _id_filter(full.select(F.col("node").alias("doc_id")).distinct())
+    fine = keep(arrow_map(plain, _fine(width, ids), "doc_id long, bits array<long>")
+                .select(F.col("doc_id").alias("node"), F.col("bits").alias("fine")), "fine_signatures")
+    # A pair is met in the first bucket it shares.
+    full = full.join(nodes.select("node", "n", "bits", "keys").join(fine, "node"), "node").withColumn(
+        "earlier", F.slice("keys", F.lit(1), F.col("band"))).drop("keys")
     rest = full.where("part <> largest").select(
         "key", F.col("node").alias("x"), F.col("part").alias("part1"), F.col("n").alias("n1"),
-        F.col("bits").alias("bits1"), F.col("fine").alias("fine1"))
+        F.col("bits").alias("bits1"), F.col("fine").alias("fine1"), F.col("earlier").alias("earlier1"))
     every = full.select("key", F.col("node").alias("y"), F.col("part").alias("part2"), F.col("n").alias("n2"),
-                        F.col("bits").alias("bits2"), F.col("fine").alias("fine2"))
+                        F.col("bits").alias("bits2"), F.col("fine").alias("fine2"),
+                        F.col("earlier").alias("earlier2"))
     met = rest.join(every, (rest["key"] == every["key"]) & (F.col("part1") != F.col("part2")) & _size_fits(threshold)
+                    & ~F.arrays_overlap("earlier1", "earlier2")
                     & (estimate("bits1", "bits2", BANDS * ROWS, BITS) >= threshold - MARGIN)
                     & (estimate("fine1", "fine2", FINE, 1) >= threshold - FINE_MARGIN))
     second = keep(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -268,7 +280,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
 
 
 def _sets_of(plain: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """Shingle sets of the documents that occur in candidate pairs."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    return keep(arrow_map(plain.join(ids, "doc_id", "left_semi"), _sets(width),
-                          "doc_id long, shingles array<long>"), "shingles")
+    """Shingle sets of the documents that occur in candidate pairs (and of a
+    few more that the filter lets pass)."""
+    ids = _id_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    return keep(arrow_map(plain, _sets(width, ids), "doc_id long, shingles array<long>"), "shingles")
+
+
+def _id_filter(ids: DataFrame):
+    """Broadcast filter over ids, so that texts are not shuffled to find a
+    few documents again."""
+    return ids.sparkSession.sparkContext.broadcast(bloom(ids))
