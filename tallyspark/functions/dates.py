@@ -25,11 +25,11 @@ def parse_run_date(value: str | dt.date) -> dt.date:
     if isinstance(value, dt.date):
         return value
     if not isinstance(value, str) or len(value) != 10:
-        raise ValueError(f"Invalid date format: {value!r}. Please use YYYY-MM-DD format.")
+        raise ValueError(f"not a run date (YYYY-MM-DD): {value!r}")
     try:
         return dt.date.fromisoformat(value)
     except ValueError as exc:
-        raise ValueError(f"Invalid date format: {value!r}. Please use YYYY-MM-DD format.") from exc
+        raise ValueError(f"not a run date (YYYY-MM-DD): {value!r}") from exc
 
 
 def window_start(run_date: str | dt.date, days_back: int = 7) -> dt.date:
@@ -37,10 +37,6 @@ def window_start(run_date: str | dt.date, days_back: int = 7) -> dt.date:
     return parse_run_date(run_date) - dt.timedelta(days=days_back)
 
 
-def date_lit(d: str | dt.date) -> Column:
-    return F.lit(parse_run_date(d))
-
-
 def parse_time(c: Column | str, fmt: str = TIME_FORMAT) -> Column:
     """Text to timestamp; bad text gives null instead of failing the job."""
     c = F.col(c) if isinstance(c, str) else c

@@ -1,13 +1,12 @@
 """Change feeds: parse change messages, keep the newest version of each row,
 remove deleted rows, and cut one day out for the daily partitioned table.
 
-Plan shape of ``current_rows`` (default ``deletes="any"``): one scan of the
-messages feeds two branches.  The upsert branch is ranked per row id with
-``row_number`` (planned as a partial ``WindowGroupLimit`` before the
-shuffle, so a row updated millions of times is cut to one candidate per
-map task), then left-anti joined with the delete ids on the same key.
-The day filter comes after the ranking on purpose: the newest version of
-a row decides which day it belongs to, so it must not be pushed below it.
+Plan shape of ``current_rows``: one scan and one parse of the messages, and
+one aggregate per row id that holds the newest upsert and whether (or when) a
+delete was seen.  It is combined before the shuffle, so a row updated
+millions of times is one candidate per map task.  The day filter comes after
+it on purpose: the newest version of a row decides which day it belongs to,
+so it must not be pushed below.
 """
 
 from __future__ import annotations
@@ -17,10 +16,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions.dates import parse_run_date, parse_time
 from ..schemas import TIME_COL, TRANSACTION_ROW, envelope_schema
+from .features import keep_last
 
 UPSERT_OPS = ("c", "u", "r")
 
@@ -31,8 +30,7 @@ def message_text(df: DataFrame, value_col: str = "value") -> Column:
 
 
 def parse_changes(df: DataFrame, row_schema: T.StructType = TRANSACTION_ROW,
-                  value_col: str = "value", row_as_text: bool = False,
-                  full_source: bool = False) -> DataFrame:
+                  value_col: str = "value", row_as_text: bool = False) -> DataFrame:
     """Change messages to typed rows ``before, after, source, op, ts_ms``.
 
     Reads wrapped (``{"schema", "payload"}``) and bare envelopes in one
@@ -41,7 +39,7 @@ def parse_changes(df: DataFrame, row_schema: T.StructType = TRANSACTION_ROW,
     ``row_schema``.  Null values, text that is not JSON and envelopes
     without an ``op`` are dropped.
     """
-    env = envelope_schema(row_schema, row_as_text, full_source)
+    env = envelope_schema(row_schema, row_as_text)
     # The parsed struct is produced by a generator (inline of a one-element
     # array).  Without that boundary the optimizer pushes the ``op`` filters
     # of this and later operators below the projection by copying the
@@ -55,7 +53,7 @@ def parse_changes(df: DataFrame, row_schema: T.StructType = TRANSACTION_ROW,
     out = parsed.select(
         field("before").alias("before"), field("after").alias("after"),
         field("source").alias("source"), field("op").alias("op"),
-        field("ts_ms").alias("ts_ms"), field("transaction").alias("transaction"),
+        field("ts_ms").alias("ts_ms"),
     ).where(F.col("op").isNotNull())
     if row_as_text:
         out = out.withColumn("before", F.from_json("before", row_schema)) \
@@ -91,37 +89,60 @@ def latest_changes(df: DataFrame, key: str = "id", order=("ts_ms", "lsn")) -> Da
 
     Null order values sort last.  ``lsn`` breaks ties on ``ts_ms``.
     """
-    w = Window.partitionBy(F.col(f"`{key}`")).orderBy(
-        *[F.col(f"`{c}`").desc_nulls_last() for c in order])
-    return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+    return keep_last(df, [key], list(order))
 
 
 def drop_deleted(rows: DataFrame, deleted: DataFrame, key: str = "id") -> DataFrame:
-    """Left anti join: rows whose id was never deleted.  Delete ids are
-    de-duplicated first (combined map-side), so an id deleted many times
-    does not pile up in one task of the join."""
+    """Left anti join: rows whose id was never deleted, for rows and delete
+    ids that come from different places.  Delete ids are de-duplicated first
+    (combined map-side), so an id deleted many times does not pile up in one
+    task of the join."""
     return rows.join(deleted.select(key).distinct(), on=[key], how="left_anti")
 
 
+def keyed_changes(changes: DataFrame, ops=UPSERT_OPS, key: str = "id") -> DataFrame:
+    """(key, op, order fields, row) of upserts and deletes from one parse:
+    the id is that of ``after``, or of ``before`` for a delete."""
+    deleted = F.col("op") == "d"
+    return changes.where(deleted | F.col("op").isin(list(ops))).select(
+        F.when(deleted, F.col("before")[key]).otherwise(F.col("after")[key]).alias(key), "op",
+        change_time().alias("ts_ms"), F.col("source.lsn").alias("lsn"),
+        F.when(~deleted, F.col("after")).alias("row"))
+
+
+def changes_without_id(changes: DataFrame, ops=UPSERT_OPS, key: str = "id") -> DataFrame:
+    """Changes per ``op`` that name no row id: ``current_rows`` cannot place
+    them, so a job should look at their number."""
+    return (keyed_changes(changes, ops, key).where(F.col(key).isNull())
+            .groupBy("op").agg(F.count(F.lit(1)).alias("n_changes")))
+
+
 def current_rows(changes: DataFrame, ops=UPSERT_OPS, key: str = "id",
                  order=("ts_ms", "lsn"), deletes_mode: str = "any") -> DataFrame:
-    """Current version of every row id.
+    """Current version of every row id: ``op``, the row columns and the order
+    fields of its newest upsert.
 
     ``deletes_mode="any"``: a row is gone if a delete was ever seen for its
     id, even one older than a later insert (the daily job's rule).
-    ``"latest"``: deletes and upserts are ranked together and a row is gone
-    only when its newest change is a delete.  Changes without an id are
-    dropped: they cannot be the current version of any row.
+    ``"latest"``: a row is gone only when its newest change is a delete.
+    Null order fields sort first.  Changes without an id are not the version
+    of any row (see ``changes_without_id``).
     """
-    up = upserts(changes, ops).where(F.col(f"`{key}`").isNotNull())
-    if deletes_mode == "any":
-        newest = latest_changes(up, key, order)
-        return drop_deleted(newest, deletes(changes, key), key)
-    if deletes_mode != "latest":
+    if deletes_mode not in ("any", "latest"):
         raise ValueError(f"unknown deletes_mode {deletes_mode!r}")
-    d = deletes(changes, key, with_order=True).withColumn("op", F.lit("d"))
-    both = up.unionByName(d, allowMissingColumns=True)
-    return latest_changes(both, key, order).where(F.col("op") != "d")
+    flat = keyed_changes(changes, ops, key).where(F.col(key).isNotNull())
+    deleted = F.col("op") == "d"
+    rank = F.struct(*order)
+    newest = F.max_by(F.struct("op", "row", "ts_ms", "lsn"), F.when(~deleted, rank)).alias("newest")
+    if deletes_mode == "any":
+        gone = F.max(deleted)
+    else:
+        gone = F.max_by(deleted, rank)
+    live = flat.groupBy(key).agg(newest, gone.alias("gone")).where("not gone")
+    row_cols = [f.name for f in changes.schema["after"].dataType.fields if f.name != key]
+    return live.select(F.col("newest.op").alias("op"), key,
+                       *[F.col("newest.row")[c].alias(c) for c in row_cols],
+                       F.col("newest.ts_ms").alias("ts_ms"), F.col("newest.lsn").alias("lsn"))
 
 
 def with_event_date(df: DataFrame, time_col: str = TIME_COL) -> DataFrame:

@@ -167,20 +167,18 @@ def _calendar_measure(fn: str, c):
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` tuple.
-
-    Spark rows have no position, so "last" needs an order column.  Done as
-    a ``max_by`` aggregate (partial aggregation map-side, so a hot key is
-    reduced before the shuffle) rather than a window over the whole group.
-    Ties on the full order tuple resolve to the greatest row value.
+    """One row per key: the row with the greatest ``order`` tuple (null order
+    values count as smallest).
+
+    Spark rows have no position, so "last" needs an order column, unique
+    within a key for a fixed result.  ``row_number() = 1`` is planned with a
+    partial ``WindowGroupLimit`` before the shuffle, so a hot key shrinks to
+    one row per map task; a struct-valued ``max_by`` would pack every row
+    twice and run as a sort aggregate on both sides.
     """
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(f"`{c}`") for c in rest])
-    ordering = F.struct(*[F.col(f"`{c}`") for c in order], packed)
-    out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.max_by(packed, ordering).alias("__row"))
-    return out.select(*[F.col(f"`{k}`") for k in keys],
-                      *[F.col("__row")[c].alias(c) for c in rest])
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(
+        *[F.col(f"`{c}`").desc_nulls_last() for c in order])
+    return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], ts: str, start=None, end=None) -> DataFrame:
@@ -191,11 +189,3 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str, start=None, end=None
     if end is not None:
         rows = rows.where(F.col(ts) <= F.lit(end))
     return keep_last(rows, keys, [ts])
-
-
-def newest_by_window(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``row_number() = 1`` per key, newest first.  Planned with a partial
-    ``WindowGroupLimit`` before the shuffle, so hot keys shrink map-side."""
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(
-        *[F.col(f"`{c}`").desc() for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

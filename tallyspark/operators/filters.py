@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_run_date
 
-# Key lists longer than this are joined (semi join) instead of inlined as an
-# IN list: a long literal list bloats the plan and is evaluated per row.
-MAX_INLINE_KEYS = 1000
-
 
 def on_date(df: DataFrame, day: str | dt.date, col: str = "date") -> DataFrame:
     """Keep one date."""
@@ -29,19 +25,14 @@ def in_range(df: DataFrame, start: str | dt.date, end: str | dt.date, col: str =
 def with_keys(df: DataFrame, keys: Iterable | DataFrame, col: str) -> DataFrame:
     """Keep rows whose ``col`` is one of ``keys``.
 
-    A short Python list becomes an ``IN`` predicate (pushed to the scan);
-    a long list or a DataFrame of keys becomes a left semi join, which
-    Spark broadcasts only when AQE measures the key side small.
+    A Python list is an ``IN`` predicate, pushed to the scan.  A DataFrame of
+    keys is a left semi join, which Spark broadcasts only when AQE measures
+    the key side small; long lists belong there.
     """
     if isinstance(keys, DataFrame):
         k = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
         return df.join(k, F.col(col) == k["__key"], "left_semi")
-    keys = list(keys)
-    if len(keys) <= MAX_INLINE_KEYS:
-        return df.where(F.col(col).isin(keys))
-    spark = df.sparkSession
-    k = spark.createDataFrame([(x,) for x in keys], ["__key"]).distinct()
-    return df.join(k, F.col(col) == k["__key"], "left_semi")
+    return df.where(F.col(col).isin(list(keys)))
 
 
 def not_null(df: DataFrame, *cols: str) -> DataFrame:

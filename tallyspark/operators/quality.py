@@ -29,7 +29,7 @@ def require_dates(df: DataFrame, n: int = 7, col: str = "date") -> int:
     found = count_distinct_dates(df, col).first()["n_dates"]
     if found < n:
         raise IncompleteInputError(
-            f"Found only {found} distinct dates in the data. Minimum required is {n} days.")
+            f"input is incomplete: {found} of at least {n} dates are present")
     return found
 
 

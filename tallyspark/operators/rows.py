@@ -1,4 +1,4 @@
-"""Row-level table operators: ordered limits, conditional update, unions."""
+"""Row-level table operators: ordered limits, conditional update."""
 
 from __future__ import annotations
 
@@ -29,9 +29,8 @@ def top_n(df: DataFrame, order: list, n: int = 5) -> DataFrame:
 def update_where(df: DataFrame, cond: Column, updates: dict) -> DataFrame:
     """``UPDATE … SET col = value WHERE cond`` as a projection.
 
-    Parquet tables have no UPDATE; the result is written back per
-    partition with ``write_partitions`` (only the touched dates are
-    replaced).  ``updates`` maps column -> literal or Column.
+    ``updates`` maps column -> literal or Column.  ``jobs.update_table``
+    writes the touched partitions of a table back.
     """
     cols = []
     for c in df.columns:
@@ -42,8 +41,3 @@ def update_where(df: DataFrame, cond: Column, updates: dict) -> DataFrame:
         else:
             cols.append(F.col(f"`{c}`"))
     return df.select(*cols)
-
-
-def union_by_name(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union by column name, missing columns become null."""
-    return a.unionByName(b, allowMissingColumns=True)

@@ -35,7 +35,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.dates import as_timestamp
-from ..sources.versioned import commit_version, read_current
+from ..sources.versioned import (commit_version, current_facts, current_version,
+                                 read_current)
+from .features import keep_last
 
 # Feature value types a view can declare, and their Spark types.
 DTYPES = {
@@ -140,6 +142,23 @@ class FeatureView:
         return validate_schema(df, self)
 
 
+def check_values(df: DataFrame, view: FeatureView) -> DataFrame:
+    """One row per declared key and feature that the table has: rows, nulls,
+    and values that the declared type cannot hold (they would turn null).
+    One pass over the table; needs the columns to be present."""
+    fields = [(k, "key", T.StringType()) for k in view.join_keys]
+    fields += [(f.name, "feature", f.spark_type) for f in view.schema if f.name not in view.join_keys]
+    sums = df.agg(F.count(F.lit(1)).alias("n_rows"), *[
+        x for i, (name, _, t) in enumerate(fields) for x in (
+            F.count_if(F.col(name).isNull()).alias(f"null_{i}"),
+            F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(t).isNull()).alias(f"bad_{i}"))])
+    rows = F.array(*[F.struct(F.lit(name).alias("column"), F.lit(role).alias("role"),
+                              F.lit(t.simpleString()).alias("expected_type"), F.col("n_rows"),
+                              F.col(f"null_{i}").alias("n_null"), F.col(f"bad_{i}").alias("n_uncastable"))
+                     for i, (name, role, t) in enumerate(fields)])
+    return sums.select(F.inline(rows))
+
+
 def validate_schema(df: DataFrame, view: FeatureView) -> DataFrame:
     """Check a table against a view (driver-side: reads the schema only).
 
@@ -217,7 +236,12 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
     fcols = [F.col(c) for c in columns]
     e = entity.select(*[F.col(f"`{c}`") for c in ecols],
                       as_timestamp(F.col(entity_ts)).alias("__ts"))
-    e = e.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
+    # Entity rows without a key or a time match nothing: they skip the windows.
+    can_match = F.col("__ts").isNotNull()
+    for k in keys:
+        can_match = can_match & F.col(k).isNotNull()
+    alone = e.where(~can_match)
+    e = e.where(can_match).withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
     # Null keys never match (as in a join): such feature rows are dropped.
     present = F.col(feature_ts).isNotNull()
     for k in keys:
@@ -238,8 +262,7 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
     # of the strictly earlier buckets (entity markers sort first in a bucket).
     summary = f.groupBy(*kcols, "__b").agg(F.max("__f").alias("__f")) \
         .withColumn("__side", F.lit(1))
-    need = (e.where(F.col("__b").isNotNull())
-            .select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], "__b").distinct()
+    need = (e.select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], "__b").distinct()
             .withColumn("__side", F.lit(0)).withColumn("__f", F.lit(None).cast(ftype)))
     w2 = (Window.partitionBy(*kcols).orderBy("__b", "__side")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -267,9 +290,11 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
         ttl_us = int(ttl.total_seconds() * 1_000_000)
         lo = F.unix_micros(F.col("__ts")) - F.lit(ttl_us)
         best = F.when(F.unix_micros(best["__fts"]) >= lo, best)
-    out = joined.withColumn("__best", best)
-    return out.select(*[F.col(f"`{c}`") for c in ecols],
-                      *[F.col("__best")[c].alias(prefix + c) for c in columns])
+    out = joined.withColumn("__best", best).select(
+        *[F.col(f"`{c}`") for c in ecols], *[F.col("__best")[c].alias(prefix + c) for c in columns])
+    return out.union(alone.select(
+        *[F.col(f"`{c}`") for c in ecols],
+        *[F.lit(None).cast(features.schema[c].dataType).alias(prefix + c) for c in columns]))
 
 
 def _as_frame(rows, frames: dict) -> DataFrame:
@@ -277,27 +302,40 @@ def _as_frame(rows, frames: dict) -> DataFrame:
     list of dicts (a handful of keys for an online read) - as a DataFrame."""
     if isinstance(rows, DataFrame):
         return rows
-    spark = next(iter(frames.values())).sparkSession
+    spark = next((f.sparkSession for f in frames.values()), None) or SparkSession.active()
     if isinstance(rows, list):
         import pandas as pd
         rows = pd.DataFrame(rows)
     return spark.createDataFrame(rows)
 
 
+def _check_names(plan, entity_columns: list[str], full: bool) -> None:
+    """Every output column has one meaning."""
+    names = [f"{v.name}__{f}" if full else f for v, f in plan]
+    twice = sorted({n for n in names if names.count(n) > 1 or n in entity_columns})
+    if twice:
+        raise ValueError(f"feature names used twice or taken by entity columns: {twice}; "
+                         "ask for full_feature_names")
+
+
 def get_historical_features(entity_df: DataFrame, refs: list[str],
-                            sources: dict[str, DataFrame], views: list[FeatureView],
+                            sources: dict[str, DataFrame] | None, views: list[FeatureView],
                             entity_ts: str = ENTITY_TS, full_feature_names: bool = False,
                             bucket_seconds: int = 86400) -> DataFrame:
     """Training rows: entity rows + requested features as of each row's time.
 
-    ``sources`` maps view name -> the view's source DataFrame.  A string
-    ``event_timestamp`` is cast to timestamp.  Views without a timestamp
+    ``sources`` maps view name -> the view's source DataFrame; a view that is
+    not in it is read from its registered source.  Requested features must
+    not share a name with one another or with an entity column (use
+    ``full_feature_names``).  A string ``event_timestamp`` is cast to timestamp.  Views without a timestamp
     column are joined on the keys alone, one row per key (the greatest when
     the source repeats a key), so entity rows are never multiplied.
     Output: entity columns, then the features in request order.
     """
     plan = resolve(refs, views)
+    sources = sources or {}
     entity_df = _as_frame(entity_df, sources)
+    _check_names(plan, entity_df.columns, full_feature_names)
     out = entity_df
     if isinstance(entity_df.schema[entity_ts].dataType, T.StringType):
         out = out.withColumn(entity_ts, as_timestamp(F.col(entity_ts)))
@@ -309,7 +347,8 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
     vmap = {v.name: v for v in views}
     for vname, fnames in by_view.items():
         view = vmap[vname]
-        src = view.visible(view.project(sources[vname], fnames))
+        table = sources[vname] if vname in sources else view.source.load(out.sparkSession)
+        src = view.visible(view.project(table, fnames))
         prefix = f"{vname}__" if full_feature_names else ""
         if view.ts_field:
             out = asof_join(out, src, view.join_keys, entity_ts, view.ts_field, fnames,
@@ -329,12 +368,8 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
 # --- Online table -----------------------------------------------------------
 
 def newest_rows(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Newest row per key by ``ts`` (ties: greatest row).  ``max_by`` is
-    combined map-side, so a hot key is reduced before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(f"`{c}`") for c in rest])
-    agg = df.groupBy(*keys).agg(F.max_by(packed, F.struct(F.col(ts), packed)).alias("__r"))
-    return agg.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+    """Newest row per key by ``ts``; ties go to the greatest values."""
+    return keep_last(df, keys, [ts, *[c for c in df.columns if c not in keys and c != ts]])
 
 
 def online_rows(view: FeatureView, source: DataFrame, end=None, start=None) -> DataFrame:
@@ -359,23 +394,54 @@ def merge_online(current: DataFrame | None, fresh: DataFrame, keys: list[str], t
     return newest_rows(current.unionByName(fresh), keys, ts)
 
 
-def materialize(spark: SparkSession, view: FeatureView, source: DataFrame, online_path: str,
-                end, last_end=None) -> str:
-    """Incremental materialization into a versioned online table.
+def stored_end(spark: SparkSession, online_path: str) -> dt.datetime | None:
+    """End of the last materialization into an online table."""
+    end = current_facts(spark, online_path).get("end")
+    return dt.datetime.fromisoformat(end) if end else None
+
+
+def _moment(value) -> dt.datetime:
+    if isinstance(value, dt.datetime):
+        return value
+    if isinstance(value, dt.date):
+        return dt.datetime(value.year, value.month, value.day)
+    return dt.datetime.fromisoformat(value)
+
+
+def materialize(spark: SparkSession, view: FeatureView, online_path: str, end,
+                source: DataFrame | None = None, start="stored") -> str:
+    """Materialize a view into its versioned online table.
 
-    Rows with ``last_end < ts <= end`` (``last_end=None``: from the start)
-    are reduced to the newest per key, merged with the current version
-    and committed as a new version; the version being read is never
-    overwritten.  Returns the new version path.  Views with
-    ``online=False`` are skipped (returns '').
+    Rows with ``start < ts <= end`` are reduced to the newest per key, merged
+    with the current version and committed as the next version; the version
+    being read is never overwritten.  ``start="stored"`` continues from the
+    end that the table remembers (from the beginning the first time);
+    ``start=None`` reads everything up to ``end``.  The remembered end never
+    moves back, so a run for an earlier end merges its rows and later runs go
+    on from the greatest end.  ``source`` defaults to the view's registered
+    source.  Views with ``online=False`` are skipped.  Returns the path of the
+    current version ('' when skipped).
     """
     if not view.online:
         return ""
-    current = read_current(spark, online_path)
-    fresh = online_rows(view, source, end=end, start=last_end)
-    merged = merge_online(current, fresh, view.join_keys, view.ts_field)
-    tag = str(end).replace(" ", "T").replace(":", "")
-    return commit_version(merged, online_path, tag)
+    end = _moment(end)
+    known = stored_end(spark, online_path)
+    if start == "stored":
+        start = known
+    if start is not None and _moment(start) >= end:
+        return current_version(spark, online_path) or ""
+    rows = source if source is not None else view.source.load(spark)
+    fresh = online_rows(view, rows, end=end, start=start)
+    merged = merge_online(read_current(spark, online_path), fresh, view.join_keys, view.ts_field)
+    last = max(end, known) if known else end
+    return commit_version(merged, online_path, {"view": view.name, "end": last.isoformat()})
+
+
+def materialize_all(spark: SparkSession, views: list[FeatureView], online_root: str, end,
+                    sources: dict[str, DataFrame] | None = None, start="stored") -> dict[str, str]:
+    """``materialize`` for several views, each into ``<root>/<view name>``."""
+    return {v.name: materialize(spark, v, f"{online_root}/{v.name}", end, (sources or {}).get(v.name), start)
+            for v in views if v.online}
 
 
 def read_online(spark: SparkSession, online_path: str) -> DataFrame | None:
@@ -392,6 +458,7 @@ def get_online_features(online: dict[str, DataFrame], entity_keys: DataFrame, re
     """
     plan = resolve(refs, views)
     entity_keys = _as_frame(entity_keys, online)
+    _check_names(plan, entity_keys.columns, full_feature_names)
     out = entity_keys
     vmap = {v.name: v for v in views}
     by_view: dict[str, list[str]] = {}

@@ -24,17 +24,6 @@ BACKFILL_END = dt.date(2024, 1, 30)
 CDC_EVENTS_PER_ROW = 3
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition when the scan plans fewer partitions than the
-    cluster has cores (a file with one row group is one task however large
-    the cluster).  On large inputs the scan already has enough splits and
-    this returns ``df`` unchanged, so no shuffle is added at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,16 +50,13 @@ def source_of(props: Column) -> Column:
 
 
 def transactions(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
-                 end: dt.date | None = None, exact_amount: bool = True,
-                 spread_rows: bool = False) -> DataFrame:
+                 end: dt.date | None = None, exact_amount: bool = True) -> DataFrame:
     """Raw transaction rows (``User ID`` … ``Time``, ``date``) from ``events``.
 
     ``exact_amount`` keeps the amount as ``decimal(18,2)`` so sums are
     exact and equal DuckDB's to the last bit; features come out as double.
-    ``spread_rows`` is for CPU-heavy consumers only (see ``spread``).
     """
     ev = events(spark, sf_dir, start, end)
-    ev = spread(ev) if spread_rows else ev
     amount = F.col("value").cast("decimal(18,2)") if exact_amount else F.col("value")
     return ev.select(
         F.col("user_id").cast("string").alias(USER_COL),
@@ -92,11 +78,11 @@ def change_ops(event_id: Column) -> Column:
 
 def change_rows(spark: SparkSession, sf_dir: str, exact_amount: bool = False) -> DataFrame:
     """Flat change rows: id, op, ts_ms, lsn and the transaction fields."""
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events")
     amount = F.col("value").cast("decimal(18,2)").cast("double") if exact_amount else F.col("value")
     return ev.select(
         # consecutive events are successive changes of one source row
-        F.expr(f"event_id div {CDC_EVENTS_PER_ROW}").cast("int").alias("id"),
+        F.expr(f"event_id div {CDC_EVENTS_PER_ROW}").cast("long").alias("id"),
         change_ops(F.col("event_id")).alias("op"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
         F.col("event_id").alias("lsn"),
@@ -141,15 +127,13 @@ def change_messages(spark: SparkSession, sf_dir: str, row_as_text: bool = False)
     )
 
 
-def tx_slice(spark: SparkSession, sf_dir: str, start: dt.date, end: dt.date,
-             with_id: bool = False) -> DataFrame:
-    """Transactions of ``[start, end]`` with a parsed ``timestamp``; with
-    ``with_id`` also the numeric row ``id`` (the table-snapshot shape)."""
-    tx = transactions(spark, sf_dir, start, end, exact_amount=False)
-    tx = tx.where(F.col("date").between(F.lit(start), F.lit(end)))
+def timed_rows(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
+    """All transactions with a parsed ``timestamp``; with ``with_id`` also the
+    numeric row ``id`` (the table-snapshot shape)."""
+    tx = transactions(spark, sf_dir, exact_amount=False)
     cols = [F.col(f"`{c}`") for c in tx.columns]
     if with_id:
-        cols = [F.col(f"`{TXN_COL}`").cast("int").alias("id")] + cols
+        cols = [F.col(f"`{TXN_COL}`").cast("long").alias("id")] + cols
     return tx.select(*cols, F.try_to_timestamp(F.col(f"`{TIME_COL}`"), F.lit(TIME_FORMAT))
                      .alias("timestamp"))
 
@@ -164,7 +148,7 @@ def calendar_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat daily records from orders as rows for JSON messages."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderpriority").alias("symbol"),
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
                     F.col("o_totalprice").alias("price_daily"),
@@ -176,7 +160,7 @@ def candle_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders packed as exchange candles: ``symbol`` + 12-element string array
     (open time ms, open, high, low, close, volume, close time ms, quote
     volume, trades, taker base, taker quote, unused)."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     p = F.col("o_totalprice")
     open_ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     parts = [open_ms, p, p + 10, p - 10, p + 1, F.col("o_custkey"), open_ms + 3599999, p * 2,

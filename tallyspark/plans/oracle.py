@@ -20,7 +20,7 @@ TX = """tx AS (
 
 # Flat change rows (mirrors inputs.change_rows).
 CH = """ch AS (
-  SELECT CAST(event_id // 3 AS INTEGER) AS id,
+  SELECT CAST(event_id // 3 AS BIGINT) AS id,
          CASE WHEN event_id % 10 = 0 THEN 'd' WHEN event_id % 10 < 3 THEN 'u' ELSE 'c' END AS op,
          epoch_us(ts) // 1000 AS ts_ms,
          event_id AS lsn,
@@ -45,9 +45,8 @@ DEMO = """demo AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, n_name AS locat
 
 _TS = """CAST(strptime("Time", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)"""
 SLICES = f"""{TXD},
-feed AS (SELECT *, {_TS} AS timestamp FROM tx WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'),
-snap AS (SELECT CAST("Transaction ID" AS INTEGER) AS id, *, {_TS} AS timestamp FROM tx
-         WHERE date BETWEEN DATE '2024-01-15' AND DATE '2024-01-25')"""
+feed AS (SELECT *, {_TS} AS timestamp FROM tx),
+snap AS (SELECT CAST("Transaction ID" AS BIGINT) AS id, *, {_TS} AS timestamp FROM tx)"""
 
 CAL = """cal AS (SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS agg_date,
                        CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders)"""
@@ -128,8 +127,11 @@ _BAD = " + ".join([f"(CASE WHEN w.{c} IS NOT DISTINCT FROM s.{c} THEN 0 ELSE 1 E
                   + ["(CASE WHEN (w.avg_amount_l1w IS NULL AND s.avg_amount_l1w IS NULL) OR "
                      "abs(w.avg_amount_l1w - s.avg_amount_l1w) <= 0.001 THEN 0 ELSE 1 END)"])
 COMPARE = f"""WITH {FT},
-w AS ({WEEKLY.replace('WITH ' + TX, '', 1)}),
-s AS (SELECT * FROM ft WHERE date = DATE '2024-01-20')
+w AS (SELECT * FROM ({WEEKLY.replace('WITH ' + TX, '', 1)}) WHERE NOT ends_with(user_id, '3')),
+s AS (SELECT * REPLACE (
+        CASE WHEN ends_with(user_id, '5') THEN total_amount_l1w + 1 ELSE total_amount_l1w END AS total_amount_l1w,
+        CASE WHEN ends_with(user_id, '4') THEN avg_amount_l1w + 0.5 ELSE avg_amount_l1w END AS avg_amount_l1w)
+      FROM ft WHERE date = DATE '2024-01-20' AND NOT ends_with(user_id, '7'))
 SELECT COALESCE(w.user_id, s.user_id) AS user_id,
        w.user_id IS NOT NULL AS in_left, s.user_id IS NOT NULL AS in_right,
        CAST({_BAD} AS BIGINT) AS n_mismatch,
@@ -146,6 +148,8 @@ SELECT {feature_select()}, runs.run AS date
 FROM tx JOIN runs ON tx.date BETWEEN runs.run - 7 AND runs.run
 GROUP BY "User ID", runs.run"""
 
+PARTS = "SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part"
+
 SQL: dict[str, str] = {
     "stream_window_features": STREAM_FT,
     "stream_current_state": CURRENT,
@@ -203,6 +207,9 @@ SELECT symbol, CAST(weekofyear(agg_date) AS BIGINT) AS week_number, {CAL_MEASURE
 FROM cal GROUP BY ALL""",
     "weekofyear_agg": f"""WITH {CAL}
 SELECT symbol, CAST(weekofyear(agg_date) AS BIGINT) AS week_number, {CAL_MEASURES}
+FROM cal GROUP BY ALL""",
+    "stream_calendar_monthly": f"""WITH {CAL}
+SELECT symbol, CAST(month(agg_date) AS BIGINT) AS month, {CAL_MEASURES}
 FROM cal GROUP BY ALL""",
     "week_trunc_agg": f"""WITH {CAL}
 SELECT symbol, CAST(date_trunc('week', agg_date) AS DATE) AS week_start, {CAL_MEASURES}
@@ -228,7 +235,32 @@ FROM orders""",
   WHERE date > DATE '2024-01-15' AND date <= DATE '2024-01-25')
 SELECT * EXCLUDE (rk) FROM r WHERE rk = 1""",
     "materialize_full": f"WITH {ONLINE} SELECT * FROM online",
-    "materialize_incremental": f"WITH {ONLINE} SELECT * FROM online",
+    # Users ending in 1 also come late under another name, up to the middle date.
+    "materialize_incremental": f"""WITH {ONLINE},
+late AS (SELECT * EXCLUDE (rk) REPLACE ('late-' || user_id AS user_id) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS rk
+  FROM proj WHERE date <= DATE '2024-01-20' AND ends_with(user_id, '1')) WHERE rk = 1)
+SELECT * FROM online UNION ALL SELECT * FROM late""",
+    "partition_rerun": f"""WITH {TXD} SELECT * FROM tx
+WHERE date <> DATE '2024-01-20' OR "Vendor" = 'purchase'""",
+    "partition_range": f"WITH {TXD} SELECT * FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'",
+    "update_table": f"""WITH {TXD}
+SELECT * REPLACE (CASE WHEN "Vendor" = 'click' AND date >= DATE '2024-01-20' THEN '0' ELSE "Sources" END AS "Sources")
+FROM tx""",
+    "csv_round_trip": PARTS,
+    "json_round_trip": PARTS,
+    "text_round_trip": "SELECT p_name AS value, COUNT(*) AS n FROM part GROUP BY p_name",
+    "feature_schema_check": """WITH t AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS user_id,
+         CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority[1:2] END AS priority,
+         CAST(o_totalprice AS VARCHAR) AS price, o_orderstatus AS status FROM orders)
+SELECT 'user_id' AS "column", 'key' AS role, 'string' AS expected_type, COUNT(*) AS n_rows,
+       COUNT(*) FILTER (user_id IS NULL) AS n_null, CAST(0 AS BIGINT) AS n_uncastable FROM t
+UNION ALL SELECT 'priority', 'feature', 'bigint', COUNT(*), COUNT(*) FILTER (priority IS NULL),
+       COUNT(*) FILTER (priority IS NOT NULL AND TRY_CAST(priority AS BIGINT) IS NULL) FROM t
+UNION ALL SELECT 'price', 'feature', 'double', COUNT(*), COUNT(*) FILTER (price IS NULL),
+       COUNT(*) FILTER (price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) FROM t
+UNION ALL SELECT 'status', 'feature', 'string', COUNT(*), COUNT(*) FILTER (status IS NULL), 0 FROM t""",
     "online_lookup": f"""WITH {ONLINE}
 SELECT CAST(c_custkey AS VARCHAR) AS user_id, online.num_transactions_l1w, online.total_amount_l1w,
        online.num_vendors_l1w

@@ -67,3 +67,18 @@ def online_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Online lookup keys: every customer (most have no transactions)."""
     return I.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("user_id"))
+
+
+# Order attributes as texts, some of which do not fit the declared types.
+TEXT_FEATURES = FeatureView(
+    "order_texts", (Entity("customer", ("user_id",), "Customer identifier"),),
+    (Field("priority", "Int64"), Field("price", "Float64"), Field("status", "String")),
+    FeatureSource("order_source", None, "parquet", "date"))
+
+
+def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = I.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").cast("string").alias("user_id"),
+                    F.when(F.col("o_orderkey") % 5 != 0, F.substring("o_orderpriority", 1, 2)).alias("priority"),
+                    F.col("o_totalprice").cast("string").alias("price"),
+                    F.col("o_orderstatus").alias("status"), F.to_date("o_orderdate").alias("date"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,7 +56,7 @@ MB = 1 << 20
 
 
 def cluster_settings(total_cores: int, largest_shuffle_bytes: int,
-                     partition_bytes: int = 256 * MB, max_partitions: int = 100_000) -> dict:
+                     partition_bytes: int = 256 * MB) -> dict:
     """Shuffle and scan sizing for a large cluster.
 
     AQE can merge small shuffle partitions but only splits them for skewed
@@ -66,7 +67,7 @@ def cluster_settings(total_cores: int, largest_shuffle_bytes: int,
     """
     parts = max(total_cores * 3, math.ceil(largest_shuffle_bytes / partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(parts, max_partitions)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
@@ -77,9 +78,9 @@ def cluster_settings(total_cores: int, largest_shuffle_bytes: int,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session.  Only when it is unset (local runs, tests) a
-    folder of our own is created and registered, so that ``checkpoint()``
-    and written intermediate tables work the same way everywhere.
+    Read from the session.  Only when it is unset and the master is local
+    (tests) a folder of our own is created and registered; on a cluster a
+    local folder is not shared, so that is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -87,6 +88,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.get()
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
     sc.setCheckpointDir(root)
     return sc._jsc.sc().getCheckpointDir().get()

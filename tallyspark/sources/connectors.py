@@ -39,7 +39,6 @@ def kafka_read_options(cfg: TopicConfig, streaming: bool = False) -> dict:
         opts["endingOffsets"] = cfg.ending_offsets
     if cfg.max_offsets_per_trigger and streaming:
         opts["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
-    opts["failOnDataLoss"] = "false"
     opts.update(dict(cfg.extra))
     return opts
 

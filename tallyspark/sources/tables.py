@@ -9,6 +9,7 @@ day replaces exactly that day's partitions and nothing else.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("parquet", "delta", "csv", "json", "text", "orc")
@@ -23,21 +24,27 @@ def delta_available(spark: SparkSession) -> bool:
         return False
 
 
+class MissingFormat(RuntimeError):
+    """Raised when a table format is asked for whose data source is absent."""
+
+
 def table_format(spark: SparkSession, fmt: str) -> str:
-    """``delta`` when requested and present, else ``parquet``."""
+    """``fmt`` itself, checked: reading or writing a Delta folder as plain
+    Parquet would bring removed rows back, so ``delta`` without its data
+    source is an error."""
+    if fmt not in FORMATS:
+        raise ValueError(f"unsupported format {fmt!r}")
     if fmt == "delta" and not delta_available(spark):
-        return "parquet"
+        raise MissingFormat("format 'delta' needs the Delta data source on the classpath")
     return fmt
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | str | None = None, header: bool = True,
                options: dict | None = None) -> DataFrame:
-    """Read a table or files: parquet, delta (parquet fallback), csv, json,
-    text or orc.  CSV and JSON should be given a ``schema``."""
+    """Read a table or files: parquet, delta, csv, json, text or orc.  CSV and
+    JSON should be given a ``schema``."""
     fmt = table_format(spark, fmt)
-    if fmt not in FORMATS:
-        raise ValueError(f"unsupported format {fmt!r}")
     reader = spark.read.format(fmt)
     if schema is not None and fmt != "text":
         reader = reader.schema(schema)
@@ -73,9 +80,13 @@ def write_partitions(df: DataFrame, path: str, by: str | list[str] = "date",
     writer.save(path)
 
 
-def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    """Remove one partition folder (e.g. a day whose rows were all deleted,
-    which ``write_partitions`` with an empty frame would leave in place)."""
+def drop_partition(spark: SparkSession, path: str, column: str, value, fmt: str = "parquet") -> None:
+    """Remove one partition (e.g. a day whose rows were all deleted, which
+    ``write_partitions`` with an empty frame would leave in place).  A Delta
+    table is changed through its log, never by removing its files."""
+    if table_format(spark, fmt) == "delta":
+        spark.sql(f"DELETE FROM delta.`{path}` WHERE `{column}` = '{value}'")
+        return
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
@@ -121,33 +132,46 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def table_history(spark: SparkSession, path: str, n: int = 5, operations=("WRITE",)):
-    """Newest ``n`` write operations of a Delta table (needs Delta):
-    version, timestamp, operation, operationParameters and the partition
-    predicate written (a map lookup)."""
+# Operations of the table log that write rows.
+WRITE_OPERATIONS = ("STREAMING UPDATE", "WRITE")
+
+
+def newest_operations(history: DataFrame, n: int = 5) -> DataFrame:
+    """The newest ``n`` operations of a table log, whatever they are."""
+    return (history.select("version", "timestamp", "operation", "operationParameters")
+            .orderBy(F.col("version").desc()).limit(n))
+
+
+def last_checkpoint(history: DataFrame) -> DataFrame:
+    """The newest batch or streaming write and the checkpoint folder that it
+    names (null when it names none): at most one row."""
+    return (history.where(F.col("operation").isin(list(WRITE_OPERATIONS)))
+            .orderBy(F.col("version").desc()).limit(1)
+            .select("version", "operation",
+                    F.try_element_at("operationParameters", F.lit("checkpointLocation"))
+                    .alias("checkpoint_location")))
+
+
+def table_history(spark: SparkSession, path: str) -> DataFrame:
+    """The log of a Delta table, for ``newest_operations`` and
+    ``last_checkpoint``."""
     if not delta_available(spark):
-        raise RuntimeError("table history needs the Delta data source")
-    from pyspark.sql import functions as F
-    hist = spark.sql(f"DESCRIBE HISTORY delta.`{path}`")
-    return (hist.where(F.col("operation").isin(list(operations)))
-            .orderBy(F.col("version").desc()).limit(n)
-            .select("version", "timestamp", "operation", "operationParameters",
-                    F.element_at("operationParameters", F.lit("partitionBy")).alias("partition_by"),
-                    F.map_contains_key("operationParameters", "predicate").alias("has_predicate")))
+        raise MissingFormat("table history needs the Delta data source")
+    return spark.sql(f"DESCRIBE HISTORY delta.`{path}`")
 
 
 class ResultTooLarge(RuntimeError):
     """Raised instead of pulling an unbounded result into the driver."""
 
 
-def to_pandas(df: DataFrame, max_rows: int = 100_000):
+def to_pandas(df: DataFrame, max_rows: int):
     """``toPandas`` for results that are known to be small (online reads,
-    previews).  The row count is checked first with a bounded job
-    (``limit(max_rows + 1)``), so a large result fails fast instead of
-    exhausting the driver."""
-    if df.limit(max_rows + 1).count() > max_rows:
+    previews): at most ``max_rows + 1`` rows are computed and fetched, once,
+    and a larger result is an error."""
+    out = df.limit(max_rows + 1).toPandas()
+    if len(out) > max_rows:
         raise ResultTooLarge(f"result has more than {max_rows} rows; write it to a table instead")
-    return df.toPandas()
+    return out
 
 
 def from_pandas(spark: SparkSession, pdf, schema=None) -> DataFrame:

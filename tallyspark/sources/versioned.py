@@ -1,16 +1,22 @@
 """Versioned tables on plain files: each write goes to a new version folder
-``v=<tag>`` (tags sort in time order) and the current version is the
-greatest tag whose folder carries the writer's ``_SUCCESS`` commit marker.
+``v=<number>``, one above the greatest number present, and the current
+version is the greatest one whose folder carries the writer's ``_SUCCESS``
+commit marker.
 
 Used where a table is rebuilt from itself (online table, streaming state)
 and no MERGE-capable format is present: the version being read is never
 overwritten, a failed or half-written version is never picked up (it has
-no marker), and each version cuts the lineage of the next job.  Finding
-the current version is one directory listing; no Spark job runs.
+no marker) and its number is not used again, and each version cuts the
+lineage of the next job.  Facts about a version (such as the end of a
+materialization) are in ``meta/v=<number>.json``, written before the
+version commits.  Finding the current version is one directory listing; no
+Spark job runs.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 MARKER = "_SUCCESS"
@@ -21,28 +27,74 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the current version, or None when nothing was committed."""
+def has_marker(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder was committed."""
+    fs, marker = _fs(spark, f"{path}/{MARKER}")
+    return fs.exists(marker)
+
+
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of all version folders, committed or not."""
     fs, jroot = _fs(spark, root)
     if not fs.exists(jroot):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(jroot)
-                   if s.isDirectory() and s.getPath().getName().startswith("v="))
-    for name in reversed(names):
-        _, marker = _fs(spark, f"{root}/{name}/{MARKER}")
-        if fs.exists(marker):
-            return f"{root}/{name}"
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(jroot) if s.isDirectory())
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def _path(root: str, number: int) -> str:
+    return f"{root}/v={number:012d}"
+
+
+def current_number(spark: SparkSession, root: str) -> int | None:
+    for n in reversed(_numbers(spark, root)):
+        if has_marker(spark, _path(root, n)):
+            return n
     return None
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the current version, or None when nothing was committed."""
+    n = current_number(spark, root)
+    return None if n is None else _path(root, n)
+
+
+def current_facts(spark: SparkSession, root: str) -> dict:
+    """The facts stored with the current version (empty without one)."""
+    n = current_number(spark, root)
+    if n is None:
+        return {}
+    fs, path = _fs(spark, f"{root}/meta/v={n:012d}.json")
+    if not fs.exists(path):
+        return {}
+    stream = fs.open(path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
 def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
     path = current_version(spark, root)
     return spark.read.format(fmt).load(path) if path else None
 
 
-def commit_version(df: DataFrame, root: str, tag: str, fmt: str = "parquet") -> str:
-    """Write ``df`` as version ``tag``; it becomes current when the write
-    commits (marker written last by the output committer)."""
-    path = f"{root}/v={tag}"
-    df.write.format(fmt).mode("overwrite").save(path)
-    return path
+def commit_version(df: DataFrame, root: str, facts: dict | None = None, fmt: str = "parquet",
+                   keep_last: int | None = None) -> str:
+    """Write ``df`` as the next version; it becomes current when the write
+    commits (marker written last by the output committer).  With
+    ``keep_last`` older versions beyond that many are removed afterwards;
+    at least 2 stay, for readers of the one before."""
+    spark = df.sparkSession
+    number = max(_numbers(spark, root), default=-1) + 1
+    if facts:
+        fs, path = _fs(spark, f"{root}/meta/v={number:012d}.json")
+        out = fs.create(path, True)
+        out.write(json.dumps(facts).encode())
+        out.close()
+    df.write.format(fmt).mode("error").save(_path(root, number))
+    if keep_last is not None:
+        for n in _numbers(spark, root)[:-max(keep_last, 2)]:
+            fs, path = _fs(spark, _path(root, n))
+            fs.delete(path, True)
+    return _path(root, number)

@@ -31,7 +31,7 @@ from ..schemas import (AMOUNT_COL, SOURCE_COL, TRANSACTION_ROW, TXN_COL, USER_CO
 from ..sources.connectors import TopicConfig, kafka_read_options
 from ..sources.tables import delta_available
 from ..sources.versioned import _fs as _versioned_fs
-from ..sources.versioned import commit_version, current_version
+from ..sources.versioned import commit_version, current_facts, has_marker, read_current
 
 
 def stream_changes(spark: SparkSession, path: str | None = None, cfg: TopicConfig | None = None,
@@ -107,12 +107,13 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: list[s
 
 
 def start_complete(df: DataFrame, root: str, checkpoint: str,
-                   available_now: bool = True) -> StreamingQuery:
-    """Complete-mode aggregate: each trigger commits the whole result as a
-    new version of the table at ``root`` (tagged by batch id, so a replayed
-    batch rewrites its own version only)."""
+                   available_now: bool = True, keep_last: int = 3) -> StreamingQuery:
+    """Complete-mode aggregate: each trigger commits the whole result as the
+    next version of the table at ``root`` and removes versions older than the
+    last ``keep_last``.  A replayed batch, or a stream begun anew from a lost
+    checkpoint, commits a newer version again."""
     def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_version(batch, root, f"{batch_id:012d}")
+        commit_version(batch, root, {"batch": batch_id}, keep_last=keep_last)
 
     w = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint) \
         .foreachBatch(commit)
@@ -186,15 +187,26 @@ def start_current_state(messages: DataFrame, state_root: str, checkpoint: str,
     return w.start()
 
 
+def _committed_batches(spark: SparkSession, state_root: str, after: int) -> list[int]:
+    """Numbers above ``after`` of the log batches whose write was committed."""
+    log = f"{state_root}/log"
+    fs, jlog = _versioned_fs(spark, log)
+    if not fs.exists(jlog):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(jlog) if s.isDirectory()]
+    found = sorted(int(n[6:]) for n in names if n.startswith("batch="))
+    return [n for n in found if n > after and has_marker(spark, f"{log}/batch={n:012d}")]
+
+
 def _base_and_log(spark: SparkSession, state_root: str):
-    base_path = current_version(spark, f"{state_root}/base")
-    upto = int(base_path.rsplit("=", 1)[1]) if base_path else -1
-    fs, jlog = _versioned_fs(spark, f"{state_root}/log")
-    log = None
-    if fs.exists(jlog):
-        log = spark.read.parquet(f"{state_root}/log").where(F.col("batch") > F.lit(upto)).drop("batch")
-    base = spark.read.parquet(base_path) if base_path else None
-    return base, log
+    """The compacted base, the committed log batches since, and the last of
+    their numbers.  A batch that is still being written has no marker and is
+    neither read nor folded in."""
+    base = read_current(spark, f"{state_root}/base")
+    upto = current_facts(spark, f"{state_root}/base").get("batch", -1)
+    batches = _committed_batches(spark, state_root, upto)
+    log = spark.read.parquet(*[f"{state_root}/log/batch={n:012d}" for n in batches]) if batches else None
+    return base, log, (batches[-1] if batches else upto)
 
 
 def read_state(spark: SparkSession, state_root: str, key: str = "id", order=("ts_ms", "lsn"),
@@ -203,7 +215,7 @@ def read_state(spark: SparkSession, state_root: str, key: str = "id", order=("ts
     log written since (delete markers included)."""
     if delta_available(spark):
         return spark.read.format("delta").load(f"{state_root}/delta")
-    base, log = _base_and_log(spark, state_root)
+    base, log, _ = _base_and_log(spark, state_root)
     parts = [p for p in (base, log) if p is not None]
     if not parts:
         return None
@@ -213,16 +225,15 @@ def read_state(spark: SparkSession, state_root: str, key: str = "id", order=("ts
 
 def compact_state(spark: SparkSession, state_root: str, key: str = "id",
                   order=("ts_ms", "lsn"), deletes_mode: str = "any") -> str | None:
-    """Fold the log into a new base version tagged with the last batch id
-    included; later reads only combine the base with newer log batches."""
-    fs, jlog = _versioned_fs(spark, f"{state_root}/log")
-    if not fs.exists(jlog):
-        return None
-    last = spark.read.parquet(f"{state_root}/log").agg(F.max("batch")).first()[0]
-    if last is None:
+    """Fold the committed log batches into a new base version that remembers
+    the last batch included; later reads combine the base with the batches
+    after it.  A batch that commits later is after it, too: batches of one
+    stream commit in order."""
+    base, log, last = _base_and_log(spark, state_root)
+    if log is None:
         return None
-    state = read_state(spark, state_root, key, order, deletes_mode)
-    return commit_version(state, f"{state_root}/base", f"{int(last):012d}")
+    rows = log if base is None else base.unionByName(log)
+    return commit_version(reduce_state(rows, key, order, deletes_mode), f"{state_root}/base", {"batch": last})
 
 
 def _merge_delta(spark: SparkSession, fresh: DataFrame, root: str, key: str, order,

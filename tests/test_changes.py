@@ -164,3 +164,13 @@ def test_envelope_time_when_source_is_missing(spark):
                                        "ts_ms": ts}})
     ch = chg.parse_changes(frame(spark, [bare("c", 40, 1.0, 100), bare("u", 40, 2.0, 200)]))
     assert rows(chg.current_rows(ch), "id", "Amount") == [(40, 2.0)]
+
+
+def test_ids_beyond_32_bits_and_changes_without_id(spark):
+    import json
+    def msg(i, op="c"):
+        return (json.dumps({"payload": {"after": {"id": i, "Time": "2025-03-01 00:00:00"}, "op": op,
+                                        "source": {"ts_ms": 1, "lsn": 1}}}),)
+    parsed = chg.parse_changes(spark.createDataFrame([msg(3_000_000_000), msg(None), msg(None, "u")], "value string"))
+    assert [r.id for r in chg.current_rows(parsed).collect()] == [3_000_000_000]
+    assert rows(chg.changes_without_id(parsed)) == [("c", 1), ("u", 1)]

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
+import sys
+import types
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tallyspark import jobs
+from tallyspark.__main__ import main
 from tallyspark.operators import features as feat
 from tallyspark.operators import quality as dq
+from tallyspark.operators.quality import IncompleteInputError
 from tallyspark.sources import tables as tb
 
 
@@ -47,10 +53,10 @@ def test_feature_timestamp_and_to_pandas(spark):
     stamped = feat.with_feature_timestamp(df, dt.datetime(2025, 3, 18, 1, 2, 3))
     assert stamped.first()["feature_timestamp"] == dt.datetime(2025, 3, 18, 1, 2, 3)
     assert feat.with_feature_timestamp(df).first()["feature_timestamp"] is not None
-    assert len(tb.to_pandas(df)) == 1
+    assert len(tb.to_pandas(df, 5)) == 1
     with pytest.raises(tb.ResultTooLarge):
         tb.to_pandas(spark.range(10), max_rows=5)
-    assert tb.from_pandas(spark, tb.to_pandas(df)).count() == 1
+    assert tb.from_pandas(spark, tb.to_pandas(df, 1)).count() == 1
 
 
 def _m(i, day, op="c", ts=None):
@@ -91,7 +97,7 @@ def test_cluster_settings():
     assert big["spark.sql.shuffle.partitions"] == str(20 * (1 << 40) // (256 << 20))
     small = cluster_settings(8, 1 << 20)
     assert small["spark.sql.shuffle.partitions"] == "24"
-    assert cluster_settings(8000, 1 << 50)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_settings(8000, 1 << 50)["spark.sql.shuffle.partitions"] == str((1 << 50) // (256 << 20))
 
 
 def test_window_prunes_date_partitions(spark, tmp_dir):
@@ -129,3 +135,65 @@ def test_command_line(spark, tmp_dir):
     stored = spark.read.parquet(back)
     assert rows(stored.where(f"date = DATE'{days[-1]}'"), "user_id", "num_transactions_l1w") == \
         rows(spark.read.parquet(out), "user_id", "num_transactions_l1w")
+
+
+def test_backfill_is_gated_per_run_date(spark, tmp_dir):
+    days = [dt.date(2025, 3, 1) + dt.timedelta(days=k) for k in range(10)]
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    rows_ = [("u1", str(i), 1.0, "v", "s", d) for i, d in enumerate(days)]
+    schema = "`User ID` string, `Transaction ID` string, Amount double, Vendor string, Sources string, date date"
+    tb.write_partitions(spark.createDataFrame(rows_, schema), raw)
+    with pytest.raises(IncompleteInputError):
+        jobs.backfill_feature_days(spark, raw, days[0], days[-1], out)
+    jobs.backfill_feature_days(spark, raw, days[0], days[-1], out, incomplete="skip")
+    got = [r[0] for r in spark.read.parquet(out).select("date").distinct().orderBy("date").collect()]
+    assert got == days[6:]
+    args = ["backfill", "--raw", raw, "--start", str(days[0]), "--end", str(days[-1]), "--out", out]
+    assert main(args, spark) == 1
+    assert main([*args, "--incomplete", "skip"], spark) == 0
+
+
+def test_backfill_removes_stale_run_dates(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    days = [dt.date(2025, 3, 1) + dt.timedelta(days=k) for k in range(3)]
+    schema = "`User ID` string, `Transaction ID` string, Amount double, Vendor string, Sources string, date date"
+    tb.write_partitions(spark.createDataFrame([("u", "1", 1.0, "v", "s", days[0])], schema), raw)
+    old = spark.createDataFrame([("u", d) for d in days], "user_id string, date date")
+    tb.write_partitions(old, out)
+    jobs.backfill_feature_days(spark, raw, days[1], days[2], out, days_back=0, min_dates=0)
+    assert [r[0] for r in spark.read.schema("user_id string, date date").parquet(out).select("date").collect()] \
+        == [days[0]]
+
+
+def test_update_touches_only_its_dates(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    d1, d2 = dt.date(2025, 3, 1), dt.date(2025, 3, 2)
+    tb.write_partitions(spark.createDataFrame([("a", 1, d1), ("b", 2, d2), ("c", 2, d2)],
+                                              "v string, n int, date date"), path)
+    before = sorted(os.listdir(f"{path}/date={d1}"))
+    jobs.update_table(spark, path, F.col("v") == "b", {"n": 9})
+    assert rows(spark.read.parquet(path), "v", "n") == [("a", 1), ("b", 9), ("c", 2)]
+    assert sorted(os.listdir(f"{path}/date={d1}")) == before
+    with pytest.raises(ValueError):
+        jobs.update_table(spark, path, F.col("v") == "b", {"date": d1})
+
+
+def test_materialize_command(spark, tmp_dir, monkeypatch):
+    from tallyspark.operators import store
+    src, out = f"{tmp_dir}/features", f"{tmp_dir}/online"
+    spark.createDataFrame([("u1", 1, dt.date(2025, 3, 1)), ("u1", 2, dt.date(2025, 3, 2)),
+                           ("u2", 3, dt.date(2025, 3, 5))], "user_id string, n long, date date").write.parquet(src)
+    who = (store.Entity("customer", ("user_id",), "key"),)
+    view = store.FeatureView("counts", who, (store.Field("n", "Int64"),),
+                             store.FeatureSource("src", src, "parquet", "date"))
+    module = types.ModuleType("views_for_test")
+    module.VIEWS = [view]
+    monkeypatch.setitem(sys.modules, "views_for_test", module)
+    args = ["materialize", "--views", "views_for_test:VIEWS", "--out", out, "--date"]
+    assert main([*args, "2025-03-02"], spark) == 0
+    assert rows(store.read_online(spark, f"{out}/counts"), "user_id", "n") == [("u1", 2)]
+    assert main([*args, "2025-03-06"], spark) == 0
+    assert rows(store.read_online(spark, f"{out}/counts"), "user_id", "n") == [("u1", 2), ("u2", 3)]
+    history = store.get_historical_features([{"user_id": "u1", "event_timestamp": "2025-03-01 12:00:00"}],
+                                            ["counts:n"], None, [view])
+    assert history.first()["n"] == 1

@@ -24,10 +24,28 @@ def test_newest_version_limits_before_the_shuffle(spark):
     assert exchange < partial  # printed top-down: the partial limit runs below (before) it
 
 
-def test_time_range_reaches_the_scan(spark):
-    scan = next(line for line in plan_of(spark, "weekly_features").splitlines() if "FileScan" in line)
-    assert "GreaterThanOrEqual(ts," in scan and "LessThan(ts," in scan
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string," in scan
+def test_date_range_prunes_folders(spark):
+    scan = next(line for line in plan_of(spark, "partition_range").splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(date" in scan and "date#" in scan.split("PartitionFilters")[1]
+
+
+@pytest.mark.parametrize("mode", ["any", "latest"])
+def test_current_rows_parse_once(spark, tmp_dir, mode):
+    """On written messages: one scan, one parse, one shuffle by id, no join."""
+    from tallyspark.operators import changes as chg
+    from tallyspark.plans import inputs as I
+
+    I.change_messages(spark, SF).select("value").write.text(f"{tmp_dir}/messages")
+    rows = chg.current_rows(chg.parse_changes(spark.read.text(f"{tmp_dir}/messages")), deletes_mode=mode)
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Generate") == 1 and "Join" not in plan
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_null_keys_skip_the_asof_windows(spark):
+    plan = plan_of(spark, "asof_features")
+    assert "Union" in plan and "isnotnull(user_id" in plan
 
 
 def test_pure_filter_has_no_shuffle(spark):

@@ -25,9 +25,14 @@ def test_read_write_formats(spark, tmp_dir):
         assert rows(back) == rows(df), fmt
     tb.write_table(df.select("name"), f"{tmp_dir}/text", "text")
     assert rows(tb.read_table(spark, f"{tmp_dir}/text", "text")) == [("a",), ("b",)]
-    # delta falls back to parquet when the jar is absent
-    tb.write_table(df, f"{tmp_dir}/delta", "delta")
-    assert tb.read_table(spark, f"{tmp_dir}/delta", "delta").count() == 2
+    # delta without its data source is an error, never plain files
+    tb.write_table(df, f"{tmp_dir}/files", "parquet")
+    for act in (lambda: tb.write_table(df, f"{tmp_dir}/delta", "delta"),
+                lambda: tb.write_partitions(df, f"{tmp_dir}/delta", "name", "delta"),
+                lambda: tb.read_table(spark, f"{tmp_dir}/files", "delta"),
+                lambda: tb.drop_partition(spark, f"{tmp_dir}/files", "n", 1, "delta")):
+        with pytest.raises(tb.MissingFormat):
+            act()
     with pytest.raises(ValueError):
         tb.read_table(spark, tmp_dir, "xml")
 
@@ -139,3 +144,16 @@ def test_date_columns(spark):
                   dates.epoch_millis(dates.from_epoch_millis("ms")).alias("ms2")).first()
     assert r["bad"] is None and r["local"] == dt.date(2025, 3, 5) and r["c"] == "20250304"
     assert r["ms2"] == 1741131000000
+
+
+def test_table_log(spark):
+    log = spark.createDataFrame(
+        [(i, f"2025-01-0{i}", op, params) for i, op, params in (
+            (1, "CREATE TABLE", {}), (2, "STREAMING UPDATE", {"checkpointLocation": "/ck"}), (3, "OPTIMIZE", {}),
+            (4, "DELETE", {}), (5, "VACUUM END", {}), (6, "DELETE", {}))],
+        "version long, timestamp string, operation string, operationParameters map<string,string>")
+    assert [r.version for r in tb.newest_operations(log).collect()] == [6, 5, 4, 3, 2]
+    assert rows(tb.last_checkpoint(log)) == [(2, "STREAMING UPDATE", "/ck")]
+    plain = log.unionByName(spark.createDataFrame([(7, "2025-01-07", "WRITE", {})], log.schema))
+    assert rows(tb.last_checkpoint(plain)) == [(7, "WRITE", None)]
+    assert rows(tb.last_checkpoint(log.where("version = 1"))) == []

@@ -24,11 +24,11 @@ FT_SCHEMA = ("user_id string, num_transactions_l1w long, total_amount_l1w double
 
 
 def features_three(spark):
-    day = dt.date(2023, 1, 7)
+    day = dt.date(2024, 5, 11)
     return spark.createDataFrame([
-        ("userA", 3, 60.0, 20.0, 10.0, 30.0, 2, 3, day),
-        ("userB", 2, 40.0, 20.0, 15.0, 25.0, 2, 2, day),
-        ("userC", 2, 40.0, 20.0, 5.0, 35.0, 2, 2, day),
+        ("north", 5, 71.5, 14.3, 2.5, 41.0, 4, 1, day),
+        ("south", 1, 8.25, 8.25, 8.25, 8.25, 1, 1, day),
+        ("west", 6, 93.0, 15.5, 0.5, 60.0, 3, 2, day),
     ], FT_SCHEMA)
 
 
@@ -37,7 +37,7 @@ def test_projection_casts_to_view_types(spark):
     out = VIEW.project(df)
     assert out.columns == ["user_id", "date"] + [f.name for f in FIELDS]
     assert dict(out.dtypes)["total_amount_l1w"] == "float"
-    v = out.where("user_id = 'userA'").first()["total_amount_l1w"]
+    v = out.where("user_id = 'north'").first()["total_amount_l1w"]
     assert v != 60.1 and abs(v - 60.1) < 1e-5
 
 
@@ -139,17 +139,25 @@ def test_multi_view_with_untimed_view(spark):
 def test_materialize_never_goes_back(spark, tmp_dir):
     root = f"{tmp_dir}/online"
     newer = asof_features(spark)
-    store.materialize(spark, VIEW, newer, root, end=dt.date(2025, 3, 31))
+    store.materialize(spark, VIEW, root, dt.date(2025, 3, 31), newer)
     first = rows(store.read_online(spark, root), "user_id", "num_transactions_l1w", "date")
     assert first == [("u1", 3, dt.date(2025, 3, 20)), ("u2", 7, dt.date(2025, 3, 1))]
     # a late, older row for u1 arrives in the next slice: it must not win
     late = spark.createDataFrame([("u1", 99, 1.0, 1.0, 1.0, 1.0, 1, 1, dt.date(2025, 3, 5)),
                                   ("u3", 5, 1.0, 1.0, 1.0, 1.0, 1, 1, dt.date(2025, 4, 2))], FT_SCHEMA)
-    store.materialize(spark, VIEW, late, root, end=dt.date(2025, 4, 30), last_end=None)
+    store.materialize(spark, VIEW, root, dt.date(2025, 4, 30), late, start=None)
     second = rows(store.read_online(spark, root), "user_id", "num_transactions_l1w")
     assert second == [("u1", 3), ("u2", 7), ("u3", 5)]
     offline = FeatureView("x", (CUSTOMER,), FIELDS, SRC, online=False)
-    assert store.materialize(spark, offline, late, f"{tmp_dir}/none", end=dt.date(2025, 4, 30)) == ""
+    assert store.materialize(spark, offline, f"{tmp_dir}/none", dt.date(2025, 4, 30), late) == ""
+    # a run for an earlier end adds its rows and does not move the remembered end back
+    early = spark.createDataFrame([("u9", 4, 1.0, 1.0, 1.0, 1.0, 1, 1, dt.date(2025, 1, 5))], FT_SCHEMA)
+    store.materialize(spark, VIEW, root, dt.date(2025, 1, 20), early, start=None)
+    assert rows(store.read_online(spark, root), "user_id") == [("u1",), ("u2",), ("u3",), ("u9",)]
+    assert store.stored_end(spark, root) == dt.datetime(2025, 4, 30)
+    # nothing is new up to an end that was reached already
+    path = store.materialize(spark, VIEW, root, dt.date(2025, 4, 1), early)
+    assert path == store.current_version(spark, root)
 
 
 def test_incremental_slices(spark):
@@ -226,3 +234,33 @@ def test_untimed_view_cannot_be_materialized(spark):
                        FeatureSource("demo_src", None, "parquet", None))
     with pytest.raises(ValueError):
         store.online_rows(demo, spark.createDataFrame([("u1", "x")], "user_id string, location string"))
+
+
+def test_equal_feature_names_are_refused(spark):
+    other = FeatureView("other", (CUSTOMER,), FIELDS, SRC)
+    entity = spark.createDataFrame([("u1", dt.datetime(2025, 3, 15))], "user_id string, event_timestamp timestamp")
+    refs = ["customer_features:num_vendors_l1w", "other:num_vendors_l1w"]
+    tables = {"customer_features": asof_features(spark), "other": asof_features(spark)}
+    with pytest.raises(ValueError, match="used twice"):
+        store.get_historical_features(entity, refs, tables, [VIEW, other])
+    both = store.get_historical_features(entity, refs, tables, [VIEW, other], full_feature_names=True)
+    assert both.columns[-2:] == ["customer_features__num_vendors_l1w", "other__num_vendors_l1w"]
+    with pytest.raises(ValueError, match="used twice"):
+        store.get_historical_features(entity.withColumn("num_vendors_l1w", F.lit(1)), refs[:1], tables, [VIEW])
+
+
+def test_rows_without_key_or_time_keep_their_place(spark):
+    entity = spark.createDataFrame(
+        [("u1", dt.datetime(2025, 3, 25)), (None, dt.datetime(2025, 3, 25)), ("u1", None), (None, None)],
+        "user_id string, event_timestamp timestamp")
+    got = store.get_historical_features(entity, ["customer_features:num_transactions_l1w"],
+                                        {"customer_features": asof_features(spark)}, [VIEW])
+    assert got.count() == 4 and got.where("num_transactions_l1w is not null").count() == 1
+
+
+def test_check_values(spark):
+    view = FeatureView("t", (CUSTOMER,), (Field("a", "Int64"), Field("b", "String")), SRC)
+    df = spark.createDataFrame([("u", "1", "x"), ("v", "x", None), (None, None, "y")],
+                               "user_id string, a string, b string")
+    assert rows(store.check_values(df, view), "column", "n_rows", "n_null", "n_uncastable") == [
+        ("a", 3, 1, 1), ("b", 3, 1, 0), ("user_id", 3, 1, 0)]

@@ -143,5 +143,32 @@ def test_state_log_and_compaction(spark, tmp_dir):
     assert spark.read.parquet(f"{root}/log").where("batch > 0").count() == 3
     got = st.current_from_state(st.read_state(spark, root))
     assert rows(got, "id", "Amount") == [(1, 5.0), (3, 3.0)]
+    # a batch folder without its commit marker is neither read nor folded in
+    late = f"{root}/log/batch={9:012d}"
+    spark.read.parquet(f"{root}/log/batch={0:012d}").withColumn("id", F.col("id") + 100).write.parquet(late)
+    os.rename(f"{late}/_SUCCESS", f"{late}/_held")
     st.compact_state(spark, root)
     assert rows(st.current_from_state(st.read_state(spark, root)), "id", "Amount") == [(1, 5.0), (3, 3.0)]
+    os.rename(f"{late}/_held", f"{late}/_SUCCESS")
+    assert rows(st.current_from_state(st.read_state(spark, root)), "id") == [(1,), (3,), (101,), (102,)]
+    st.compact_state(spark, root)
+    assert rows(st.current_from_state(st.read_state(spark, root)), "id") == [(1,), (3,), (101,), (102,)]
+
+
+def test_complete_mode_survives_a_lost_checkpoint(spark, tmp_dir):
+    from tallyspark.sources.versioned import current_number, read_current
+    src, out = f"{tmp_dir}/rows", f"{tmp_dir}/out"
+    schema = "k string, n int"
+    spark.createDataFrame([("a", 1), ("b", 2)], schema).write.parquet(src)
+
+    def run(checkpoint):
+        agg = st.stream_files(spark, src, schema).groupBy("k").agg(F.sum("n").alias("n"))
+        st.start_complete(agg, out, f"{tmp_dir}/{checkpoint}", keep_last=2).awaitTermination()
+
+    for i in range(4):
+        spark.createDataFrame([("a", 10)], schema).write.mode("append").parquet(src)
+        run("first")
+    run("anew")
+    assert rows(read_current(spark, out)) == [("a", 41), ("b", 2)]
+    assert current_number(spark, out) >= 4
+    assert len([d for d in os.listdir(out) if d.startswith("v=")]) == 2
