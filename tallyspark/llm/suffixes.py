@@ -24,8 +24,8 @@ several contexts stands at the edge of a match: there the windows themselves
 are compared, in tasks that hold whole anchors in order; an anchor with over
 ``CLASS`` contexts is dealt out by window instead.  Both ways are exact.
 
-The second pass over the texts emits only entries that Bloom filters (of
-``FILTER_BITS`` bits: a fixed broadcast) do not rule out; a join with the
+The second pass over the texts emits only entries that Bloom filters (a
+broadcast of fixed size) do not rule out; a join with the
 matches settles which are real, so a full filter would cost time, not truth.
 
 Null texts are empty.  Rows of equal id and text repeat each other; rows
@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
+from tallyspark.llm.bloom import bloom, maybe
 from tallyspark.llm.frames import arrow_map, keep
 from tallyspark.session import shared_path
 
@@ -52,7 +53,6 @@ GRAM = 48
 CLASS = 1 << 15
 #: Windows of a row that a task compares at a time: memory is CLASS rows times this.
 STRIPE = 16
-FILTER_BITS = 1 << 26
 BATCHES = 4
 
 
@@ -138,9 +138,11 @@ class SuffixFamily:
         self.found: list[DataFrame] = []
 
     def _stored(self, df: DataFrame) -> DataFrame:
-        """An array, bucketed and sorted, in the shared folder."""
+        """An array, bucketed and sorted, in the shared folder.  ``df`` comes
+        from a shuffle on the bucket columns (or a join of arrays), so each
+        bucket is in one task and makes one file."""
         name = f"suffixes_{uuid.uuid4().hex}"
-        (df.write.format("parquet").bucketBy(self.buckets, "context").sortBy("context", "anchor")
+        (df.write.format("parquet").bucketBy(self.buckets, "context", "anchor").sortBy("context", "anchor")
          .option("path", shared_path(self.spark, "suffixes")).saveAsTable(name))
         return self.spark.table(name)
 
@@ -184,37 +186,6 @@ class SuffixFamily:
         return out
 
 
-def _bits(x: np.ndarray) -> list[np.ndarray]:
-    """Places of a value in a filter."""
-    return [(A.mix(x + s) & A.U64(FILTER_BITS - 1)).astype(np.int64) for s in A.seeds(3, 41)]
-
-
-def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = np.unique(np.concatenate(_bits(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
-        word, start = np.unique(at >> 6, return_index=True)
-        bit = A.U64(1) << (at & 63).astype(np.uint64)
-        held = np.bitwise_or.reduceat(bit, start) if len(at) else bit
-        yield pa.RecordBatch.from_arrays([pa.array(word), _signed(held)], names=["word", "bits"])
-
-
-def bloom(values: DataFrame) -> np.ndarray:
-    """Filter over the one long column of ``values``: FILTER_BITS bits, which
-    bounds what comes to the driver."""
-    words = (arrow_map(values, _filter_words, "word long, bits long").groupBy("word")
-             .agg(F.bit_or("bits").alias("bits")).toArrow())
-    out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
-def _maybe(held: np.ndarray, x: np.ndarray) -> np.ndarray:
-    yes = np.ones(len(x), dtype=bool)
-    for at in _bits(x):
-        yes &= (held[at >> 6] >> (at & 63).astype(np.uint64)) & A.U64(1) == 1
-    return yes
-
-
 _PLACED = [("id0", pa.int64()), ("th", pa.int64()), ("anchor", pa.int64()), ("context", pa.int64()),
            ("begin", pa.int64()), ("end", pa.int64()), ("left", pa.int32()), ("bytes", pa.binary())]
 PLACED = "id0 long, th long, anchor long, context long, begin long, end long, left int, bytes binary"
@@ -227,8 +198,8 @@ def _placed(width: int, doubled, edges):
         for batch in batches:
             for rows, data, offs in A.chunks(batch):
                 a = Anchors(data, offs, width)
-                twice = _maybe(doubled.value, a.context)
-                edge = np.flatnonzero(_maybe(edges.value, a.anchor))
+                twice = maybe(doubled.value, a.context)
+                edge = np.flatnonzero(maybe(edges.value, a.anchor))
                 # A matched context is needed once for comparison.
                 _, once = np.unique(a.context[edge], return_index=True)
                 edge = edge[np.sort(once)]
