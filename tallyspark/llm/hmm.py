@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
-from tallyspark.llm.frames import arrow_map, fold, keep, texts
+from tallyspark.llm.frames import arrow_map, fold, keep, smallest_hashes, texts
 
 STATES = 8
 CLASSES = 1 << 15
@@ -275,17 +275,31 @@ def token_counts(training: DataFrame) -> DataFrame:
             .groupBy("token").agg(F.sum("c").alias("c")))
 
 
+def frequent_tokens(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent tokens, ``most`` at the utmost: those above a level
+    of frequency (in steps of a sixteenth of a doubling), which a histogram of
+    the levels tells without sorting the vocabulary."""
+    level = F.floor(F.log2("c") * 16)
+    cut, held = 0, 0
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        held += row["count"]
+        if held > most:
+            cut = row["level"] + 1
+            break
+    return counts.where(level >= cut)
+
+
 def train(training: DataFrame, counts: DataFrame, states: int = STATES, classes: int = CLASSES,
           rounds: int = ROUNDS) -> Model:
     """Model of the documents (doc_id, text) of ``training``."""
     ends = training.count()
     total = counts.agg(F.count("*").alias("types"), F.sum("c").alias("tokens")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(KNOWN).toArrow()
+    top = frequent_tokens(counts, KNOWN).toArrow()
     model = Model(top.column("token").to_numpy(), top.column("c").to_numpy(), (total.tokens or 0) + ends,
                   total.types + (1 if ends else 0), ends, states, classes)
     if not ends:
         return model
-    ids = training.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(WARM_DOCS).distinct()
+    ids = smallest_hashes(training.select("doc_id"), WARM_DOCS).distinct()
     some = keep(training.join(F.broadcast(ids), "doc_id"), "warm").repartition(
         training.sparkSession.sparkContext.defaultParallelism)
     for _ in range(WARM):
@@ -313,7 +327,7 @@ def _score(shared):
                 doc = np.repeat(np.arange(n), np.diff(first))
                 here = count >= 0
                 weight = np.where(here, np.log10(np.maximum(count, 0) + 1.0), 0.0)
-                base = np.bincount(doc, weights=weight, minlength=n)
+                base = np.bincount(doc, weights=weight, minlength=n).astype(np.float64)
                 base += np.log10(model.ends + 1.0)
                 rare = kind == model.n
                 log += np.bincount(doc, weights=weight * rare, minlength=n)

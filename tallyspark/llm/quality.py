@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
-from tallyspark.llm.frames import arrow_map, fold, texts
+from tallyspark.llm.frames import arrow_map, fold, smallest_hashes, texts
 
 WORD_DIMS, FORM_DIMS = 3072, 256
 DIMS = WORD_DIMS + 4 * FORM_DIMS
@@ -117,14 +117,17 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int,
-                    parts: int = 4, left_out: int = 2) -> DataFrame:
-    """(doc_id, text, label) of at most ``size`` labelled rows outside the
-    left-out fold; their ids are broadcast, which ``size`` bounds."""
-    ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-           .where(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), parts) != left_out))
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(size))
-    return texts(docs).join(F.broadcast(ids), "doc_id")
+def sample_labels(labels: DataFrame, label: str, size: int, parts: int = 4, left_out: int = 2) -> DataFrame:
+    """(doc_id, label) of at most ``size`` labelled rows outside the left-out fold."""
+    return smallest_hashes(
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), parts) != left_out)), size)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> DataFrame:
+    """(doc_id, text, label) of the sample; its ids are broadcast, which
+    ``size`` bounds."""
+    return texts(docs).join(F.broadcast(sample_labels(labels, label, size)), "doc_id")
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

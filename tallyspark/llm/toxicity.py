@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
 from tallyspark.llm.frames import arrow_map, fold, texts
-from tallyspark.llm.quality import labelled_sample
+from tallyspark.llm.quality import labelled_sample, sample_labels
 
 WORDS, STEMS = 1 << 19, 1 << 17
 TABLE = WORDS + 2 * STEMS
@@ -201,10 +201,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
     """(doc_id, text, label): label is null outside the sample."""
-    ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-           .where(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), 4) != 2))
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-           .groupBy("doc_id").agg(F.max("label").alias("label")))
+    ids = sample_labels(labels, label, sample).groupBy("doc_id").agg(F.max("label").alias("label"))
     return texts(docs).join(F.broadcast(ids), "doc_id", "left")
 
 
