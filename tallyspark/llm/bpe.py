@@ -2,8 +2,8 @@
 
 The vocabulary is that of a sentencepiece BPE model with byte fallback (32
 thousand pieces, so its broadcast is bounded by the file).  A text is cut
-where no piece can reach across: before each run of spaces, and around line
-feeds if no piece holds one.  Each cut stretch is merged on its own with a
+where no piece can reach across: before each run of spaces, around line feeds,
+and between letters and marks (see ``cutter``).  Each cut stretch is merged on its own with a
 heap of adjacent pairs over a linked list of symbols: the pair of the best
 score, leftmost among equals, is merged until none is in the vocabulary.
 The count is the initial symbols less the merges; a character outside the
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.frames import arrow_map, texts
 
-REMEMBER = 300_000
+REMEMBER = 500_000
 SHORT = 40
 SPACE = "▁"
 
@@ -93,13 +93,24 @@ def merged_count(stretch: str, ranks: dict[str, int], known: set[str]) -> int:
     return count
 
 
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 def cutter(ranks: dict[str, int]) -> re.Pattern:
-    """The pattern of stretches that merge on their own."""
-    if any(SPACE in p.lstrip(SPACE) for p in ranks):  # a piece holds an inner space: no cut is safe
+    """The pattern of stretches that merge on their own.
+
+    A stretch begins with spaces, or where the one before ends: at a line
+    feed, before spaces, and between a letter and a mark if no piece has that
+    letter before any mark.  All of it is read off the vocabulary.
+    """
+    if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in ranks):  # no cut is safe
         return re.compile(r"(?s).+")
-    if any("\n" in p for p in ranks):
-        return re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-    return re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
+    before_marks = {a for p in ranks for a, b in zip(p, p[1:], strict=False) if b in MARKS}
+    letters = "".join(sorted({c for p in ranks for c in p if c.isalnum()} - before_marks))
+    if not letters:
+        return re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
+    other, others = f"[^{SPACE}\n{letters}{re.escape(MARKS)}]", f"[^{SPACE}\n{letters}]*"
+    return re.compile(f"(?!\n)(?=.){SPACE}*{others}(?:[{letters}]+{other}{others})*[{letters}]*|\n+")
 
 
 class Counter:
