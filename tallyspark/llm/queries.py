@@ -86,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
+    "op6_decontamination": wumanber.ORACLE,
     "op8_line_dedup": lineruns.ORACLE,
 }

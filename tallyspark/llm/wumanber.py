@@ -227,3 +227,28 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW,
         schema = T.StructType(own + T._parse_datatype_string(_FOUND if final else _CARRY).fields)
         found = arrow_map(found, _pass(spark.sparkContext.broadcast(part), final, not final or bool(carried)), schema)
     return found.withColumnRenamed("carried", carried) if carried else found
+
+
+_RE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: The same in DuckDB, for unique document ids: windows of every length joined with the patterns.
+ORACLE = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_LOW}, '{_RE}') AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOW}, '{_RE}') AS w
+          FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT *, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+patterns AS (SELECT DISTINCT item_id, n, w[i:i + n - 1] AS p
+             FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i FROM sized)),
+sizes AS (SELECT DISTINCT n FROM patterns),
+windows AS (SELECT doc_id, n, i, w[i:i + n - 1] AS p
+            FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i
+                  FROM docs JOIN sizes ON len(w) >= n)),
+hits AS (SELECT doc_id, i, windows.n, item_id FROM windows JOIN patterns USING (n, p)),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS pos FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
