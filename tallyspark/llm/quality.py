@@ -42,7 +42,7 @@ WORD_DIMS, FORM_DIMS = 3072, 256
 DIMS = WORD_DIMS + 4 * FORM_DIMS
 FORM_WEIGHT = 4.0
 RANK = 96
-SAMPLE = 6144
+SAMPLE = 4096
 NEIGHBOURS = 24
 SHARPNESS = 4
 BLOCK = 256
@@ -157,18 +157,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     idf = inverse_frequencies(held, n)
     rows = arrow_map(labelled_sample(docs, labels, label, sample), _sparse,
                      "doc_id long, label int, features array<int>, counts array<int>").toArrow()
-    counts = np.zeros((rows.num_rows, DIMS), dtype=np.float32)
-    for k, (f, c) in enumerate(zip(rows.column("features").to_pylist(), rows.column("counts").to_pylist(),
-                                   strict=True)):
-        counts[k, f] = c
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
-    v = _vectors(counts, idf)[order]
-    keep = np.linalg.norm(v, axis=1) > 0
-    y = rows.column("label").to_numpy()[order][keep].astype(np.float32)
-    ids = rows.column("doc_id").to_numpy()[order][keep]
-    v = v[keep]
-    if not len(v):
+    ids, y = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()
+    size = rows.column("features").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+    # Rows with features, in order of the id; one dense matrix, worked on in place.
+    order = np.argsort(ids, kind="stable")
+    order = order[size[order] > 0]
+    if not len(order):
         return {"idf": idf, "prior": 0.5, "space": None}
+    place = np.full(len(ids), -1)
+    place[order] = np.arange(len(order))
+    v = np.zeros((len(order), DIMS), dtype=np.float32)
+    v[np.repeat(place, size), rows.column("features").combine_chunks().flatten().to_numpy()] = \
+        rows.column("counts").combine_chunks().flatten().to_numpy()
+    del rows
+    np.log1p(v, out=v)
+    v *= idf
+    for k in range(0, len(v), BLOCK):
+        v[k:k + BLOCK] /= np.maximum(np.linalg.norm(v[k:k + BLOCK], axis=1, keepdims=True), 1e-12)
+    ids, y = ids[order], y[order].astype(np.float32)
     space = latent_space(v, RANK)
     points = v @ space
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
