@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tallyspark.plans.catalog import QUERIES  # noqa: E402
 from tallyspark.session import get_session  # noqa: E402
 
 
@@ -43,7 +43,7 @@ def main() -> None:
     print("| query | shuffles | broadcasts | reused | partial limit | expand | generate | "
           "hash agg | sort agg | window | scans |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf_dir)
