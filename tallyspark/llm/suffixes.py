@@ -136,29 +136,42 @@ class SuffixFamily:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[DataFrame | None] = []
         self.found: list[DataFrame] = []
+        self.places: dict[int, tuple[str, str]] = {}  # table and folder of each array
 
     def _stored(self, df: DataFrame) -> DataFrame:
         """An array, bucketed and sorted, in the shared folder.  ``df`` comes
         from a shuffle on the bucket columns (or a join of arrays), so each
         bucket is in one task and makes one file."""
-        name = f"suffixes_{uuid.uuid4().hex}"
+        name, path = f"suffixes_{uuid.uuid4().hex}", shared_path(self.spark, "suffixes")
         (df.write.format("parquet").bucketBy(self.buckets, "context", "anchor").sortBy("context", "anchor")
-         .option("path", shared_path(self.spark, "suffixes")).saveAsTable(name))
-        return self.spark.table(name)
+         .option("path", path).saveAsTable(name))
+        stored = self.spark.table(name)
+        self.places[id(stored)] = (name, path)
+        return stored
+
+    def _superseded(self, table: DataFrame) -> None:
+        """Remove an array whose entries are all in a merged one."""
+        name, path = self.places.pop(id(table))
+        self.spark.sql(f"DROP TABLE {name}")
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def add(self, rows: DataFrame) -> None:
         """``rows`` has a column text."""
         fresh = self._stored(
             arrow_map(rows.select("text"), _array_entries(self.width), "anchor long, context long")
             .groupBy("context", "anchor").agg(F.count("*").alias("times")))
-        self.found.append(fresh.where("times > 1").select("context", "anchor"))
+        self.found.append(keep(fresh.where("times > 1").select("context", "anchor"), "matches"))
         for level in self.levels:
             if level is not None:
                 met = fresh.select("context", "anchor").join(level.select("context", "anchor"), ["context", "anchor"])
                 self.found.append(keep(met, "matches"))
         depth = 0
         while depth < len(self.levels) and self.levels[depth] is not None:
-            fresh = self._stored(self._merged(fresh, self.levels[depth]))
+            older, newer = self.levels[depth], fresh
+            fresh = self._stored(self._merged(newer, older))
+            self._superseded(older)
+            self._superseded(newer)
             self.levels[depth] = None
             depth += 1
         if depth == len(self.levels):
