@@ -2,18 +2,18 @@
 
 Tokens are the lower-cased words of a text and one end token.  The corpus
 counts of all training tokens form a table (it grows with the corpus and is
-only joined).  Its ``CLASSES`` most frequent tokens have emission
-probabilities of their own; the others form one class more, inside which a
-token has the share (c + 1) / R, with R the sum over all rare tokens and one
-unknown.  The model is thus a distribution over all token sequences that end.
+only joined).  Its ``CLASSES`` most frequent tokens, as many as have their
+counts broadcast, have emission probabilities of their own; the others form
+one class more, inside which a token has the share (c + 1) / R, with R the sum
+over all rare tokens and one unknown.  The model is thus a distribution over all token sequences that end.
 
 Training.  Baum-Welch: each task runs the scaled forward and backward
 recursions over its documents and sums expected counts; Spark adds the tasks'
 sums up, and the driver normalises them (states x classes numbers, whatever
 the corpus).  A text of over ``STRETCH`` tokens is cut into stretches; later
-stretches start from the average state.  The first ``WARM`` rounds run over
-the ``WARM_DOCS`` training documents with the smallest hash of their id, to
-tell the states apart; ``ROUNDS`` rounds over all training documents follow.
+stretches start from the average state.  The first ``WARM`` rounds tell the
+states apart, ``ROUNDS`` more follow; each runs over all training documents,
+whose class sequences are written once.
 Emissions are smoothed with the unigram of the classes.
 
 Scoring is the exact forward recursion over whole texts.  The first stretch
@@ -38,13 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
-from tallyspark.llm.frames import arrow_map, fold, keep, smallest_hashes, texts
+from tallyspark.llm.frames import arrow_map, fold, keep, texts
 
 STATES = 8
-CLASSES = 1 << 15
-KNOWN = 1 << 18
+KNOWN = CLASSES = 1 << 18
 STRETCH = 1024
-WARM, WARM_DOCS, ROUNDS = 12, 2048, 2
+#: Tokens whose expected counts are taken at once (whole documents).
+PIECE = 1 << 18
+WARM, ROUNDS = 12, 2
 SMOOTH = 200.0
 #: Distinct tokens that a counting task holds before it passes them on.
 HELD = 1 << 20
@@ -237,15 +238,39 @@ def log_likelihoods(model: Model, seq: np.ndarray, bounds: np.ndarray) -> np.nda
     return out
 
 
+def _classes(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offs in A.chunks(batch):
+                seq, bounds, *_ = _sequences(shared.value, data, offs)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(seq.astype(np.int32)))],
+                    names=["kinds"])
+    return run
+
+
+def _pieces(kinds):
+    """(classes, offsets) of runs of documents of about ``PIECE`` tokens."""
+    offs, values = kinds.offsets.to_numpy().astype(np.int64), kinds.values.to_numpy()
+    at = 0
+    while at < len(kinds):
+        to = max(int(np.searchsorted(offs, offs[at] + PIECE, side="right")) - 1, at + 1)
+        yield values[offs[at]:offs[to]].astype(np.int64), offs[at:to + 1] - offs[at]
+        at = to
+
+
 def _expectation(shared, states: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         total = None
         for batch in batches:
-            for _, data, offs in A.chunks(batch):
-                seq, bounds, *_ = _sequences(model, data, offs)
+            for seq, bounds in _pieces(batch.column("kinds")):
                 part = expected_counts(model, seq, bounds)
-                total = part if total is None else tuple(a + b for a, b in zip(total, part, strict=True))
+                if total is None:
+                    total = part
+                else:
+                    for a, b in zip(total, part, strict=True):
+                        a += b
         if total is None:
             return
         rows = np.concatenate([total[0][None], total[1][None], total[2], total[3]])
@@ -256,11 +281,11 @@ def _expectation(shared, states: int):
 
 
 def _round(model: Model, rows: DataFrame) -> None:
-    """One Baum-Welch round over the texts of ``rows``."""
+    """One Baum-Welch round over the class sequences of ``rows``."""
     k = model.states
     shared = rows.sparkSession.sparkContext.broadcast(model)
     names = [f"s{i}" for i in range(k)]
-    sums = (arrow_map(rows.select("text"), _expectation(shared, k),
+    sums = (arrow_map(rows.select("kinds"), _expectation(shared, k),
                       "row long, " + ", ".join(f"{c} double" for c in names))
             .groupBy("row").agg(*[F.sum(c).alias(c) for c in names]).toArrow())
     out = np.zeros((2 + k + len(model.unigram), k))
@@ -299,13 +324,11 @@ def train(training: DataFrame, counts: DataFrame, states: int = STATES, classes:
                   total.types + (1 if ends else 0), ends, states, classes)
     if not ends:
         return model
-    ids = smallest_hashes(training.select("doc_id"), WARM_DOCS).distinct()
-    some = keep(training.join(F.broadcast(ids), "doc_id"), "warm").repartition(
-        training.sparkSession.sparkContext.defaultParallelism)
-    for _ in range(WARM):
-        _round(model, some)
-    for _ in range(rounds):
-        _round(model, training)
+    shared = training.sparkSession.sparkContext.broadcast(model)
+    rows = keep(arrow_map(training.select("text"), _classes(shared), "kinds array<int>"), "classes")
+    shared.unpersist()
+    for _ in range(WARM + rounds):
+        _round(model, rows)
     return model
 
 

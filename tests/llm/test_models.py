@@ -157,6 +157,17 @@ def test_language_model(spark, monkeypatch, known):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_every_round_sees_all_documents_and_types(spark, monkeypatch):
+    """2,100 documents of 20 words of their own."""
+    seen = []
+    monkeypatch.setattr(hmm, "_round", lambda model, rows: seen.append(rows.count()))
+    docs = spark.range(2100).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(id * 20, id * 20 + 19), x -> concat('w', x))) AS text")
+    model = hmm.train(docs, hmm.token_counts(docs))
+    assert set(seen) == {2100} and len(seen) == hmm.WARM + hmm.ROUNDS
+    assert model.n == 42000
+
+
 def test_probabilities_add_up():
     """Emissions, moves and the share of rare tokens are distributions."""
     m = _model()
