@@ -9,8 +9,10 @@ repeated.  Suffixes of equal rank at depth h are one interval of the suffix
 array with a common prefix of at least h lines.
 
 A run of lines is repeated if ``min_lines`` or more lines in a row, or a line
-of ``min_chars`` or more characters, also occur earlier (by document id, then
-line).  In each interval the earliest suffix stays; the lines that the later
+that is long enough to stand alone, also occur earlier (by document id, then
+line).  Alone stand lines of ``MIN_WORDS`` words, ``MIN_LETTERS`` letters and
+digits (for scripts without spaces) or ``MIN_CHARS`` characters; braces and
+one-word lines don't.  With ``min_chars``, only lines of so many characters do.  In each interval the earliest suffix stays; the lines that the later
 ones begin with are deleted.  Stretches of a longer repeated run are
 intervals too, so the maximal run goes as a whole.
 
@@ -36,6 +38,7 @@ from tallyspark.llm.frames import keep
 from tallyspark.llm.mixing import numbered
 
 MIN_LINES, MIN_CHARS = 2, 100
+MIN_WORDS, MIN_LETTERS = 3, 20
 #: A suffix is the document (its number in sort order is not needed: id and
 #: text hash sort alike everywhere) and the line's place among lines not blank.
 _AT = ("nul", "doc_id", "th", "i")
@@ -45,8 +48,17 @@ def _text_hash(text):
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(nul, doc_id, th, i, pos, h1, h2, chars): the lines that are not blank."""
+def _alone(line, min_chars: int | None):
+    """Whether a line is a run by itself."""
+    if min_chars is not None:
+        return F.length(line) >= min_chars
+    return ((F.regexp_count(line, F.lit(r"[\p{L}\p{N}]+")) >= MIN_WORDS)
+            | (F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]+", "")) >= MIN_LETTERS)
+            | (F.length(line) >= MIN_CHARS))
+
+
+def line_table(docs: DataFrame, min_chars: int | None = None) -> DataFrame:
+    """(nul, doc_id, th, i, pos, h1, h2, alone): the lines that are not blank."""
     text = F.col("text").cast("string")
     each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(text).alias("th"),
                        F.transform(F.split(text, "\n", -1), lambda x, p: F.struct(p.alias("pos"), x.alias("line")))
@@ -55,7 +67,7 @@ def line_table(docs: DataFrame) -> DataFrame:
     return full.select(F.col("doc_id").isNull().alias("nul"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "th",
                        F.col("pos").alias("i"), F.col("col.pos").alias("pos"),
                        F.xxhash64("col.line").alias("h1"), F.hash("col.line").alias("h2"),
-                       F.length("col.line").alias("chars"))
+                       _alone(F.col("col.line"), min_chars).alias("alone"))
 
 
 def _repeated(suffixes: DataFrame, *key: str) -> DataFrame:
@@ -85,14 +97,14 @@ def _depths(goal: int) -> list[int]:
     return out
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int | None = None) -> DataFrame:
     """(nul, doc_id, th, pos) of every line to delete."""
-    lines = keep(line_table(docs).distinct(), "lines")
+    lines = keep(line_table(docs, min_chars).distinct(), "lines")
     first = _repeated(lines, "h1", "h2")
     ranks = numbered(first, "h1", "h2", name="rank")
     marked = _back(lines, ranks, "h1", "h2")
-    level = keep(marked.select(*_AT, "rank", "chars", "earliest"), "ranks")
-    gone = [_later(level.where(F.col("chars") >= min_chars), 1)]
+    level = keep(marked.select(*_AT, "rank", "alone", "earliest"), "ranks")
+    gone = [_later(level.where("alone"), 1)]
     depths = _depths(min_lines)
     if len(depths) == 1:
         gone.append(_later(level, 1))
@@ -110,7 +122,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int =
     return deleted.join(lines.select(*_AT, "pos"), list(_AT)).select("nul", "doc_id", "th", "pos")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int | None = None) -> DataFrame:
     """``docs`` with the columns n_lines, n_removed, n_runs (maximal deleted
     runs) and kept_text (null for a null text).  The text itself stays."""
     docs = docs.drop("n_lines", "n_removed", "n_runs", "kept_text", "__nul", "__id", "__th", "__runs")
@@ -140,7 +152,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MI
         F.when(F.size(run_list) == 0, text).otherwise(F.array_join(F.flatten(gaps), "\n")).alias("kept_text"))
 
 
-#: The same in DuckDB for the default parameters, over plain windows.
+#: The same in DuckDB for MIN_LINES and MIN_CHARS, over plain windows.
 ORACLE = f"""
 WITH split AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,

@@ -56,8 +56,8 @@ def op7_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated line runs removed from all documents."""
-    cut = lineruns.dedup_lines(table(spark, sf_dir, "documents"))
+    """Repeated line runs removed from all documents, by the rule of the SQL twin."""
+    cut = lineruns.dedup_lines(table(spark, sf_dir, "documents"), lineruns.MIN_LINES, lineruns.MIN_CHARS)
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

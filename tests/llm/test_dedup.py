@@ -135,6 +135,18 @@ def test_line_runs(spark, min_lines):
     assert set(frame(spark, rows).columns) - {"n_lines"} < set(got[0].asDict())
 
 
+def test_short_lines_among_varied_neighbours(spark):
+    """A boilerplate line goes from all but the first document, whatever stands
+    beside it; braces and one-word lines stay."""
+    short = ["Subscribe to our newsletter", "点击这里订阅我们的每周新闻通讯并获取最新的优惠信息"]
+    spared = ["} else {", "Menu", "return x;"]
+    rows = [[i, "\n".join(f"own{i}x{k}\n{line}" for k, line in enumerate(short + spared)), "s"] for i in range(4)]
+    got = {r.doc_id: r for r in lineruns.dedup_lines(frame(spark, rows)).collect()}
+    assert got[0].kept_text == rows[0][1] and [got[i].n_removed for i in range(4)] == [0, 2, 2, 2]
+    for i in range(1, 4):
+        assert got[i].kept_text.split("\n") == [x for x in rows[i][1].split("\n") if x not in short]
+
+
 def test_empty_tables(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
     assert suffixes.remove_repeats(empty(spark)).count() == 0
