@@ -1,20 +1,22 @@
 """Removing repeated runs of lines, with DataFrame functions only.
 
-The corpus is a set of line sequences (blank lines left out).  Prefix
-doubling ranks the suffixes of all sequences: equal lines get one rank, in
-the order of their identifiers; the ranks of two adjoining stretches of h
-lines make the ranks of stretches of 2h lines.  A suffix whose rank nobody
-shares is settled and leaves the table, so each round works on what is still
-repeated.  Suffixes of equal rank at depth h are one interval of the suffix
-array with a common prefix of at least h lines.
+The corpus is a set of line sequences (blank lines left out).  Equal lines
+get one rank, in the order of their identifiers; the ranks of two adjoining
+stretches of h lines make the ranks of stretches of 2h lines, up to
+``min_lines`` and no further: by default one join.  A line lies in a repeated
+run of so many lines or more just when it lies in a repeated stretch of
+exactly so many, so longer stretches would delete nothing more.  Stretches
+whose rank nobody shares leave the table.  No suffix array is built; the
+stretches of one rank at depth h are the suffixes with a common prefix of at
+least h lines.
 
 A run of lines is repeated if ``min_lines`` or more lines in a row, or a line
 that is long enough to stand alone, also occur earlier (by document id, then
 line).  Alone stand lines of ``MIN_WORDS`` words, ``MIN_LETTERS`` letters and
 digits (for scripts without spaces) or ``MIN_CHARS`` characters; braces and
-one-word lines don't.  With ``min_chars``, only lines of so many characters do.  In each interval the earliest suffix stays; the lines that the later
-ones begin with are deleted.  Stretches of a longer repeated run are
-intervals too, so the maximal run goes as a whole.
+one-word lines don't.  With ``min_chars``, only lines of so many characters do.  Of each rank the earliest stretch stays; the lines of the later ones are
+deleted.  Stretches of a longer repeated run are ranked too, so the maximal
+run goes as a whole.
 
 Every step is a grouping or a join on ranks or positions.  Groups are counted
 with map-side combination and joined back on a key of their own, so a line
@@ -123,8 +125,8 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int |
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int | None = None) -> DataFrame:
-    """``docs`` with the columns n_lines, n_removed, n_runs (maximal deleted
-    runs) and kept_text (null for a null text).  The text itself stays."""
+    """``docs`` with the columns n_lines, n_removed, n_runs (stretches of deleted
+    lines, whichever runs they come from) and kept_text (null for a null text).  The text itself stays."""
     docs = docs.drop("n_lines", "n_removed", "n_runs", "kept_text", "__nul", "__id", "__th", "__runs")
     deleted = repeated_lines(docs, min_lines, min_chars)
     in_doc = Window.partitionBy("nul", "doc_id", "th").orderBy("pos")
