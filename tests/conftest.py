@@ -24,10 +24,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="tallyspark-test-")
-
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples (of the given columns, or all)."""
-    cols = cols or tuple(df.columns)
-    out = [tuple(r[c] for c in cols) for r in df.select(*[f"`{c}`" for c in cols]).collect()]
-    return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))

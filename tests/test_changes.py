@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tallyspark.operators import changes as chg
 from tallyspark.sources.tables import write_partitions

@@ -9,7 +9,7 @@ import sys
 import types
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tallyspark import jobs

@@ -8,7 +8,7 @@ import json
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tallyspark.operators import changes as chg
 from tallyspark.operators import features as feat

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tallyspark.functions import dates
