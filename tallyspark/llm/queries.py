@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import ann, bpe, hmm, lineruns, minhash, mixing, quality, suffixes, toxicity, wumanber
+from tallyspark.llm import ann, bpe, hmm, lineruns, minhash, mixing, pivots, quality, suffixes, toxicity, wumanber
 from tallyspark.llm.frames import table
 
 
@@ -71,6 +71,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest integer inner products of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivots.top_products(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_mixing": op2_mixing,
@@ -82,10 +88,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op13_top_products": op13_top_products,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op6_decontamination": wumanber.ORACLE,
     "op8_line_dedup": lineruns.ORACLE,
+    "op13_top_products": pivots.ORACLE,
 }
