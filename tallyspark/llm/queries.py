@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import ann, bpe, hmm, lineruns, minhash, mixing, periods, pivots, quality, suffixes, toxicity, wumanber
+from tallyspark.llm import ann, bpe, crosstok, hmm, lineruns, minhash, mixing, periods, pivots, quality, suffixes, toxicity, wumanber
 from tallyspark.llm.frames import table
 
 
@@ -71,6 +71,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies linked by the bytes they cover, in every text."""
+    return crosstok.cross_align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every text."""
     return periods.periodic_runs(table(spark, sf_dir, "documents"))
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_cross_tokens": op11_cross_tokens,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_top_products": op13_top_products,
 }
