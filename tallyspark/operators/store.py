@@ -29,14 +29,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.dates import as_timestamp
-from ..sources.versioned import (commit_version, current_facts, current_version,
-                                 read_current)
+from ..sources.tables import read_snapshot, write_snapshot
 from .features import keep_last
 
 # Feature value types a view can declare, and their Spark types.
@@ -367,9 +367,15 @@ def get_historical_features(entity_df: DataFrame, refs: list[str],
 
 # --- Online table -----------------------------------------------------------
 
+#: The run that wrote an online row: among rows of one time the later run's wins.
+RUN = "materialization_run"
+
+
 def newest_rows(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Newest row per key by ``ts``; ties go to the greatest values."""
-    return keep_last(df, keys, [ts, *[c for c in df.columns if c not in keys and c != ts]])
+    """Newest row per key by ``ts``, of the latest run where rows carry one;
+    ties go to the greatest values."""
+    order = [ts, RUN] if RUN in df.columns else [ts]
+    return keep_last(df, keys, order + [c for c in df.columns if c not in keys and c not in order])
 
 
 def online_rows(view: FeatureView, source: DataFrame, end=None, start=None) -> DataFrame:
@@ -388,16 +394,35 @@ def online_rows(view: FeatureView, source: DataFrame, end=None, start=None) -> D
 
 def merge_online(current: DataFrame | None, fresh: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Upsert ``fresh`` into ``current``: per key the newer row wins, so a
-    late-arriving older row never replaces a newer one."""
+    late-arriving older row never replaces a newer one.  At one time the row
+    of the later run wins, so a correction replaces what it corrects, whether
+    its values are greater or smaller."""
     if current is None:
         return fresh
     return newest_rows(current.unionByName(fresh), keys, ts)
 
 
-def stored_end(spark: SparkSession, online_path: str) -> dt.datetime | None:
-    """End of the last materialization into an online table."""
-    end = current_facts(spark, online_path).get("end")
-    return dt.datetime.fromisoformat(end) if end else None
+def _runs_path(online_path: str) -> str:
+    return f"{online_path}.runs"
+
+
+def materialization_runs(spark: SparkSession, online_path: str) -> DataFrame:
+    """One row per materialization into an online table: run, view, start, end."""
+    schema = "run long, view string, start timestamp, end timestamp"
+    try:
+        return spark.read.schema(schema).parquet(_runs_path(online_path))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def stored_end(spark: SparkSession, online_path: str, before: dt.datetime | None = None) -> dt.datetime | None:
+    """The greatest end (before a time) that the online table was materialized to."""
+    runs = materialization_runs(spark, online_path)
+    if before is not None:
+        runs = runs.where(F.col("end") < F.lit(before))
+    return runs.agg(F.max("end")).first()[0]
 
 
 def _moment(value) -> dt.datetime:
@@ -409,43 +434,44 @@ def _moment(value) -> dt.datetime:
 
 
 def materialize(spark: SparkSession, view: FeatureView, online_path: str, end,
-                source: DataFrame | None = None, start="stored") -> str:
-    """Materialize a view into its versioned online table.
-
-    Rows with ``start < ts <= end`` are reduced to the newest per key, merged
-    with the current version and committed as the next version; the version
-    being read is never overwritten.  ``start="stored"`` continues from the
-    end that the table remembers (from the beginning the first time);
-    ``start=None`` reads everything up to ``end``.  The remembered end never
-    moves back, so a run for an earlier end merges its rows and later runs go
-    on from the greatest end.  ``source`` defaults to the view's registered
-    source.  Views with ``online=False`` are skipped.  Returns the path of the
-    current version ('' when skipped).
+                source: DataFrame | None = None, start="stored") -> int | None:
+    """Materialize a view into its online table.
+
+    Rows with ``start < ts <= end`` are reduced to the newest per key, marked
+    with the number of this run, merged with the table and written as its
+    next snapshot.  ``start="stored"`` goes on from the greatest end of
+    earlier runs that is before this one, so a run for an end that was
+    reached already reads its slice again and takes corrections in: a row
+    replaces that of an earlier run with the same time, never a newer one.  A
+    row that the corrected source no longer has stays online.
+    ``start=None`` reads everything up to ``end``.  ``source`` defaults to
+    the view's registered source.  Views with ``online=False`` are skipped.
+    Returns the run's number (None when skipped).
     """
     if not view.online:
-        return ""
+        return None
     end = _moment(end)
-    known = stored_end(spark, online_path)
-    if start == "stored":
-        start = known
-    if start is not None and _moment(start) >= end:
-        return current_version(spark, online_path) or ""
+    start = stored_end(spark, online_path, before=end) if start == "stored" else start
+    runs = materialization_runs(spark, online_path)
+    run = (runs.agg(F.max("run")).first()[0] or 0) + 1
     rows = source if source is not None else view.source.load(spark)
-    fresh = online_rows(view, rows, end=end, start=start)
-    merged = merge_online(read_current(spark, online_path), fresh, view.join_keys, view.ts_field)
-    last = max(end, known) if known else end
-    return commit_version(merged, online_path, {"view": view.name, "end": last.isoformat()})
+    fresh = online_rows(view, rows, end=end, start=start).withColumn(RUN, F.lit(run).cast("long"))
+    write_snapshot(merge_online(read_snapshot(spark, online_path), fresh, view.join_keys, view.ts_field), online_path)
+    row = [(run, view.name, _moment(start) if start is not None else None, end)]
+    spark.createDataFrame(row, runs.schema).write.mode("append").parquet(_runs_path(online_path))
+    return run
 
 
 def materialize_all(spark: SparkSession, views: list[FeatureView], online_root: str, end,
-                    sources: dict[str, DataFrame] | None = None, start="stored") -> dict[str, str]:
+                    sources: dict[str, DataFrame] | None = None, start="stored") -> dict[str, int]:
     """``materialize`` for several views, each into ``<root>/<view name>``."""
     return {v.name: materialize(spark, v, f"{online_root}/{v.name}", end, (sources or {}).get(v.name), start)
             for v in views if v.online}
 
 
 def read_online(spark: SparkSession, online_path: str) -> DataFrame | None:
-    return read_current(spark, online_path)
+    """The online table, one row per key, with the run that wrote it."""
+    return read_snapshot(spark, online_path)
 
 
 def get_online_features(online: dict[str, DataFrame], entity_keys: DataFrame, refs: list[str],

@@ -235,12 +235,23 @@ FROM orders""",
   WHERE date > DATE '2024-01-15' AND date <= DATE '2024-01-25')
 SELECT * EXCLUDE (rk) FROM r WHERE rk = 1""",
     "materialize_full": f"WITH {ONLINE} SELECT * FROM online",
-    # Users ending in 1 also come late under another name, up to the middle date.
-    "materialize_incremental": f"""WITH {ONLINE},
-late AS (SELECT * EXCLUDE (rk) REPLACE ('late-' || user_id AS user_id) FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS rk
-  FROM proj WHERE date <= DATE '2024-01-20' AND ends_with(user_id, '1')) WHERE rk = 1)
-SELECT * FROM online UNION ALL SELECT * FROM late""",
+    # Runs: 1 up to the middle, 2 up to the end, 3 late rows up to the middle
+    # (users ending in 1 under another name; the others' rows again), 4 the
+    # slice of run 2 again, its last day corrected for users ending in 3.
+    "materialize_incremental": f"""WITH {FT},
+feeds AS (
+  SELECT 1 AS run, * FROM ft WHERE date <= DATE '2024-01-20'
+  UNION ALL SELECT 2, * FROM ft WHERE date > DATE '2024-01-20'
+  UNION ALL SELECT 3, * REPLACE (CASE WHEN ends_with(user_id, '1') THEN 'late-' || user_id ELSE user_id END AS user_id)
+  FROM ft WHERE date <= DATE '2024-01-20'
+  UNION ALL SELECT 4, * REPLACE (
+    num_transactions_l1w - CASE WHEN date = DATE '2024-01-30' AND ends_with(user_id, '3') THEN 1 ELSE 0 END
+      AS num_transactions_l1w,
+    total_amount_l1w - CASE WHEN date = DATE '2024-01-30' AND ends_with(user_id, '3') THEN 5 ELSE 0 END
+      AS total_amount_l1w)
+  FROM ft WHERE date > DATE '2024-01-20')
+SELECT user_id, date, {PROJECTED}, CAST(run AS BIGINT) AS materialization_run FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC, run DESC) AS rk FROM feeds) WHERE rk = 1""",
     "partition_rerun": f"""WITH {TXD} SELECT * FROM tx
 WHERE date <> DATE '2024-01-20' OR "Vendor" = 'purchase'""",
     "partition_range": f"WITH {TXD} SELECT * FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'",

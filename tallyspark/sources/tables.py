@@ -8,10 +8,12 @@ day replaces exactly that day's partitions and nothing else.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names of the data sources.
 FORMATS = ("parquet", "delta", "csv", "json", "text", "orc")
 
 
@@ -72,7 +74,7 @@ def write_partitions(df: DataFrame, path: str, by: str | list[str] = "date",
     cols = [by] if isinstance(by, str) else list(by)
     writer = (df.write.format(fmt).mode("overwrite")
               .option("partitionOverwriteMode", "dynamic").partitionBy(*cols))
-    if fmt == "delta":
+    if fmt == "delta":  # fixed values: table properties
         writer = writer.option("delta.columnMapping.mode", "name") \
             .option("delta.minReaderVersion", "2").option("delta.minWriterVersion", "5")
     for k, v in (options or {}).items():
@@ -95,6 +97,39 @@ def drop_partition(spark: SparkSession, path: str, column: str, value, fmt: str
         fs.delete(p, True)
 
 
+SNAPSHOT = "snapshot"
+
+
+def _snapshots(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """The table of all snapshots and the newest one's number (None, -1 before the first)."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None, -1
+        raise
+    return table, table.agg(F.max(SNAPSHOT)).first()[0]
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest snapshot of a table that ``write_snapshot`` wrote, or None."""
+    table, newest = _snapshots(spark, path)
+    return None if table is None else table.where(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
+
+
+def write_snapshot(df: DataFrame, path: str, kept: int = 2) -> int:
+    """Write ``df`` as the next snapshot of a table that is rebuilt as a whole,
+    possibly from itself: a partition of its own, one number above the
+    newest, so what is being read is never overwritten, and a partition shows
+    only when its write commits.  The last ``kept`` snapshots stay.  Returns
+    the number; an empty ``df`` leaves the table as it is."""
+    spark = df.sparkSession
+    number = _snapshots(spark, path)[1] + 1
+    write_partitions(df.withColumn(SNAPSHOT, F.lit(number)), path, SNAPSHOT)
+    drop_partition(spark, path, SNAPSHOT, number - kept)
+    return number
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, header: bool = True,
                 options: dict | None = None) -> None:

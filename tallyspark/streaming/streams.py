@@ -9,12 +9,10 @@
   window is emitted once, when the watermark passes its end, and its state
   is dropped.
 * ``stream_calendar_features``: week / month buckets in complete mode; every
-  trigger commits the whole result as a new table version.
+  trigger writes the whole result as the next snapshot of a table.
 * ``start_current_state``: newest version of every row id, kept in Spark's
-  state store; each micro-batch emits only the ids it changed (merged with
-  Delta ``MERGE`` when present, else appended to a change log that
-  ``read_state`` reduces and ``compact_state`` folds).  Deleted ids stay as
-  markers so a late, older change cannot bring a row back.
+  state store, which ``read_state`` reads back through the state data source.
+  Deleted ids stay as markers so a late, older change cannot bring a row back.
 """
 
 from __future__ import annotations
@@ -29,9 +27,7 @@ from ..operators.features import calendar_features
 from ..schemas import (AMOUNT_COL, SOURCE_COL, TRANSACTION_ROW, TXN_COL, USER_COL,
                        VENDOR_COL)
 from ..sources.connectors import TopicConfig, kafka_read_options
-from ..sources.tables import delta_available
-from ..sources.versioned import _fs as _versioned_fs
-from ..sources.versioned import commit_version, current_facts, has_marker, read_current
+from ..sources.tables import write_snapshot
 
 
 def stream_changes(spark: SparkSession, path: str | None = None, cfg: TopicConfig | None = None,
@@ -106,17 +102,12 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: list[s
     return w.start(path)
 
 
-def start_complete(df: DataFrame, root: str, checkpoint: str,
-                   available_now: bool = True, keep_last: int = 3) -> StreamingQuery:
-    """Complete-mode aggregate: each trigger commits the whole result as the
-    next version of the table at ``root`` and removes versions older than the
-    last ``keep_last``.  A replayed batch, or a stream begun anew from a lost
-    checkpoint, commits a newer version again."""
-    def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_version(batch, root, {"batch": batch_id}, keep_last=keep_last)
-
-    w = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint) \
-        .foreachBatch(commit)
+def start_complete(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Complete-mode aggregate: each trigger writes the whole result as the
+    next snapshot of the table at ``path``.  A replayed batch, or a stream
+    begun anew from a lost checkpoint, writes a newer snapshot again."""
+    w = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda batch, _: write_snapshot(batch, path)))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
@@ -128,19 +119,10 @@ def _state_rows(parsed: DataFrame, ops, key: str) -> DataFrame:
     return up.unionByName(dl, allowMissingColumns=True).where(F.col(key).isNotNull())
 
 
-def reduce_state(rows: DataFrame, key: str = "id", order=("ts_ms", "lsn"),
-                 deletes_mode: str = "any") -> DataFrame:
-    """Newest entry per id.  ``"any"``: a delete marker wins over every
-    upsert of its id (deleted once, gone); ``"latest"``: plain order."""
-    if deletes_mode == "any":
-        rows = rows.withColumn("__del", (F.col("op") == "d").cast("int"))
-        return chg.latest_changes(rows, key, ("__del",) + tuple(order)).drop("__del")
-    return chg.latest_changes(rows, key, order)
-
-
 def _newest_agg(rows: DataFrame, key: str, order, deletes_mode: str) -> DataFrame:
-    """Streaming form of ``reduce_state``: one ``max_by`` per id, kept in the
-    state store (window ranking is refused on streams)."""
+    """Newest entry per id: one ``max_by`` per id, kept in the state store
+    (window ranking is refused on streams).  ``"any"``: a delete marker wins
+    over every upsert of its id (deleted once, gone); ``"latest"``: plain order."""
     rest = [c for c in rows.columns if c != key]
     packed = F.struct(*[F.col(f"`{c}`") for c in rest])
     rank = [F.col(c) for c in order]
@@ -155,103 +137,29 @@ def current_from_state(state: DataFrame) -> DataFrame:
     return state.where(F.col("op") != "d")
 
 
-def start_current_state(messages: DataFrame, state_root: str, checkpoint: str,
-                        row_schema: T.StructType = TRANSACTION_ROW, ops=chg.UPSERT_OPS,
-                        key: str = "id", order=("ts_ms", "lsn"), deletes_mode: str = "any",
-                        available_now: bool = True) -> StreamingQuery:
+def start_current_state(messages: DataFrame, checkpoint: str, row_schema: T.StructType = TRANSACTION_ROW,
+                        ops=chg.UPSERT_OPS, key: str = "id", order=("ts_ms", "lsn"),
+                        deletes_mode: str = "any", available_now: bool = True, apply=None) -> StreamingQuery:
     """Keep the current version of every row id from a change stream.
 
     The newest version per id lives in Spark's state store (a streaming
     ``max_by`` aggregation in update mode, fault tolerant through the
-    checkpoint; use the RocksDB provider for large states).  Each
-    micro-batch emits only the ids it changed: with Delta they are merged
-    into the table, otherwise appended to ``<root>/log/batch=<id>`` (a
-    replayed batch rewrites its own folder).  Work per batch is bounded by
-    the batch, not by the table.  Read with ``read_state``; fold the log
-    with ``compact_state``.
+    checkpoint; use the RocksDB provider for large states), and
+    ``read_state`` reads it from there.  A micro-batch emits only the ids it
+    changed; ``apply(batch, batch_id)`` gets them where an outside table is
+    to follow (a MERGE, say).
     """
-    spark = messages.sparkSession
-    use_merge = delta_available(spark)
     rows = _state_rows(chg.parse_changes(messages, row_schema), ops, key)
-    newest = _newest_agg(rows, key, order, deletes_mode)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        if use_merge:
-            _merge_delta(spark, batch, state_root, key, order, deletes_mode)
-        else:
-            batch.write.mode("overwrite").parquet(f"{state_root}/log/batch={batch_id:012d}")
-
-    w = (newest.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(apply))
+    w = (_newest_agg(rows, key, order, deletes_mode).writeStream.outputMode("update")
+         .option("checkpointLocation", checkpoint))
+    w = w.foreachBatch(apply) if apply else w.format("noop")
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
-def _committed_batches(spark: SparkSession, state_root: str, after: int) -> list[int]:
-    """Numbers above ``after`` of the log batches whose write was committed."""
-    log = f"{state_root}/log"
-    fs, jlog = _versioned_fs(spark, log)
-    if not fs.exists(jlog):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(jlog) if s.isDirectory()]
-    found = sorted(int(n[6:]) for n in names if n.startswith("batch="))
-    return [n for n in found if n > after and has_marker(spark, f"{log}/batch={n:012d}")]
-
-
-def _base_and_log(spark: SparkSession, state_root: str):
-    """The compacted base, the committed log batches since, and the last of
-    their numbers.  A batch that is still being written has no marker and is
-    neither read nor folded in."""
-    base = read_current(spark, f"{state_root}/base")
-    upto = current_facts(spark, f"{state_root}/base").get("batch", -1)
-    batches = _committed_batches(spark, state_root, upto)
-    log = spark.read.parquet(*[f"{state_root}/log/batch={n:012d}" for n in batches]) if batches else None
-    return base, log, (batches[-1] if batches else upto)
-
-
-def read_state(spark: SparkSession, state_root: str, key: str = "id", order=("ts_ms", "lsn"),
-               deletes_mode: str = "any") -> DataFrame | None:
-    """The state table: newest entry per id over the compacted base and the
-    log written since (delete markers included)."""
-    if delta_available(spark):
-        return spark.read.format("delta").load(f"{state_root}/delta")
-    base, log, _ = _base_and_log(spark, state_root)
-    parts = [p for p in (base, log) if p is not None]
-    if not parts:
-        return None
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return reduce_state(rows, key, order, deletes_mode)
-
-
-def compact_state(spark: SparkSession, state_root: str, key: str = "id",
-                  order=("ts_ms", "lsn"), deletes_mode: str = "any") -> str | None:
-    """Fold the committed log batches into a new base version that remembers
-    the last batch included; later reads combine the base with the batches
-    after it.  A batch that commits later is after it, too: batches of one
-    stream commit in order."""
-    base, log, last = _base_and_log(spark, state_root)
-    if log is None:
-        return None
-    rows = log if base is None else base.unionByName(log)
-    return commit_version(reduce_state(rows, key, order, deletes_mode), f"{state_root}/base", {"batch": last})
-
-
-def _merge_delta(spark: SparkSession, fresh: DataFrame, root: str, key: str, order,
-                 deletes_mode: str) -> None:  # pragma: no cover - needs the Delta jar
-    from delta.tables import DeltaTable  # type: ignore
-    path = f"{root}/delta"
-    if not DeltaTable.isDeltaTable(spark, path):
-        fresh.write.format("delta").save(path)
-        return
-    t = DeltaTable.forPath(spark, path).alias("t")
-    newer = " OR ".join(
-        [f"(s.{o} > t.{o}" + "".join(f" AND s.{p} = t.{p}" for p in order[:i]) + ")"
-         for i, o in enumerate(order)])
-    if deletes_mode == "any":
-        cond = f"t.op <> 'd' AND (s.op = 'd' OR {newer})"
-    else:
-        cond = newer
-    (t.merge(fresh.alias("s"), f"t.{key} = s.{key}")
-     .whenMatchedUpdateAll(condition=cond).whenNotMatchedInsertAll().execute())
-
-
+def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The newest entry per id (delete markers included) as of the last
+    committed batch of ``start_current_state``: its aggregate's state, read
+    store partition by store partition."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.*", "value.valueWithExtremumOrdering.*")

@@ -149,15 +149,37 @@ def test_materialize_never_goes_back(spark, tmp_dir):
     second = rows(store.read_online(spark, root), "user_id", "num_transactions_l1w")
     assert second == [("u1", 3), ("u2", 7), ("u3", 5)]
     offline = FeatureView("x", (CUSTOMER,), FIELDS, SRC, online=False)
-    assert store.materialize(spark, offline, f"{tmp_dir}/none", dt.date(2025, 4, 30), late) == ""
+    assert store.materialize(spark, offline, f"{tmp_dir}/none", dt.date(2025, 4, 30), late) is None
     # a run for an earlier end adds its rows and does not move the remembered end back
     early = spark.createDataFrame([("u9", 4, 1.0, 1.0, 1.0, 1.0, 1, 1, dt.date(2025, 1, 5))], FT_SCHEMA)
     store.materialize(spark, VIEW, root, dt.date(2025, 1, 20), early, start=None)
     assert rows(store.read_online(spark, root), "user_id") == [("u1",), ("u2",), ("u3",), ("u9",)]
     assert store.stored_end(spark, root) == dt.datetime(2025, 4, 30)
-    # nothing is new up to an end that was reached already
-    path = store.materialize(spark, VIEW, root, dt.date(2025, 4, 1), early)
-    assert path == store.current_version(spark, root)
+    assert rows(store.materialization_runs(spark, root), "run", "end")[-1] == (3, dt.datetime(2025, 1, 20))
+    # an empty slice changes nothing, and the run is remembered
+    assert store.materialize(spark, VIEW, root, dt.date(2025, 6, 1), early) == 4
+    assert rows(store.read_online(spark, root), "user_id") == [("u1",), ("u2",), ("u3",), ("u9",)]
+    assert store.stored_end(spark, root) == dt.datetime(2025, 6, 1)
+
+
+@pytest.mark.parametrize("corrected", [3, 8])
+def test_correction_of_a_day_reaches_the_online_table(spark, tmp_dir, corrected):
+    """Downward or upward: a re-run for the same end reads its slice again."""
+    root, day = f"{tmp_dir}/online", dt.date(2025, 1, 20)
+    def feed(n, more=()):
+        return spark.createDataFrame([("u1", n, 1.0, 1.0, 1.0, 1.0, 1, 1, day), *more], FT_SCHEMA)
+    store.materialize(spark, VIEW, root, dt.date(2025, 1, 19), feed(5))
+    store.materialize(spark, VIEW, root, day, feed(5))
+    store.materialize(spark, VIEW, root, day, feed(corrected))
+    got = rows(store.read_online(spark, root), "user_id", "num_transactions_l1w", store.RUN)
+    assert got == [("u1", corrected, 3)]
+    # a later day wins over a correction of the earlier one that comes after it
+    later = ("u1", 1, 1.0, 1.0, 1.0, 1.0, 1, 1, dt.date(2025, 1, 21))
+    store.materialize(spark, VIEW, root, dt.date(2025, 1, 21), feed(corrected, [later]))
+    store.materialize(spark, VIEW, root, day, feed(77, [later]))
+    assert rows(store.read_online(spark, root), "num_transactions_l1w", store.RUN) == [(1, 4)]
+    slices = rows(store.materialization_runs(spark, root), "run", "start", "end")
+    assert slices[-1] == (5, dt.datetime(2025, 1, 19), dt.datetime(2025, 1, 20))
 
 
 def test_incremental_slices(spark):

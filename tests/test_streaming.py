@@ -83,8 +83,8 @@ def test_stream_current_state_equals_batch(spark, tmp_dir):
         with open(f"{src}/part-{i}.json", "w") as fh:
             fh.write("\n".join(b) + "\n")
     stream = st.stream_changes(spark, src, max_files_per_trigger=1)
-    st.start_current_state(stream, f"{tmp_dir}/state", f"{tmp_dir}/ckpt").awaitTermination()
-    got = st.current_from_state(st.read_state(spark, f"{tmp_dir}/state"))
+    st.start_current_state(stream, f"{tmp_dir}/ckpt").awaitTermination()
+    got = st.current_from_state(st.read_state(spark, f"{tmp_dir}/ckpt"))
     all_msgs = spark.createDataFrame([(m,) for b in batches for m in b], "value string")
     batch = chg.current_rows(chg.parse_changes(all_msgs))
     assert rows(got, "id", "Amount") == rows(batch, "id", "Amount") == [(1, 5.0), (3, 3.0), (4, 4.0)]
@@ -101,12 +101,12 @@ def test_stream_calendar_complete(spark, tmp_dir):
         with open(f"{src}/r{i}.json", "w") as fh:
             fh.write(json.dumps(r) + "\n")
     from tallyspark.operators.records import parse_records
-    from tallyspark.sources.versioned import read_current
+    from tallyspark.sources.tables import read_snapshot
     records = parse_records(st.stream_changes(spark, src, max_files_per_trigger=1))
     agg = st.stream_calendar_features(records, "symbol", "date", "week",
                                       {"avg_price": ("avg", "price_daily")})
     st.start_complete(agg, f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
-    assert rows(read_current(spark, f"{tmp_dir}/out")) == [("BTC", 2, 20.0)]
+    assert rows(read_snapshot(spark, f"{tmp_dir}/out")) == [("BTC", 2, 20.0)]
 
 
 def test_duplicate_delivery_dropped(spark, tmp_dir):
@@ -122,53 +122,43 @@ def test_duplicate_delivery_dropped(spark, tmp_dir):
     assert got.where("date = DATE'2025-03-10'").first()["num_transactions_l1w"] == 1
 
 
-def test_state_log_and_compaction(spark, tmp_dir):
-    src = f"{tmp_dir}/msgs"
+def test_state_is_read_from_the_store(spark, tmp_dir):
+    src, ckpt = f"{tmp_dir}/msgs", f"{tmp_dir}/ckpt"
     os.makedirs(src)
     batches = [[_msg("c", 1, 1.0, 10, 1), _msg("c", 2, 2.0, 10, 2)],
                [_msg("u", 1, 5.0, 20, 3)],
                [_msg("d", 2, None, 30, 4), _msg("c", 3, 3.0, 30, 5)]]
-    root, ckpt = f"{tmp_dir}/state", f"{tmp_dir}/ckpt"
-    with open(f"{src}/part-0.json", "w") as fh:
-        fh.write("\n".join(batches[0]) + "\n")
-    st.start_current_state(st.stream_changes(spark, src, max_files_per_trigger=1), root,
-                           ckpt).awaitTermination()
-    assert st.compact_state(spark, root) is not None
-    for i in (1, 2):
-        with open(f"{src}/part-{i}.json", "w") as fh:
-            fh.write("\n".join(batches[i]) + "\n")
-    st.start_current_state(st.stream_changes(spark, src, max_files_per_trigger=1), root,
-                           ckpt).awaitTermination()
-    # later batches emit only the ids they changed (1; 2 and 3), not the table
-    assert spark.read.parquet(f"{root}/log").where("batch > 0").count() == 3
-    got = st.current_from_state(st.read_state(spark, root))
-    assert rows(got, "id", "Amount") == [(1, 5.0), (3, 3.0)]
-    # a batch folder without its commit marker is neither read nor folded in
-    late = f"{root}/log/batch={9:012d}"
-    spark.read.parquet(f"{root}/log/batch={0:012d}").withColumn("id", F.col("id") + 100).write.parquet(late)
-    os.rename(f"{late}/_SUCCESS", f"{late}/_held")
-    st.compact_state(spark, root)
-    assert rows(st.current_from_state(st.read_state(spark, root)), "id", "Amount") == [(1, 5.0), (3, 3.0)]
-    os.rename(f"{late}/_held", f"{late}/_SUCCESS")
-    assert rows(st.current_from_state(st.read_state(spark, root)), "id") == [(1,), (3,), (101,), (102,)]
-    st.compact_state(spark, root)
-    assert rows(st.current_from_state(st.read_state(spark, root)), "id") == [(1,), (3,), (101,), (102,)]
+    changed = []
+
+    def run(first, last):
+        for i in range(first, last):
+            with open(f"{src}/part-{i}.json", "w") as fh:
+                fh.write("\n".join(batches[i]) + "\n")
+        st.start_current_state(st.stream_changes(spark, src, max_files_per_trigger=1), ckpt,
+                               apply=lambda b, n: changed.append(rows(b, "id"))).awaitTermination()
+        return rows(st.current_from_state(st.read_state(spark, ckpt)), "id", "Amount")
+
+    assert run(0, 1) == [(1, 1.0), (2, 2.0)]
+    assert run(1, 3) == [(1, 5.0), (3, 3.0)]
+    # a batch emits only the ids it changed
+    assert [c for c in changed if c] == [[(1,), (2,)], [(1,)], [(2,), (3,)]]
+    assert rows(st.read_state(spark, ckpt), "id", "op") == [(1, "u"), (2, "d"), (3, "c")]
 
 
 def test_complete_mode_survives_a_lost_checkpoint(spark, tmp_dir):
-    from tallyspark.sources.versioned import current_number, read_current
+    from tallyspark.sources.tables import read_snapshot
     src, out = f"{tmp_dir}/rows", f"{tmp_dir}/out"
     schema = "k string, n int"
     spark.createDataFrame([("a", 1), ("b", 2)], schema).write.parquet(src)
 
     def run(checkpoint):
         agg = st.stream_files(spark, src, schema).groupBy("k").agg(F.sum("n").alias("n"))
-        st.start_complete(agg, out, f"{tmp_dir}/{checkpoint}", keep_last=2).awaitTermination()
+        st.start_complete(agg, out, f"{tmp_dir}/{checkpoint}").awaitTermination()
 
+    assert read_snapshot(spark, out) is None
     for i in range(4):
         spark.createDataFrame([("a", 10)], schema).write.mode("append").parquet(src)
         run("first")
     run("anew")
-    assert rows(read_current(spark, out)) == [("a", 41), ("b", 2)]
-    assert current_number(spark, out) >= 4
-    assert len([d for d in os.listdir(out) if d.startswith("v=")]) == 2
+    assert rows(read_snapshot(spark, out)) == [("a", 41), ("b", 2)]
+    assert len([d for d in os.listdir(out) if d.startswith("snapshot=")]) == 2
