@@ -7,11 +7,12 @@ Scale notes
   Spark's ``Expand`` rewrite, which first de-duplicates (key, value) pairs,
   so a key holding a third of all rows is spread over its distinct values
   before it reaches one task.
-* ``backfill_features`` never replicates raw rows per run date.  It first
-  reduces the input to one partial row per (key, date, vendor, source) - a
-  map-side combined aggregate - and only those partials are fanned out to
-  the ``days_back + 1`` run dates they belong to.  Exact distinct counts
-  stay exact because the distinct values are part of the partial key.
+* ``backfill_features`` never copies rows to the run dates they count for.
+  Sums, counts and extremes are range frames over one partial per (key,
+  date).  Exact distinct counts come from intervals: a value seen on day d
+  counts for the run dates [d, d + days_back]; the intervals of a value are
+  merged, each merged one leaves a +1 where it begins and a -1 behind its
+  end, and a running sum over a key's dates is the number of values.
 """
 
 from __future__ import annotations
@@ -80,6 +81,21 @@ def with_feature_timestamp(df: DataFrame, at=None, col: str = "feature_timestamp
     return df.withColumn(col, value)
 
 
+def _interval_events(rows: DataFrame, value: str, days_back: int, name: str) -> DataFrame:
+    """(__k, __d, name): changes of the number of distinct values in the
+    trailing window, from the merged intervals of each value.  A value's
+    array holds its distinct days, combined before the shuffle."""
+    seen = (rows.where(F.col(value).isNotNull()).groupBy("__k", value)
+            .agg(F.sort_array(F.collect_set("__d")).alias("__days")))
+    days, last = F.col("__days"), F.size("__days") - 1
+    apart = lambda i: F.datediff(F.get(days, i), F.get(days, i - 1)) > days_back
+    begins = F.filter(days, lambda d, i: (i == 0) | apart(i))
+    ends = F.filter(days, lambda d, i: (i == last) | apart(i + 1))
+    return seen.select("__k", F.inline(F.concat(
+        F.transform(begins, lambda d: F.struct(d.alias("__d"), F.lit(1).alias(name))),
+        F.transform(ends, lambda d: F.struct(F.date_add(d, days_back + 1).alias("__d"), F.lit(-1).alias(name))))))
+
+
 def backfill_features(df: DataFrame, start: str | dt.date, end: str | dt.date,
                       label: str = "l1w", days_back: int = 7, date_col: str = "date",
                       key: str = USER_COL, count_col: str = TXN_COL, amount: str = AMOUNT_COL,
@@ -89,41 +105,45 @@ def backfill_features(df: DataFrame, start: str | dt.date, end: str | dt.date,
 
     Equal, run date by run date, to calling ``window_features`` once per
     day (a key gets a row for a run date when it has any row in that
-    date's window).
+    date's window).  A null key is a key of its own, null values are not
+    counted.  A key's window holds its days, not its rows: every step before
+    is a grouping that is combined before its shuffle.
     """
     s, e = parse_run_date(start), parse_run_date(end)
-    rows = in_range(df, window_start(s, days_back), e, date_col)
-    amt = F.col(amount)
-    # Stage 1: one partial row per (key, date, vendor, source); combined
-    # map-side, so its size is bounded by distinct combinations, not rows.
-    partial = rows.groupBy(
-        F.col(key).alias("__k"), F.col(date_col).alias("__d"),
-        F.col(vendor).alias("__v"), F.col(source).alias("__s"),
-    ).agg(
-        F.count(F.col(count_col)).alias("__n"),
-        F.sum(amt).alias("__sum"),
-        F.count(amt).alias("__na"),
-        F.min(amt).alias("__min"),
-        F.max(amt).alias("__max"),
-    )
-    # Stage 2: each partial belongs to run dates d .. d + days_back, clipped
-    # to [start, end]; the fan-out is over partials only.
-    lo = F.greatest(F.col("__d"), F.lit(s))
-    hi = F.least(F.date_add(F.col("__d"), days_back), F.lit(e))
-    fanned = (partial.where(lo <= hi)
-              .withColumn("date", F.explode(F.sequence(lo, hi))))
-    total = F.sum("__sum")
-    return fanned.groupBy(F.col("__k").alias(out_key), "date").agg(
-        F.sum("__n").cast("bigint").alias(f"num_transactions_{label}"),
-        total.cast("double").alias(f"total_amount_{label}"),
-        (total.cast("double") / F.sum("__na")).alias(f"avg_amount_{label}"),
-        F.min("__min").cast("double").alias(f"min_amount_{label}"),
-        F.max("__max").cast("double").alias(f"max_amount_{label}"),
-        F.count_distinct("__v").alias(f"num_vendors_{label}"),
-        F.count_distinct("__s").alias(f"num_sources_{label}"),
-    ).select(out_key, *[f"{n}_{label}" for n in (
-        "num_transactions", "total_amount", "avg_amount", "min_amount",
-        "max_amount", "num_vendors", "num_sources")], "date")
+    rows = in_range(df, window_start(s, days_back), e, date_col).select(
+        F.col(key).alias("__k"), F.col(date_col).alias("__d"), F.col(count_col).alias("__c"),
+        F.col(amount).alias("__a"), F.col(vendor).alias("__vendor"), F.col(source).alias("__source"))
+    # A key's run dates: the union of its days' intervals.
+    asked = (rows.groupBy("__k").agg(F.collect_set("__d").alias("__days"))
+             .select("__k", F.explode(F.array_distinct(F.flatten(F.transform("__days", lambda d: F.when(
+                 F.date_add(d, days_back) >= F.lit(s), F.sequence(F.greatest(d, F.lit(s)), F.least(
+                     F.date_add(d, days_back), F.lit(e)))).otherwise(F.array().cast("array<date>"))))))
+                     .alias("__d"), F.lit(True).alias("__asked")))
+    # All that is known of a key's day comes together in one grouping.
+    line = rows.select("__k", "__d", "__c", "__a")
+    for part in (asked, _interval_events(rows, "__vendor", days_back, "__dv"),
+                 _interval_events(rows, "__source", days_back, "__ds")):
+        line = line.unionByName(part, allowMissingColumns=True)
+    line = line.groupBy("__k", "__d").agg(
+        F.count("__c").alias("__n"), F.sum("__a").alias("__sum"), F.count("__a").alias("__na"),
+        F.min("__a").alias("__min"), F.max("__a").alias("__max"), F.max("__asked").alias("__asked"),
+        F.sum("__dv").alias("__dv"), F.sum("__ds").alias("__ds"))
+    by_day = Window.partitionBy("__k").orderBy(F.datediff("__d", F.lit(s)))
+    trailing = by_day.rangeBetween(-days_back, Window.currentRow)
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("__sum").over(trailing)
+    values = {
+        "num_transactions": F.sum("__n").over(trailing).cast("bigint"),
+        "total_amount": total.cast("double"),
+        "avg_amount": total.cast("double") / F.sum("__na").over(trailing),
+        "min_amount": F.min("__min").over(trailing).cast("double"),
+        "max_amount": F.max("__max").over(trailing).cast("double"),
+        "num_vendors": F.coalesce(F.sum("__dv").over(so_far), F.lit(0)).cast("bigint"),
+        "num_sources": F.coalesce(F.sum("__ds").over(so_far), F.lit(0)).cast("bigint"),
+    }
+    return (line.select(F.col("__k").alias(out_key), *[v.alias(f"{n}_{label}") for n, v in values.items()],
+                        F.col("__d").alias("date"), "__asked")
+            .where(F.col("__asked") & (F.col("date") >= F.lit(s))).drop("__asked"))
 
 
 def calendar_features(df: DataFrame, key: str, date_col: str, unit: str = "week",

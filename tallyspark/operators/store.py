@@ -20,6 +20,15 @@ sort a third of the data.  ``asof_join`` splits time into buckets
    (key, bucket); a ``last(..., ignorenulls)`` window in time order gives
    each entity row its newest feature row at or before its time.
 
+A key may hold much of the table in one bucket.  The heavy groups (the
+``SHARES`` largest ones of more than ``HEAVY`` rows; any other holds less than
+one in ``SHARES`` of all rows, or few) are cut into parts in time: rows are counted per (key, slot), a slot being a
+``SLOTS``-th of a bucket, and a new part begins where a running count passes
+the limit.  Parts take the buckets' place in both steps, with the same carry.
+The counting is a job of its own when the join is built; at most ``SHARES``
+groups are heavy, so the table of their parts is bounded, and without a heavy
+group the buckets stay as they are.
+
 No pair of rows within a key is ever formed, nothing is joined back, and
 entity rows (including duplicates) pass through untouched.
 """
@@ -219,13 +228,49 @@ def resolve(refs: list[str], views: list[FeatureView]) -> list[tuple[FeatureView
     return out
 
 
-def _bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(ts) / F.lit(seconds)).cast("bigint")
+#: Heavy groups of the as-of join: least number of rows, and the greatest number of groups.
+HEAVY, SHARES = 100_000, 4096
+#: Slots of a bucket in which rows are counted.
+SLOTS = 96
+
+
+def _slot(ts: Column, seconds: int) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000 / SLOTS)).cast("bigint")
+
+
+def _heavy_parts(rows: DataFrame, kcols: list[str], heavy: int) -> DataFrame:
+    """(keys, __day, __starts): the slots where the parts of each heavy
+    (key, bucket) begin.  ``rows`` has the keys and ``__slot`` of every row of
+    both sides."""
+    counts = rows.groupBy(*kcols, "__slot").agg(F.count(F.lit(1)).alias("__n"))
+    days = (counts.withColumn("__day", F.floor(F.col("__slot") / SLOTS))
+            .groupBy(*kcols, "__day").agg(F.sum("__n").alias("__total"),
+                                          F.sort_array(F.collect_list(F.struct("__slot", "__n"))).alias("__slots")))
+    # Running count: (slots that begin a part, rows of the part so far); a part ends before it passes the limit.
+    begin = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(heavy).cast("bigint").alias("rows"))
+    step = lambda acc, x: F.when(
+        acc["rows"] + x["__n"] > heavy,
+        F.struct(F.concat(acc["starts"], F.array(x["__slot"])).alias("starts"), x["__n"].alias("rows"))).otherwise(
+        F.struct(acc["starts"].alias("starts"), (acc["rows"] + x["__n"]).alias("rows")))
+    return (days.where(F.col("__total") > heavy).orderBy(F.desc("__total")).limit(SHARES)
+            .select(*kcols, "__day", F.aggregate("__slots", begin, step)["starts"].alias("__starts")))
+
+
+def _in_parts(df: DataFrame, parts: DataFrame | None, kcols: list[str]) -> DataFrame:
+    """Adds ``__b``: the slot that a row's group begins with, that of its
+    bucket or of its part."""
+    df = df.withColumn("__day", F.floor(F.col("__slot") / SLOTS))
+    start = F.col("__day") * SLOTS
+    if parts is not None:
+        df = df.join(F.broadcast(parts), [*kcols, "__day"], "left")
+        part = F.array_max(F.filter("__starts", lambda x: x <= F.col("__slot")))
+        start = F.coalesce(part, start)
+    return df.withColumn("__b", start).drop("__slot", "__day", "__starts")
 
 
 def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts: str,
               feature_ts: str, columns: list[str], ttl: dt.timedelta | None = None,
-              bucket_seconds: int = 86400, prefix: str = "") -> DataFrame:
+              bucket_seconds: int = 86400, prefix: str = "", heavy: int = HEAVY) -> DataFrame:
     """Left as-of join: every entity row gets the newest feature row of its key
     with ``feature_ts <= entity_ts`` (and ``>= entity_ts - ttl`` when a TTL is
     set), or nulls.  Output: entity columns, then ``columns`` in order.
@@ -233,26 +278,28 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
     Ties at one feature timestamp resolve to the greatest feature values.
     """
     ecols = entity.columns
-    fcols = [F.col(c) for c in columns]
-    e = entity.select(*[F.col(f"`{c}`") for c in ecols],
+    kcols = [f"__k{i}" for i in range(len(keys))]
+    e = entity.select(*[F.col(f"`{c}`") for c in ecols], *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
                       as_timestamp(F.col(entity_ts)).alias("__ts"))
     # Entity rows without a key or a time match nothing: they skip the windows.
     can_match = F.col("__ts").isNotNull()
-    for k in keys:
+    for k in kcols:
         can_match = can_match & F.col(k).isNotNull()
     alone = e.where(~can_match)
-    e = e.where(can_match).withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
+    e = e.where(can_match).withColumn("__slot", _slot(F.col("__ts"), bucket_seconds))
     # Null keys never match (as in a join): such feature rows are dropped.
     present = F.col(feature_ts).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
     f = (features.where(present)
-         .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                 as_timestamp(F.col(feature_ts)).alias("__fts"), *fcols))
-    f = f.select(*[f"__k{i}" for i in range(len(keys))],
-                 _bucket(F.col("__fts"), bucket_seconds).alias("__b"),
+         .select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+                 as_timestamp(F.col(feature_ts)).alias("__fts"), *[F.col(c) for c in columns]))
+    f = f.select(*kcols, _slot(F.col("__fts"), bucket_seconds).alias("__slot"),
                  F.struct(F.col("__fts").alias("__fts"), *[F.col(c) for c in columns]).alias("__f"))
-    kcols = [f"__k{i}" for i in range(len(keys))]
+    found = _heavy_parts(e.select(*kcols, "__slot").union(f.select(*kcols, "__slot")), kcols, heavy)
+    few = found.collect()  # SHARES rows of SLOTS numbers at most
+    parts = e.sparkSession.createDataFrame(few, found.schema) if few else None
+    e, f = _in_parts(e, parts, kcols), _in_parts(f, parts, kcols)
 
     ftype = f.schema["__f"].dataType
 
@@ -262,7 +309,7 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
     # of the strictly earlier buckets (entity markers sort first in a bucket).
     summary = f.groupBy(*kcols, "__b").agg(F.max("__f").alias("__f")) \
         .withColumn("__side", F.lit(1))
-    need = (e.select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], "__b").distinct()
+    need = (e.select(*kcols, "__b").distinct()
             .withColumn("__side", F.lit(0)).withColumn("__f", F.lit(None).cast(ftype)))
     w2 = (Window.partitionBy(*kcols).orderBy("__b", "__side")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -276,8 +323,7 @@ def asof_join(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts
     # the bucket's feature rows and its entity rows in time order; feature
     # rows sort before entity rows at the same instant (feature_ts ==
     # entity_ts is a match).  The last non-null feature row is the answer.
-    e1 = e.select(*[F.col(f"`{c}`") for c in ecols], "__ts", "__b",
-                  *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+    e1 = e.select(*[F.col(f"`{c}`") for c in ecols], "__ts", "__b", *kcols,
                   F.lit(2).alias("__side"), F.lit(None).cast(ftype).alias("__f"))
     f1 = f.select(*kcols, "__b", F.col("__f.__fts").alias("__ts"), F.lit(1).alias("__side"), "__f")
     u = e1.unionByName(f1, allowMissingColumns=True).unionByName(carry, allowMissingColumns=True)

@@ -117,6 +117,7 @@ def online_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table as the daily jobs leave it, partitioned by date."""
     path = shared_path(spark, "features")
     write_partitions(feature_table(spark, sf_dir), path)
     return read_table(spark, path)
@@ -159,21 +160,21 @@ def q_online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.get_historical_features(
         V.entity_rows(spark, sf_dir), V.REFS,
-        {"customer_features": feature_table(spark, sf_dir)}, [V.CUSTOMER_FEATURES])
+        {"customer_features": _stored_features(spark, sf_dir)}, [V.CUSTOMER_FEATURES])
 
 
 def q_asof_features_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = [r.replace("customer_features:", "customer_features_ttl:") for r in V.REFS]
     return store.get_historical_features(
         V.entity_rows(spark, sf_dir), refs,
-        {"customer_features_ttl": feature_table(spark, sf_dir)}, [V.CUSTOMER_FEATURES_TTL])
+        {"customer_features_ttl": _stored_features(spark, sf_dir)}, [V.CUSTOMER_FEATURES_TTL])
 
 
 def q_multi_view_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = V.REFS + ["customer_demographics:location", "customer_demographics:occupation"]
     return store.get_historical_features(
         V.entity_rows(spark, sf_dir), refs,
-        {"customer_features": feature_table(spark, sf_dir),
+        {"customer_features": _stored_features(spark, sf_dir),
          "customer_demographics": V.demographics(spark, sf_dir)},
         [V.CUSTOMER_FEATURES, V.DEMOGRAPHICS])
 

@@ -90,6 +90,29 @@ def test_backfill_equals_single_runs(spark):
     assert rows(back) == rows(singles)
 
 
+@pytest.mark.parametrize("days_back", [0, 1, 7])
+def test_backfill_intervals_equal_brute_force(spark, days_back):
+    """Gaps of every length between a value's days, nulls in every column."""
+    import random
+    rng = random.Random(days_back)
+    pick = lambda *xs: rng.choice(xs)
+    data = [(pick("a", "b", None), pick("t", None), pick(1.0, 2.5, None), pick("v1", "v2", "v3", None),
+             pick("s1", None), pick(*[d(n) for n in range(-40, 5)], None)) for _ in range(120)]
+    start, end = d(-25), d(3)
+    got = feat.backfill_features(spark.createDataFrame(data, SCHEMA), start, end, days_back=days_back)
+    want = []
+    for n in range((end - start).days + 1):
+        run = start + dt.timedelta(days=n)
+        for key in ("a", "b", None):
+            w = [r for r in data if r[0] == key and r[5] and run - dt.timedelta(days=days_back) <= r[5] <= run]
+            if w:
+                a = [r[2] for r in w if r[2] is not None]
+                want.append((key, sum(r[1] is not None for r in w), sum(a) if a else None,
+                             sum(a) / len(a) if a else None, min(a, default=None), max(a, default=None),
+                             len({r[3] for r in w} - {None}), len({r[4] for r in w} - {None}), run))
+    assert rows(got) == sorted(want, key=lambda t: tuple((v is not None, v) for v in t))
+
+
 def test_gate_raises_on_few_dates(spark):
     df = spark.createDataFrame([("a", str(i), 1.0, "v", "s", d(-i)) for i in range(6)], SCHEMA)
     with pytest.raises(dq.IncompleteInputError):
