@@ -8,17 +8,24 @@ one class more, inside which a token has the share (c + 1) / R, with R the sum
 over all rare tokens and one unknown.  The model is thus a distribution over all token sequences that end.
 
 Training.  Baum-Welch: each task runs the scaled forward and backward
-recursions over its documents and sums expected counts; Spark adds the tasks'
-sums up, and the driver normalises them (states x classes numbers, whatever
-the corpus).  A text of over ``STRETCH`` tokens is cut into stretches; later
-stretches start from the average state.  The first ``WARM`` rounds tell the
-states apart, ``ROUNDS`` more follow; each runs over all training documents,
-whose class sequences are written once.
-Emissions are smoothed with the unigram of the classes.
-
-Scoring is the exact forward recursion over whole texts.  The first stretch
-runs from the initial state; a later one from each state at once, which gives
-its transfer matrix, and the matrices are multiplied in order.
+recursions over its documents and sums expected counts; the sums are added up
+block by block where Spark gathers them, and the driver normalises them
+(states x classes numbers, whatever the corpus).  Every round runs over all
+training documents, whose class sequences are written once; their number of
+partitions follows the tokens, up to ``WAVES`` for each core, so the sums do
+not grow with the input splits.  Rounds end when the likelihood of the training text, relative to
+the unigram's, rises by less than ``GAIN`` per token, after ``ROUNDS`` at the
+latest; it is reported for each round (``Model.history``).  Expected counts
+are taken in single precision.  Emissions are smoothed with the unigram of
+the classes.
+
+Long texts.  A text of over ``STRETCH`` tokens is worked on in stretches, and
+exactly so: from each state at once a stretch gives its transfer matrix; the
+products of the matrices before and behind it are the state it is entered
+with and the weights it is left with, so nothing is cut off at a border.
+
+Scoring is the exact forward recursion over whole texts, by the same
+matrices, in double precision.
 
 Counts of the ``KNOWN`` most frequent tokens are broadcast (a fixed bound);
 those of rarer tokens come by a join on the token, which no frequent token
@@ -42,11 +49,15 @@ from tallyspark.llm.frames import arrow_map, fold, keep, texts
 
 STATES = 8
 KNOWN = CLASSES = 1 << 18
-STRETCH = 1024
-#: Tokens whose expected counts are taken at once (whole documents).
-PIECE = 1 << 18
-WARM, ROUNDS = 12, 2
-SMOOTH = 200.0
+STRETCH = 2048
+#: Tokens whose expected counts are taken at once.
+PIECE = 1 << 19
+ROUNDS, GAIN = 10, 1e-3
+#: Tokens of a training partition at least, and the most partitions for a core.
+PART, WAVES = 1 << 23, 16
+#: Rows of the sums that travel together.
+BLOCK = 4096
+SMOOTH = 1500.0
 #: Distinct tokens that a counting task holds before it passes them on.
 HELD = 1 << 20
 
@@ -101,10 +112,11 @@ class Model:
         mass = np.concatenate([top + 1.0, [self.rare_mass, ends + 1.0 if ends else 1.0]])
         self.unigram = mass / mass.sum()
         rng = np.random.default_rng(5)
-        self.start = self.later = np.full(states, 1.0 / states)
-        self.move = np.full((states, states), 0.02 / max(states - 1, 1))
-        np.fill_diagonal(self.move, 0.98 if states > 1 else 1.0)
-        self.emit = self.unigram[:, None] * np.exp(0.7 * rng.standard_normal((len(self.unigram), states)))
+        self.start = np.full(states, 1.0 / states)
+        self.history: list[float] = []
+        self.move = np.full((states, states), 0.01 / max(states - 1, 1))
+        np.fill_diagonal(self.move, 0.99 if states > 1 else 1.0)
+        self.emit = self.unigram[:, None] * np.exp(rng.standard_normal((len(self.unigram), states)))
         self.emit /= self.emit.sum(axis=0)
 
     def place(self, tokens: np.ndarray):
@@ -116,11 +128,10 @@ class Model:
         return (np.where(hit & (self.rank[at] < self.n), self.rank[at], self.n),
                 np.where(hit, self.counts[at], -1))
 
-    def learn(self, start, later, move, emit) -> None:
+    def learn(self, start, move, emit) -> None:
         """Maximisation from expected counts."""
         k = self.states
         self.start = (start + 0.5) / (start.sum() + 0.5 * k)
-        self.later = (later + 0.5) / (later.sum() + 0.5 * k)
         move = move + 0.5
         self.move = move / move.sum(axis=1, keepdims=True)
         emit = emit + SMOOTH * self.unigram[:, None]
@@ -157,84 +168,140 @@ def _active(length: np.ndarray) -> np.ndarray:
     return np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")
 
 
-def expected_counts(model: Model, seq: np.ndarray, bounds: np.ndarray):
-    """Baum-Welch sums over some documents."""
-    begin, length, _, number = _stretches(bounds)
-    live = _active(length)
-    first = number == 0
-    alphas, emits, scales = [], [], []
-    alpha = np.where(first[:, None], model.start, model.later)
-    for t, n in enumerate(live):
-        e = model.emit[seq[begin[:n] + t]]
-        alpha = (alpha[:n] if not t else alpha[:n] @ model.move) * e
+def _forward(model: Model, seq, begin, length, alpha: np.ndarray, copies: int):
+    """Scaled forward pass over stretches (longest first) from ``copies``
+    vectors each: log of the scale and the state at the end.  A single vector
+    is that of the first token, several are those before it."""
+    b, n = np.repeat(begin, copies), np.repeat(length, copies)
+    log = np.zeros(len(b))
+    end = np.empty_like(alpha)
+    for t, live in enumerate(_active(n) if len(n) else ()):
+        moved = alpha[:live] if not t and copies == 1 else alpha[:live] @ model.move
+        alpha = moved * model.emit[seq[b[:live] + t]]
         s = alpha.sum(axis=1, keepdims=True)
         alpha = alpha / s
-        alphas.append(alpha)
-        emits.append(e)
-        scales.append(s)
-    move = np.zeros_like(model.move)
-    gamma = np.empty((len(seq), model.states))
-    beta = np.ones((live[-1], model.states))
-    for t in range(len(live) - 1, -1, -1):
-        n = live[t]
-        gamma[begin[:n] + t] = alphas[t] * beta
-        if t:
-            ahead = emits[t] * beta / scales[t]
-            move += alphas[t - 1][:n].T @ ahead
-            beta = np.ones((live[t - 1], model.states))
-            beta[:n] = ahead @ model.move.T
-    start = gamma[begin[first]].sum(axis=0)
-    emit = np.stack([np.bincount(seq, weights=gamma[:, k], minlength=len(model.unigram))
-                     for k in range(model.states)], axis=1)
-    return start, gamma.sum(axis=0), move * model.move, emit
+        log[:live] += np.log(s[:, 0])
+        done = n[:live] == t + 1
+        end[:live][done] = alpha[done]
+    return log, end
+
+
+def _transfers(model: Model, seq, begin, length, number):
+    """(stretch -> place, scaled matrices, logs of their scales) of all
+    stretches but the first ones of texts."""
+    k = model.states
+    rest = np.flatnonzero(number > 0)
+    matrices, scales = np.empty((len(rest), k, k)), np.empty(len(rest))
+    for at in range(0, len(rest), 4096):
+        rows = rest[at:at + 4096]
+        log, end = _forward(model, seq, begin[rows], length[rows], np.tile(np.eye(k), (len(rows), 1)), k)
+        log, end = log.reshape(-1, k), end.reshape(-1, k, k)
+        top = log.max(axis=1)
+        scales[at:at + len(rows)] = top
+        matrices[at:at + len(rows)] = np.exp(log - top[:, None])[:, :, None] * end
+    return rest, matrices, scales
+
+
+def _edges(model: Model, seq, begin, length, doc, number):
+    """Per stretch the state that it is entered with (of the token before, or
+    of its first token where it begins a text) and the weights of the states
+    that it is left with."""
+    entry = np.tile(model.start, (len(begin), 1))
+    leave = np.ones_like(entry)
+    rest, matrices, _ = _transfers(model, seq, begin, length, number)
+    if not len(rest):
+        return entry, leave
+    heads = np.flatnonzero((number == 0) & np.isin(doc, doc[rest]))
+    _, end = _forward(model, seq, begin[heads], length[heads], entry[heads], 1)
+    state = dict(zip(doc[heads].tolist(), end, strict=True))
+    place = {(d, m): r for d, m, r in zip(doc.tolist(), number.tolist(), range(len(doc)), strict=True)
+             if d in state}
+    order = sorted(zip(doc[rest].tolist(), number[rest].tolist(), range(len(rest)), strict=True))
+    for d, m, i in order:
+        entry[place[d, m]] = state[d]
+        v = state[d] @ matrices[i]
+        state[d] = v / v.sum()
+    for d, m, i in reversed(order):
+        w = matrices[i] @ leave[place[d, m]]
+        leave[place[d, m - 1]] = w / w.sum()
+    return entry, leave
+
+
+def expected_counts(model: Model, seq: np.ndarray, bounds: np.ndarray):
+    """Baum-Welch sums over some documents: starts, moves, emissions, and the
+    log likelihood relative to the unigram's."""
+    begin, length, doc, number = _stretches(bounds)
+    entry, leave = _edges(model, seq, begin, length, doc, number)
+    k, types = model.states, len(model.unigram)
+    ratio = (model.emit / model.unigram[:, None]).astype(np.float32)
+    step, one = model.move.astype(np.float32), np.ones(k, np.float32)
+    start, move, emit, log = np.zeros(k), np.zeros((k, k)), np.zeros((types, k)), 0.0
+    tokens = np.cumsum(length)
+    at = 0
+    while at < len(begin):
+        to = max(at + 1, int(np.searchsorted(tokens, tokens[at] - length[at] + PIECE, side="right")))
+        b, head = begin[at:to], number[at:to] == 0
+        live = _active(length[at:to])
+        out = leave[at:to].astype(np.float32)
+        before = entry[at:to].astype(np.float32)
+        alpha = np.where(head[:, None], before, before @ step)
+        kinds, alphas, emits = [], [], []
+        for t, n in enumerate(live):
+            c = seq[b[:n] + t]
+            e = ratio[c]
+            alpha = e * (alpha[:n] @ step if t else alpha)
+            s = alpha @ one
+            log += float(np.log(s).sum())
+            s = (1 / s)[:, None]
+            alpha *= s
+            e *= s
+            kinds.append(c)
+            alphas.append(alpha)
+            emits.append(e)
+        gammas = []
+        done = 0
+        for t in range(len(live) - 1, -1, -1):
+            n, alpha = live[t], alphas[t]
+            beta = np.empty_like(alpha)
+            if done:
+                ahead = emits[t + 1]
+                ahead *= later
+                move += alpha[:done].T @ ahead
+                beta[:done] = ahead @ step.T
+            if n > done:  # these end here
+                w = out[done:n]
+                beta[done:] = w / (alpha[done:] * w).sum(axis=1, keepdims=True)
+            gammas.append(alpha * beta)
+            later, done = beta, n
+        start += gammas[-1][head].sum(axis=0)
+        move += before[~head].T @ (emits[0] * later)[~head]
+        c, gamma = np.concatenate(kinds[::-1]), np.concatenate(gammas)
+        rest = np.bincount(c, minlength=types).astype(np.float64)  # a token's weights add up to one
+        for j in range(k - 1):
+            part = np.bincount(c, weights=gamma[:, j], minlength=types)
+            emit[:, j] += part
+            rest -= part
+        emit[:, k - 1] += np.maximum(rest, 0)
+        at = to
+    return start, move * model.move, emit, log
 
 
 def log_likelihoods(model: Model, seq: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log likelihood of each document's classes, by the forward
     recursion over its stretches."""
     begin, length, doc, number = _stretches(bounds)
-    k = model.states
     out = np.zeros(len(bounds) - 1)
-    state = np.zeros((len(out), k))
-
-    def run(rows: np.ndarray, alpha: np.ndarray, copies: int):
-        """Scaled forward pass; ``copies`` starting vectors per stretch."""
-        b, n = np.repeat(begin[rows], copies), np.repeat(length[rows], copies)
-        log = np.zeros(len(b))
-        end = np.empty_like(alpha)
-        for t, live in enumerate(_active(n) if len(n) else ()):
-            moved = alpha[:live] if not t and copies == 1 else alpha[:live] @ model.move
-            alpha = moved * model.emit[seq[b[:live] + t]]
-            s = alpha.sum(axis=1, keepdims=True)
-            alpha = alpha / s
-            log[:live] += np.log(s[:, 0])
-            done = n[:live] == t + 1
-            end[:live][done] = alpha[done]
-        return log, end
-
     first = np.flatnonzero(number == 0)
-    log, end = run(first, np.broadcast_to(model.start, (len(first), k)).copy(), 1)
+    log, end = _forward(model, seq, begin[first], length[first], np.tile(model.start, (len(first), 1)), 1)
     out[doc[first]] = log
+    rest, matrices, scales = _transfers(model, seq, begin, length, number)
+    state = np.zeros((len(out), model.states))
     state[doc[first]] = end
-    rest = np.flatnonzero(number > 0)
-    for part in range(0, len(rest), 4096):
-        rows = rest[part:part + 4096]
-        log, end = run(rows, np.tile(np.eye(k), (len(rows), 1)), k)
-        log, end = log.reshape(-1, k), end.reshape(-1, k, k)
-        transfer = {(int(doc[r]), int(number[r])): i for i, r in enumerate(rows)}
-        if part + 4096 >= len(rest) and not part:
-            held = [(log, end, transfer)]
-        else:
-            held = (held if part else []) + [(log, end, transfer)]
-    if len(rest):
-        where = {key: (h[0][i], h[1][i]) for h in held for key, i in h[2].items()}
-        for d, m in sorted(where):
-            log, end = where[d, m]
-            top = log.max()
-            v = (state[d] * np.exp(log - top)) @ end
-            s = v.sum()
-            state[d] = v / s
-            out[d] += top + np.log(s)
+    for d, _, i in sorted(zip(doc[rest].tolist(), number[rest].tolist(), range(len(rest)), strict=True)):
+        v = state[d] @ matrices[i]
+        s = v.sum()
+        state[d] = v / s
+        out[d] += scales[i] + np.log(s)
     return out
 
 
@@ -249,49 +316,52 @@ def _classes(shared):
     return run
 
 
-def _pieces(kinds):
-    """(classes, offsets) of runs of documents of about ``PIECE`` tokens."""
-    offs, values = kinds.offsets.to_numpy().astype(np.int64), kinds.values.to_numpy()
-    at = 0
-    while at < len(kinds):
-        to = max(int(np.searchsorted(offs, offs[at] + PIECE, side="right")) - 1, at + 1)
-        yield values[offs[at]:offs[to]].astype(np.int64), offs[at:to + 1] - offs[at]
-        at = to
-
-
-def _expectation(shared, states: int):
+def _expectation(shared):
+    """The sums of a task, in blocks of rows: starts, likelihood, moves, emissions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        total = None
+        k = model.states
+        total = np.zeros((2 + k + len(model.unigram), k))
         for batch in batches:
-            for seq, bounds in _pieces(batch.column("kinds")):
-                part = expected_counts(model, seq, bounds)
-                if total is None:
-                    total = part
-                else:
-                    for a, b in zip(total, part, strict=True):
-                        a += b
-        if total is None:
-            return
-        rows = np.concatenate([total[0][None], total[1][None], total[2], total[3]])
-        full = rows.any(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(full)), *(pa.array(c) for c in rows[full].T)],
-                                         names=["row", *(f"s{k}" for k in range(states))])
+            kinds = batch.column("kinds")
+            if len(kinds):
+                offs = kinds.offsets.to_numpy().astype(np.int64)
+                start, move, emit, log = expected_counts(model, kinds.flatten().to_numpy(), offs - offs[0])
+                total[0] += start
+                total[1, 0] += log
+                total[2:2 + k] += move
+                total[2 + k:] += emit
+        parts = {at // BLOCK: total[at:at + BLOCK] for at in range(0, len(total), BLOCK)}
+        parts = {n: x.astype(np.float32).tobytes() for n, x in parts.items() if x.any()}
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(list(parts.values()), pa.binary())],
+                                         names=["block", "sums"])
     return run
 
 
+def _added_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each block; a block's rows are in one partition."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for n, x in zip(batch.column("block").to_pylist(), batch.column("sums"), strict=True):
+            x = np.frombuffer(x.as_buffer(), np.float32).astype(np.float64)
+            total[n] = total[n] + x if n in total else x
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                      pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                                     names=["block", "sums"])
+
+
 def _round(model: Model, rows: DataFrame) -> None:
     """One Baum-Welch round over the class sequences of ``rows``."""
     k = model.states
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    names = [f"s{i}" for i in range(k)]
-    sums = (arrow_map(rows.select("kinds"), _expectation(shared, k),
-                      "row long, " + ", ".join(f"{c} double" for c in names))
-            .groupBy("row").agg(*[F.sum(c).alias(c) for c in names]).toArrow())
+    blocks = arrow_map(rows.select("kinds"), _expectation(shared), "block int, sums binary").repartition("block")
     out = np.zeros((2 + k + len(model.unigram), k))
-    out[sums.column("row").to_numpy()] = np.stack([sums.column(c).to_numpy() for c in names], axis=1)
+    for row in arrow_map(blocks, _added_blocks, "block int, sums binary").toLocalIterator():
+        x = np.frombuffer(row.sums).reshape(-1, k)
+        out[row.block * BLOCK:row.block * BLOCK + len(x)] = x
     shared.unpersist()
-    model.learn(out[0], out[1], out[2:2 + k], out[2 + k:])
+    model.history.append(out[1, 0])
+    model.learn(out[0], out[2:2 + k], out[2 + k:])
 
 
 def token_counts(training: DataFrame) -> DataFrame:
@@ -327,8 +397,13 @@ def train(training: DataFrame, counts: DataFrame, states: int = STATES, classes:
     shared = training.sparkSession.sparkContext.broadcast(model)
     rows = keep(arrow_map(training.select("text"), _classes(shared), "kinds array<int>"), "classes")
     shared.unpersist()
-    for _ in range(WARM + rounds):
+    cores = training.sparkSession.sparkContext.defaultParallelism
+    rows = rows.coalesce(max(1, min(-(-model.tokens // PART), WAVES * cores)))
+    for _ in range(rounds):
         _round(model, rows)
+        # The likelihood is that before the round's learning: two of them make a gain.
+        if len(model.history) > 1 and model.history[-1] - model.history[-2] < GAIN * model.tokens:
+            break
     return model
 
 

@@ -88,7 +88,6 @@ def _model(states=3, classes=6, seed=0):
     rng = np.random.default_rng(seed)
     m = hmm.Model(np.arange(classes), np.arange(classes)[::-1] + 1, 30, classes + 1, 4, states, classes)
     m.start = rng.dirichlet(np.ones(states))
-    m.later = rng.dirichlet(np.ones(states))
     m.move = rng.dirichlet(np.ones(states), states)
     m.emit = rng.dirichlet(np.ones(classes + 2), states).T.copy()
     return m
@@ -113,7 +112,7 @@ def test_likelihood_is_exact_over_stretches(monkeypatch):
         assert np.allclose(hmm.log_likelihoods(m, seq, bounds), want)
 
 
-def test_expected_counts_against_all_paths():
+def test_expected_counts_against_all_paths(monkeypatch):
     import itertools
     m = _model(2, 3)
     seq, bounds = np.array([0, 3, 1, 4, 2, 2, 4]), np.array([0, 4, 7])
@@ -131,8 +130,13 @@ def test_expected_counts_against_all_paths():
                 emit[c, path[t]] += p
                 if t:
                     move[path[t - 1], path[t]] += p
-    got = hmm.expected_counts(m, seq, bounds)
-    assert np.allclose(got[0], start) and np.allclose(got[2], move) and np.allclose(got[3], emit)
+    want = sum(math.log(_forward(m, seq[a:b]).sum()) - np.log(m.unigram[seq[a:b]]).sum() for a, b in ((0, 4), (4, 7)))
+    for stretch, piece in ((64, 100), (2, 100), (1, 3), (3, 1)):  # nothing is lost at a border
+        monkeypatch.setattr(hmm, "STRETCH", stretch)
+        monkeypatch.setattr(hmm, "PIECE", piece)
+        got = hmm.expected_counts(m, seq, bounds)
+        for x, y in zip(got, (start, move, emit, want), strict=True):
+            assert np.allclose(x, y, rtol=1e-5, atol=1e-5)
 
 
 @pytest.mark.parametrize("known", [1 << 18, 60])
@@ -160,19 +164,84 @@ def test_language_model(spark, monkeypatch, known):
 def test_every_round_sees_all_documents_and_types(spark, monkeypatch):
     """2,100 documents of 20 words of their own."""
     seen = []
-    monkeypatch.setattr(hmm, "_round", lambda model, rows: seen.append(rows.count()))
+    def note(model, rows):
+        seen.append(rows.count())
+        model.history.append(len(seen) * 1e9)
+    monkeypatch.setattr(hmm, "_round", note)
     docs = spark.range(2100).selectExpr(
         "id AS doc_id", "concat_ws(' ', transform(sequence(id * 20, id * 20 + 19), x -> concat('w', x))) AS text")
     model = hmm.train(docs, hmm.token_counts(docs))
-    assert set(seen) == {2100} and len(seen) == hmm.WARM + hmm.ROUNDS
+    assert set(seen) == {2100} and len(seen) == hmm.ROUNDS
     assert model.n == 42000
 
 
+def _plain_training(rows, states, classes, rounds):
+    """Baum-Welch without stretches, scaling or sharing, in the model's own start."""
+    docs = [[*words(t), "\n"] for i, t, _ in rows if i is not None and fold(i, 7) != 2]
+    counts = Counter(x for d in docs for x in d if x != "\n")
+    hashes = {}
+    for w in counts:
+        data = np.frombuffer(w.encode(), np.uint8)
+        hashes[w] = int(hmm.token_hashes(data, np.array([0, len(data)]))[0][0])
+    ordered = sorted(counts, key=lambda w: (-counts[w], hashes[w]))
+    top = {w: k for k, w in enumerate(ordered[:classes])}
+    m = hmm.Model(np.array([hashes[w] for w in ordered]), np.array([counts[w] for w in ordered]),
+                  sum(map(len, docs)), len(counts) + 1, len(docs), states, classes)
+    place = lambda w: m.n + 1 if w == "\n" else top.get(w, m.n)
+    log = lambda seq: sum(math.log(x) for x in _scaled(m, seq)[1])
+    for _ in range(rounds):
+        start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(m.emit)
+        for d in docs:
+            seq = [place(w) for w in d]
+            alphas, scales = _scaled(m, seq)
+            beta = np.ones(states)
+            for t in range(len(seq) - 1, -1, -1):
+                emit[seq[t]] += alphas[t] * beta
+                if t:
+                    ahead = m.emit[seq[t]] * beta / scales[t]
+                    move += alphas[t - 1][:, None] * m.move * ahead[None]
+                    beta = m.move @ ahead
+            start += alphas[0] * beta
+        m.learn(start, move, emit)
+    out = Counter()
+    for i, t, _ in rows:
+        w = [*words(t), "\n"]
+        extra = sum(math.log10((counts[x] + 1) / m.rare_mass) for x in w if place(x) == m.n)
+        out[i, round(log([place(x) for x in w]) / math.log(10) + extra, 1)] += 1
+    return out
+
+
+def _scaled(m, seq):
+    a, alphas, scales = None, [], []
+    for c in seq:
+        a = (m.start if a is None else a @ m.move) * m.emit[c]
+        scales.append(a.sum())
+        a = a / scales[-1]
+        alphas.append(a)
+    return alphas, scales
+
+
+def test_scores_equal_plain_training(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "STRETCH", 50)
+    monkeypatch.setattr(hmm, "GAIN", -1e9)
+    rows = documents()
+    got = hmm.score(frame(spark, rows), states=3, classes=40, rounds=4).collect()
+    assert Counter((r.doc_id, round(r.score, 1)) for r in got) == _plain_training(rows, 3, 40, 4)
+
+
+def test_likelihood_rises_until_it_stops(spark):
+    from tallyspark.llm.frames import texts
+    docs = texts(frame(spark, documents()))
+    model = hmm.train(docs, hmm.token_counts(docs), 3, 200, 40)
+    h = model.history
+    assert 2 < len(h) < 40 and all(b > a for a, b in zip(h, h[1:], strict=False))
+
+
 def test_probabilities_add_up():
     """Emissions, moves and the share of rare tokens are distributions."""
     m = _model()
     assert math.isclose(m.unigram.sum(), 1.0)
-    m.learn(np.ones(3), np.ones(3), np.ones((3, 3)), np.random.default_rng(2).random((8, 3)))
+    m.learn(np.ones(3), np.ones((3, 3)), np.random.default_rng(2).random((8, 3)))
     assert np.allclose(m.emit.sum(axis=0), 1) and np.allclose(m.move.sum(axis=1), 1)
     assert math.isclose(m.all_mass, (m.counts + 1).sum() + m.ends + 1 + m.rare_mass)
 
