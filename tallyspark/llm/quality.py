@@ -14,16 +14,18 @@ the leading ``RANK`` directions.
 Vote.  The sample's projections are broadcast: at most ``SAMPLE`` rows of
 ``RANK`` floats.  Each task multiplies blocks of documents with them; the
 ``NEIGHBOURS`` most similar labelled documents vote with their label, weighted
-by the ``SHARPNESS`` power of their cosine.  A document that is itself in the
-sample does not vote on itself.
+by the ``SHARPNESS`` power of their cosine.  The score is a function of the
+text alone: equal texts score alike, whatever their ids.
 
-The sample is the only part that does not grow: the ``SAMPLE`` labelled rows
-with the smallest hash of their id, from the training folds.
+The sample is the only part that does not grow: the ``SAMPLE`` distinct (id,
+label) pairs with the smallest hash of the id, from the training folds, each
+with one text.
 
 Null and empty texts have no features; they, and all documents if nothing is
 labelled, get the share of label 1 in the sample (0.5 without one).  A label
 that is null does not count; labels that differ on one id are both in the
-sample.  Extra columns are ignored.
+sample.  Of several documents with one id the one with the smallest hash of
+its text (a null text last) is in the sample.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ WORD_DIMS, FORM_DIMS = 3072, 256
 DIMS = WORD_DIMS + 4 * FORM_DIMS
 FORM_WEIGHT = 4.0
 RANK = 96
-SAMPLE = 4096
+SAMPLE = 6144
 NEIGHBOURS = 24
 SHARPNESS = 4
 BLOCK = 256
@@ -118,16 +120,18 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def sample_labels(labels: DataFrame, label: str, size: int, parts: int = 4, left_out: int = 2) -> DataFrame:
-    """(doc_id, label) of at most ``size`` labelled rows outside the left-out fold."""
+    """(doc_id, label), distinct, at most ``size`` of them, outside the left-out fold."""
     return smallest_hashes(
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), parts) != left_out)), size)
+        .where(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), parts) != left_out)).distinct(), size)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> DataFrame:
-    """(doc_id, text, label) of the sample; its ids are broadcast, which
-    ``size`` bounds."""
-    return texts(docs).join(F.broadcast(sample_labels(labels, label, size)), "doc_id")
+    """(doc_id, text, label) of the sample, one row for each pair of an id and
+    a label; the pairs are broadcast, which ``size`` bounds."""
+    one = F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))["text"]
+    return (texts(docs).join(F.broadcast(sample_labels(labels, label, size)), "doc_id")
+            .groupBy("doc_id", "label").agg(one.alias("text")))
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,8 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                      "doc_id long, label int, features array<int>, counts array<int>").toArrow()
     ids, y = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()
     size = rows.column("features").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-    # Rows with features, in order of the id; one dense matrix, worked on in place.
-    order = np.argsort(ids, kind="stable")
+    # Rows with features, in order of id and label; one dense matrix, worked on in place.
+    order = np.lexsort((y, ids))
     order = order[size[order] > 0]
     if not len(order):
         return {"idf": idf, "prior": 0.5, "space": None}
@@ -174,15 +178,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     v *= idf
     for k in range(0, len(v), BLOCK):
         v[k:k + BLOCK] /= np.maximum(np.linalg.norm(v[k:k + BLOCK], axis=1, keepdims=True), 1e-12)
-    ids, y = ids[order], y[order].astype(np.float32)
+    y = y[order].astype(np.float32)
     space = latent_space(v, RANK)
     points = v @ space
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
-    return {"idf": idf, "prior": float(y.mean()), "space": space, "points": points, "labels": y, "ids": ids}
+    return {"idf": idf, "prior": float(y.mean()), "space": space, "points": points, "labels": y}
 
 
-def vote(model: dict, counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Score of each document of a block; ``ids`` may hold -1 for none."""
+def vote(model: dict, counts: np.ndarray) -> np.ndarray:
+    """Score of each document of a block."""
     out = np.full(len(counts), model["prior"])
     full = np.flatnonzero(counts.any(axis=1))
     if model["space"] is None or not len(full):
@@ -190,9 +194,6 @@ def vote(model: dict, counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
     at = _vectors(counts[full], model["idf"]) @ model["space"]
     at /= np.maximum(np.linalg.norm(at, axis=1, keepdims=True), 1e-12)
     cos = at @ model["points"].T
-    place = np.searchsorted(model["ids"], ids[full])
-    own = np.flatnonzero(model["ids"][np.minimum(place, len(model["ids"]) - 1)] == ids[full])
-    cos[own, place[own]] = -1.0
     k = min(NEIGHBOURS, cos.shape[1])
     near = np.argpartition(cos, -k, axis=1)[:, -k:]
     weight = np.maximum(np.take_along_axis(cos, near, axis=1), 1e-6).astype(np.float64) ** SHARPNESS
@@ -210,10 +211,9 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold:
         model = shared.value
         for batch in batches:
             for rows, counts in _blocks(batch):
-                ids = rows.column("doc_id").fill_null(-1).to_numpy()
                 kept = [rows.column(f"r{k}") for k in range(len(rest))]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), *kept, pa.array(vote(model, counts, ids))],
+                    [rows.column("doc_id"), *kept, pa.array(vote(model, counts))],
                     names=["doc_id", *(f"r{k}" for k in range(len(rest))), "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),

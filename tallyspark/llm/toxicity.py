@@ -14,13 +14,15 @@ Calibration.  With lambda, the positive root of E[exp(lambda * score)] = 1
 over the tokens of all documents, segment scores of unrelated text follow an
 extreme-value law: log(expected number of such segments in n tokens) is
 log(K n) - lambda S.  K is fitted to the best segments of the non-toxic
-labelled documents.  The normal scores lambda S - log(K n) of the ``TOP`` best
-segments are a document's evidence: the best one, the sum of the significant
-ones and their number,
-and a logistic curve over the labelled sample turns it into a probability.  A labelled document's own counts are left out of its scores.
+labelled documents.  The normal scores lambda S - log(K n) of all segments of
+a text are its evidence: the best one, the sum of the significant ones and
+their number; a logistic curve over the labelled sample turns it into a
+probability.  Only there, in fitting, a labelled document's own counts are
+left out of its scores: a score is a function of the text alone.
 
 The labelled sample is the only part that does not grow: the ``SAMPLE``
-labelled rows with the smallest hash of their id, from the training folds.
+distinct (id, label) pairs with the smallest hash of the id, from the training
+folds, each with one text (as in ``quality``).
 
 Null and empty texts and texts without words have no segments and score like
 any text without evidence; without labels of both kinds every score is the
@@ -35,12 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import arrays as A
-from tallyspark.llm.frames import arrow_map, fold, texts
-from tallyspark.llm.quality import labelled_sample, sample_labels
+from tallyspark.llm.frames import arrow_map, fold, keep, texts
+from tallyspark.llm.quality import labelled_sample
 
 WORDS, STEMS = 1 << 19, 1 << 17
 TABLE = WORDS + 2 * STEMS
@@ -48,7 +50,6 @@ PRIOR, DRIFT, HIGH = 3.0, 1.0, 8.0
 SAMPLE = 1 << 16
 BINS = 512
 LOW = -4.0
-TOP = 8
 
 
 def slots(data: np.ndarray, offs: np.ndarray):
@@ -86,11 +87,12 @@ class Scores:
         self.every, self.toxic, self.base = every.astype(np.float32), toxic.astype(np.float32), base
         self.zero = math.log(base / (1 - base))
 
-    def __call__(self, places, out: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Scores of tokens; ``out`` is 1 for tokens of a labelled document
-        and ``own`` its label, and both are taken off the counts."""
+    def __call__(self, places, own: np.ndarray | None = None) -> np.ndarray:
+        """Scores of tokens; ``own`` is the label of the token's document,
+        whose counts are taken off."""
         word, six, four = places
         rate = self.base
+        out, own = (0, 0) if own is None else (1, own)
         for place in (four, six, word):
             rate = ((self.toxic[place] - own + PRIOR * rate) / (self.every[place] - out + PRIOR))
         rate = np.clip(rate, 1e-5, 1 - 1e-5)
@@ -123,40 +125,39 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(f[0], f[1], f[3] - f[2]) for f in found]
 
 
-def _documents(rows: pa.RecordBatch, data, offs, scores: Scores):
-    """Per document its token count and segments; and all token scores."""
+def _tokens(rows: pa.RecordBatch, data, offs, scores: Scores, left_out: bool = False):
+    """Scores of all tokens, and per document the first one's index."""
     *places, first = slots(data, offs)
-    each = np.diff(first)
-    label = rows.column("label").to_pylist()
-    out = np.repeat(np.array([x is not None for x in label], np.float32), each)
-    own = np.repeat(np.array([float(x or 0) for x in label], np.float32), each)
-    token = scores(places, out, own)
-    segments = [maximal_segments(token[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-    return each, segments, token
+    own = np.repeat(rows.column("label").to_numpy().astype(np.float32), np.diff(first)) if left_out else None
+    return scores(places, own), first
 
 
-def _statistics(shared):
-    """Histogram of the token scores, and the labelled documents' segments."""
+def _segments(token: np.ndarray, first: np.ndarray) -> list[list[tuple[int, int, float]]]:
+    return [maximal_segments(token[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+
+
+def _histogram(shared):
+    """Histogram of the token scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = shared.value
         held = np.zeros(BINS, np.int64)
-        names = ["bin", "tokens", "label", "n", "best"]
         for batch in batches:
-            labels, sizes, best = [], [], []
             for rows, data, offs in A.chunks(batch):
-                each, segments, token = _documents(rows, data, offs, scores)
+                token, _ = _tokens(rows, data, offs, shared.value)
                 held += np.bincount(((token - LOW) / (HIGH - LOW) * (BINS - 1)).astype(np.int64), minlength=BINS)
-                for y, n, s in zip(rows.column("label").to_pylist(), each.tolist(), segments, strict=True):
-                    if y is not None:
-                        labels.append(y)
-                        sizes.append(n)
-                        best.append(sorted((x[2] for x in s), reverse=True)[:TOP])
-            none = pa.nulls(len(labels), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(labels, pa.int32()), pa.array(sizes, pa.int64()),
-                                              pa.array(best, pa.list_(pa.float64()))], names=names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(BINS)), pa.array(held), pa.nulls(BINS, pa.int32()), pa.nulls(BINS, pa.int64()),
-             pa.nulls(BINS, pa.list_(pa.float64()))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BINS)), pa.array(held)], names=["bin", "tokens"])
+    return run
+
+
+def _sample_segments(shared):
+    """Token count and scores of all segments of the labelled documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offs in A.chunks(batch):
+                token, first = _tokens(rows, data, offs, shared.value, left_out=True)
+                found = [[s for *_, s in x] for x in _segments(token, first)]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("label"), pa.array(np.diff(first)), pa.array(found, pa.list_(pa.float64()))],
+                    names=["label", "n", "segments"])
     return run
 
 
@@ -185,6 +186,14 @@ class Evidence:
         good = [x for x in z if x > 0]
         return [max(z, default=-10.0), math.log1p(sum(good)), math.log1p(len(good)), 1.0]
 
+    def columns(self) -> list[Column]:
+        """The same from the columns ``segments`` and ``n``."""
+        z = F.transform("segments", lambda s: s * self.rate - self.log_k - F.log(F.greatest("n", F.lit(1))))
+        good = F.filter(z, lambda x: x > 0)
+        total = F.aggregate(good, F.lit(0.0), lambda a, x: a + x)
+        return [F.coalesce(F.array_max(z), F.lit(-10.0)).alias("best"), F.log1p(total).alias("total"),
+                F.log1p(F.size(good)).alias("number"), F.lit(1.0).alias("one")]
+
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Newton's method with a small ridge."""
@@ -199,16 +208,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """(doc_id, text, label): label is null outside the sample."""
-    ids = sample_labels(labels, label, sample).groupBy("doc_id").agg(F.max("label").alias("label"))
-    return texts(docs).join(F.broadcast(ids), "doc_id", "left")
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> dict:
     """The bounded model: score tables, extreme-value law and curve."""
     sc = docs.sparkSession.sparkContext
-    counted = (arrow_map(labelled_sample(docs, labels, label, sample), _count, "place long, clean long, toxic long")
+    known = labelled_sample(docs, labels, label, sample)
+    counted = (arrow_map(known, _count, "place long, clean long, toxic long")
                .groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow())
     every, toxic = np.zeros(TABLE), np.zeros(TABLE)
     at = counted.column("place").to_numpy()
@@ -217,20 +221,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     base = float((toxic[:WORDS].sum() + 0.5) / (every[:WORDS].sum() + 1.0))
     scores = Scores(every, toxic, base)
     shared = sc.broadcast(scores)
-    seen = arrow_map(_labelled(docs, labels, label, sample), _statistics(shared),
-                     "bin long, tokens long, label int, n long, best array<double>")
-    totals = seen.groupBy("bin").agg(F.sum("tokens").alias("tokens")).where("bin is not null").toArrow()
+    totals = (arrow_map(texts(docs).select("text"), _histogram(shared), "bin long, tokens long")
+              .groupBy("bin").agg(F.sum("tokens").alias("tokens")).toArrow())
     histogram = np.zeros(BINS)
     histogram[totals.column("bin").to_numpy()] = totals.column("tokens").to_numpy()
-    known = seen.where("label is not null").select("label", "n", "best").toArrow()
-    y = known.column("label").to_numpy().astype(np.float64)
-    n, best = known.column("n").to_pylist(), known.column("best").to_pylist()
     rate = decay(histogram)
-    tops = [rate * b[0] - math.log(k) for b, k, t in zip(best, n, y, strict=True) if b and not t]
-    law = Evidence(rate, (float(np.median(tops)) + math.log(math.log(2))) if tops else 0.0)
+    found = keep(arrow_map(known, _sample_segments(shared), "label int, n long, segments array<double>"), "segments")
+    clean = found.where("label = 0 and size(segments) > 0").select("n", F.array_max("segments").alias("best")).toArrow()
+    tops = rate * clean.column("best").to_numpy() - np.log(clean.column("n").to_numpy())
+    law = Evidence(rate, (float(np.median(tops)) + math.log(math.log(2))) if len(tops) else 0.0)
+    seen = found.select("label", *law.columns()).toArrow()  # a row of the sample each
+    y = seen.column("label").to_numpy().astype(np.float64)
     curve = None
     if len(y) and 0 < y.sum() < len(y):
-        curve = _logistic(np.array([law(b, k) for b, k in zip(best, n, strict=True)]), y)
+        curve = _logistic(np.stack([seen.column(c).to_numpy() for c in seen.column_names[1:]], axis=1), y)
     return {"scores": shared, "law": law, "curve": curve, "prior": float(y.mean()) if len(y) else 0.0}
 
 
@@ -246,11 +250,10 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: f
         kind = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("z", pa.float64())]))
         for batch in batches:
             for rows, data, offs in A.chunks(batch):
-                each, segments, _ = _documents(rows, data, offs, shared.value)
+                token, first = _tokens(rows, data, offs, shared.value)
                 p, spans = [], []
-                for n, found in zip(each.tolist(), segments, strict=True):
-                    top = sorted((s for _, _, s in found), reverse=True)[:TOP]
-                    x = law(top, n)
+                for n, found in zip(np.diff(first).tolist(), _segments(token, first), strict=True):
+                    x = law([s for *_, s in found], n)
                     p.append(prior if curve is None else
                              1 / (1 + math.exp(-min(30, max(-30, float(np.dot(curve, x)))))))
                     z = [(a, b - a, law.normal(s, n)) for a, b, s in found]
@@ -260,7 +263,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: f
                     names=["doc_id", "score", "passages"])
 
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
-    out = arrow_map(_labelled(docs, labels, label, sample), run,
+    out = arrow_map(texts(docs), run,
                     "doc_id long, score double, passages array<struct<first:long,words:long,z:double>>")
     return out.select("doc_id", held_out.alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), "passages")

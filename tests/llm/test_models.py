@@ -60,6 +60,101 @@ def test_labels_left_out_do_not_matter(spark):
         assert a == b
 
 
+@needs_tables
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_equal_texts_score_alike(spark, module):
+    """Over the whole table, labelled or not."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = module.score(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    scores = {}
+    for r in out.join(docs, "doc_id").select("text", "score").collect():
+        scores.setdefault(r.text, []).append(r.score)
+    assert sum(len(v) > 1 for v in scores.values()) > 20
+    assert all(max(v) - min(v) < 1e-6 for v in scores.values())
+
+
+def test_vote_against_plain_vote(spark):
+    """Features counted word by word, all cosines, all neighbours sorted."""
+    rows = documents()
+    docs, labels = frame(spark, rows), _labels(spark, rows)
+    model = quality.fit(docs, labels)
+    got = {(r.doc_id, r.text): r.score for r in quality.score(docs, labels, rest=("text",)).collect()}
+    known = {i: i % 2 for i in range(40) if fold(i, 4) != 2}
+    texts_of = {}
+    for i, t, _ in rows:
+        if i in known:
+            texts_of.setdefault(i, set()).add(t)
+
+    def vector(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        _, feature = quality.features(data, np.array([0, len(data)]))
+        v = np.zeros(quality.DIMS)
+        for f, n in Counter(feature.tolist()).items():
+            v[f] = math.log1p(n) * model["idf"][f]
+        v = v @ model["space"]
+        return v / max(np.linalg.norm(v), 1e-12)
+
+    assert len(model["points"]) == len(known) - sum(t == {None} for t in texts_of.values())
+    for (i, text), score in got.items():
+        if not (text or "").split():
+            assert score == model["prior"]
+            continue
+        cos = sorted(((float(vector(text) @ p), y) for p, y in zip(model["points"], model["labels"], strict=True)),
+                     reverse=True)[:quality.NEIGHBOURS]
+        w = [max(c, 1e-6) ** quality.SHARPNESS for c, _ in cos]
+        assert abs(score - sum(a * y for a, (_, y) in zip(w, cos, strict=True)) / sum(w)) < 1e-3
+
+
+def test_one_id_for_a_third_of_all_rows(spark):
+    """The sample holds one text of it and one row of its repeated label."""
+    rows = [[3, f"text number {k} of one id", "s"] for k in range(40)] + documents()
+    labels = _labels(spark, documents()).union(spark.createDataFrame([(3, 1, 0)] * 50, NO_LABELS))
+    sample = quality.labelled_sample(frame(spark, rows), labels, "quality", 100).collect()
+    assert len(sample) == len({(r.doc_id, r.label) for r in sample})
+    assert sum(r.doc_id == 3 for r in sample) == 1
+
+
+def test_toxicity_against_plain_scores(spark):
+    """K, evidence, curve and scores, document by document; every segment counts."""
+    rows = list({i: [i, t, s] for i, t, s in documents()}.values())
+    vile = "gorch blaft snurk"
+    rows = [[i, t if t is None else t + (f" {vile} and " * 12 if i is not None and i < 40 and i % 5 == 0 else ""), s]
+            for i, t, s in rows]
+    docs, labels = frame(spark, rows), _labels(spark, rows)
+    model = toxicity.fit(docs, labels)
+    scores, law = model["scores"].value, model["law"]
+
+    def segments(text, own=None):
+        data = np.frombuffer(text.encode(), np.uint8)
+        *places, first = toxicity.slots(data, np.array([0, len(data)]))
+        token = scores(places, None if own is None else np.full(first[-1], own, np.float32))
+        return [s for *_, s in toxicity.maximal_segments(token)], len(token), token
+
+    one = {r.doc_id: (r.text, r.label) for r in quality.labelled_sample(docs, labels, "toxic", 1 << 16).collect()}
+    held = np.zeros(toxicity.BINS)
+    for _, t, _ in rows:
+        for x in segments(t or "")[2]:
+            held[int((x - toxicity.LOW) / (toxicity.HIGH - toxicity.LOW) * (toxicity.BINS - 1))] += 1
+    assert math.isclose(law.rate, toxicity.decay(held), rel_tol=1e-3)
+    found = {i: (*segments(t or "", y)[:2], y) for i, (t, y) in one.items()}
+    tops = [law.rate * max(s) - math.log(n) for s, n, y in found.values() if s and not y]
+    assert math.isclose(law.log_k, np.median(tops) + math.log(math.log(2)), rel_tol=1e-4)
+
+    def evidence(s, n):
+        z = [law.rate * x - law.log_k - math.log(max(n, 1)) for x in s]
+        good = [x for x in z if x > 0]
+        return [max(z, default=-10), math.log1p(sum(good)), math.log1p(len(good)), 1.0]
+
+    x = np.array([evidence(s, n) for s, n, _ in found.values()])
+    y = np.array([y for *_, y in found.values()], float)
+    gradient = x.T @ (y - 1 / (1 + np.exp(-x @ model["curve"]))) - 1e-2 * model["curve"]
+    assert np.abs(gradient).max() < 1e-2
+    assert max(len([v for v in s if law.rate * v - law.log_k - math.log(n) > 0]) for s, n, _ in found.values()) > 0
+    for r in toxicity.score(docs, labels).collect():
+        s, n, _ = segments(next(t for i, t, _ in rows if i == r.doc_id) or "")
+        assert abs(r.score - 1 / (1 + math.exp(-float(np.dot(model["curve"], evidence(s, n)))))) < 1e-4
+
+
 def test_maximal_segments_against_all_segments():
     """Each segment found is maximal: by the definition, recursively."""
     rng = np.random.default_rng(4)
