@@ -14,8 +14,8 @@ A run of lines is repeated if ``min_lines`` or more lines in a row, or a line
 that is long enough to stand alone, also occur earlier (by document id, then
 line).  Alone stand lines of ``MIN_WORDS`` words, ``MIN_LETTERS`` letters and
 digits (for scripts without spaces) or ``MIN_CHARS`` characters; braces and
-one-word lines don't.  With ``min_chars``, only lines of so many characters do.  Of each rank the earliest stretch stays; the lines of the later ones are
-deleted.  Stretches of a longer repeated run are ranked too, so the maximal
+one-word lines don't.  Of each rank the earliest stretch stays; the lines of
+the later ones are deleted.  Stretches of a longer repeated run are ranked too, so the maximal
 run goes as a whole.
 
 Every step is a grouping or a join on ranks or positions.  Groups are counted
@@ -25,7 +25,8 @@ that makes up a third of the corpus is split by the adaptive planner.
 Documents of one id and equal text are alike in all columns of the result;
 documents without an id come last in the order.  Null texts have no lines;
 empty texts have one blank line, which is never deleted.  Extra columns stay,
-but for those named like a result column, which the result replaces.
+whatever their names, but for those named like a result column, which the
+result replaces.
 Lines are identified by 96 bits of hashes.
 """
 
@@ -50,16 +51,14 @@ def _text_hash(text):
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
-def _alone(line, min_chars: int | None):
+def _alone(line):
     """Whether a line is a run by itself."""
-    if min_chars is not None:
-        return F.length(line) >= min_chars
     return ((F.regexp_count(line, F.lit(r"[\p{L}\p{N}]+")) >= MIN_WORDS)
             | (F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]+", "")) >= MIN_LETTERS)
             | (F.length(line) >= MIN_CHARS))
 
 
-def line_table(docs: DataFrame, min_chars: int | None = None) -> DataFrame:
+def line_table(docs: DataFrame) -> DataFrame:
     """(nul, doc_id, th, i, pos, h1, h2, alone): the lines that are not blank."""
     text = F.col("text").cast("string")
     each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(text).alias("th"),
@@ -69,7 +68,7 @@ def line_table(docs: DataFrame, min_chars: int | None = None) -> DataFrame:
     return full.select(F.col("doc_id").isNull().alias("nul"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "th",
                        F.col("pos").alias("i"), F.col("col.pos").alias("pos"),
                        F.xxhash64("col.line").alias("h1"), F.hash("col.line").alias("h2"),
-                       _alone(F.col("col.line"), min_chars).alias("alone"))
+                       _alone(F.col("col.line")).alias("alone"))
 
 
 def _repeated(suffixes: DataFrame, *key: str) -> DataFrame:
@@ -99,9 +98,9 @@ def _depths(goal: int) -> list[int]:
     return out
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int | None = None) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """(nul, doc_id, th, pos) of every line to delete."""
-    lines = keep(line_table(docs, min_chars).distinct(), "lines")
+    lines = keep(line_table(docs).distinct(), "lines")
     first = _repeated(lines, "h1", "h2")
     ranks = numbered(first, "h1", "h2", name="rank")
     marked = _back(lines, ranks, "h1", "h2")
@@ -124,22 +123,23 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int |
     return deleted.join(lines.select(*_AT, "pos"), list(_AT)).select("nul", "doc_id", "th", "pos")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """``docs`` with the columns n_lines, n_removed, n_runs (stretches of deleted
     lines, whichever runs they come from) and kept_text (null for a null text).  The text itself stays."""
-    docs = docs.drop("n_lines", "n_removed", "n_runs", "kept_text", "__nul", "__id", "__th", "__runs")
-    deleted = repeated_lines(docs, min_lines, min_chars)
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs", "kept_text")]
+    deleted = repeated_lines(docs.select("doc_id", "text"), min_lines)
     in_doc = Window.partitionBy("nul", "doc_id", "th").orderBy("pos")
     runs = (deleted.withColumn("island", F.col("pos") - F.row_number().over(in_doc))
             .groupBy("nul", "doc_id", "th", "island").agg(F.min("pos").alias("begin"), F.max("pos").alias("end"))
             .groupBy("nul", "doc_id", "th")
-            .agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("__runs"))
-            .select(F.col("nul").alias("__nul"), F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__runs"))
-    text = F.col("text").cast("string")
-    own_id = F.col("doc_id").cast("long")
-    marked = docs.join(runs, (own_id.isNull() == F.col("__nul")) & (F.coalesce(own_id, F.lit(0)) == F.col("__id"))
-                       & (_text_hash(text) == F.col("__th")), "left")
-    run_list = F.coalesce("__runs", F.array().cast("array<struct<begin:int,end:int>>"))
+            .agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("runs")))
+    # The user's columns travel in one struct, so their names meet no others.
+    text, own_id = F.col("text").cast("string"), F.col("doc_id").cast("long")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), own_id.isNull().alias("nul"),
+                        F.coalesce(own_id, F.lit(0)).alias("doc_id"), _text_hash(text).alias("th"), text.alias("text"))
+    marked = whole.join(runs, ["nul", "doc_id", "th"], "left")
+    text = F.col("text")
+    run_list = F.coalesce("runs", F.array().cast("array<struct<begin:int,end:int>>"))
     parts = F.split(text, "\n", -1)
     # The stretches between deleted runs; sentinels stand before and after all lines.
     fences = F.concat(F.array(F.struct(F.lit(-1).alias("begin"), F.lit(-1).alias("end"))), run_list,
@@ -148,14 +148,14 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int | No
                       lambda a, b: F.slice(parts, a["end"] + 2, b["begin"] - a["end"] - 1))
     removed = F.aggregate(run_list, F.lit(0).cast("long"), lambda s, r: s + (r["end"] - r["begin"] + 1))
     return marked.select(
-        *[docs[f"`{c}`"] for c in docs.columns],
+        *[F.col(f"doc.`{c}`") for c in kept],
         F.when(text.isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias("n_lines"),
         removed.alias("n_removed"), F.size(run_list).cast("long").alias("n_runs"),
         F.when(F.size(run_list) == 0, text).otherwise(F.array_join(F.flatten(gaps), "\n")).alias("kept_text"))
 
 
-#: The same in DuckDB for MIN_LINES and MIN_CHARS, over plain windows.
-ORACLE = f"""
+#: The same rule in DuckDB, for two lines, over plain windows.
+ORACLE = rf"""
 WITH split AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
@@ -164,7 +164,9 @@ lines AS (
 pairs AS (
   SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS next_line FROM lines),
 marked AS (
-  SELECT *, length(line) >= {MIN_CHARS} AND row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS alone,
+  SELECT *, (len(regexp_extract_all(line, '[\p{{L}}\p{{N}}]+')) >= {MIN_WORDS}
+             OR length(regexp_replace(line, '[^\p{{L}}\p{{N}}]+', '', 'g')) >= {MIN_LETTERS}
+             OR length(line) >= {MIN_CHARS}) AND row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS alone,
          next_line IS NOT NULL
            AND row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, i) > 1 AS begins
   FROM pairs),

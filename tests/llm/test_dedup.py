@@ -4,6 +4,7 @@ brute force."""
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -97,7 +98,12 @@ def test_kept_bytes(spark):
     assert got == {1: b"a" * 10, 2: "é".encode()}
 
 
-def _lines(rows, min_lines, min_chars):
+def _alone(line):
+    found = re.findall(r"[^\W_]+", line)
+    return len(found) >= 3 or sum(map(len, found)) >= 20 or len(line) >= 100
+
+
+def _lines(rows, min_lines):
     """Deleted positions of each distinct (id, text), in the operator's order."""
     docs = sorted({(i is None, i or 0, t or "", t) for i, t, _ in rows}, key=lambda d: d[:3])
     texts = {}
@@ -107,7 +113,7 @@ def _lines(rows, min_lines, min_chars):
         full = [(p, x) for p, x in enumerate(part) if x.strip(" ")]
         gone = set()
         for k in range(len(full)):
-            for n, ok in {1: len(full[k][1]) >= min_chars, min_lines: True}.items():
+            for n, ok in {1: _alone(full[k][1]), min_lines: True}.items():
                 run = tuple(x for _, x in full[k:k + n])
                 if len(run) == n and ok:
                     if (n, run) in first:
@@ -121,8 +127,8 @@ def _lines(rows, min_lines, min_chars):
 def test_line_runs(spark, min_lines):
     rows = [[i, t, s] for i, t, s in documents() if i != 5]  # one text per id: the order is plain
     rows += [[200, "a\nb\nc\n\nd", "s"], [201, "x\na\nb\nc\n\nd\n", "s"], [202, "c\nd", "s"], [203, "a\nb", "s"]]
-    want = _lines(rows, min_lines, 100)
-    got = lineruns.dedup_lines(frame(spark, rows), min_lines, 100).collect()
+    want = _lines(rows, min_lines)
+    got = lineruns.dedup_lines(frame(spark, rows), min_lines).collect()
     assert len(got) == len(rows)
     for r in got:
         if r.doc_id is None:
@@ -135,6 +141,15 @@ def test_line_runs(spark, min_lines):
     assert set(frame(spark, rows).columns) - {"n_lines"} < set(got[0].asDict())
 
 
+def test_columns_of_any_name_stay(spark):
+    names = ["doc_id", "text", "__nul", "__id", "__th", "__runs", "nul", "th", "runs", "doc", "k", "lines"]
+    df = spark.createDataFrame([(1, "a b c\nd", *range(10)), (2, "a b c\ne", *range(10))],
+                               ", ".join(f"{n} {'string' if n == 'text' else 'long'}" for n in names))
+    got = sorted(lineruns.dedup_lines(df).collect())
+    assert got[0].__fields__ == [*names, "n_lines", "n_removed", "n_runs", "kept_text"]
+    assert [r.kept_text for r in got] == ["a b c\nd", "e"] and tuple(got[1][2:12]) == tuple(range(10))
+
+
 def test_short_lines_among_varied_neighbours(spark):
     """A boilerplate line goes from all but the first document, whatever stands
     beside it; braces and one-word lines stay."""
