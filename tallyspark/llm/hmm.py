@@ -2,22 +2,23 @@
 
 Tokens are the lower-cased words of a text and one end token.  The corpus
 counts of all training tokens form a table (it grows with the corpus and is
-only joined).  Its ``CLASSES`` most frequent tokens, as many as have their
-counts broadcast, have emission probabilities of their own; the others form
-one class more, inside which a token has the share (c + 1) / R, with R the sum
-over all rare tokens and one unknown.  The model is thus a distribution over all token sequences that end.
+only joined).  A token that occurs ``FEWEST`` times or more has emission
+probabilities of its own (the ``CLASSES`` most frequent ones where there are
+more, which bounds the model); the others form one class more, inside which a
+token has the share (c + 1) / R, with R the sum over all rare tokens and one
+unknown.  The model is thus a distribution over all token sequences that end.
 
 Training.  Baum-Welch: each task runs the scaled forward and backward
 recursions over its documents and sums expected counts; the sums are added up
 block by block where Spark gathers them, and the driver normalises them
 (states x classes numbers, whatever the corpus).  Every round runs over all
-training documents, whose class sequences are written once; their number of
-partitions follows the tokens, up to ``WAVES`` for each core, so the sums do
-not grow with the input splits.  Rounds end when the likelihood of the training text, relative to
-the unigram's, rises by less than ``GAIN`` per token, after ``ROUNDS`` at the
-latest; it is reported for each round (``Model.history``).  Expected counts
-are taken in single precision.  Emissions are smoothed with the unigram of
-the classes.
+training documents; the class sequences of all documents are written once.
+The number of partitions follows the tokens, up to ``WAVES`` for each core, so
+the sums do not grow with the input splits.  Rounds end when the likelihood of
+the training text, relative to the unigram's, rises by less than ``GAIN`` per
+token, after ``ROUNDS`` at the latest; it is reported for each round
+(``Model.history``).  Expected counts are taken in single precision.
+Emissions are smoothed with the unigram of the classes.
 
 Long texts.  A text of over ``STRETCH`` tokens is worked on in stretches, and
 exactly so: from each state at once a stretch gives its transfer matrix; the
@@ -37,6 +38,7 @@ by 64-bit hashes.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,11 +50,17 @@ from tallyspark.llm import arrays as A
 from tallyspark.llm.frames import arrow_map, fold, keep, texts
 
 STATES = 8
-KNOWN = CLASSES = 1 << 18
+CLASSES, KNOWN = 1 << 18, 1 << 19
+#: Occurrences of a token with emissions of its own.
+FEWEST = 3
+#: Occurrences of a token with emissions of its own.
+FEWEST = 3
 STRETCH = 2048
 #: Tokens whose expected counts are taken at once.
 PIECE = 1 << 19
-ROUNDS, GAIN = 10, 1e-3
+ROUNDS, GAIN = 6, 1e-3
+#: Steps between two scalings in training: ratios to the unigram are far from the range of single floats.
+SCALED = 4
 #: Tokens of a training partition at least, and the most partitions for a core.
 PART, WAVES = 1 << 23, 16
 #: Rows of the sums that travel together.
@@ -93,6 +101,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(held)
 
 
+def _slots(known: np.ndarray) -> np.ndarray:
+    """Hash table over the words' hashes: places in ``known``, -1 where empty."""
+    out = np.full(1 << max(1, (2 * len(known)).bit_length()), -1, np.int32)
+    mask = len(out) - 1
+    left, slot = np.arange(len(known)), known & mask
+    while len(left):
+        free = out[slot] < 0
+        out[slot[free]] = left[free]  # of several the last one stays
+        on = out[slot] != left
+        left, slot = left[on], (slot[on] + 1) & mask
+    return out
+
+
 class Model:
     """Counts and parameters; what is broadcast."""
 
@@ -104,7 +125,8 @@ class Model:
         by_token = np.argsort(known)
         self.known, self.counts = known[by_token], counts[by_token]
         self.rank = rank[by_token]
-        self.n = min(classes, len(known))  # classes 0..n-1 are tokens, n is rare, n + 1 the end
+        self.slots = _slots(self.known)
+        self.n = min(classes, int((counts >= FEWEST).sum()))  # classes 0..n-1 are tokens, n is rare, n + 1 the end
         self.tokens, self.types, self.ends, self.states = tokens, types, ends, states
         self.all_mass = float(tokens + types + 1)
         top = counts[order][:self.n]
@@ -123,11 +145,25 @@ class Model:
         """(class, count) of each word; the count is -1 if it isn't known here."""
         if not len(self.known):
             return np.full(len(tokens), self.n), np.full(len(tokens), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
-        hit = self.known[at] == tokens
+        mask = len(self.slots) - 1
+        at = np.full(len(tokens), -1, np.int64)
+        left, slot = np.arange(len(tokens)), tokens & mask
+        while len(left):  # open addressing: a word is in its slot or behind it, before an empty one
+            found = self.slots[slot]
+            hit = self.known[found] == tokens[left]
+            at[left[hit & (found >= 0)]] = found[hit & (found >= 0)]
+            on = ~hit & (found >= 0)
+            left, slot = left[on], (slot[on] + 1) & mask
+        hit = at >= 0
         return (np.where(hit & (self.rank[at] < self.n), self.rank[at], self.n),
                 np.where(hit, self.counts[at], -1))
 
+    def parameters(self) -> Model:
+        """Without the words: what the recursions need."""
+        light = copy.copy(self)
+        light.known = light.counts = light.rank = light.slots = None
+        return light
+
     def learn(self, start, move, emit) -> None:
         """Maximisation from expected counts."""
         k = self.states
@@ -173,16 +209,18 @@ def _forward(model: Model, seq, begin, length, alpha: np.ndarray, copies: int):
     vectors each: log of the scale and the state at the end.  A single vector
     is that of the first token, several are those before it."""
     b, n = np.repeat(begin, copies), np.repeat(length, copies)
-    log = np.zeros(len(b))
-    end = np.empty_like(alpha)
-    for t, live in enumerate(_active(n) if len(n) else ()):
-        moved = alpha[:live] if not t and copies == 1 else alpha[:live] @ model.move
-        alpha = moved * model.emit[seq[b[:live] + t]]
-        s = alpha.sum(axis=1, keepdims=True)
-        alpha = alpha / s
-        log[:live] += np.log(s[:, 0])
-        done = n[:live] == t + 1
-        end[:live][done] = alpha[done]
+    log, end, one = np.zeros(len(b)), np.empty_like(alpha), np.ones(model.states)
+    live = _active(n) if len(n) else []
+    for t, m in enumerate(live):
+        alpha = alpha[:m] if not t and copies == 1 else alpha[:m] @ model.move
+        alpha = alpha * model.emit.take(seq[b[:m] + t], axis=0)
+        rest = live[t + 1] if t + 1 < len(live) else 0
+        first = 0 if t % 8 == 7 else rest  # all are scaled now and then, those that end here in any case
+        if first < m:
+            s = alpha[first:] @ one
+            log[first:m] += np.log(s)
+            alpha[first:] /= s[:, None]
+        end[rest:m] = alpha[rest:]
     return log, end
 
 
@@ -248,13 +286,15 @@ def expected_counts(model: Model, seq: np.ndarray, bounds: np.ndarray):
         kinds, alphas, emits = [], [], []
         for t, n in enumerate(live):
             c = seq[b[:n] + t]
-            e = ratio[c]
-            alpha = e * (alpha[:n] @ step if t else alpha)
-            s = alpha @ one
-            log += float(np.log(s).sum())
-            s = (1 / s)[:, None]
-            alpha *= s
-            e *= s
+            e = ratio.take(c, axis=0)
+            alpha = alpha[:n] @ step if t else alpha
+            alpha *= e
+            if t % SCALED == SCALED - 1:
+                s = alpha @ one
+                log += float(np.log(s).sum())
+                s = (1 / s)[:, None]
+                alpha *= s
+                e *= s
             kinds.append(c)
             alphas.append(alpha)
             emits.append(e)
@@ -267,18 +307,19 @@ def expected_counts(model: Model, seq: np.ndarray, bounds: np.ndarray):
                 ahead = emits[t + 1]
                 ahead *= later
                 move += alpha[:done].T @ ahead
-                beta[:done] = ahead @ step.T
+                np.matmul(ahead, step.T, out=beta[:done])
             if n > done:  # these end here
                 w = out[done:n]
+                log += float(np.log(alpha[done:] @ one).sum())
                 beta[done:] = w / (alpha[done:] * w).sum(axis=1, keepdims=True)
             gammas.append(alpha * beta)
             later, done = beta, n
         start += gammas[-1][head].sum(axis=0)
         move += before[~head].T @ (emits[0] * later)[~head]
-        c, gamma = np.concatenate(kinds[::-1]), np.concatenate(gammas)
+        c, gamma = np.concatenate(kinds[::-1]), np.ascontiguousarray(np.concatenate(gammas).T)
         rest = np.bincount(c, minlength=types).astype(np.float64)  # a token's weights add up to one
         for j in range(k - 1):
-            part = np.bincount(c, weights=gamma[:, j], minlength=types)
+            part = np.bincount(c, weights=gamma[j], minlength=types)
             emit[:, j] += part
             rest -= part
         emit[:, k - 1] += np.maximum(rest, 0)
@@ -305,17 +346,6 @@ def log_likelihoods(model: Model, seq: np.ndarray, bounds: np.ndarray) -> np.nda
     return out
 
 
-def _classes(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, data, offs in A.chunks(batch):
-                seq, bounds, *_ = _sequences(shared.value, data, offs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(seq.astype(np.int32)))],
-                    names=["kinds"])
-    return run
-
-
 def _expectation(shared):
     """The sums of a task, in blocks of rows: starts, likelihood, moves, emissions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +383,7 @@ def _added_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _round(model: Model, rows: DataFrame) -> None:
     """One Baum-Welch round over the class sequences of ``rows``."""
     k = model.states
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast(model.parameters())
     blocks = arrow_map(rows.select("kinds"), _expectation(shared), "block int, sums binary").repartition("block")
     out = np.zeros((2 + k + len(model.unigram), k))
     for row in arrow_map(blocks, _added_blocks, "block int, sums binary").toLocalIterator():
@@ -384,68 +414,91 @@ def frequent_tokens(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(level >= cut)
 
 
-def train(training: DataFrame, counts: DataFrame, states: int = STATES, classes: int = CLASSES,
-          rounds: int = ROUNDS) -> Model:
-    """Model of the documents (doc_id, text) of ``training``."""
+def lexicon(training: DataFrame, counts: DataFrame, states: int = STATES, classes: int = CLASSES) -> Model:
+    """Untrained model over the counts of the documents (doc_id, text) of ``training``."""
     ends = training.count()
     total = counts.agg(F.count("*").alias("types"), F.sum("c").alias("tokens")).first()
     top = frequent_tokens(counts, KNOWN).toArrow()
-    model = Model(top.column("token").to_numpy(), top.column("c").to_numpy(), (total.tokens or 0) + ends,
-                  total.types + (1 if ends else 0), ends, states, classes)
-    if not ends:
-        return model
-    shared = training.sparkSession.sparkContext.broadcast(model)
-    rows = keep(arrow_map(training.select("text"), _classes(shared), "kinds array<int>"), "classes")
-    shared.unpersist()
-    cores = training.sparkSession.sparkContext.defaultParallelism
-    rows = rows.coalesce(max(1, min(-(-model.tokens // PART), WAVES * cores)))
-    for _ in range(rounds):
-        _round(model, rows)
-        # The likelihood is that before the round's learning: two of them make a gain.
-        if len(model.history) > 1 and model.history[-1] - model.history[-2] < GAIN * model.tokens:
-            break
-    return model
+    return Model(top.column("token").to_numpy(), top.column("c").to_numpy(), (total.tokens or 0) + ends,
+                 total.types + (1 if ends else 0), ends, states, classes)
 
 
-_SCORED = ("doc_id long, n_tokens long, known long, base double, model double, rare_model long, "
-           "rare array<long>, rare_times array<long>")
+_ENCODED = ("doc_id long, n_tokens long, known long, base double, rare_model long, rare_log double, kinds array<int>, "
+            "rare array<long>, rare_times array<int>")
 
 
-def _score(shared):
-    """Likelihood of each document but for its rare tokens; those whose count
-    is not at hand go on with how often they occur and, in ``rare_model``,
-    how many of the model's rare tokens there are."""
+def _encoded(shared):
+    """Classes of each document's tokens, and sums over the counts at hand;
+    tokens whose count isn't go on with how often they occur.  ``rare_model``
+    is how many of the model's rare tokens there are, ``rare_log`` the sum of
+    the known ones' log counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for rows, data, offs in A.chunks(batch):
                 seq, bounds, tokens, first, kind, count = _sequences(model, data, offs)
-                log = log_likelihoods(model, seq, bounds) / np.log(10)
                 n = len(offs) - 1
                 doc = np.repeat(np.arange(n), np.diff(first))
                 here = count >= 0
                 weight = np.where(here, np.log10(np.maximum(count, 0) + 1.0), 0.0)
-                base = np.bincount(doc, weights=weight, minlength=n).astype(np.float64)
-                base += np.log10(model.ends + 1.0)
+                total = lambda x, doc=doc, n=n: np.bincount(doc, weights=x, minlength=n).astype(np.float64)
                 rare = kind == model.n
-                log += np.bincount(doc, weights=weight * rare, minlength=n)
-                times_rare = np.bincount(doc, weights=rare, minlength=n).astype(np.int64)
-                known = np.bincount(doc, weights=here, minlength=n).astype(np.int64) + (1 if model.ends else 0)
                 # The other tokens, each once per document.
                 far = np.flatnonzero(~here)
                 order = far[np.lexsort((tokens[far], doc[far]))]
                 new = np.ones(len(order), dtype=bool)
                 new[1:] = (tokens[order][1:] != tokens[order][:-1]) | (doc[order][1:] != doc[order][:-1])
                 at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(order)))
-                per_doc = np.bincount(doc[order][at], minlength=n)
-                cut = np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int32)
+                cut = np.concatenate([[0], np.cumsum(np.bincount(doc[order][at], minlength=n))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(np.diff(bounds)), pa.array(known), pa.array(base),
-                     pa.array(log), pa.array(times_rare),
+                    [rows.column("doc_id"), pa.array(np.diff(bounds)),
+                     pa.array(total(here).astype(np.int64) + (1 if model.ends else 0)),
+                     pa.array(total(weight) + np.log10(model.ends + 1.0)), pa.array(total(rare).astype(np.int64)),
+                     pa.array(total(weight * rare)),
+                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(seq.astype(np.int32))),
                      pa.ListArray.from_arrays(pa.array(cut), pa.array(tokens[order][at])),
-                     pa.ListArray.from_arrays(pa.array(cut), pa.array(times.astype(np.int64)))],
-                    names=["doc_id", "n_tokens", "known", "base", "model", "rare_model", "rare", "rare_times"])
+                     pa.ListArray.from_arrays(pa.array(cut), pa.array(np.diff(np.append(at, len(order))).astype(np.int32)))],
+                    names=["doc_id", "n_tokens", "known", "base", "rare_model", "rare_log", "kinds", "rare",
+                           "rare_times"])
+    return run
+
+
+def encode(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents' class sequences, written once."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = keep(arrow_map(texts(docs), _encoded(shared), _ENCODED).withColumn("row", F.monotonically_increasing_id()),
+                "encoded")
+    shared.unpersist()
+    return rows
+
+
+def train(model: Model, rows: DataFrame, rounds: int = ROUNDS) -> None:
+    """Baum-Welch over the class sequences ``kinds`` of ``rows``."""
+    if not model.ends:
+        return
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rows = rows.select("kinds").coalesce(max(1, min(-(-model.tokens // PART), WAVES * cores)))
+    for _ in range(rounds):
+        _round(model, rows)
+        # The likelihood is that before the round's learning: two of them make a gain.
+        if len(model.history) > 1 and model.history[-1] - model.history[-2] < GAIN * model.tokens:
+            break
+
+
+def _likelihoods(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, at = batch.column("kinds"), 0
+            offs = kinds.offsets.to_numpy().astype(np.int64)
+            seq = kinds.flatten().to_numpy()
+            offs = offs - offs[0] if len(offs) else offs
+            while at < batch.num_rows:  # whole documents of about PIECE tokens
+                to = max(at + 1, int(np.searchsorted(offs, offs[at] + PIECE, side="right")) - 1)
+                log = log_likelihoods(shared.value, seq[offs[at]:offs[to]], offs[at:to + 1] - offs[at])
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(at, to - at) for c in batch.columns[:-1]), pa.array(log / np.log(10))],
+                    names=[*batch.schema.names[:-1], "model"])
+                at = to
     return run
 
 
@@ -454,21 +507,25 @@ def score(docs: DataFrame, parts: int = 7, left_out: int = 2, states: int = STAT
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row of ``docs``; scores are log10 probabilities of the text."""
     plain = texts(docs)
-    training = plain.where(fold(F.col("doc_id"), parts) != left_out)
+    learns = fold(F.col("doc_id"), parts) != left_out
+    training = plain.where(learns)
     counts = keep(token_counts(training), "token_counts")
-    model = train(training, counts, states, classes, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = keep(arrow_map(plain, _score(shared), _SCORED)
-                  .withColumn("row", F.monotonically_increasing_id()), "scored")
-    far = (scored.select("row", F.explode(F.arrays_zip("rare", "rare_times")).alias("x"))
+    model = lexicon(training, counts, states, classes)
+    rows = encode(plain, model)
+    train(model, rows.where(learns), rounds)
+    shared = docs.sparkSession.sparkContext.broadcast(model.parameters())
+    scored = arrow_map(rows.select("row", "doc_id", "n_tokens", "known", "base", "rare_model", "rare_log", "kinds"),
+                       _likelihoods(shared), "row long, doc_id long, n_tokens long, known long, base double, "
+                       "rare_model long, rare_log double, model double")
+    far = (rows.select("row", F.explode(F.arrays_zip("rare", "rare_times")).alias("x"))
            .select("row", F.col("x.rare").alias("token"), F.col("x.rare_times").alias("times")))
     found = (far.join(counts, "token").groupBy("row")
              .agg(F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("log_c"), F.sum("times").alias("seen")))
     log_c, seen = F.coalesce("log_c", F.lit(0.0)), F.coalesce("seen", F.lit(0))
     held_out = F.coalesce(fold(F.col("doc_id"), parts) == left_out, F.lit(False))
-    return (scored.drop("rare", "rare_times").join(found, "row", "left")
+    return (scored.join(found, "row", "left")
             .select("doc_id", held_out.alias("held_out"), "n_tokens", (F.col("known") + seen).alias("n_known"),
                     F.lit(model.tokens).cast("long").alias("train_tokens"),
                     (F.col("base") + log_c - F.col("n_tokens") * float(np.log10(model.all_mass))).alias("base_score"),
-                    (F.col("model") + log_c
+                    (F.col("model") + F.col("rare_log") + log_c
                      - F.col("rare_model") * float(np.log10(model.rare_mass))).alias("score")))

@@ -181,7 +181,7 @@ def test_decay_solves_its_equation():
 
 def _model(states=3, classes=6, seed=0):
     rng = np.random.default_rng(seed)
-    m = hmm.Model(np.arange(classes), np.arange(classes)[::-1] + 1, 30, classes + 1, 4, states, classes)
+    m = hmm.Model(np.arange(classes), np.arange(classes)[::-1] + 3, 99, classes + 1, 4, states, classes)
     m.start = rng.dirichlet(np.ones(states))
     m.move = rng.dirichlet(np.ones(states), states)
     m.emit = rng.dirichlet(np.ones(classes + 2), states).T.copy()
@@ -257,15 +257,16 @@ def test_language_model(spark, monkeypatch, known):
 
 
 def test_every_round_sees_all_documents_and_types(spark, monkeypatch):
-    """2,100 documents of 20 words of their own."""
+    """2,100 documents of 20 words of their own, three times each."""
     seen = []
     def note(model, rows):
         seen.append(rows.count())
         model.history.append(len(seen) * 1e9)
     monkeypatch.setattr(hmm, "_round", note)
     docs = spark.range(2100).selectExpr(
-        "id AS doc_id", "concat_ws(' ', transform(sequence(id * 20, id * 20 + 19), x -> concat('w', x))) AS text")
-    model = hmm.train(docs, hmm.token_counts(docs))
+        "id AS doc_id", "concat_ws(' ', transform(sequence(id * 60, id * 60 + 59), x -> concat('w', x div 3))) AS text")
+    model = hmm.lexicon(docs, hmm.token_counts(docs))
+    hmm.train(model, hmm.encode(docs, model))
     assert set(seen) == {2100} and len(seen) == hmm.ROUNDS
     assert model.n == 42000
 
@@ -279,9 +280,9 @@ def _plain_training(rows, states, classes, rounds):
         data = np.frombuffer(w.encode(), np.uint8)
         hashes[w] = int(hmm.token_hashes(data, np.array([0, len(data)]))[0][0])
     ordered = sorted(counts, key=lambda w: (-counts[w], hashes[w]))
-    top = {w: k for k, w in enumerate(ordered[:classes])}
     m = hmm.Model(np.array([hashes[w] for w in ordered]), np.array([counts[w] for w in ordered]),
                   sum(map(len, docs)), len(counts) + 1, len(docs), states, classes)
+    top = {w: k for k, w in enumerate(ordered[:m.n])}
     place = lambda w: m.n + 1 if w == "\n" else top.get(w, m.n)
     log = lambda seq: sum(math.log(x) for x in _scaled(m, seq)[1])
     for _ in range(rounds):
@@ -327,11 +328,28 @@ def test_scores_equal_plain_training(spark, monkeypatch):
 def test_likelihood_rises_until_it_stops(spark):
     from tallyspark.llm.frames import texts
     docs = texts(frame(spark, documents()))
-    model = hmm.train(docs, hmm.token_counts(docs), 3, 200, 40)
+    model = hmm.lexicon(docs, hmm.token_counts(docs), 3, 200)
+    hmm.train(model, hmm.encode(docs, model), 40)
     h = model.history
     assert 2 < len(h) < 40 and all(b > a for a, b in zip(h, h[1:], strict=False))
 
 
+def test_words_find_their_places():
+    rng = np.random.default_rng(3)
+    known = np.unique(rng.integers(-1 << 62, 1 << 62, 5000))
+    known = np.append(known, known[:50] + (1 << 40))  # these meet in their slots
+    counts = rng.integers(1, 99, len(known))
+    counts += 2
+    m = hmm.Model(known, counts, 10 ** 6, 9000, 4, 2, 3000)
+    other = rng.integers(-1 << 62, 1 << 62, 500)
+    kind, count = m.place(np.concatenate([known, other]))
+    assert np.array_equal(count, np.append(counts, np.full(500, -1)))
+    order = np.lexsort((known, -counts))
+    rank = np.empty(len(known), int)
+    rank[order] = np.arange(len(known))
+    assert np.array_equal(kind, np.append(np.minimum(rank, 3000), np.full(500, 3000)))
+
+
 def test_probabilities_add_up():
     """Emissions, moves and the share of rare tokens are distributions."""
     m = _model()
