@@ -7,10 +7,11 @@
   completeness gate -> seven aggregates -> date partition of the feature
   table.
 
-* ``materialize_day``: feature views -> online tables, from the end that each
-  remembers up to the end of the run date.
+* ``materialize_day``: feature views -> online tables, from the end before up
+  to the end of the run date.
 
-The first two overwrite only the run date's partition, so a re-run is safe;
+The first two overwrite only the run date's partition, so a re-run is safe,
+and materializing that date again takes its corrections to the online tables;
 ``update_table`` replaces the partitions that a conditional update touches.
 """
 
@@ -86,12 +87,9 @@ def daily_features(spark: SparkSession, raw_path: str, run_date: str | dt.date,
 
 
 def complete_days(raw: DataFrame, start: dt.date, end: dt.date, days_back: int, min_dates: int) -> list[dt.date]:
-    """The run dates of ``[start, end]`` whose trailing range holds at least
-    ``min_dates`` distinct dates.  One aggregate; its rows are dates."""
-    rows = in_range(raw, window_start(start, days_back), end)
-    have = {r["date"] for r in dq.distinct_dates(rows).collect()}
-    span = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-    return [d for d in span if sum(window_start(d, days_back) <= x <= d for x in have) >= min_dates]
+    """The run dates of ``[start, end]`` that pass the gate, in order."""
+    gate = dq.gate_dates(raw, start, end, days_back, min_dates)
+    return sorted(r["date"] for r in gate.where("complete").collect())
 
 
 def backfill_feature_days(spark: SparkSession, raw_path: str, start: str | dt.date, end: str | dt.date,
@@ -115,7 +113,7 @@ def backfill_feature_days(spark: SparkSession, raw_path: str, start: str | dt.da
 
 
 def materialize_day(spark: SparkSession, views: list[store.FeatureView], run_date: str | dt.date,
-                    online_root: str, sources: dict[str, DataFrame] | None = None) -> dict[str, str]:
+                    online_root: str, sources: dict[str, DataFrame] | None = None) -> dict[str, int]:
     """Materialize the views up to the end of the run date."""
     end = dt.datetime.combine(parse_run_date(run_date), dt.time.max)
     return store.materialize_all(spark, views, online_root, end, sources)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_run_date, window_start
+from .filters import in_range
+
 
 class IncompleteInputError(RuntimeError):
     """Raised when a gate finds too little input to compute features."""
@@ -33,6 +38,23 @@ def require_dates(df: DataFrame, n: int = 7, col: str = "date") -> int:
     return found
 
 
+def gate_dates(df: DataFrame, start: str | dt.date, end: str | dt.date, days_back: int = 7, n: int = 7,
+               col: str = "date") -> DataFrame:
+    """The gate for every run date of ``[start, end]``: (date, n_dates,
+    complete), the distinct dates present in the closed trailing range and
+    whether they are ``n`` or more.  A range frame over the dates, which are
+    as many as the calendar has days; the table itself is read once."""
+    s, e = parse_run_date(start), parse_run_date(end)
+    present = distinct_dates(in_range(df, window_start(s, days_back), e, col), col).select(
+        F.col(col).cast("date").alias("date"), F.lit(1).alias("here"), F.lit(0).alias("asked"))
+    runs = df.sparkSession.range((e - s).days + 1).select(
+        F.date_add(F.lit(s), F.col("id").cast("int")).alias("date"), F.lit(0).alias("here"), F.lit(1).alias("asked"))
+    days = present.unionByName(runs).groupBy("date").agg(F.max("here").alias("here"), F.max("asked").alias("asked"))
+    trailing = Window.orderBy(F.datediff("date", F.lit(s))).rangeBetween(-days_back, Window.currentRow)
+    counted = days.withColumn("n_dates", F.sum("here").over(trailing))
+    return counted.where("asked = 1").select("date", "n_dates", (F.col("n_dates") >= n).alias("complete"))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """Row count as a one-row DataFrame (``n_rows``)."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"))

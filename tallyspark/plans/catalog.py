@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,8 @@ from ..schemas import (SOURCE_COL, TIME_COL, TIME_FORMAT, TRANSACTION_ROW, USER_
                        VENDOR_COL)
 from ..jobs import update_table
 from ..session import shared_path
-from ..sources.tables import read_snapshot, read_table, write_partitions, write_table
+from ..sources.tables import (create_schema, read_snapshot, read_table, register_table, write_partitions,
+                              write_table)
 from ..streaming import streams as st
 from . import inputs as I
 from . import views as V
@@ -170,6 +173,27 @@ def q_asof_features_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"customer_features_ttl": _stored_features(spark, sf_dir)}, [V.CUSTOMER_FEATURES_TTL])
 
 
+def _registered_view(spark: SparkSession, sf_dir: str) -> store.FeatureView:
+    """A view that knows only where its table lies, its format and its time column."""
+    path = shared_path(spark, "registered")
+    write_partitions(feature_table(spark, sf_dir), path)
+    return replace(V.CUSTOMER_FEATURES, source=store.FeatureSource("feature_table", path, "parquet", "date"))
+
+
+def q_registered_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows from the registered source; no frame is passed in."""
+    return store.get_historical_features(V.entity_rows(spark, sf_dir), V.REFS, None, [_registered_view(spark, sf_dir)])
+
+
+def q_registered_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views materialized from their registered sources; the offline one is skipped."""
+    root, view = shared_path(spark, "online"), _registered_view(spark, sf_dir)
+    offline = replace(view, name="customer_offline", online=False)
+    runs = store.materialize_all(spark, [view, offline], root, FEATURES_END)
+    parts = [store.read_online(spark, f"{root}/{name}").withColumn("view", F.lit(name)) for name in runs]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_multi_view_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = V.REFS + ["customer_demographics:location", "customer_demographics:occupation"]
     return store.get_historical_features(
@@ -208,6 +232,14 @@ def q_date_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.count_distinct_dates(tx)
 
 
+def q_gate_run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate for every run date of the backfill, with every third day missing
+    in the first half of the table."""
+    tx = tx_double(spark, sf_dir)
+    holes = (F.dayofmonth("date") % 3 == 0) & (F.col("date") < F.lit(I.RUN_DATE))
+    return dq.gate_dates(tx.where(~holes), I.BACKFILL_START, I.BACKFILL_END, days_back=7, n=7)
+
+
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.row_count(tx_double(spark, sf_dir))
 
@@ -221,6 +253,35 @@ def q_filter_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flt.in_range(tx_double(spark, sf_dir), start, I.RUN_DATE)
 
 
+def with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions without an amount, a date or both, here and there."""
+    tx, n = tx_double(spark, sf_dir), F.col("`Transaction ID`").cast("long")
+    return (tx.withColumn("Amount", F.when(n % 5 != 0, F.col("Amount")))
+            .withColumn("date", F.when(n % 7 != 0, F.col("date"))))
+
+
+def q_filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with an amount and a date, of one vendor or one source."""
+    rows = flt.not_null(with_holes(spark, sf_dir), "Amount", "date")
+    return rows.where(flt.any_equal({VENDOR_COL: "click", SOURCE_COL: "1"}))
+
+
+def q_feature_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly features stamped with the (given) time of their computation."""
+    at = datetime.datetime(2024, 1, 21, 6, 0, 0)
+    return feat.with_feature_timestamp(q_weekly_features(spark, sf_dir), at)
+
+
+def q_date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates from texts, some of them malformed: those give null."""
+    o = I.table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = (F.when(F.col("o_orderkey") % 4 == 0, F.regexp_replace(day, "-", "/"))
+            .when(F.col("o_orderkey") % 4 == 1, F.concat(F.substring(day, 1, 5), F.lit("13-45"))).otherwise(day))
+    return o.select("o_orderkey", text.alias("text"), parse_date(text).alias("day"),
+                    parse_date(text).isNotNull().alias("valid"))
+
+
 def q_filter_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flt.with_keys(tx_double(spark, sf_dir), purchase_keys(spark, sf_dir), USER_COL)
 
@@ -278,6 +339,27 @@ def q_update_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def _catalog_table(spark: SparkSession, sf_dir: str) -> str:
+    """The raw table registered in the session catalog, twice (the second time is harmless)."""
+    path = raw_table(spark, sf_dir)
+    name = f"tallyspark_{path[-12:]}"
+    create_schema(spark, name, shared_path(spark, name))
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tx_double(spark, sf_dir).schema)
+    for _ in range(2):
+        register_table(spark, f"{name}.raw_transactions", path, schema=cols, partitioned_by=["date"])
+    return name
+
+
+def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date range of a registered table, read by name; the registration goes
+    afterwards, the files stay."""
+    name, out = _catalog_table(spark, sf_dir), shared_path(spark, "from-catalog")
+    rows = flt.in_range(spark.table(f"{name}.raw_transactions"), window_start(I.RUN_DATE, 7), I.RUN_DATE)
+    write_table(rows, out)
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
+    return read_table(spark, out)
+
+
 def q_partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing range of the partitioned raw table: only its folders are read."""
     raw = read_table(spark, raw_table(spark, sf_dir))
@@ -411,6 +493,31 @@ def q_stream_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def q_stream_late_and_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed in two runs.  The first holds the rows up to a cut, some twice;
+    the second the rest, repeats of rows within the watermark, new rows
+    within it, and new rows behind it, which are dropped and counted."""
+    ev = I.table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("value"))
+    cut, n = F.lit(datetime.datetime(2024, 1, 21)).cast("timestamp"), F.col("event_id")
+    last_day = (F.col("ts") < cut) & (F.col("ts") >= cut - F.expr("INTERVAL 1 DAY"))
+    first = ev.where(F.col("ts") < cut)
+    first = first.union(first.where(n % 5 == 0))
+    near = ev.where(last_day & (n % 13 == 0)).withColumn("event_id", n + 2_000_000_000)
+    late = (ev.where((F.col("ts") < cut - F.expr("INTERVAL 6 DAYS")) & (n % 11 == 0))
+            .withColumn("event_id", n + 1_000_000_000))
+    second = ev.where(F.col("ts") >= cut).union(ev.where(last_day & (n % 7 == 0))).union(near).union(late)
+    src, sink, checkpoint = (shared_path(spark, x) for x in ("feed", "days", "ckpt"))
+    dropped = 0
+    for rows in (first, second):
+        rows.write.mode("append").parquet(src)
+        days = st.stream_daily_totals(st.stream_files(spark, src, ev.schema), "ts", "value", "2 days", "event_id")
+        q = st.start_append(days, sink, checkpoint)
+        q.awaitTermination()
+        dropped += st.late_rows(q)
+    return spark.read.parquet(sink).withColumn("n_dropped", F.lit(dropped).cast("long"))
+
+
 def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change messages land as files in two runs; the state store keeps the
     newest version per id with sticky deletes and is read back."""
@@ -448,10 +555,14 @@ QUERIES: dict[str, Query] = {
     "backfill_features": q_backfill_features,
     "date_gate": q_date_gate,
     "distinct_dates": q_distinct_dates,
+    "gate_run_dates": q_gate_run_dates,
     "row_count": q_row_count,
     "filter_date": q_filter_date,
     "filter_range": q_filter_range,
     "filter_keys": q_filter_keys,
+    "filter_not_null": q_filter_not_null,
+    "feature_timestamp": q_feature_timestamp,
+    "date_texts": q_date_texts,
     "filter_suffix": q_filter_suffix,
     "inner_join_keys": q_inner_join_keys,
     "first_rows": q_first_rows,
@@ -470,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "update_where": q_update_where,
     "partition_rerun": q_partition_rerun,
     "partition_range": q_partition_range,
+    "catalog_table": q_catalog_table,
     "update_table": q_update_table,
     "csv_round_trip": q_csv_round_trip,
     "json_round_trip": q_json_round_trip,
@@ -492,7 +604,10 @@ QUERIES: dict[str, Query] = {
     "asof_features": q_asof_features,
     "asof_features_ttl": q_asof_features_ttl,
     "multi_view_features": q_multi_view_features,
+    "registered_history": q_registered_history,
+    "registered_online": q_registered_online,
     "stream_window_features": q_stream_window_features,
+    "stream_late_and_duplicates": q_stream_late_and_duplicates,
     "stream_current_state": q_stream_current_state,
     "stream_calendar_weekly": q_stream_calendar_weekly,
     "stream_calendar_monthly": q_stream_calendar_monthly,

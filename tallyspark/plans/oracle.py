@@ -156,6 +156,33 @@ SQL: dict[str, str] = {
     "distinct_dates": f"WITH {TXD} SELECT DISTINCT date FROM tx WHERE date IS NOT NULL",
     "date_gate": f"""WITH {TXD} SELECT COUNT(DISTINCT date) AS n_dates FROM tx
 WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20' AND date IS NOT NULL""",
+    "gate_run_dates": f"""WITH {TXD},
+present AS (SELECT DISTINCT date FROM tx WHERE NOT (day(date) % 3 = 0 AND date < DATE '2024-01-20')),
+runs AS (SELECT CAST(r AS DATE) AS run FROM range(DATE '2024-01-08', DATE '2024-01-31', INTERVAL 1 DAY) t(r))
+SELECT run AS date, COUNT(p.date) AS n_dates, COUNT(p.date) >= 7 AS complete
+FROM runs LEFT JOIN present p ON p.date BETWEEN run - 7 AND run GROUP BY run""",
+    "filter_not_null": f"""WITH {TXD} SELECT * FROM tx
+WHERE CAST("Transaction ID" AS BIGINT) % 5 <> 0 AND CAST("Transaction ID" AS BIGINT) % 7 <> 0
+  AND ("Vendor" = 'click' OR "Sources" = '1')""",
+    "feature_timestamp": f"SELECT *, TIMESTAMP '2024-01-21 06:00:00' AS feature_timestamp FROM ({WEEKLY})",
+    "date_texts": """WITH t AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders),
+u AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN replace(d, '-', '/') WHEN 1 THEN d[1:5] || '13-45' ELSE d END
+             AS text, o_orderkey % 4 >= 2 AS valid, d FROM t)
+SELECT o_orderkey, text, CASE WHEN valid THEN CAST(d AS DATE) END AS day, valid FROM u""",
+    "catalog_table": f"WITH {TXD} SELECT * FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'",
+    "registered_history": ASOF,
+    "registered_online": f"""WITH {ONLINE}
+SELECT *, CAST(1 AS BIGINT) AS materialization_run, 'customer_features' AS "view" FROM online""",
+    "stream_late_and_duplicates": """WITH ev AS (SELECT event_id, ts, CAST(value AS DECIMAL(18,2)) AS value FROM events),
+near AS (SELECT * FROM ev WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-21' AND event_id % 13 = 0),
+late AS (SELECT * FROM ev WHERE ts < TIMESTAMP '2024-01-15' AND event_id % 11 = 0),
+marks AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY AS last,
+                 date_trunc('millisecond', max(ts) FILTER (ts < TIMESTAMP '2024-01-21')) - INTERVAL 2 DAY AS first FROM ev),
+taken AS (SELECT * FROM ev UNION ALL SELECT * FROM near
+          UNION ALL SELECT late.* FROM late, marks WHERE late.ts > marks.first)
+SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n_rows, CAST(SUM(value) AS DOUBLE) AS total,
+       (SELECT COUNT(*) FROM late, marks WHERE late.ts <= marks.first) AS n_dropped
+FROM taken, marks GROUP BY day, last HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= last""",
     "row_count": "SELECT COUNT(*) AS n_rows FROM events",
     "filter_date": f"WITH {TXD} SELECT * FROM tx WHERE date = DATE '2024-01-20'",
     "filter_range": f"WITH {TXD} SELECT * FROM tx WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'",

@@ -85,6 +85,26 @@ def stream_window_features(tx: DataFrame, ts_col: str, label: str = "l1w", days_
                       F.date_sub(F.to_date(F.col("w.end")), 1).alias("date"))
 
 
+def stream_daily_totals(rows: DataFrame, ts_col: str, amount: str, watermark: str,
+                        dedupe_key: str | None = None) -> DataFrame:
+    """(day, n_rows, total) of each day once the watermark has passed it.
+    ``dedupe_key`` drops repeated deliveries within the watermark; rows behind
+    the watermark are dropped, and ``late_rows`` counts them."""
+    rows = rows.withWatermark(ts_col, watermark)
+    if dedupe_key:
+        rows = rows.dropDuplicatesWithinWatermark([dedupe_key])
+    days = rows.groupBy(F.window(ts_col, "1 day").alias("w")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(amount).cast("double").alias("total"))
+    return days.select(F.to_date("w.start").alias("day"), "n_rows", "total")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the stateful operators of a query dropped for being behind
+    the watermark, by its progress reports (a deduplication counts rows, an
+    aggregate the groups of a task)."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def stream_calendar_features(records: DataFrame, key: str, date_col: str, unit: str = "week",
                              measures: dict | None = None, bucket: str = "number") -> DataFrame:
     """``calendar_features`` on a stream (run it in complete mode)."""
