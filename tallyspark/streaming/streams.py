@@ -4,10 +4,10 @@
   newline-delimited JSON messages where no broker is present).
 * ``stream_window_features``: trailing ``days_back + 1``-day features per
   entity from a transaction stream - a sliding event-time window (one-day
-  slide) with a watermark; exact distinct counts as ``size(collect_set)``
-  because exact ``count_distinct`` is refused on streams.  Append mode: a
-  window is emitted once, when the watermark passes its end, and its state
-  is dropped.
+  slide) with a watermark, by chained aggregates over daily partials (exact
+  ``count_distinct`` is refused on streams, and no sets are kept).  Append
+  mode: a window is emitted once, when the watermark passes its end, and its
+  state is dropped.
 * ``stream_calendar_features``: week / month buckets in complete mode; every
   trigger writes the whole result as the next snapshot of a table.
 * ``start_current_state``: newest version of every row id, kept in Spark's
@@ -62,22 +62,40 @@ def stream_window_features(tx: DataFrame, ts_col: str, label: str = "l1w", days_
     run date is the window end minus one day - the same rows as the batch
     ``window_features`` of that date.  ``dedupe_key`` drops duplicate
     deliveries within the watermark.
+
+    Three chained aggregates in append mode, without sets.  An event enters
+    the state once, in the partial row of its (key, day, vendor, source).
+    When the watermark closes the day, its partials go to the windows that
+    hold it, one state row per (window, key, vendor) and per (window, key,
+    source); when a window closes, these are counted.
     """
     rows = tx.withWatermark(ts_col, watermark)
     if dedupe_key:
         rows = rows.dropDuplicatesWithinWatermark([dedupe_key])
-    span = f"{days_back + 1} days"
     amt = F.col(f"`{amount}`")
-    total = F.sum(amt)
-    agg = rows.groupBy(F.window(F.col(ts_col), span, "1 day").alias("w"),
-                       F.col(f"`{key}`").alias(out_key)).agg(
-        F.count(F.col(f"`{count_col}`")).alias(f"num_transactions_{label}"),
+    daily = rows.groupBy(F.window(F.col(ts_col), "1 day").alias("d"), F.col(f"`{key}`").alias(out_key),
+                         F.col(f"`{vendor}`").cast("string").alias("v"), F.col(f"`{source}`").cast("string").alias("s")
+                         ).agg(F.count(F.col(f"`{count_col}`")).alias("n"), F.sum(amt).alias("total"),
+                               F.count(amt).alias("na"), F.min(amt).alias("least"), F.max(amt).alias("most"))
+    # A partial counts once with its vendor, and once more for its source alone.
+    measures = ("n", "total", "na", "least", "most")
+    kinds = F.array(F.struct(F.lit("v").alias("kind"), F.col("v").alias("value"), *[F.col(c) for c in measures]),
+                    F.struct(F.lit("s").alias("kind"), F.col("s").alias("value"),
+                             *[F.lit(None).cast(daily.schema[c].dataType).alias(c) for c in measures]))
+    each = (daily.select(F.window_time("d").alias("t"), out_key, F.inline(kinds))
+            .groupBy(F.window("t", f"{days_back + 1} days", "1 day").alias("w"), out_key, "kind", "value")
+            .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("na").alias("na"),
+                 F.min("least").alias("least"), F.max("most").alias("most")))
+    total = F.sum("total")
+    known = F.col("value").isNotNull()
+    agg = each.groupBy("w", out_key).agg(
+        F.sum("n").alias(f"num_transactions_{label}"),
         total.cast("double").alias(f"total_amount_{label}"),
-        (total.cast("double") / F.count(amt)).alias(f"avg_amount_{label}"),
-        F.min(amt).cast("double").alias(f"min_amount_{label}"),
-        F.max(amt).cast("double").alias(f"max_amount_{label}"),
-        F.size(F.collect_set(F.col(f"`{vendor}`"))).cast("bigint").alias(f"num_vendors_{label}"),
-        F.size(F.collect_set(F.col(f"`{source}`"))).cast("bigint").alias(f"num_sources_{label}"),
+        (total.cast("double") / F.sum("na")).alias(f"avg_amount_{label}"),
+        F.min("least").cast("double").alias(f"min_amount_{label}"),
+        F.max("most").cast("double").alias(f"max_amount_{label}"),
+        F.count_if((F.col("kind") == "v") & known).alias(f"num_vendors_{label}"),
+        F.count_if((F.col("kind") == "s") & known).alias(f"num_sources_{label}"),
     )
     names = [f"{n}_{label}" for n in ("num_transactions", "total_amount", "avg_amount",
                                        "min_amount", "max_amount", "num_vendors", "num_sources")]
