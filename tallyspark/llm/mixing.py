@@ -1,10 +1,12 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-Every document gets a random key (the MD5 of its id), which orders its
-source.  The keys are uniform, so their first hex digits cut each source
-into ranges of equal expected size; totals per range give the running sum
+Every document gets a random key (the MD5 of its id and its text's MD5),
+which orders its source.  The keys are uniform, also where ids are null or
+repeat, so their first hex digits cut each source into ranges of equal
+expected size, more of them where there are more rows; totals per range give the running sum
 before each range, and a window inside the range completes the exact prefix
-sum of words.  No task ever holds a source.  A source's budget is then cut
+sum of words.  No task ever holds a source, and the windows hold numbers
+only: other columns are joined back by the row.  A source's budget is then cut
 exactly: whole epochs first, then every document up to the budget; the one
 that crosses it contributes the words that are left.
 
@@ -14,10 +16,11 @@ repeating, and share ``share`` times all words; a target stops at
 among the others until none is above.  Each round of that is one aggregate
 over the table of sources.
 
-Null texts have size 0, null sources are one source, documents without an id
-share one key.  Rows that tie in key, id and size are interchangeable, so
-reruns agree.  A source without words has target 0.  Only id, text and
-source are read.
+Null texts have size 0, null sources are one source, an empty table has an
+empty mix.  Rows that tie in key, id and size are interchangeable, so
+reruns agree; rows alike in id and text share a key, so a range holds all of
+them.  A source without words has target 0.  Only id, text and source are
+read; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from pyspark.sql import functions as F
 from tallyspark.llm.frames import WORD, keep
 
 WEIGHTS = (5, 2, 1)
-#: Hex digits of the key that make a range: 16^3 ranges in each source.
-RANGE_DIGITS = 3
+#: Fewest hex digits of the key that make a range (16^3 ranges in each source), and rows of a range.
+RANGE_DIGITS, RANGE_ROWS = 3, 1 << 20
 
 
 def numbered(df: DataFrame, *order, name: str = "number") -> DataFrame:
@@ -53,7 +56,8 @@ def sized(docs: DataFrame, key_seed: str = "", *carried) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(key_seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
+        F.md5(F.concat(F.lit(key_seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                       F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))).alias("key"))
 
 
 def source_targets(rows: DataFrame, share: float = 1.5, max_epochs: int = 2) -> DataFrame:
@@ -87,10 +91,12 @@ def mix(docs: DataFrame, share: float = 1.5, max_epochs: int = 2, key_seed: str
     added = ("size", "source_size", "target", "taken")
     kept = [c for c in docs.columns if c not in added] if keep_columns else []
     whole = [F.struct(*[f"`{c}`" for c in kept]).alias("whole")] if kept else []
-    rows = keep(sized(docs, key_seed, *whole), "sizes")
+    rows = keep(sized(docs, key_seed, *whole).withColumn("row", F.monotonically_increasing_id()), "sizes")
+    wholes, rows = rows, rows.drop("whole")
+    digits = max(RANGE_DIGITS, ((rows.count() // RANGE_ROWS).bit_length() + 3) // 4)
     targets = source_targets(rows, share, max_epochs)
     named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))  # null and '' differ
-    rows = rows.withColumn("named", named).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    rows = rows.withColumn("named", named).withColumn("range", F.substring("key", 1, digits))
     before = Window.partitionBy("named").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
@@ -103,9 +109,12 @@ def mix(docs: DataFrame, share: float = 1.5, max_epochs: int = 2, key_seed: str
     prior = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - prior))
     taken = (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken")
-    first = [F.col(f"whole.`{c}`") for c in kept] or ["doc_id", "source"]
-    return (rows.join(ranges, ["named", "range"]).withColumn("part", part)
-            .select(*first, "size", "source_size", "target", taken))
+    out = rows.join(ranges, ["named", "range"]).withColumn("part", part)
+    numbers = ["size", "source_size", "target", taken]
+    if not kept:
+        return out.select("doc_id", "source", *numbers)
+    return (wholes.select("row", "whole").join(out.select("row", *numbers), "row")
+            .select(*[F.col(f"whole.`{c}`") for c in kept], *added))
 
 
 _RE = r"[^\x20\x09-\x0D]+"
@@ -113,7 +122,7 @@ _RE = r"[^\x20\x09-\x0D]+"
 ORACLE = rf"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_RE}')), 0) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

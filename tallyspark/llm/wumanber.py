@@ -15,7 +15,8 @@ positions are hashed.
 The benchmark is dealt into blocks of patterns of about ``BLOCK_BYTES`` of
 text by the hash of the pattern, so what is broadcast is bounded however
 large the benchmark is; the documents pass all blocks in one job without a
-shuffle, carrying the hits found so far.
+shuffle, carrying the numbers of the patterns found so far.  The items of a
+pattern, which may be very many, are joined to the numbers afterwards.
 
 Null or empty texts have no words; an item without words or without an id
 takes no part; items of equal text are all named.  Rows map one to one, so
@@ -154,29 +155,29 @@ def item_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     return arrow_map(rows, _item_windows(width), "item_id string, n int, pattern binary").distinct()
 
 
-_CARRY = "spans array<long>, items array<string>"
-_FOUND = "n_words long, n_hit long, spans array<long>, items array<string>"
+_CARRY = "spans array<long>, patterns array<long>"
+_FOUND = "n_words long, n_hit long, spans array<long>, patterns array<long>"
 
 
 def _pass(shared, final: bool, with_text: bool):
     """One block of patterns over the documents; ``spans`` holds first word
     and length in turn.  Other columns pass through unchanged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_length: dict[int, dict[bytes, list[str]]] = defaultdict(dict)
-        for n, pattern, names in shared.value:
-            by_length[n][pattern] = names
+        by_length: dict[int, dict[bytes, int]] = defaultdict(dict)
+        for n, pattern, number in shared.value:
+            by_length[n][pattern] = number
         searchers = [(Searcher(n, list(found)), list(found.values())) for n, found in sorted(by_length.items())]
         for batch in batches:
             for rows, data, offs in A.chunks(batch):
                 w = Words(data, offs)
                 spans = rows.column("spans").to_pylist()
-                items = [set(x) for x in rows.column("items").to_pylist()]
-                for searcher, names in searchers:
+                seen = [set(x) for x in rows.column("patterns").to_pylist()]
+                for searcher, numbers in searchers:
                     for at, p in searcher.find(w):
                         k = int(np.searchsorted(w.first, at, "right")) - 1
                         spans[k] += [at - int(w.first[k]), searcher.length]
-                        items[k].update(names[p])
-                out = {c: rows.column(c) for c in rows.schema.names if c not in ("spans", "items")}
+                        seen[k].add(numbers[p])
+                out = {c: rows.column(c) for c in rows.schema.names if c not in ("spans", "patterns")}
                 if final:
                     n_words = np.diff(w.first)
                     out["n_words"] = pa.array(n_words)
@@ -184,7 +185,7 @@ def _pass(shared, final: bool, with_text: bool):
                 if not with_text:
                     del out["text"]
                 out["spans"] = pa.array(spans, pa.list_(pa.int64()))
-                out["items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
+                out["patterns"] = pa.array([sorted(x) for x in seen], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
     return run
 
@@ -200,35 +201,59 @@ def _covered(spans: list[int], n: int) -> int:
     return int((np.cumsum(step) > 0).sum())
 
 
-def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW,
-               block_bytes: int = BLOCK_BYTES, carried: str | None = None) -> DataFrame:
-    """(doc_id, n_words, n_hit, spans, items) for every row of ``docs``:
+def find_windows(docs: DataFrame, patterns: DataFrame, block_bytes: int = BLOCK_BYTES,
+                 carried: str | None = None) -> DataFrame:
+    """(doc_id, n_words, n_hit, spans, patterns) for every row of ``docs``:
     words, words inside an occurrence, the occurrences as first word and
-    length in turn, and the sorted ids of the items that occur.
+    length in turn, and the numbers of the patterns (n, pattern, number) found.
 
     ``carried`` names a column of ``docs`` that the result keeps beside the
     text; the others stay out.
     """
     spark = docs.sparkSession
-    windows = keep(item_windows(items, width).groupBy("n", "pattern").agg(F.collect_set("item_id").alias("names")),
-                   "item_windows")
-    total = windows.agg(F.sum(F.octet_length("pattern"))).first()[0] or 0
+    total = patterns.agg(F.sum(F.octet_length("pattern"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     mine = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
     extra = [F.col(f"`{carried}`").alias("carried")] if carried else []
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         *extra, F.array().cast("array<long>").alias("spans"),
-                        F.array().cast("array<string>").alias("items"))
+                        F.array().cast("array<long>").alias("patterns"))
     for b in range(blocks):
-        part = [(r.n, bytes(r.pattern), sorted(r.names)) for r in windows.where(mine == b).collect()]
+        part = [(r.n, bytes(r.pattern), r.number) for r in patterns.where(mine == b).collect()]
         final = b == blocks - 1
-        own = [f for f in found.schema.fields if f.name not in ("spans", "items")
+        own = [f for f in found.schema.fields if f.name not in ("spans", "patterns")
                and not (final and not carried and f.name == "text")]
         schema = T.StructType(own + T._parse_datatype_string(_FOUND if final else _CARRY).fields)
         found = arrow_map(found, _pass(spark.sparkContext.broadcast(part), final, not final or bool(carried)), schema)
     return found.withColumnRenamed("carried", carried) if carried else found
 
 
+def numbered_patterns(windows: DataFrame) -> DataFrame:
+    """(n, pattern, number) of the distinct patterns."""
+    return keep(windows.select("n", "pattern").distinct().withColumn("number", F.monotonically_increasing_id()),
+                "patterns")
+
+
+def find_items(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, n_words, n_hit, spans, items) for every row of ``docs``, as
+    ``find_windows``, with the sorted ids of the items that occur."""
+    windows = keep(item_windows(items, width), "item_windows")
+    patterns = numbered_patterns(windows)
+    found = keep(find_windows(docs, patterns, block_bytes).withColumn("row", F.monotonically_increasing_id()), "found")
+    names = (found.select("row", F.explode("patterns").alias("number")).join(patterns, "number")
+             .join(windows, ["n", "pattern"]).groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
+    return (found.join(names, "row", "left")
+            .select("doc_id", "n_words", "n_hit", "spans",
+                    F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, carried: str, width: int = WINDOW) -> DataFrame:
+    """(doc_id, text, ``carried``) of the documents without a word in an
+    occurrence of an item's window; the items are not asked for."""
+    found = find_windows(docs, numbered_patterns(item_windows(items, width)), carried=carried)
+    return found.where("n_hit = 0").select("doc_id", "text", carried)
+
+
 _RE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 #: The same in DuckDB, for unique document ids: windows of every length joined with the patterns.

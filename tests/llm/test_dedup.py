@@ -19,8 +19,8 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-def test_near_duplicates(spark):
-    rows = documents()
+def plain_components(rows):
+    """(id, shingles, component, kept) of each row, by comparing all pairs."""
     sets = [(i, shingles(t)) for i, t, _ in rows]
     parent = {i: i for i, _ in sets if i is not None}
 
@@ -34,8 +34,12 @@ def test_near_duplicates(spark):
             if i is not None and j is not None and x and y and 100 * len(x & y) >= 75 * len(x | y):
                 p, q = find(i), find(j)
                 parent[max(p, q)] = min(p, q)
-    want = sorted(((i, len(x), None if i is None else find(i), i is not None and find(i) == i)
-                   for i, x in sets), key=str)
+    return [(i, len(x), None if i is None else find(i), i is not None and find(i) == i) for i, x in sets]
+
+
+def test_near_duplicates(spark):
+    rows = documents()
+    want = sorted(plain_components(rows), key=str)
     got = sorted((tuple(r) for r in minhash.near_duplicates(frame(spark, rows)).collect()), key=str)
     assert got == want
     assert any(not k for *_, k in want)
@@ -103,7 +107,7 @@ def _alone(line):
     return len(found) >= 3 or sum(map(len, found)) >= 20 or len(line) >= 100
 
 
-def _lines(rows, min_lines):
+def plain_lines(rows, min_lines):
     """Deleted positions of each distinct (id, text), in the operator's order."""
     docs = sorted({(i is None, i or 0, t or "", t) for i, t, _ in rows}, key=lambda d: d[:3])
     texts = {}
@@ -127,7 +131,7 @@ def _lines(rows, min_lines):
 def test_line_runs(spark, min_lines):
     rows = [[i, t, s] for i, t, s in documents() if i != 5]  # one text per id: the order is plain
     rows += [[200, "a\nb\nc\n\nd", "s"], [201, "x\na\nb\nc\n\nd\n", "s"], [202, "c\nd", "s"], [203, "a\nb", "s"]]
-    want = _lines(rows, min_lines)
+    want = plain_lines(rows, min_lines)
     got = lineruns.dedup_lines(frame(spark, rows), min_lines).collect()
     assert len(got) == len(rows)
     for r in got:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 
@@ -16,14 +17,12 @@ from hypothesis import strategies as st
 from tallyspark.llm import ann, bpe, mixing, wumanber
 
 
-def test_mix(spark):
-    rows = documents()
-    got = mixing.mix(frame(spark, rows)).collect()
-    again = mixing.mix(frame(spark, rows)).collect()
-    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+def plain_mix(rows):
+    """(id, source, size, source size, target, taken) of each row."""
+    size = lambda t: len(WORD.findall(t or ""))
     sizes = {}
     for _, t, s in rows:
-        sizes[s] = sizes.get(s, 0) + len(WORD.findall(t or ""))
+        sizes[s] = sizes.get(s, 0) + size(t)
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
     target, free, left = {}, set(order), 1.5 * sum(sizes.values())
@@ -36,12 +35,37 @@ def test_mix(spark):
         target |= {s: 2.0 * sizes[s] for s in full}
         left -= sum(2 * sizes[s] for s in full)
         free -= full
-    taken = {}
-    for r in got:
-        assert r.source_size == sizes[r.source] and math.isclose(r.target, target[r.source], abs_tol=1e-9)
-        assert 0 <= r.taken <= 2 * r.size
-        taken[r.source] = taken.get(r.source, 0) + r.taken
-    assert all(taken[s] == math.floor(target[s] + 1e-9) for s in order)
+    out, prior = [], dict.fromkeys(order, 0)
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    key = lambda r: (md5(f"{'' if r[0] is None else r[0]}:{md5(r[1] or '')}"), r[0] or 0, size(r[1]))
+    for i, t, s in sorted(rows, key=key):
+        budget = math.floor(target[s] + 1e-9)
+        epochs = budget // sizes[s] if sizes[s] else 0
+        part = max(0, min(size(t), budget - epochs * sizes[s] - prior[s]))
+        out.append((i, s, size(t), sizes[s], round(target[s], 6), epochs * size(t) + part))
+        prior[s] += size(t)
+    return out
+
+
+def test_mix(spark):
+    rows = documents()
+    got = mixing.mix(frame(spark, rows)).collect()
+    again = mixing.mix(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+    want = plain_mix(rows)
+    assert sorted(((r.doc_id, r.source, r.size, r.source_size, round(r.target, 6), r.taken) for r in got), key=str) \
+        == sorted(want, key=str)
+    assert all(0 <= r.taken <= 2 * r.size for r in got)
+
+
+def test_hot_ids_are_spread(spark):
+    """A third of the rows without an id, a third with one id: their keys differ with their texts."""
+    rows = [[None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"text {k} " * (k % 5 + 1), "s"] for k in range(300)]
+    sized = mixing.sized(frame(spark, rows)).collect()
+    assert len({r.key for r in sized}) == 300 and len({r.key[:1] for r in sized if r.doc_id is None}) > 10
+    got = mixing.mix(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.size, r.taken) for r in got) == sorted(
+        (str(i), n, taken) for i, _, n, _, _, taken in plain_mix(rows))
 
 
 def test_mix_keeps_columns_and_handles_nothing(spark):
@@ -54,13 +78,9 @@ def test_mix_keeps_columns_and_handles_nothing(spark):
     assert [(r.taken, r.target) for r in blank] == [(0, 0.0), (0, 0.0)]
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
-def test_decontamination(spark, block_bytes):
-    rows = documents()
+def plain_hits(rows, items):
+    """(id, words, words hit, items) of each row."""
     rx = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    passage = rows[2][1]
-    items = [(1, " ".join(rows[0][1].split()[3:20])), (2, passage.upper()), (3, "one"), (4, ""), (5, None),
-             (6, "  ...!"), (None, "la"), (7, "words in"), (10, "words, IN"), (8, "not to be found anywhere")]
     patterns = {}
     for i, t in items:
         w = rx.findall(lower(t))
@@ -78,6 +98,15 @@ def test_decontamination(spark, block_bytes):
                     hit.update(range(k, k + n))
                     found |= names
         want.append((i, len(w), len(hit), sorted(found)))
+    return want
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_decontamination(spark, block_bytes):
+    rows = documents()
+    items = [(1, " ".join(rows[0][1].split()[3:20])), (2, rows[2][1].upper()), (3, "one"), (4, ""), (5, None),
+             (6, "  ...!"), (None, "la"), (7, "words in"), (10, "words, IN"), (8, "not to be found anywhere")]
+    want = plain_hits(rows, items)
     table = spark.createDataFrame(items, "item_id long, text string")
     found = wumanber.find_items(frame(spark, rows), table, block_bytes=block_bytes)
     got = [(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found.collect()]

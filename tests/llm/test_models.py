@@ -73,6 +73,25 @@ def test_equal_texts_score_alike(spark, module):
     assert all(max(v) - min(v) < 1e-6 for v in scores.values())
 
 
+def plain_vote(model, text):
+    """Features counted one by one, all cosines, all neighbours sorted."""
+    def vector(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, feature = quality.features(data, np.array([0, len(data)]))
+        v = np.zeros(quality.DIMS)
+        for f, n in Counter(feature.tolist()).items():
+            v[f] = math.log1p(n) * model["idf"][f]
+        v = v @ model["space"]
+        return v / max(np.linalg.norm(v), 1e-12)
+
+    if not words(text):
+        return model["prior"]
+    cos = sorted(((float(vector(text) @ p), y) for p, y in zip(model["points"], model["labels"], strict=True)),
+                 reverse=True)[:quality.NEIGHBOURS]
+    w = [max(c, 1e-6) ** quality.SHARPNESS for c, _ in cos]
+    return sum(a * y for a, (_, y) in zip(w, cos, strict=True)) / sum(w)
+
+
 def test_vote_against_plain_vote(spark):
     """Features counted word by word, all cosines, all neighbours sorted."""
     rows = documents()
@@ -85,24 +104,9 @@ def test_vote_against_plain_vote(spark):
         if i in known:
             texts_of.setdefault(i, set()).add(t)
 
-    def vector(text):
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        _, feature = quality.features(data, np.array([0, len(data)]))
-        v = np.zeros(quality.DIMS)
-        for f, n in Counter(feature.tolist()).items():
-            v[f] = math.log1p(n) * model["idf"][f]
-        v = v @ model["space"]
-        return v / max(np.linalg.norm(v), 1e-12)
-
     assert len(model["points"]) == len(known) - sum(t == {None} for t in texts_of.values())
     for (i, text), score in got.items():
-        if not (text or "").split():
-            assert score == model["prior"]
-            continue
-        cos = sorted(((float(vector(text) @ p), y) for p, y in zip(model["points"], model["labels"], strict=True)),
-                     reverse=True)[:quality.NEIGHBOURS]
-        w = [max(c, 1e-6) ** quality.SHARPNESS for c, _ in cos]
-        assert abs(score - sum(a * y for a, (_, y) in zip(w, cos, strict=True)) / sum(w)) < 1e-3
+        assert abs(score - plain_vote(model, text)) < 1e-3
 
 
 def test_one_id_for_a_third_of_all_rows(spark):
