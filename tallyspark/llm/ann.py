@@ -7,11 +7,14 @@ two squared distances, with a heap over pairs of sorted centroids, until the
 cells visited hold ``share`` of all distinct vectors; their vectors are then
 compared exactly, in double precision.
 
+The index is written in ranges of the cell and stays where it is: queries
+pass over it in broadcast blocks of ``QUERY_BLOCK``, each with the sum at which its walk
+ended, so a task knows by its codebooks which of its cells a query visits.  A
+task returns at most ``k + 1`` entries for each query of the block.
+
 Equal vectors are one entry with its ``k + 1`` smallest ids, all that a result
 can show, found before any shuffle by the window's group limit; so one vector
-that fills a third of the table costs one entry.  Visits are grouped by the
-cells' first centroid; large lists of vectors and of queries are salted into
-blocks of bounded size, and every pair of blocks is one group of a cogroup.
+that fills a third of the table costs one entry.
 
 The codebooks are fitted on at most ``FIT`` distinct vectors (those with the
 smallest hash of the id); every vector is indexed.  K grows as the root of the
@@ -39,13 +42,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.frames import arrow_map, keep
+from tallyspark.session import shared_path
 
 FIT = 16_384
 MAX_CENTROIDS = 256
 SHARE = 0.65
 #: Fewest vectors that a query is compared with.
 LEAST = 2048
-VECTOR_BLOCK, QUERY_BLOCK = 4096, 256
+QUERY_BLOCK = 16_384
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -134,51 +138,68 @@ def _assign(shared):
     return run
 
 
-def _visits(shared, goal: int):
-    """Per query and first centroid the second centroids to visit."""
+def _limits(shared, goal: int):
+    """Per query the summed distance of the last cell of its walk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                row, first, second = [], [], []
-                for k, (one, two) in enumerate(zip(*index.distances(_rows(rows.column("vec"))), strict=True)):
-                    lists: dict[int, list[int]] = {}
-                    for i, j in index.walk(one, two, goal):
-                        lists.setdefault(i, []).append(j)
-                    row += [k] * len(lists)
-                    first += list(lists)
-                    second += list(lists.values())
-                take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("uid").take(take), rows.column("vec").take(take), pa.array(first, pa.int32()),
-                     pa.array(second, pa.list_(pa.int32()))], names=["quid", "qvec", "c1", "visit"])
+                limits = []
+                for one, two in zip(*index.distances(_rows(rows.column("vec"))), strict=True):
+                    *_, (i, j) = index.walk(one, two, goal)
+                    limits.append(one[i] + two[j])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(limits, pa.float64())],
+                                                 names=[*rows.schema.names, "limit"])
     return run
 
 
-def _compare(k: int):
-    """Nearest ``k + 1`` entries of one block for each query of one block."""
-    def run(queries: pa.Table, entries: pa.Table) -> pa.Table:
-        out = ([], [], [])
-        if queries.num_rows and entries.num_rows:
-            vec = _rows(entries.column("vec").combine_chunks())
-            uid, c2 = entries.column("uid").to_numpy(), entries.column("c2").to_numpy()
-            q = _rows(queries.column("qvec").combine_chunks())
-            for quid, x, visit in zip(queries.column("quid").to_pylist(), q, queries.column("visit").to_pylist(),
-                                      strict=True):
-                at = np.flatnonzero(np.isin(c2, visit))
-                dist = np.sqrt(((vec[at] - x) ** 2).sum(axis=1))
-                best = np.lexsort((uid[at], dist))[:k + 1]
-                out[0].append(np.full(len(best), quid, np.int64))
-                out[1].append(uid[at][best])
-                out[2].append(dist[best])
-        cat = [np.concatenate(x) if x else np.zeros(0) for x in out]
-        return pa.table({"quid": pa.array(cat[0], pa.int64()), "uid": pa.array(cat[1], pa.int64()),
-                         "dist": pa.array(cat[2], pa.float64())})
+class Block:
+    """A block of queries, with their distances to the centroids."""
+
+    def __init__(self, table: pa.Table, index: Index):
+        self.uid, self.limit = table.column("uid").to_numpy(), table.column("limit").to_numpy()
+        self.vec = _rows(table.column("vec").combine_chunks())
+        parts = [index.distances(self.vec[i:i + 512]) for i in range(0, len(self.vec), 512)]
+        self.one, self.two = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+
+
+def _compare(shared, k: int):
+    """Nearest ``k + 1`` entries of a task's part of the index for each query of a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = shared.value
+        n = len(block.uid)
+        near = np.full((n, k + 1), np.inf)
+        best = np.full((n, k + 1), -1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vec, uid = _rows(batch.column("vec")), batch.column("uid").to_numpy()
+            cell, place = np.unique(np.stack([batch.column("c1").to_numpy(), batch.column("c2").to_numpy()]),
+                                    axis=1, return_inverse=True)
+            for q in range(n):
+                # The walk's own sums, so the comparison is exact.
+                visited = block.one[q, cell[0]] + block.two[q, cell[1]] <= block.limit[q]
+                at = np.flatnonzero(visited[place])
+                if not len(at):
+                    continue
+                dist = np.sqrt(((vec[at] - block.vec[q]) ** 2).sum(axis=1))
+                close = np.flatnonzero(dist <= near[q, -1])
+                dist = np.concatenate([near[q], dist[close]])
+                ids = np.concatenate([best[q], uid[at[close]]])
+                first = np.lexsort((ids, dist))[:k + 1]
+                near[q], best[q] = dist[first], ids[first]
+        q, j = np.nonzero(best >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(block.uid[q]), pa.array(best[q, j]), pa.array(near[q, j])],
+                                         names=["quid", "uid", "dist"])
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = SHARE) -> DataFrame:
+RESULT = "query_id long, rank int, vec_id long, score double"
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = SHARE,
+            query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` (vec_id
     and embedding, rows of ``vectors``) its ``k`` nearest other rows found."""
     rows = valid_vectors(vectors)
@@ -189,7 +210,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float =
     wanted = asked.select("uid").distinct()
     sample = entries.select("uid", "vec").orderBy(F.xxhash64("uid"), "uid").limit(FIT).toArrow()
     if not total:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return vectors.sparkSession.createDataFrame([], RESULT)
     centroids = int(min(MAX_CENTROIDS, max(1, 2 ** round(np.log2(max(np.sqrt(total) / 4, 1))))))
     index = Index(_rows(sample.column("vec").combine_chunks()), centroids)
     sc = vectors.sparkSession.sparkContext
@@ -198,23 +219,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float =
     for c in placed.groupBy("c1", "c2").count().collect():  # at most MAX_CENTROIDS squared
         index.sizes[c.c1, c.c2] = c["count"]
     goal = max(int(np.ceil(share * total)), LEAST)
-    visits = keep(arrow_map(placed.join(wanted, "uid", "left_semi").select("uid", "vec"),
-                            _visits(sc.broadcast(index), goal),
-                            "quid long, qvec array<double>, c1 int, visit array<int>"), "visits")
-    # Blocks: salts of a list follow its length, so a block's expected size is fixed.
-    lengths = (placed.groupBy("c1").agg(F.ceil(F.count("*") / VECTOR_BLOCK).cast("int").alias("nv"))
-               .join(visits.groupBy("c1").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq")), "c1"))
-    lengths = keep(lengths, "lengths")
-    salt = lambda col, n: F.pmod(F.xxhash64(col), F.col(n)).cast("int")
-    q = (visits.join(F.broadcast(lengths), "c1").withColumn("qs", salt("quid", "nq"))
-         .withColumn("vs", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)))
-         .select("c1", "vs", "qs", "quid", "qvec", "visit"))
-    v = (placed.join(F.broadcast(lengths), "c1").withColumn("vs", salt("uid", "nv"))
-         .withColumn("qs", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-         .select("c1", "vs", "qs", "uid", "vec", "c2"))
-    key = ["c1", "vs", "qs"]
-    near = (q.groupBy(*key).cogroup(v.groupBy(*key))
-            .applyInArrow(_compare(k), "quid long, uid long, dist double"))
+    placed = keep(placed.repartitionByRange("c1", "c2", "uid").sortWithinPartitions("c1", "c2"), "cells")
+    queries = keep(arrow_map(placed.join(wanted, "uid", "left_semi").select("uid", "vec"),
+                             _limits(sc.broadcast(index), goal), "uid long, vec array<double>, limit double"), "limits")
+    blocks = -(-queries.count() // query_block)
+    path = shared_path(vectors.sparkSession, "near")
+    found_schema = "quid long, uid long, dist double"
+    for b in range(blocks):
+        block = queries.where(F.pmod(F.xxhash64("uid"), F.lit(blocks)) == b).toArrow()
+        if block.num_rows:
+            shared = sc.broadcast(Block(block, index))
+            arrow_map(placed, _compare(shared, k), found_schema).write.mode("append").parquet(path)
+            shared.unpersist()
+    if not blocks:
+        return vectors.sparkSession.createDataFrame([], RESULT)
+    near = vectors.sparkSession.read.schema(found_schema).parquet(path)
     self_pairs = wanted.select(F.col("uid").alias("quid"), "uid", F.lit(0.0).alias("dist"))
     first = Window.partitionBy("quid").orderBy("dist", "uid")
     best = (near.where("quid <> uid").union(self_pairs).withColumn("nr", F.row_number().over(first))

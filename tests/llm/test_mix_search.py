@@ -131,7 +131,8 @@ def test_cells_are_walked_in_order():
     assert len(set(cells)) == 64 and sums == sorted(sums)
 
 
-def test_neighbours(spark):
+@pytest.mark.parametrize("query_block", [ann.QUERY_BLOCK, 9])
+def test_neighbours(spark, query_block):
     rng = np.random.default_rng(2)
     centers = rng.standard_normal((5, 16))
     vec = {i: (centers[i % 5] + 0.3 * rng.standard_normal(16)).astype(np.float32).tolist() for i in range(3000)}
@@ -143,7 +144,7 @@ def test_neighbours(spark):
              (None, vec[1], 1), (5600, [], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, uid int")
     got = {}
-    for r in ann.nearest(df, df.where("vec_id % 100 = 0")).collect():
+    for r in ann.nearest(df, df.where("vec_id % 100 = 0"), query_block=query_block).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     ids = np.array(sorted(vec))
     m = np.array([vec[i] for i in ids], dtype=np.float64)
