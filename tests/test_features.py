@@ -120,6 +120,19 @@ def test_gate_raises_on_few_dates(spark):
     assert dq.require_dates(df, 6) == 6
 
 
+def test_gate_of_every_run_date(spark):
+    days = [d(n) for n in (-9, -8, -7, -5, -3, -2, -1, 0, 0, 2)]
+    df = spark.createDataFrame([("a", "1", 1.0, "v", "s", x) for x in days] + [("a", "1", 1.0, "v", "s", None)], SCHEMA)
+    got = rows(dq.gate_dates(df, d(-3), d(4), days_back=7, n=6), "date", "n_dates", "complete")
+    want = []
+    for n in range(-3, 5):
+        k = len({x for x in days if d(n - 7) <= x <= d(n)})
+        want.append((d(n), k, k >= 6))
+    assert got == want and len({c for *_, c in got}) == 2
+    with pytest.raises(ValueError):
+        dq.gate_dates(df, "2025-3-1", d(0))
+
+
 def test_distinct_dates_and_row_count(spark):
     df = window_edges(spark)
     assert rows(dq.distinct_dates(df)) == [(d(-8),), (d(-7),), (d(-3),), (d(0),), (d(1),)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from helpers import rows
@@ -157,3 +158,31 @@ def test_table_log(spark):
     plain = log.unionByName(spark.createDataFrame([(7, "2025-01-07", "WRITE", {})], log.schema))
     assert rows(tb.last_checkpoint(plain)) == [(7, "WRITE", None)]
     assert rows(tb.last_checkpoint(log.where("version = 1"))) == []
+
+
+def test_registered_table_is_pruned_by_name(spark, tmp_dir):
+    df = spark.createDataFrame([(i, dt.date(2025, 3, 1 + i % 5)) for i in range(20)], "n int, date date")
+    tb.write_partitions(df, f"{tmp_dir}/raw")
+    name = f"reg_{os.path.basename(tmp_dir).replace('-', '_')}"
+    tb.create_schema(spark, name, f"{tmp_dir}/db")
+    for _ in range(2):
+        tb.register_table(spark, f"{name}.raw", f"{tmp_dir}/raw", schema="n int, date date", partitioned_by=["date"])
+    part = spark.table(f"{name}.raw").where("date = DATE'2025-03-02'")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: []" in plan
+    assert sorted(r.n for r in part.collect()) == [1, 6, 11, 16]
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
+    assert spark.read.parquet(f"{tmp_dir}/raw").count() == 20  # the files stay
+
+
+def test_snapshots(spark, tmp_dir):
+    assert tb.read_snapshot(spark, f"{tmp_dir}/t") is None
+    empty = spark.createDataFrame([], "n int")
+    tb.write_snapshot(empty, f"{tmp_dir}/t")
+    assert tb.read_snapshot(spark, f"{tmp_dir}/t") is None
+    for n in range(4):  # each is built from the one before
+        before = tb.read_snapshot(spark, f"{tmp_dir}/t")
+        rows = spark.createDataFrame([(n,)], "n int")
+        tb.write_snapshot(rows if before is None else before.union(rows), f"{tmp_dir}/t")
+    assert sorted(r.n for r in tb.read_snapshot(spark, f"{tmp_dir}/t").collect()) == [0, 1, 2, 3]
+    assert len([x for x in os.listdir(f"{tmp_dir}/t") if x.startswith("snapshot=")]) == 2

@@ -122,6 +122,34 @@ def test_duplicate_delivery_dropped(spark, tmp_dir):
     assert got.where("date = DATE'2025-03-10'").first()["num_transactions_l1w"] == 1
 
 
+def test_late_and_repeated_rows_are_counted(spark, tmp_dir):
+    at = lambda day, hour=0: dt.datetime(2025, 3, day, hour)
+    schema = "id long, ts timestamp, v double"
+    runs = [[(1, at(10), 1.0), (1, at(10), 1.0), (2, at(12), 2.0)],
+            [(2, at(12), 2.0), (3, at(11, 1), 4.0), (4, at(10, 1), 8.0), (5, at(9), 16.0), (6, at(20), 32.0)]]
+    dropped = []
+    for rows_of_run in runs:
+        spark.createDataFrame(rows_of_run, schema).write.mode("append").parquet(f"{tmp_dir}/in")
+        days = st.stream_daily_totals(st.stream_files(spark, f"{tmp_dir}/in", schema), "ts", "v", "1 day", "id")
+        q = st.start_append(days, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+        q.awaitTermination()
+        dropped.append(st.late_rows(q))
+    # behind the watermark of 03-11: rows 4 and 5; within it: row 3; delivered again: rows 1 and 2
+    assert dropped == [0, 2]
+    assert rows(spark.read.parquet(f"{tmp_dir}/out")) == [
+        (dt.date(2025, 3, 10), 1, 1.0), (dt.date(2025, 3, 11), 1, 4.0), (dt.date(2025, 3, 12), 1, 2.0)]
+
+
+def test_windows_hold_no_sets(spark, tmp_dir):
+    df = spark.createDataFrame(tx_rows(), TX_SCHEMA)
+    df.write.parquet(f"{tmp_dir}/tx")
+    out = st.stream_window_features(st.stream_files(spark, f"{tmp_dir}/tx", df.schema), "ts")
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "collect_set" not in plan and plan.count("Aggregate") == 3
+    # the first aggregate, which the events enter, has tumbling days
+    assert plan.rindex("window") > plan.rindex("Aggregate")
+
+
 def test_state_is_read_from_the_store(spark, tmp_dir):
     src, ckpt = f"{tmp_dir}/msgs", f"{tmp_dir}/ckpt"
     os.makedirs(src)
