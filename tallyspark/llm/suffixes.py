@@ -1,20 +1,24 @@
-"""Removing repeated byte strings with a logarithmic family of suffix arrays.
+"""Removing repeated byte strings with a logarithmic family of sparse suffix
+tables.
 
 A byte goes if a string of ``width`` bytes that covers it also starts
 somewhere else, in the same document or another.
 
 Suffixes.  Sorting every suffix would move each byte many times, so the
-arrays hold a sparse set that misses no match: of the ``GRAM``-byte strings in
+tables hold a sparse set that misses no match: of the ``GRAM``-byte strings in
 each window of ``width`` bytes, the one with the smallest hash is the window's
 anchor (about one byte in seventy is one).  Equal windows have their anchor at
 the same place, so a repeated string shows as suffixes at anchors with a
-common prefix.  An array entry is (anchor, context, times): the fingerprint
+common prefix.  An entry is (anchor, context, times): the fingerprint
 of the suffix's first ``GRAM`` bytes; the fingerprint of all windows of one
 anchor place in a row, with the anchor's place in them; and how often it
-occurs.  Arrays are ordered by fingerprint instead of by byte, which keeps
-equal suffixes together, all that matching needs.
+occurs.  Entries are ordered by fingerprint, not by byte: no suffix order is
+made and no common prefix measured.  Equal suffixes stand together, which is
+all that matching needs; the strings at the edges of a match are compared as
+windows.  In byte order an entry would carry its first 48 bytes instead of
+eight.
 
-Family.  Documents come in batches.  A batch's array is merge-scanned against
+Family.  Documents come in batches.  A batch's table is merge-scanned against
 each level (a join of tables that are bucketed and sorted alike, so without a
 shuffle); equal contexts are matches.  Then levels of equal size merge, as in
 a binary counter, so an entry is rewritten a logarithmic number of times.
@@ -185,6 +189,13 @@ class SuffixFamily:
                 .select("context", "anchor",
                         (F.coalesce("times", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("times")))
 
+    def close(self) -> None:
+        """Remove the arrays that are left."""
+        for level in self.levels:
+            if level is not None:
+                self._superseded(level)
+        self.levels = []
+
     def matches(self) -> DataFrame:
         out = self.found[0]
         for more in self.found[1:]:
@@ -339,6 +350,7 @@ def repeated_strings(docs: DataFrame, width: int = 200, batches: int = BATCHES,
     doubled = keep(family.matches(), "matches")
     edges = keep(family.entries().groupBy("anchor").agg(F.min("context").alias("lo"), F.max("context").alias("hi"))
                  .where("lo <> hi").select("anchor"), "edges")
+    family.close()
     sc = spark.sparkContext
     found = keep(arrow_map(rows.select("id0", "th", "text"),
                            _placed(width, sc.broadcast(bloom(doubled.select("context"))),

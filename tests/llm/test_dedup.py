@@ -94,6 +94,7 @@ def test_repeated_strings(spark, class_size):
     got = suffixes.remove_repeats(frame(spark, rows), class_size=class_size, digest=True).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert sum(x[2] for x in want) > 1000
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("suffixes_")]  # nothing is left behind
 
 
 def test_kept_bytes(spark):
