@@ -202,10 +202,11 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], ts: str, start=None, end=None) -> DataFrame:
-    """Newest row per key with ``start < ts <= end`` (either bound optional)."""
+    """Newest row per key with ``start < ts <= end`` (either bound optional);
+    of several at one time the one with the greatest values."""
     rows = df
     if start is not None:
         rows = rows.where(F.col(ts) > F.lit(start))
     if end is not None:
         rows = rows.where(F.col(ts) <= F.lit(end))
-    return keep_last(rows, keys, [ts])
+    return keep_last(rows, keys, [ts, *[c for c in df.columns if c not in keys and c != ts]])

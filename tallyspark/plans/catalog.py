@@ -27,8 +27,8 @@ from ..schemas import (SOURCE_COL, TIME_COL, TIME_FORMAT, TRANSACTION_ROW, USER_
                        VENDOR_COL)
 from ..jobs import update_table
 from ..session import shared_path
-from ..sources.tables import (create_schema, read_snapshot, read_table, register_table, write_partitions,
-                              write_table)
+from ..sources.tables import (create_schema, from_pandas, read_snapshot, read_table, register_table, to_pandas,
+                              write_partitions, write_table)
 from ..streaming import streams as st
 from . import inputs as I
 from . import views as V
@@ -160,6 +160,19 @@ def q_online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      V.online_keys(spark, sf_dir), V.REFS, [V.CUSTOMER_FEATURES])
 
 
+def q_online_lookup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a handful of keys given as plain rows."""
+    keys = [r.asDict() for r in rw.first_rows(V.online_keys(spark, sf_dir), 20, ["user_id"]).collect()]
+    return store.get_online_features({"customer_features": online_table(spark, sf_dir)}, keys, V.REFS,
+                                     [V.CUSTOMER_FEATURES])
+
+
+def q_pandas_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greatest orders as a pandas frame and back."""
+    top = rw.top_n(I.table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 100)
+    return from_pandas(spark, to_pandas(top, 100), top.schema)
+
+
 def q_asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.get_historical_features(
         V.entity_rows(spark, sf_dir), V.REFS,
@@ -601,6 +614,8 @@ QUERIES: dict[str, Query] = {
     "materialize_full": q_materialize_full,
     "materialize_incremental": q_materialize_incremental,
     "online_lookup": q_online_lookup,
+    "online_lookup_rows": q_online_lookup_rows,
+    "pandas_round_trip": q_pandas_round_trip,
     "asof_features": q_asof_features,
     "asof_features_ttl": q_asof_features_ttl,
     "multi_view_features": q_multi_view_features,

@@ -303,6 +303,11 @@ UNION ALL SELECT 'status', 'feature', 'string', COUNT(*), COUNT(*) FILTER (statu
 SELECT CAST(c_custkey AS VARCHAR) AS user_id, online.num_transactions_l1w, online.total_amount_l1w,
        online.num_vendors_l1w
 FROM customer LEFT JOIN online ON CAST(c_custkey AS VARCHAR) = online.user_id""",
+    "online_lookup_rows": f"""WITH {ONLINE},
+k AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer ORDER BY user_id LIMIT 20)
+SELECT k.user_id, online.num_transactions_l1w, online.total_amount_l1w, online.num_vendors_l1w
+FROM k LEFT JOIN online ON k.user_id = online.user_id""",
+    "pandas_round_trip": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 100",
     "asof_features": ASOF,
     "asof_features_ttl": ASOF_TTL,
     "multi_view_features": MULTI_VIEW,

@@ -171,3 +171,5 @@ def test_keep_last_and_latest_per_key(spark):
                                "user_id string, seq int, v string")
     assert rows(feat.keep_last(df, ["user_id"], ["seq"])) == [("u1", 3, "b"), ("u2", 1, "d")]
     assert rows(feat.latest_per_key(df, ["user_id"], "seq", start=1, end=2)) == [("u1", 2, "c")]
+    tied = df.union(spark.createDataFrame([("u1", 3, "z"), ("u1", 3, None)], df.schema))
+    assert rows(feat.latest_per_key(tied, ["user_id"], "seq")) == [("u1", 3, "z"), ("u2", 1, "d")]
