@@ -128,10 +128,16 @@ def sample_labels(labels: DataFrame, label: str, size: int, parts: int = 4, left
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> DataFrame:
     """(doc_id, text, label) of the sample, one row for each pair of an id and
-    a label; the pairs are broadcast, which ``size`` bounds."""
-    one = F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))["text"]
-    return (texts(docs).join(F.broadcast(sample_labels(labels, label, size)), "doc_id")
-            .groupBy("doc_id", "label").agg(one.alias("text")))
+    a label; the pairs are broadcast, which ``size`` bounds.  Only the texts of
+    ids that several documents have are shuffled."""
+    pairs = texts(docs).join(F.broadcast(sample_labels(labels, label, size)), "doc_id")
+    shared = F.broadcast(pairs.groupBy("doc_id", "label").agg(F.count("*").alias("n")).where("n > 1")
+                         .select("doc_id", "label"))
+    least = F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))["text"]
+    several = (pairs.join(shared, ["doc_id", "label"], "left_semi").groupBy("doc_id", "label")
+               .agg(least.alias("text")))
+    return (pairs.join(shared, ["doc_id", "label"], "left_anti").select("doc_id", "text", "label")
+            .union(several.select("doc_id", "text", "label")))
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
